@@ -101,8 +101,10 @@ def device_features(df: DataFrame, key: str = "device_id", trip: str = "trip_id"
     * feature nulls forward-filled per series, then 0."""
     order = list(order)
     d = df
+    # a trip is one calendar day of one device, so (device, trip) series are
+    # already bounded: plain windows, no segmenting needed
     d = ewma(d, "temperature", [key, trip], order, out="rolling_mean_temp",
-             com=temp_com, shift=temp_shift, segment=segment)
+             com=temp_com, shift=temp_shift, segment=None)
     d = d.withColumn("temp_difference", F.col("rolling_mean_temp") - F.col("temperature"))
     d = ewma(d, "density", [key], order, out="rolling_mean_density",
              span=density_span, shift=1, segment=segment)
@@ -117,7 +119,7 @@ def device_features(df: DataFrame, key: str = "device_id", trip: str = "trip_id"
 
 def _ffill_then_zero(d: DataFrame, cols, key, trip, order, segment) -> DataFrame:
     from millrace.operators.windows import fill_forward
-    t = fill_forward(d, cols[:2], [key, trip], order, segment=segment)
+    t = fill_forward(d, cols[:2], [key, trip], order, segment=None)
     t = fill_forward(t, cols[2:], [key], order, segment=segment)
     return t.na.fill(0.0, subset=list(cols))
 

@@ -146,7 +146,7 @@ def rolling_avg(df: DataFrame, cols, key, order, back: int = 1, suffix: str = "_
         lagged.append(nm)
     exprs = []
     for c in cols:
-        vals = [F.col(c)] + [F.col(m[c]) for m in lagged]
+        vals = [F.col(c).cast("double")] + [F.col(m[c]).cast("double") for m in lagged]
         s = reduce(lambda a, b: a + b, [F.coalesce(v, F.lit(0.0)) for v in vals])
         k = reduce(lambda a, b: a + b, [v.isNotNull().cast("int") for v in vals])
         o = F.when(k > 0, s / k)
@@ -268,19 +268,23 @@ def ewma(df: DataFrame, col: str, key, order, out: str | None = None,
     B = block
     L = 1 if lb == float("inf") else max(1, math.ceil(60.0 * math.log(2.0) / (B * lb)))
 
-    src = df
+    if shift not in (0, 1):
+        # general shift: move the values first, then smooth
+        src = lag_by(df, keys, order, [col], n=shift, segment=segment, names={col: "__ewm_x"})
+        return ewma(src, "__ewm_x", keys, order, out=out, alpha=a, shift=0,
+                    segment=segment, block=block).drop("__ewm_x")
+    # shift=1 needs no lag: the smoothed value of the previous rows is the
+    # same block sums with the frame ending one row earlier and one power
+    # of b less (y'(t) = N(t-1) / D(t-1)).
     x = col
-    if shift:
-        src = lag_by(src, keys, order, [col], n=shift, segment=segment,
-                     names={col: "__ewm_x"})
-        x = "__ewm_x"
-    numbered = row_number_by(src, keys, order, out=_RN, segment=segment)
+    numbered = row_number_by(df, keys, order, out=_RN, segment=segment)
     d = (numbered.withColumn("__blk", F.floor((F.col(_RN) - 1) / B))
                  .withColumn("__j", ((F.col(_RN) - 1) % B).cast("int")))
     xv = F.col(x).cast("double")
     has = F.col(x).isNotNull()
     inv = F.pow(F.lit(b), -F.col("__j").cast("double"))
-    wblk = Window.partitionBy(*keys, "__blk").orderBy("__j").rowsBetween(Window.unboundedPreceding, 0)
+    end = -1 if shift else 0
+    wblk = Window.partitionBy(*keys, "__blk").orderBy("__j").rowsBetween(Window.unboundedPreceding, end)
     d = (d.withColumn("__sn", F.sum(F.when(has, xv * inv)).over(wblk))
           .withColumn("__sd", F.sum(F.when(has, inv)).over(wblk)))
     # block totals, weighted to the last position of the block
@@ -295,15 +299,14 @@ def ewma(df: DataFrame, col: str, key, order, out: str | None = None,
                      (F.col("__tn") * F.pow(F.lit(b), (F.col("__d") - 1) * B)).alias("__cn"),
                      (F.col("__td") * F.pow(F.lit(b), (F.col("__d") - 1) * B)).alias("__cd"))
              .groupBy(*keys, "__blk").agg(F.sum("__cn").alias("__cn"), F.sum("__cd").alias("__cd")))
-    j = F.col("__j").cast("double")
+    j = F.col("__j").cast("double") - F.lit(float(shift))
     bj = F.pow(F.lit(b), j)
     bj1 = F.pow(F.lit(b), j + 1)
     num = F.coalesce(F.col("__sn") * bj, F.lit(0.0)) + F.coalesce(F.col("__cn") * bj1, F.lit(0.0))
     den = F.coalesce(F.col("__sd") * bj, F.lit(0.0)) + F.coalesce(F.col("__cd") * bj1, F.lit(0.0))
     res = (d.join(carry, [*keys, "__blk"], "left")
             .withColumn(out, F.when(den > 0, num / den)))
-    drop = [_RN, "__blk", "__j", "__sn", "__sd", "__cn", "__cd"] + (["__ewm_x"] if shift else [])
-    return res.drop(*drop)
+    return res.drop(_RN, "__blk", "__j", "__sn", "__sd", "__cn", "__cd")
 
 
 # ---------------------------------------------------------------------------
