@@ -95,8 +95,12 @@ def outlier_report(df: DataFrame, cols=None, id_col: str = "id", k: float = 1.5,
     cols = cols or numeric_columns(df)
     fz = fences(df, cols, k, method, accuracy)
     # 2 numbers per column: bounded by the column count, not the data
-    bounds = {r["column"]: (r["lower_fence"], r["upper_fence"])
-              for r in fz.select("column", "lower_fence", "upper_fence").collect()}
+    fz_rows = fz.select("column", "lower_fence", "upper_fence").collect()
+    bounds = {r["column"]: (r["lower_fence"], r["upper_fence"]) for r in fz_rows}
+    # the collected fences become a small literal table (no second job)
+    fz = df.sparkSession.createDataFrame(
+        [(r["column"], r["lower_fence"], r["upper_fence"]) for r in fz_rows],
+        "column string, lower_fence double, upper_fence double")
     sides = []
     for c in cols:
         lo, hi = bounds.get(c, (None, None))

@@ -281,7 +281,7 @@ def ewma(df: DataFrame, col: str, key, order, out: str | None = None,
     d = (numbered.withColumn("__blk", F.floor((F.col(_RN) - 1) / B))
                  .withColumn("__j", ((F.col(_RN) - 1) % B).cast("int")))
     xv = F.col(x).cast("double")
-    has = F.col(x).isNotNull()
+    has = F.col(x).isNotNull() & ~F.isnan(xv)  # NaN counts as missing, as in pandas
     inv = F.pow(F.lit(b), -F.col("__j").cast("double"))
     end = -1 if shift else 0
     wblk = Window.partitionBy(*keys, "__blk").orderBy("__j").rowsBetween(Window.unboundedPreceding, end)

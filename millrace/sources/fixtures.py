@@ -130,8 +130,10 @@ def engine_view(spark, sf_dir) -> DataFrame:
     order; the numbering is skew-safe (see operators.windows.row_number_by)."""
     from millrace.operators.windows import row_number_by
     raw = engine_raw_view(spark, sf_dir)
+    # month segments: coarse enough that the per-(engine, month) count table
+    # stays far smaller than the data, fine enough to split a hot engine
     numbered = row_number_by(raw, "id", ENGINE_ORDER, out="Cycle",
-                             segment=F.to_date("l_shipdate"), with_count="n_cycles")
+                             segment=F.date_trunc("MONTH", "l_shipdate"), with_count="n_cycles")
     return numbered.select(
         "id",
         F.col("Cycle").cast("int").alias("Cycle"),
