@@ -28,8 +28,8 @@ def anomaly_silver(bronze: DataFrame, keep=("event_id",)) -> DataFrame:
     if dict(b.dtypes).get("timestamp") in ("bigint", "int"):
         b = b.withColumn("timestamp", F.timestamp_seconds("timestamp"))
     extra = [c for c in keep if c in b.columns]
-    return typed_select(b, SILVER_SCHEMA).select("*", *[b[c] for c in extra]) if extra else \
-        typed_select(b, SILVER_SCHEMA)
+    ddl = SILVER_SCHEMA + "".join(f", {c} {t}" for c, t in b.select(*extra).dtypes)
+    return typed_select(b, ddl)
 
 
 def day_segment(ts: str = "timestamp") -> Column:

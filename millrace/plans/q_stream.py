@@ -26,3 +26,32 @@ def q_oee_gold_stream(spark, sf_dir):
     view(spark, sf_dir, "plant_json").write.mode("overwrite").json(src)
     paths = run_oee(spark, src, work, view(spark, sf_dir, "workforce"), max_files=None)
     return round_doubles(window_cols(spark.read.parquet(paths["gold"])))
+
+
+@register("anomaly_stream_scored")
+def q_anomaly_stream_scored(spark, sf_dir):
+    """X6 + X7 + S8: readings streamed bronze -> silver, batch features,
+    a tree trained on the hash-split training rows, then the feature table
+    scored micro-batch by micro-batch into gold (idempotent per batch id).
+    Returns the gold table: one scored row per reading."""
+    from millrace.operators import models as M
+    from millrace.plans import anomaly as A
+    from millrace.plans.q_models import ANOMALY_CATEGORICAL, ANOMALY_NUMERIC
+    from millrace.sources.io import materialize
+    from millrace.streaming.anomaly import bronze_to_silver, score_stream
+
+    work = scratch_path(spark, f"anomaly-stream-{uuid.uuid4().hex[:12]}")
+    bronze = view(spark, sf_dir, "telemetry")
+    bronze.write.mode("overwrite").parquet(f"{work}/bronze")
+    bronze_to_silver(spark, f"{work}/bronze", bronze.schema, f"{work}/silver",
+                     f"{work}/_ck/silver").awaitTermination(600)
+    silver = spark.read.parquet(f"{work}/silver")
+    feats = A.anomaly_features(A.label_anomaly(silver), segment=A.day_segment())
+    feats.write.mode("overwrite").parquet(f"{work}/features")
+    feats = spark.read.parquet(f"{work}/features")
+    train, _ = M.hash_split(feats, "event_id", 70)
+    model = M.fit(M.make_pipeline("tree_classifier", "anomaly", ANOMALY_NUMERIC, ANOMALY_CATEGORICAL,
+                                  maxDepth=4, seed=42), train, "anomaly")
+    score_stream(spark, f"{work}/features", feats.schema, model, f"{work}/gold",
+                 f"{work}/_ck/gold").awaitTermination(600)
+    return spark.read.parquet(f"{work}/gold").drop("batch_id")
