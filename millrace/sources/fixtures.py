@@ -25,6 +25,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan that plans fewer splits than the cluster has cores (a
+    small file written as one row group reads in ONE task) round-robin over
+    ``defaultParallelism`` partitions.  Used before CPU-heavy row work (JSON
+    documents); a large table plans thousands of splits and is returned
+    untouched, without a shuffle."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def _k():
     return json_int("props", "k")
 
