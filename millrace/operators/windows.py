@@ -118,12 +118,33 @@ def lag_by(df: DataFrame, key, order, cols, n: int = 1, suffix: str = "_lag",
     if segment is None:
         w = series_window(keys, order)
         return df.select("*", *[F.lag(c, n).over(w).alias(names[c]) for c in cols])
-    # Skew-safe: number the rows, then an equi-join on (key, row + n).  Both
-    # sides hash on (key, row number), which spreads every series evenly.
-    numbered = row_number_by(df, keys, order, out=_RN, segment=segment)
-    prev = numbered.select(*keys, (F.col(_RN) + n).alias(_RN),
-                           *[F.col(c).alias(names[c]) for c in cols])
-    return numbered.join(prev, [*keys, _RN], "left").drop(_RN)
+    # Skew-safe: one shuffle of the data, by (key, segment).  Inside a
+    # segment the lag is a plain window lag.  Only the first n rows of a
+    # segment look further back, and the row they need is always among the
+    # last n rows of an earlier segment.  So those few "head" rows are matched
+    # with the small table of segment "tails" on the global row number
+    # (segment offset + position), and everything else keeps its window lag.
+    d = df.withColumn(_SEG, segment)
+    ws = series_window(keys + [_SEG], order)
+    d = (d.withColumn("__lrn", F.row_number().over(ws))
+          .withColumn("__cnt", F.count(F.lit(1)).over(Window.partitionBy(*keys, _SEG)))
+          .select("*", *[F.lag(c, n).over(ws).alias(names[c]) for c in cols]))
+    counts = d.select(*keys, _SEG, "__cnt").distinct()
+    offs = counts.withColumn("__off", F.coalesce(F.sum("__cnt").over(
+        Window.partitionBy(*keys).orderBy(F.col(_SEG).asc_nulls_last())
+              .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__cnt")
+    tails = (d.filter(F.col("__lrn") > F.col("__cnt") - n)
+              .join(offs, [*keys, _SEG], "inner")
+              .select(*keys, (F.col("__off") + F.col("__lrn") + n).alias("__target"),
+                      *[F.col(c).alias(f"__t_{c}") for c in cols]))
+    heads = (d.filter(F.col("__lrn") <= n)
+              .join(offs, [*keys, _SEG], "inner")
+              .withColumn("__target", F.col("__off") + F.col("__lrn"))
+              .join(tails, [*keys, "__target"], "left")
+              .select(*[F.col(c) for c in df.columns],
+                      *[F.col(f"__t_{c}").alias(names[c]) for c in cols]))
+    rest = d.filter(F.col("__lrn") > n).select(*df.columns, *[names[c] for c in cols])
+    return rest.unionByName(heads)
 
 
 # ---------------------------------------------------------------------------

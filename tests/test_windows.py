@@ -70,13 +70,16 @@ def test_row_number_segmented_equals_plain(spark):
     assert g[0] == 1 and g[699] == 700
 
 
-def test_lag_segmented_equals_plain(spark):
-    _, df = _series(spark, nulls=True)
+@pytest.mark.parametrize("seg_kind", ["fifty", "two"])
+def test_lag_segmented_equals_plain(spark, seg_kind):
+    # segments of 50 rows, and of 2 rows (a lag of 5 reaches 3 segments back)
+    seg = F.col("seg") if seg_kind == "fifty" else F.floor(F.col("t") / 2)
+    _, df = _series(spark, nulls=True, n=120)
     for n in (1, 5):
         a = {(r.k, r.t): r.p for r in lag_by(df, "k", ["t"], ["x"], n, names={"x": "p"}).collect()}
-        b = {(r.k, r.t): r.p for r in lag_by(df, "k", ["t"], ["x"], n, segment=F.col("seg"),
+        b = {(r.k, r.t): r.p for r in lag_by(df, "k", ["t"], ["x"], n, segment=seg,
                                              names={"x": "p"}).collect()}
-        assert a == b
+        assert a == b and len(b) == df.count()
 
 
 def test_fill_matches_pandas(spark):
