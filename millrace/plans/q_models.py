@@ -210,3 +210,40 @@ def q_defect_forest_metrics(spark, sf_dir):
     model = M.fit(pipe, train, "defect")
     s = M.score(model, test, [F.col("defect").alias("label")])
     return round_doubles(M.classification_metrics(s))
+
+
+# The feature SQL travels inside the model artefact (training / serving
+# parity).  Window features over __THIS__ are ordinary Spark SQL.
+ANOMALY_FEATURE_SQL = """
+SELECT *,
+  CAST(avg(sensor_1) OVER w1 AS FLOAT) AS s1_rolling_avg,
+  CAST(coalesce(sensor_1 - lag(sensor_1) OVER w0, 0.0) AS FLOAT) AS s1_diff,
+  CAST(hour(`timestamp`) AS FLOAT) AS hour_of_day_f
+FROM __THIS__
+WINDOW w0 AS (PARTITION BY device_id ORDER BY `timestamp`, event_id),
+       w1 AS (PARTITION BY device_id ORDER BY `timestamp`, event_id ROWS BETWEEN 1 PRECEDING AND CURRENT ROW)
+"""
+
+
+@register("anomaly_model_artefact")
+def q_anomaly_model_artefact(spark, sf_dir):
+    """M11 + M10: one artefact = feature SQL + encoders + tree; saved to the
+    shared folder, promoted to the ``Production`` alias, resolved and loaded
+    back, then used to score every labelled reading."""
+    import uuid
+    from millrace.session import scratch_path
+    silver = view(spark, sf_dir, "telemetry")
+    labelled = A.label_anomaly(silver)
+    train, _ = M.hash_split(labelled, "event_id", 70)
+    pipe = M.make_pipeline("tree_classifier", "anomaly",
+                           ["sensor_1", "sensor_2", "sensor_3", "s1_rolling_avg", "s1_diff", "hour_of_day_f"],
+                           ["device_model"], sql_features=ANOMALY_FEATURE_SQL, maxDepth=4, seed=42)
+    model = M.fit(pipe, train, "anomaly")
+    root = scratch_path(spark, f"models-{uuid.uuid4().hex[:12]}")
+    M.save_model(model, f"{root}/anomaly_tree_v1")
+    aliases = f"model_alias_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE TABLE {aliases} (name string, alias string, path string, created timestamp) "
+              f"USING parquet LOCATION '{root}/aliases'")
+    M.promote(spark, aliases, "anomaly_tree", "Production", f"{root}/anomaly_tree_v1")
+    served = M.load_model(M.resolve_alias(spark, aliases, "anomaly_tree", "Production"))
+    return M.score(served, labelled, ["event_id", "device_id", "anomaly"])
