@@ -13,7 +13,7 @@ from millrace.operators.select import slice_entities
 from millrace.operators.windows import lag_by
 from millrace.plans.common import round_doubles
 from millrace.plans.registry import register
-from millrace.sources.fixtures import duck_with, view
+from millrace.sources.fixtures import duck_with, stored, view
 
 ENGINE_COLS = ["id", "Cycle", "OpSet1", "OpSet2", "SensorMeasure1", "SensorMeasure2",
                "RemainingUsefulLife"]
@@ -21,7 +21,8 @@ _W = duck_with("engine")
 
 
 def _engine(spark, sf_dir):
-    return view(spark, sf_dir, "engine")
+    """The engine-cycles table (stored once per application)."""
+    return stored(spark, sf_dir, "engine")
 
 
 @register("engine_rows_per_id", _W + "SELECT id, count(*) AS count FROM engine GROUP BY id")
@@ -152,3 +153,14 @@ def q_engine_cycle_features(spark, sf_dir):
     for s in sens:
         out.append((F.col(s) - F.col(prev[s])).cast("float").alias(f"{s}_diff"))
     return round_doubles(d.select(*out))
+
+
+@register("engine_cycles", _W + """
+SELECT id, Cycle, round(OpSet1, 6) AS OpSet1, round(OpSet2, 6) AS OpSet2,
+       round(SensorMeasure1, 6) AS SensorMeasure1, round(SensorMeasure2, 6) AS SensorMeasure2,
+       RemainingUsefulLife FROM engine""")
+def q_engine_cycles(spark, sf_dir):
+    """W4 (skew-safe, global per engine): cycle number of every reading
+    (numbered inside (engine, month) plus month offsets) and the remaining
+    useful life = cycles of the engine - cycle."""
+    return round_doubles(view(spark, sf_dir, "engine"))

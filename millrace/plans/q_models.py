@@ -169,7 +169,8 @@ ENGINE_FEATURES = ["Cycle", "OpSet1", "OpSet2", "SensorMeasure1", "SensorMeasure
 
 
 def _engine_split(spark, sf_dir):
-    e = view(spark, sf_dir, "engine")
+    from millrace.sources.fixtures import stored
+    e = stored(spark, sf_dir, "engine")
     return M.hash_split(e, ["id", "Cycle"], 70)
 
 

@@ -186,6 +186,21 @@ def view(spark, sf_dir, name) -> DataFrame:
     return VIEWS[name](spark, sf_dir)
 
 
+_STORED: dict = {}
+
+
+def stored(spark, sf_dir, name) -> DataFrame:
+    """A fixture view written once per application as a parquet table
+    under the shared checkpoint folder, then read like the stored table the
+    pipeline expects (e.g. engine cycles arrive with ``Cycle`` and the
+    remaining useful life already given).  Later calls read the table."""
+    from millrace.sources.io import materialize
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STORED:
+        _STORED[key] = materialize(view(spark, sf_dir, name), f"fixture_{name}")
+    return _STORED[key]
+
+
 # ---------------------------------------------------------------------------
 # DuckDB twins of the views above (oracle side only).
 # ---------------------------------------------------------------------------

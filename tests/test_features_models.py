@@ -101,3 +101,21 @@ def test_runs_and_best(spark):
         .unionByName(M.new_run(spark, "m", {"d": 6}, {"f1": 0.9, "mse": 1.0}, {"root": "y"}, run_id="c"))
     assert M.best_run(runs, "f1", "root", "x").first().run_id == "b"
     assert M.best_run(runs, "mse", ascending=True).first().run_id == "c"
+
+
+def test_correlation_matrix_both_paths(spark):
+    import pandas as pd
+    from millrace.operators.profile import correlation_matrix
+    rng = np.random.default_rng(4)
+    a = rng.normal(size=300)
+    pdf = pd.DataFrame({"a": a, "b": 3 * a + rng.normal(size=300), "c": rng.normal(size=300)})
+    for with_nulls in (False, True):
+        p = pdf.copy()
+        if with_nulls:
+            p.loc[::7, "b"] = np.nan
+        rows = [tuple(None if pd.isna(v) else float(v) for v in r) for r in p.itertuples(index=False)]
+        df = spark.createDataFrame(rows, "a double, b double, c double")
+        got = {(r.column1, r.column2): r.correlation for r in correlation_matrix(df).collect()}
+        want = p.corr()
+        for (c1, c2), v in got.items():
+            assert v == pytest.approx(want.loc[c1, c2], rel=1e-9)
