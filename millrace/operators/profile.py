@@ -13,6 +13,8 @@ relative error (1/accuracy).
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -68,12 +70,98 @@ def correlation_matrix(df: DataFrame, cols=None) -> DataFrame:
     return wide.select(F.inline(rows))
 
 
+# ------------------------------------------------------------------ exact quantiles
+def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], accuracy: int = 10000,
+                    cap: int = 2_000_000) -> dict:
+    """Exact quantiles (linear interpolation between order statistics, as
+    ``percentile`` / pandas / DuckDB ``quantile_cont``) without holding a
+    column's distinct values in one task.
+
+    1. one aggregate: non-null count and ``percentile_approx`` at p -/+ 3/A,
+       which brackets the target ranks (rank error of the sketch <= n/A);
+    2. one aggregate: exact count below each bracket and count inside it;
+    3. one aggregate: the values inside each bracket (at most ``cap``,
+       about 6n/A), sorted; the order statistics are picked from them.
+    A bracket that misses its ranks or exceeds ``cap`` (heavy duplicates,
+    huge n) falls back to ``percentile`` for that column.  Returns
+    {(column, p): value}; about 3 numbers per (column, p) reach the driver."""
+    eps = 3.0 / accuracy
+    x = {c: F.col(c).cast("double") for c in cols}
+    ok = {c: x[c].isNotNull() & ~F.isnan(x[c]) for c in cols}
+    lohi = [q for p in probs for q in (max(0.0, p - eps), min(1.0, p + eps))]
+    s1 = df.agg(*[F.count(F.when(ok[c], x[c])).alias(f"n_{c}") for c in cols],
+                *[F.percentile_approx(F.when(ok[c], x[c]), F.array(*[F.lit(q) for q in lohi]),
+                                      accuracy).alias(f"b_{c}") for c in cols]).first()
+    br = {}
+    for c in cols:
+        b = s1[f"b_{c}"]
+        for i, p in enumerate(probs):
+            br[(c, p)] = (b[2 * i], b[2 * i + 1]) if b else (None, None)
+    aggs2 = []
+    for k, (c, p) in enumerate(br):
+        lo_v, hi_v = br[(c, p)]
+        if lo_v is None:
+            continue
+        aggs2 += [F.count(F.when(ok[c] & (x[c] < lo_v), 1)).alias(f"below_{k}"),
+                  F.count(F.when(ok[c] & (x[c] >= lo_v) & (x[c] <= hi_v), 1)).alias(f"in_{k}")]
+    s2 = df.agg(*aggs2).first() if aggs2 else None
+    plan, fallback = {}, set()
+    for k, (c, p) in enumerate(br):
+        n = s1[f"n_{c}"]
+        if not n or br[(c, p)][0] is None:
+            continue
+        h = p * (n - 1)
+        lo, hi = math.floor(h), math.ceil(h)
+        below, inside = s2[f"below_{k}"], s2[f"in_{k}"]
+        if below <= lo and hi < below + inside and inside <= cap:
+            plan[(c, p)] = (k, lo - below, hi - below, h - lo)
+        else:
+            fallback.add(c)
+    out = {}
+    if plan:
+        aggs3 = []
+        for (c, p), (k, _, _, _) in plan.items():
+            lo_v, hi_v = br[(c, p)]
+            aggs3.append(F.sort_array(F.collect_list(
+                F.when(ok[c] & (x[c] >= lo_v) & (x[c] <= hi_v), x[c]))).alias(f"v_{k}"))
+        picks = []
+        for (c, p), (k, i_lo, i_hi, frac) in plan.items():
+            vl = F.element_at(F.col(f"v_{k}"), i_lo + 1)
+            vh = F.element_at(F.col(f"v_{k}"), i_hi + 1)
+            val = vl if i_lo == i_hi else (F.lit(float(i_hi - i_lo) - frac) * vl + F.lit(frac) * vh)
+            picks.append(val.alias(f"q_{k}"))
+        r = df.agg(*aggs3).select(*picks).first()
+        for (c, p), (k, *_rest) in plan.items():
+            out[(c, p)] = r[f"q_{k}"]
+    if fallback:
+        fb = list(fallback)
+        r = df.agg(*[F.percentile(F.when(ok[c], x[c]), F.array(*[F.lit(float(p)) for p in probs]))
+                     .alias(c) for c in fb]).first()
+        for c in fb:
+            for i, p in enumerate(probs):
+                out[(c, p)] = r[c][i] if r[c] else None
+    return out
+
+
+def quantile_table(df: DataFrame, cols: list[str], probs: list[float], accuracy: int = 10000) -> DataFrame:
+    """(column, q1, q2, ...) from :func:`exact_quantiles` as a small DataFrame."""
+    qs = exact_quantiles(df, cols, probs, accuracy)
+    names = [f"q{i + 1}" for i in range(len(probs))]
+    ddl = "column string, " + ", ".join(f"{n} double" for n in names)
+    return df.sparkSession.createDataFrame([(c, *[qs.get((c, p)) for p in probs]) for c in cols], ddl)
+
+
 # ------------------------------------------------------------------ G10 / G11
 def quartiles(df: DataFrame, cols=None, method: str = "exact", accuracy: int = 10000,
               probs=(0.25, 0.75)) -> DataFrame:
-    """Quantiles of every column in one aggregate, long form
-    (column, q1, q3) for the default probabilities."""
+    """Quantiles of every column, long form (column, q1, q3) for the
+    default probabilities.  ``exact`` runs :func:`exact_quantiles` (three
+    small aggregate jobs); ``approx`` is one ``percentile_approx`` aggregate
+    (lazy)."""
     cols = cols or numeric_columns(df)
+    if method == "exact":
+        out = quantile_table(df, cols, list(probs), accuracy)
+        return out.withColumnRenamed("q2", "q3") if tuple(probs) == (0.25, 0.75) else out
     wide = df.agg(*[_quantile(c, list(probs), method, accuracy).alias(c) for c in cols])
     rows = F.array(*[F.struct(F.lit(c).alias("column"),
                               *[F.col(c)[i].alias(f"q{i + 1}") for i in range(len(probs))])
@@ -191,21 +279,29 @@ def winsorize(df: DataFrame, cols=None, k: float = 1.5, method: str = "exact",
 # ------------------------------------------------------------------ G13
 def describe(df: DataFrame, cols=None, method: str = "exact", accuracy: int = 10000) -> DataFrame:
     """Count, mean, sample std, min, quartiles, max per numeric column,
-    one aggregate, long form (one row per column)."""
+    long form (one row per column).  Moments come from one aggregate; the
+    quartiles from :func:`exact_quantiles` (or the approximate sketch)."""
     cols = cols or numeric_columns(df)
+    probs = [0.25, 0.5, 0.75]
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
         aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
                  F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
-                 _quantile(c, [0.25, 0.5, 0.75], method, accuracy).alias(f"{c}__q"),
                  F.max(x).alias(f"{c}__max")]
+        if method != "exact":
+            aggs.append(_quantile(c, probs, method, accuracy).alias(f"{c}__q"))
     wide = df.agg(*aggs)
+    if method == "exact":
+        qs = exact_quantiles(df, cols, probs, accuracy)
+        quart = {c: [F.lit(qs.get((c, p))).cast("double") for p in probs] for c in cols}
+    else:
+        quart = {c: [F.col(f"{c}__q")[i] for i in range(3)] for c in cols}
     rows = F.array(*[F.struct(
         F.lit(c).alias("column"), F.col(f"{c}__count").alias("count"),
         F.col(f"{c}__mean").alias("mean"), F.col(f"{c}__std").alias("std"),
-        F.col(f"{c}__min").alias("min"), F.col(f"{c}__q")[0].alias("p25"),
-        F.col(f"{c}__q")[1].alias("p50"), F.col(f"{c}__q")[2].alias("p75"),
+        F.col(f"{c}__min").alias("min"), quart[c][0].alias("p25"),
+        quart[c][1].alias("p50"), quart[c][2].alias("p75"),
         F.col(f"{c}__max").alias("max")) for c in cols])
     return wide.select(F.inline(rows))
 

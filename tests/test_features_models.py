@@ -119,3 +119,22 @@ def test_correlation_matrix_both_paths(spark):
         want = p.corr()
         for (c1, c2), v in got.items():
             assert v == pytest.approx(want.loc[c1, c2], rel=1e-9)
+
+
+def test_exact_quantiles_bracket_and_fallback(spark):
+    from millrace.operators.profile import exact_quantiles
+    rng = np.random.default_rng(5)
+    a = rng.normal(size=20000)
+    b = rng.integers(0, 3, size=20000).astype(float)     # heavy duplicates
+    c = rng.exponential(size=20000)
+    c[::11] = np.nan                                     # NaN / null are skipped
+    rows = [(float(x), float(y), None if np.isnan(z) else float(z)) for x, y, z in zip(a, b, c)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    probs = [0.0, 0.25, 0.5, 0.89, 0.93, 1.0]
+    got = exact_quantiles(df, ["a", "b", "c"], probs, accuracy=1000)
+    for col, arr in (("a", a), ("b", b), ("c", c[~np.isnan(c)])):
+        for p in probs:
+            assert got[(col, p)] == pytest.approx(np.quantile(arr, p), rel=1e-12, abs=1e-12)
+    # tiny cap forces the percentile fallback: same numbers
+    got2 = exact_quantiles(df, ["a"], [0.25, 0.75], accuracy=1000, cap=1)
+    assert got2[("a", 0.25)] == pytest.approx(np.quantile(a, 0.25), rel=1e-12)
