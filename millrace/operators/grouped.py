@@ -130,8 +130,18 @@ def _diff_expr(lags: dict, d: int, shift: int = 0):
     return e
 
 
+def _lags(df: DataFrame, keys, order, col: str, L: int, segment, keep) -> DataFrame:
+    """x and its lags 1..L as ``__x0..__xL`` (doubles)."""
+    from millrace.operators.windows import lag_by
+    base = df.select(*keep, F.col(col).cast("double").alias("__x0"))
+    if L == 0:
+        return base
+    return lag_by(base, keys, order, ["__x0"], n=list(range(1, L + 1)), segment=segment,
+                  names={("__x0", k): f"__x{k}" for k in range(1, L + 1)})
+
+
 def ar_forecast(df: DataFrame, key, order, col: str, p: int = 1, d: int = 0,
-                out: str = "predicted") -> tuple[DataFrame, DataFrame]:
+                out: str = "predicted", segment=None) -> tuple[DataFrame, DataFrame]:
     """One-step-ahead in-sample forecast per series with an AR(p) model
     on the d-times differenced values, fitted by least squares per series.
 
@@ -139,11 +149,8 @@ def ar_forecast(df: DataFrame, key, order, col: str, p: int = 1, d: int = 0,
     is  x_t - Delta^d x_t  +  (intercept + sum_j a_j Delta^d x_{t-j})."""
     keys = _list(key)
     L = d + p
-    w = series_window(keys, order)
-    lags = {0: F.col(col).cast("double")}
-    base = df.select("*", *[F.lag(col, k).over(w).cast("double").alias(f"__x{k}") for k in range(1, L + 1)])
-    for k in range(1, L + 1):
-        lags[k] = F.col(f"__x{k}")
+    base = _lags(df, keys, order, col, L, segment, keep=df.columns)
+    lags = {k: F.col(f"__x{k}") for k in range(L + 1)}
     feats = [f"__z{j}" for j in range(1, p + 1)]
     z = base.select("*", _diff_expr(lags, d).alias("__z"),
                     *[_diff_expr(lags, d, j).alias(f"__z{j}") for j in range(1, p + 1)])
@@ -155,31 +162,32 @@ def ar_forecast(df: DataFrame, key, order, col: str, p: int = 1, d: int = 0,
     zhat = F.col("intercept")
     for j in range(1, p + 1):
         zhat = zhat + F.col(f"coef___z{j}") * F.col(f"__z{j}")
-    pred = (lags[0] - F.col("__z")) + zhat
+    pred = (F.col(col).cast("double") - F.col("__z")) + zhat
     rows = z.join(fit.drop("n_used", "run_id") if p else fit.drop("n_used"), keys, "left") \
             .withColumn(out, pred)
     drop = [c for c in rows.columns if c.startswith("__") or c.startswith("coef___z") or c == "intercept"]
     return rows.drop(*drop), fit
 
 
-def forecast_rmse(df: DataFrame, key, order, col: str, p: int = 1, d: int = 0) -> DataFrame:
+def forecast_rmse(df: DataFrame, key, order, col: str, p: int = 1, d: int = 0,
+                  segment=None) -> DataFrame:
     """M13 + M7: RMSE of the one-step forecast per series."""
-    rows, fit = ar_forecast(df, key, order, col, p, d)
+    rows, fit = ar_forecast(df, key, order, col, p, d, segment=segment)
     keys = _list(key)
     e = F.col(col).cast("double") - F.col("predicted")
     return rows.groupBy(*keys).agg(F.sqrt(F.avg(e * e)).alias("rmse"), F.count(e).alias("n_scored"))
 
 
-def order_search(df: DataFrame, key, order, col: str, ps=(0, 1, 2), ds=(0, 1, 2, 3)) -> DataFrame:
+def order_search(df: DataFrame, key, order, col: str, ps=(0, 1, 2), ds=(0, 1, 2, 3),
+                 segment=None) -> DataFrame:
     """RMSE of every (p, d) forecast order over all series; the lags of
     all orders come from one window pass and every order is fitted by the
     same grouped aggregate (rows are replicated once per order with
     ``explode``)."""
     keys = _list(key)
     L = max(ds) + max(ps)
-    w = series_window(keys, order)
-    base = df.select(*keys, F.col(col).cast("double").alias("__x0"),
-                     *[F.lag(col, k).over(w).cast("double").alias(f"__x{k}") for k in range(1, L + 1)])
+    base = _lags(df, keys, order, col, L, segment,
+                 keep=keys + [o for o in _list(order) if isinstance(o, str) and o not in keys])
     lags = {k: F.col(f"__x{k}") for k in range(L + 1)}
     pmax = max(ps)
     combos = []

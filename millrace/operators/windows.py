@@ -109,42 +109,57 @@ def dense_rank_by(df: DataFrame, key, value: Column, out: str = "trip_id") -> Da
 # ---------------------------------------------------------------------------
 # Shift / lag
 # ---------------------------------------------------------------------------
-def lag_by(df: DataFrame, key, order, cols, n: int = 1, suffix: str = "_lag",
+def lag_by(df: DataFrame, key, order, cols, n=1, suffix: str = "_lag",
            segment: Column | None = None, names: dict | None = None) -> DataFrame:
-    """Value ``n`` rows earlier in the series (pandas ``shift(n)``)."""
+    """Value ``n`` rows earlier in the series (pandas ``shift(n)``).
+
+    ``n`` may be a list of distances; then ``names`` maps (column, n) to the
+    output name (default ``{col}{suffix}{n}``)."""
     cols = _list(cols)
-    names = names or {c: f"{c}{suffix}{n}" if suffix else c for c in cols}
+    ns = sorted(set(_list(n)))
+    multi = isinstance(n, (list, tuple))
+    if multi:
+        names = names or {(c, k): f"{c}{suffix}{k}" for c in cols for k in ns}
+    else:
+        names = {(c, n): (names or {}).get(c, f"{c}{suffix}{n}" if suffix else c) for c in cols}
     keys = _list(key)
     if segment is None:
         w = series_window(keys, order)
-        return df.select("*", *[F.lag(c, n).over(w).alias(names[c]) for c in cols])
+        return df.select("*", *[F.lag(c, k).over(w).alias(names[(c, k)]) for c in cols for k in ns])
     # Skew-safe: one shuffle of the data, by (key, segment).  Inside a
     # segment the lag is a plain window lag.  Only the first n rows of a
     # segment look further back, and the row they need is always among the
     # last n rows of an earlier segment.  So those few "head" rows are matched
     # with the small table of segment "tails" on the global row number
     # (segment offset + position), and everything else keeps its window lag.
+    m = max(ns)
     d = df.withColumn(_SEG, segment)
     ws = series_window(keys + [_SEG], order)
     d = (d.withColumn("__lrn", F.row_number().over(ws))
           .withColumn("__cnt", F.count(F.lit(1)).over(Window.partitionBy(*keys, _SEG)))
-          .select("*", *[F.lag(c, n).over(ws).alias(names[c]) for c in cols]))
+          .select("*", *[F.lag(c, k).over(ws).alias(names[(c, k)]) for c in cols for k in ns]))
     counts = d.select(*keys, _SEG, "__cnt").distinct()
     offs = counts.withColumn("__off", F.coalesce(F.sum("__cnt").over(
         Window.partitionBy(*keys).orderBy(F.col(_SEG).asc_nulls_last())
               .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__cnt")
-    tails = (d.filter(F.col("__lrn") > F.col("__cnt") - n)
+    tails = (d.filter(F.col("__lrn") > F.col("__cnt") - m)
               .join(offs, [*keys, _SEG], "inner")
-              .select(*keys, (F.col("__off") + F.col("__lrn") + n).alias("__target"),
+              .select(*keys, (F.col("__off") + F.col("__lrn")).alias("__src"),
                       *[F.col(c).alias(f"__t_{c}") for c in cols]))
-    heads = (d.filter(F.col("__lrn") <= n)
+    heads = (d.filter(F.col("__lrn") <= m)
               .join(offs, [*keys, _SEG], "inner")
-              .withColumn("__target", F.col("__off") + F.col("__lrn"))
-              .join(tails, [*keys, "__target"], "left")
-              .select(*[F.col(c) for c in df.columns],
-                      *[F.col(f"__t_{c}").alias(names[c]) for c in cols]))
-    rest = d.filter(F.col("__lrn") > n).select(*df.columns, *[names[c] for c in cols])
-    return rest.unionByName(heads)
+              .withColumn("__grn", F.col("__off") + F.col("__lrn")))
+    for k in ns:
+        tk = tails.select(*keys, (F.col("__src") + k).alias("__grn"),
+                          *[F.col(f"__t_{c}").alias(f"__t{k}_{c}") for c in cols])
+        heads = heads.join(tk, [*keys, "__grn"], "left")
+        for c in cols:
+            # rows deeper than k inside their segment keep the window lag
+            heads = heads.withColumn(names[(c, k)], F.when(F.col("__lrn") <= k, F.col(f"__t{k}_{c}"))
+                                     .otherwise(F.col(names[(c, k)]))).drop(f"__t{k}_{c}")
+    out_cols = list(df.columns) + [names[(c, k)] for c in cols for k in ns]
+    rest = d.filter(F.col("__lrn") > m).select(*out_cols)
+    return rest.unionByName(heads.select(*out_cols))
 
 
 # ---------------------------------------------------------------------------

@@ -70,6 +70,9 @@ def test_order_search_matches_brute_force(spark):
     x = np.cumsum(rng.normal(size=120)) + 50
     df = spark.createDataFrame([(1, i, float(v)) for i, v in enumerate(x)], "k int, t int, v double")
     got = {(r.p, r.d): r.rmse for r in G.order_search(df, "k", ["t"], "v", ps=(0, 1, 2), ds=(0, 1)).collect()}
+    seg = {(r.p, r.d): r.rmse for r in G.order_search(df, "k", ["t"], "v", ps=(0, 1, 2), ds=(0, 1),
+                                                       segment=F.floor(F.col("t") / 7)).collect()}
+    assert seg == pytest.approx(got, rel=1e-9)
     for p in (0, 1, 2):
         for d in (0, 1):
             z = np.diff(x, n=d) if d else x

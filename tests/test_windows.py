@@ -80,6 +80,10 @@ def test_lag_segmented_equals_plain(spark, seg_kind):
         b = {(r.k, r.t): r.p for r in lag_by(df, "k", ["t"], ["x"], n, segment=seg,
                                              names={"x": "p"}).collect()}
         assert a == b and len(b) == df.count()
+    many = lag_by(df, "k", ["t"], ["x"], [1, 3, 5], segment=seg).collect()
+    plain = lag_by(df, "k", ["t"], ["x"], [1, 3, 5]).collect()
+    assert sorted(map(tuple, many), key=lambda r: (r[0], r[1])) == \
+        sorted(map(tuple, plain), key=lambda r: (r[0], r[1]))
 
 
 def test_fill_matches_pandas(spark):
