@@ -160,8 +160,9 @@ def label_defects(df: DataFrame, key: str = "device_id", order=("timestamp", "ev
     reproducible coin drawn once per (device, rule) with
     P(1) = offset + 0.5 (md5 of device and rule), i.e. ``round(u + offset)``.
 
-    Per-device quantiles are one grouped ``percentile`` aggregate joined back
-    on the device (one row per device)."""
+    Per-device quantiles come from the skew-safe exact ranking of
+    ``profile.group_quantiles`` (one row per device), joined back on the
+    device."""
     temp_rules = temp_rules or DEFECT_TEMP_RULES
     offsets = offsets or DEFECT_OUTCOME_OFFSETS
     d = ewma(df, "temperature", [key], list(order), out="__temp_ewma", com=5.0,
@@ -169,9 +170,8 @@ def label_defects(df: DataFrame, key: str = "device_id", order=("timestamp", "ev
     d = d.withColumn("__temp_dev", F.col("temperature") - F.col("__temp_ewma"))
     qs = sorted({q for *_, q in temp_rules})
     qcols = {q: f"__q{int(round(q * 100))}" for q in qs}
-    quant = (df.groupBy(key)
-               .agg(F.percentile(F.col("temperature"), F.array(*[F.lit(q) for q in qs])).alias("__qs"))
-               .select(key, *[F.col("__qs")[i].alias(qcols[q]) for i, q in enumerate(qs)]))
+    from millrace.operators.profile import group_quantiles
+    quant = group_quantiles(df, key, "temperature", qs, prefix="__q")
     d = d.join(quant, key, "left")
 
     def coin(i):

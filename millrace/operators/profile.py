@@ -173,12 +173,48 @@ def quartiles(df: DataFrame, cols=None, method: str = "exact", accuracy: int = 1
 
 
 def group_quantiles(df: DataFrame, key, col: str, probs=(0.89, 0.93),
-                    method: str = "exact", accuracy: int = 10000, prefix: str = "q") -> DataFrame:
-    """Quantiles of ``col`` per group (one row per group)."""
+                    method: str = "exact", accuracy: int = 10000, prefix: str = "q",
+                    buckets: int = 64) -> DataFrame:
+    """Quantiles of ``col`` per group (one row per group), linear
+    interpolation between order statistics.
+
+    ``exact``: every row is ranked inside its group in value order with the
+    skew-safe numbering (segments = value buckets cut at global approximate
+    quantiles, so a hot group's rows spread over many tasks).  Then only the
+    rows at the needed ranks are kept and interpolated.  No group's values
+    are held together anywhere.  ``approx``: ``percentile_approx`` per group."""
+    from millrace.operators.windows import row_number_by
     keys = key if isinstance(key, (list, tuple)) else [key]
-    agg = df.groupBy(*keys).agg(_quantile(col, list(probs), method, accuracy).alias("__q"))
-    return agg.select(*keys, *[F.col("__q")[i].alias(f"{prefix}{int(round(p * 100))}")
-                               for i, p in enumerate(probs)])
+    probs = list(probs)
+    names = [f"{prefix}{int(round(p * 100))}" for p in probs]
+    if method != "exact":
+        agg = df.groupBy(*keys).agg(_quantile(col, probs, method, accuracy).alias("__q"))
+        return agg.select(*keys, *[F.col("__q")[i].alias(n) for i, n in enumerate(names)])
+    x = F.col(col).cast("double")
+    vals = df.select(*keys, x.alias("__v")).filter(F.col("__v").isNotNull() & ~F.isnan("__v"))
+    edges = vals.agg(F.percentile_approx("__v", F.array(*[F.lit(i / buckets) for i in range(1, buckets)]),
+                                         accuracy).alias("e")).first()["e"] or []
+    edges = sorted(set(float(e) for e in edges))
+    seg = F.lit(0)
+    for e in edges:       # bucket = number of edges <= value (monotone in value)
+        seg = seg + (F.col("__v") >= F.lit(e)).cast("int")
+    ranked = row_number_by(vals, keys, ["__v"], out="__r", segment=seg, with_count="__n")
+    picks, outs = [], []
+    for p, nm in zip(probs, names):
+        h = F.lit(p) * (F.col("__n") - 1)
+        lo, hi = F.floor(h) + 1, F.ceil(h) + 1
+        picks += [F.max(F.when(F.col("__r") == lo, F.col("__v"))).alias(f"{nm}__lo"),
+                  F.max(F.when(F.col("__r") == hi, F.col("__v"))).alias(f"{nm}__hi"),
+                  F.max(h - F.floor(h)).alias(f"{nm}__f")]
+        outs.append(F.when(F.col(f"{nm}__f") == 0, F.col(f"{nm}__lo"))
+                     .otherwise((F.lit(1.0) - F.col(f"{nm}__f")) * F.col(f"{nm}__lo")
+                                + F.col(f"{nm}__f") * F.col(f"{nm}__hi")).alias(nm))
+    wanted = None
+    for p in probs:
+        h = F.lit(p) * (F.col("__n") - 1)
+        c = (F.col("__r") == F.floor(h) + 1) | (F.col("__r") == F.ceil(h) + 1)
+        wanted = c if wanted is None else (wanted | c)
+    return ranked.filter(wanted).groupBy(*keys).agg(*picks).select(*keys, *outs)
 
 
 def fences(df: DataFrame, cols=None, k: float = 1.5, method: str = "exact",

@@ -141,3 +141,18 @@ def test_exact_quantiles_bracket_and_fallback(spark):
     # tiny cap forces the percentile fallback: same numbers
     got2 = exact_quantiles(df, ["a"], [0.25, 0.75], accuracy=1000, cap=1)
     assert got2[("a", 0.25)] == pytest.approx(np.quantile(a, 0.25), rel=1e-12)
+
+
+def test_group_quantiles_exact_with_hot_group(spark):
+    from millrace.operators.profile import group_quantiles
+    rng = np.random.default_rng(6)
+    rows = [(0, float(v)) for v in rng.normal(size=6000)]            # hot group
+    rows += [(g, float(v)) for g in range(1, 30) for v in rng.gamma(2.0, size=40)]
+    rows += [(99, 5.0)]                                               # single value
+    df = spark.createDataFrame(rows, "g int, v double")
+    got = {r.g: r for r in group_quantiles(df, "g", "v", (0.89, 0.93, 0.5)).collect()}
+    arr = np.array(rows)
+    for g in got:
+        vals = arr[arr[:, 0] == g][:, 1]
+        for p, nm in ((0.89, "q89"), (0.93, "q93"), (0.5, "q50")):
+            assert getattr(got[g], nm) == pytest.approx(np.quantile(vals, p), rel=1e-12, abs=1e-12)
