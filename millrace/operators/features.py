@@ -9,8 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.scalar import day_of_week, hour_of_day, md5_coin
-from millrace.operators.windows import (_list, ewma, fill_series, lag_by,
-                                        series_window)
+from millrace.operators.windows import ewma, lag_by
 
 
 # ------------------------------------------------------------------ E1 / E2

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.joins import broadcast_if_small
-from millrace.operators.windows import _list, series_window
+from millrace.operators.windows import _list
 
 
 def _moments(df: DataFrame, keys: list, feats: list[str], label: str) -> DataFrame:

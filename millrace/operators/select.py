@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StructType, _parse_datatype_string
+from pyspark.sql.types import _parse_datatype_string
 
 from millrace.functions.scalar import md5_bucket
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.features import device_features, failure_mode_flags, label_defects
-from millrace.operators.windows import dense_rank_by, ewma, fill_series, lag_by, row_number_by
+from millrace.operators.windows import dense_rank_by, ewma, fill_series, lag_by
 
 ORDER = ["timestamp", "event_id"]
 
@@ -20,6 +20,12 @@ def day_segment():
     return F.to_date("timestamp")
 
 
+def _segment_for(key, skew_safe: bool):
+    """Series keyed by (device, trip) are one device-day each: already
+    bounded, plain windows.  Per-device series use day segments."""
+    return day_segment() if skew_safe and "trip_id" not in list(key) else None
+
+
 def add_trips(readings: DataFrame, key: str = "device_id", ts: str = "timestamp") -> DataFrame:
     """``trip_id`` = dense rank of the calendar day per device."""
     return dense_rank_by(readings, key, F.to_date(F.col(ts)), out="trip_id")
@@ -29,7 +35,7 @@ def add_airflow(readings: DataFrame, key=("device_id", "trip_id"), skew_safe: bo
     """W5 + W7: ``airflow_rate`` = rotation speed 5 readings earlier / air
     pressure, inside each (device, trip); gaps back-filled, then
     forward-filled, then 0."""
-    seg = day_segment() if skew_safe else None
+    seg = _segment_for(key, skew_safe)
     d = lag_by(readings, list(key), ORDER, ["rotation_speed"], n=5, segment=seg,
                names={"rotation_speed": "__rot5"})
     d = d.withColumn("airflow_rate", F.try_divide(F.col("__rot5"), F.col("air_pressure"))).drop("__rot5")
@@ -41,7 +47,7 @@ def temperature_ewma(readings: DataFrame, key=("device_id", "trip_id"), com: flo
                      shift: int = 0, skew_safe: bool = True) -> DataFrame:
     """W6 + W8: EWMA of temperature and both deviations."""
     d = ewma(readings, "temperature", list(key), ORDER, out="rolling_mean_temp", com=com,
-             shift=shift, segment=day_segment() if skew_safe else None)
+             shift=shift, segment=_segment_for(key, skew_safe))
     return (d.withColumn("temp_difference", F.col("rolling_mean_temp") - F.col("temperature"))
              .withColumn("temp_deviation", F.col("temperature") - F.col("rolling_mean_temp")))
 

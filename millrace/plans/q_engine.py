@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from millrace.operators import profile as P
 from millrace.operators.aggregates import count_by
-from millrace.operators.features import anomaly_features  # noqa: F401 (doc link)
 from millrace.operators.quality import duplicate_rows, null_profile
 from millrace.operators.select import slice_entities
 from millrace.operators.windows import lag_by

@@ -37,7 +37,6 @@ def q_anomaly_stream_scored(spark, sf_dir):
     from millrace.operators import models as M
     from millrace.plans import anomaly as A
     from millrace.plans.q_models import ANOMALY_CATEGORICAL, ANOMALY_NUMERIC
-    from millrace.sources.io import materialize
     from millrace.streaming.anomaly import bronze_to_silver, score_stream
 
     work = scratch_path(spark, f"anomaly-stream-{uuid.uuid4().hex[:12]}")
