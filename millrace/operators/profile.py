@@ -260,9 +260,22 @@ def outlier_report(df: DataFrame, cols=None, id_col: str = "id", k: float = 1.5,
                 .select("__id", "r.column", "r.side")
                 .filter(F.col("side").isNotNull()))
     per_id = tagged.groupBy("column", "side", "__id").agg(F.count(F.lit(1)).alias("__n"))
-    w = Window.partitionBy("column", "side").orderBy(F.col("__id").asc_nulls_last())
-    cut = (per_id.withColumn("__before", F.coalesce(F.sum("__n").over(
-                    w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    # Running count of outlying rows in id order, per (column, side), split
+    # into ~256 id ranges: range totals give each range's offset (a small
+    # table), and only ranges starting before the n_ids-th row are ranked,
+    # inside (column, side, range) partitions.  No per-(column, side) sort.
+    mm = per_id.agg(F.min("__id").alias("lo"), F.max("__id").alias("hi")).first()
+    width = max(1, int(((mm["hi"] or 0) - (mm["lo"] or 0)) // 256) + 1)
+    per_id = per_id.withColumn("__seg", F.floor((F.col("__id") - F.lit(mm["lo"] or 0)) / width))
+    seg_tot = per_id.groupBy("column", "side", "__seg").agg(F.sum("__n").alias("__tot"))
+    seg_off = (seg_tot.withColumn("__segoff", F.coalesce(F.sum("__tot").over(
+                   Window.partitionBy("column", "side").orderBy("__seg")
+                         .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+                      .filter(F.col("__segoff") < n_ids).drop("__tot"))
+    w = Window.partitionBy("column", "side", "__seg").orderBy(F.col("__id").asc_nulls_last())
+    cut = (per_id.join(seg_off, ["column", "side", "__seg"], "inner")
+                 .withColumn("__before", F.col("__segoff") + F.coalesce(F.sum("__n").over(
+                     w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
                  .filter(F.col("__before") < n_ids)
                  .withColumn("__take", F.least(F.col("__n"), F.lit(n_ids) - F.col("__before"))))
     ids = (cut.select("column", "side", "__id",

@@ -156,3 +156,19 @@ def test_group_quantiles_exact_with_hot_group(spark):
         vals = arr[arr[:, 0] == g][:, 1]
         for p, nm in ((0.89, "q89"), (0.93, "q93"), (0.5, "q50")):
             assert getattr(got[g], nm) == pytest.approx(np.quantile(vals, p), rel=1e-12, abs=1e-12)
+
+
+def test_outlier_report_first_ids_across_ranges(spark):
+    from millrace.operators.profile import outlier_report
+    # 2,000 ids spread over a wide range; ids 5000+ hold extreme values
+    rows = []
+    for i in range(2000):
+        rid = i * 997
+        rows.append((rid, 1000.0 if i % 50 == 0 else float(i % 7)))
+        if i % 50 == 0:
+            rows.append((rid, 1000.0))           # a repeated outlying id
+    df = spark.createDataFrame(rows, "id bigint, v double")
+    r = outlier_report(df, ["v"], id_col="id").first()
+    expect = sorted([rid for rid, v in rows if v == 1000.0])[:10]
+    assert r.upper_ids == ",".join(str(x) for x in expect)
+    assert r.n_above_upper == sum(1 for _, v in rows if v == 1000.0)
