@@ -127,39 +127,57 @@ def lag_by(df: DataFrame, key, order, cols, n=1, suffix: str = "_lag",
         w = series_window(keys, order)
         return df.select("*", *[F.lag(c, k).over(w).alias(names[(c, k)]) for c in cols for k in ns])
     # Skew-safe: one shuffle of the data, by (key, segment).  Inside a
-    # segment the lag is a plain window lag.  Only the first n rows of a
+    # segment the lag is a plain window lag.  Only the first m rows of a
     # segment look further back, and the row they need is always among the
-    # last n rows of an earlier segment.  So those few "head" rows are matched
-    # with the small table of segment "tails" on the global row number
-    # (segment offset + position), and everything else keeps its window lag.
+    # last m rows of an earlier segment.  A small "fix" table holds, for each
+    # segment, the values its head rows need: it comes from the per-segment
+    # counts and tails (small tables).  The windowed data is consumed once,
+    # in a left join with that table.
     m = max(ns)
-    d = df.withColumn(_SEG, segment)
+    base = df.withColumn(_SEG, segment)
     ws = series_window(keys + [_SEG], order)
-    d = (d.withColumn("__lrn", F.row_number().over(ws))
-          .withColumn("__cnt", F.count(F.lit(1)).over(Window.partitionBy(*keys, _SEG)))
-          .select("*", *[F.lag(c, k).over(ws).alias(names[(c, k)]) for c in cols for k in ns]))
-    counts = d.select(*keys, _SEG, "__cnt").distinct()
+    d = (base.withColumn("__lrn", F.row_number().over(ws))
+             .select("*", *[F.lag(c, k).over(ws).alias(names[(c, k)]) for c in cols for k in ns]))
+    counts = base.groupBy(*keys, _SEG).agg(F.count(F.lit(1)).alias("__cnt"))
     offs = counts.withColumn("__off", F.coalesce(F.sum("__cnt").over(
         Window.partitionBy(*keys).orderBy(F.col(_SEG).asc_nulls_last())
-              .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__cnt")
-    tails = (d.filter(F.col("__lrn") > F.col("__cnt") - m)
-              .join(offs, [*keys, _SEG], "inner")
-              .select(*keys, (F.col("__off") + F.col("__lrn")).alias("__src"),
-                      *[F.col(c).alias(f"__t_{c}") for c in cols]))
-    heads = (d.filter(F.col("__lrn") <= m)
-              .join(offs, [*keys, _SEG], "inner")
-              .withColumn("__grn", F.col("__off") + F.col("__lrn")))
+              .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    if m == 1:
+        # the last row of each segment, by an aggregate (no second window)
+        okey = F.struct(*[F.struct(F.col(o).isNull(), F.col(o)) if isinstance(o, str) else
+                          F.struct(o.isNull(), o) for o in _list(order)])
+        last = base.groupBy(*keys, _SEG).agg(
+            F.max_by(F.struct(*[F.col(c) for c in cols]), okey).alias("__last"))
+        tails = (last.join(offs, [*keys, _SEG], "inner")
+                     .select(*keys, (F.col("__off") + F.col("__cnt")).alias("__src"),
+                             *[F.col(f"__last.{c}").alias(f"__t_{c}") for c in cols]))
+    else:
+        tails = (d.join(counts, [*keys, _SEG], "inner")
+                  .filter(F.col("__lrn") > F.col("__cnt") - m)
+                  .join(offs.drop("__cnt"), [*keys, _SEG], "inner")
+                  .select(*keys, (F.col("__off") + F.col("__lrn")).alias("__src"),
+                          *[F.col(c).alias(f"__t_{c}") for c in cols]))
+    fix = offs.select(*keys, _SEG, "__off", F.explode(F.sequence(
+        F.lit(1), F.least(F.lit(m), F.col("__cnt")))).alias("__lrn"))
+    fix = fix.withColumn("__grn", F.col("__off") + F.col("__lrn"))
     for k in ns:
         tk = tails.select(*keys, (F.col("__src") + k).alias("__grn"),
-                          *[F.col(f"__t_{c}").alias(f"__t{k}_{c}") for c in cols])
-        heads = heads.join(tk, [*keys, "__grn"], "left")
-        for c in cols:
-            # rows deeper than k inside their segment keep the window lag
-            heads = heads.withColumn(names[(c, k)], F.when(F.col("__lrn") <= k, F.col(f"__t{k}_{c}"))
-                                     .otherwise(F.col(names[(c, k)]))).drop(f"__t{k}_{c}")
-    out_cols = list(df.columns) + [names[(c, k)] for c in cols for k in ns]
-    rest = d.filter(F.col("__lrn") > m).select(*out_cols)
-    return rest.unionByName(heads.select(*out_cols))
+                          *[F.col(f"__t_{c}").alias(f"__f{k}_{c}") for c in cols])
+        fix = fix.join(tk, [*keys, "__grn"], "left")
+    # one row per (key, segment): position -> values (at most m entries), so
+    # the join below reuses the window's (key, segment) partitioning and
+    # moves only this small side
+    fcols = [f"__f{k}_{c}" for k in ns for c in cols]
+    fix = (fix.groupBy(*keys, _SEG)
+              .agg(F.map_from_entries(F.collect_list(F.struct(
+                  "__lrn", F.struct(*[F.col(x) for x in fcols])))).alias("__fix")))
+    out = d.join(fix, [*keys, _SEG], "left")
+    sel = [F.col(c) for c in df.columns]
+    for c in cols:
+        for k in ns:
+            sel.append(F.when(F.col("__lrn") <= k, F.col("__fix")[F.col("__lrn")][f"__f{k}_{c}"])
+                        .otherwise(F.col(names[(c, k)])).alias(names[(c, k)]))
+    return out.select(*sel)
 
 
 # ---------------------------------------------------------------------------
