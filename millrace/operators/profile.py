@@ -178,20 +178,29 @@ def group_quantiles(df: DataFrame, key, col: str, probs=(0.89, 0.93),
     """Quantiles of ``col`` per group (one row per group), linear
     interpolation between order statistics.
 
-    ``exact``: every row is ranked inside its group in value order with the
+    ``ranked``: every row is ranked inside its group in value order with the
     skew-safe numbering (segments = value buckets cut at global approximate
     quantiles, so a hot group's rows spread over many tasks).  Then only the
     rows at the needed ranks are kept and interpolated.  No group's values
-    are held together anywhere.  ``approx``: ``percentile_approx`` per group."""
+    are held together anywhere.
+    ``exact`` (default): measures the largest group first (one aggregate on
+    the keys); when no group exceeds ``windows.HOT_KEY_ROWS`` rows, the
+    grouped ``percentile`` (one aggregate, at most that many values merged
+    per group), else ``ranked``.
+    ``approx``: ``percentile_approx`` per group."""
     from millrace.operators.windows import row_number_by
     keys = key if isinstance(key, (list, tuple)) else [key]
     probs = list(probs)
     names = [f"{prefix}{int(round(p * 100))}" for p in probs]
-    if method != "exact":
+    if method not in ("exact", "ranked"):
         agg = df.groupBy(*keys).agg(_quantile(col, probs, method, accuracy).alias("__q"))
         return agg.select(*keys, *[F.col("__q")[i].alias(n) for i, n in enumerate(names)])
     x = F.col(col).cast("double")
     vals = df.select(*keys, x.alias("__v")).filter(F.col("__v").isNotNull() & ~F.isnan("__v"))
+    from millrace.operators.windows import HOT_KEY_ROWS, largest_group
+    if method == "exact" and largest_group(vals, keys) <= HOT_KEY_ROWS:
+        agg = vals.groupBy(*keys).agg(F.percentile("__v", F.array(*[F.lit(float(p)) for p in probs])).alias("__q"))
+        return agg.select(*keys, *[F.col("__q")[i].alias(n) for i, n in enumerate(names)])
     edges = vals.agg(F.percentile_approx("__v", F.array(*[F.lit(i / buckets) for i in range(1, buckets)]),
                                          accuracy).alias("e")).first()["e"] or []
     edges = sorted(set(float(e) for e in edges))

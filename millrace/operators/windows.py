@@ -48,6 +48,33 @@ def series_window(key, order) -> Window:
     return Window.partitionBy(*_list(key)).orderBy(*_order_cols(order))
 
 
+# A series (or group) with more rows than this is "hot": one task would sort
+# or merge it alone, so the segmented / ranked forms are used.  Below it, one
+# task handles a series comfortably and the plain window is cheaper.
+HOT_KEY_ROWS = 5_000_000
+_HOT_CACHE: dict = {}
+
+
+def largest_group(df: DataFrame, key) -> int:
+    """Rows of the largest group of ``key``: one aggregate over the key
+    columns only (partial per partition), cached per plan."""
+    keys = tuple(_list(key))
+    ck = (df.semanticHash(), keys)
+    if ck not in _HOT_CACHE:
+        r = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("m")).first()
+        _HOT_CACHE[ck] = int(r["m"] or 0)
+    return _HOT_CACHE[ck]
+
+
+def auto_segment(df: DataFrame, key, segment: Column | None,
+                 hot_rows: int = HOT_KEY_ROWS) -> Column | None:
+    """``segment`` when some key of ``df`` holds more than ``hot_rows`` rows,
+    else None (plain windows).  The choice is measured, not guessed."""
+    if segment is None:
+        return None
+    return segment if largest_group(df, key) > hot_rows else None
+
+
 # ---------------------------------------------------------------------------
 # Row number (skew-safe numbering is the base of the segmented forms)
 # ---------------------------------------------------------------------------

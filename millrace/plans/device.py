@@ -20,10 +20,16 @@ def day_segment():
     return F.to_date("timestamp")
 
 
-def _segment_for(key, skew_safe: bool):
+def _segment_for(key, skew_safe, df: DataFrame | None = None):
     """Series keyed by (device, trip) are one device-day each: already
-    bounded, plain windows.  Per-device series use day segments."""
-    return day_segment() if skew_safe and "trip_id" not in list(key) else None
+    bounded, plain windows.  Per-device series use day segments when
+    ``skew_safe`` is True, or with "auto" when a device is hot."""
+    if not skew_safe or "trip_id" in list(key):
+        return None
+    if skew_safe == "auto" and df is not None:
+        from millrace.operators.windows import auto_segment
+        return auto_segment(df, list(key), day_segment())
+    return day_segment()
 
 
 def add_trips(readings: DataFrame, key: str = "device_id", ts: str = "timestamp") -> DataFrame:
@@ -52,15 +58,16 @@ def temperature_ewma(readings: DataFrame, key=("device_id", "trip_id"), com: flo
              .withColumn("temp_deviation", F.col("temperature") - F.col("rolling_mean_temp")))
 
 
-def feature_table(readings: DataFrame, factories=None, models=None, skew_safe: bool = True) -> DataFrame:
+def feature_table(readings: DataFrame, factories=None, models=None, skew_safe="auto") -> DataFrame:
     """E5 on trips."""
     return device_features(add_trips(readings), factories=factories, models=models,
-                           segment=day_segment() if skew_safe else None)
+                           segment=_segment_for(["device_id"], skew_safe, readings))
 
 
-def defects(readings: DataFrame, skew_safe: bool = True, **rules) -> DataFrame:
+def defects(readings: DataFrame, skew_safe="auto", **rules) -> DataFrame:
     """E6."""
-    return label_defects(readings, segment=day_segment() if skew_safe else None, **rules)
+    return label_defects(readings, segment=_segment_for(["device_id"], skew_safe, readings),
+                         **rules)
 
 
 def worst_device(labelled: DataFrame, key: str = "device_id", label: str = "defect") -> DataFrame:
@@ -72,7 +79,7 @@ def worst_device(labelled: DataFrame, key: str = "device_id", label: str = "defe
 def time_split(readings: DataFrame, frac: float = 0.8) -> DataFrame:
     """First 80 % of readings in time order for training."""
     from millrace.operators.windows import ordered_split
-    return ordered_split(readings, ORDER, frac=frac, segment=day_segment())
+    return ordered_split(readings, ORDER, frac=frac, segment=day_segment())  # global order: always split
 
 
 def daily_context(readings: DataFrame) -> DataFrame:

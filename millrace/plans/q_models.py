@@ -63,8 +63,9 @@ def q_forecast_ar1(spark, sf_dir):
     """M13 + M7: AR(1) one-step temperature forecast per device, fitted by
     per-device least squares, with its RMSE."""
     dv = view(spark, sf_dir, "device")
+    from millrace.operators.windows import auto_segment
     rows, fit = G.ar_forecast(dv, "device_id", D.ORDER, "temperature", p=1, d=0,
-                              segment=D.day_segment())
+                              segment=auto_segment(dv, "device_id", D.day_segment()))
     e = F.col("temperature") - F.col("predicted")
     err = rows.groupBy("device_id").agg(F.sqrt(F.avg(e * e)).alias("rmse"), F.count(e).alias("n_scored"))
     out = (fit.select("device_id", "n_used", "intercept", F.col("coef___z1").alias("slope"))
@@ -119,8 +120,9 @@ def q_forecast_order_search(spark, sf_dir):
     """RMSE of AR(p) on d-times differenced temperature for p 0-2,
     d 0-3, all series, one pipeline."""
     dv = view(spark, sf_dir, "device")
+    from millrace.operators.windows import auto_segment
     return round_doubles(G.order_search(dv, "device_id", D.ORDER, "temperature",
-                                        segment=D.day_segment()))
+                                        segment=auto_segment(dv, "device_id", D.day_segment())))
 
 
 def _anomaly_split(spark, sf_dir):
