@@ -71,75 +71,116 @@ def correlation_matrix(df: DataFrame, cols=None) -> DataFrame:
 
 
 # ------------------------------------------------------------------ exact quantiles
+def _order_stats(df: DataFrame, cols: list[str], ranks: dict, accuracy: int, cap: int,
+                 depth: int = 0, counts: dict | None = None) -> dict:
+    """Values at 0-based ranks (in ascending order of non-null, non-NaN
+    values) for several columns: ``ranks`` = {column: [rank, ...]}.
+    Returns {(column, rank): value}.  Three aggregate jobs per round; a
+    bracket holding more than ``cap`` values is refined on its own rows."""
+    eps = 3.0 / accuracy
+    x = {c: F.col(c).cast("double") for c in cols}
+    ok = {c: x[c].isNotNull() & ~F.isnan(x[c]) for c in cols}
+    s1 = ({f"n_{c}": counts[c] for c in cols} if counts is not None else
+          df.agg(*[F.count(F.when(ok[c], x[c])).alias(f"n_{c}") for c in cols]).first())
+    qs = {}
+    for c in cols:
+        n = s1[f"n_{c}"]
+        if n:
+            qs[c] = sorted({max(0.0, r / max(n - 1, 1) - eps) for r in ranks[c]} |
+                           {min(1.0, r / max(n - 1, 1) + eps) for r in ranks[c]})
+    if not qs:
+        return {}
+    s2 = df.agg(*[F.percentile_approx(F.when(ok[c], x[c]), F.array(*[F.lit(q) for q in qs[c]]),
+                                      accuracy).alias(f"b_{c}") for c in qs]).first()
+    # bracket of each rank: approx value just below / above it
+    br = {}
+    for c in qs:
+        n = s1[f"n_{c}"]
+        vals = dict(zip(qs[c], s2[f"b_{c}"]))
+        for r in ranks[c]:
+            p = r / max(n - 1, 1)
+            br[(c, r)] = (vals[max(0.0, p - eps)], vals[min(1.0, p + eps)])
+    keys = list(br)
+    s3 = df.agg(*[F.count(F.when(ok[c] & (x[c] < br[(c, r)][0]), 1)).alias(f"below_{i}")
+                  for i, (c, r) in enumerate(keys)],
+                *[F.count(F.when(ok[c] & (x[c] >= br[(c, r)][0]) & (x[c] <= br[(c, r)][1]), 1))
+                  .alias(f"in_{i}") for i, (c, r) in enumerate(keys)]).first()
+    out, collect, refine, fallback = {}, {}, {}, {}
+    for i, (c, r) in enumerate(keys):
+        lo_v, hi_v = br[(c, r)]
+        below, inside = s3[f"below_{i}"], s3[f"in_{i}"]
+        if not (below <= r < below + inside):
+            fallback.setdefault(c, []).append(r)          # sketch missed: rare
+        elif lo_v == hi_v:
+            out[(c, r)] = lo_v                            # all bracket values equal
+        elif inside <= cap:
+            collect[(c, r)] = (i, r - below)
+        elif depth < 4:
+            refine.setdefault((c, lo_v, hi_v), []).append((r, below))
+        else:
+            fallback.setdefault(c, []).append(r)
+    if collect:
+        aggs = [F.sort_array(F.collect_list(F.when(ok[c] & (x[c] >= br[(c, r)][0]) &
+                                                   (x[c] <= br[(c, r)][1]), x[c]))).alias(f"v_{i}")
+                for (c, r), (i, _) in collect.items()]
+        picks = [F.element_at(F.col(f"v_{i}"), j + 1).alias(f"p_{i}") for (c, r), (i, j) in collect.items()]
+        row = df.agg(*aggs).select(*picks).first()
+        for (c, r), (i, _) in collect.items():
+            out[(c, r)] = row[f"p_{i}"]
+    for (c, lo_v, hi_v), items in refine.items():
+        sub = df.select(x[c].alias(c)).filter(ok[c] & (F.col(c) >= lo_v) & (F.col(c) <= hi_v))
+        got = _order_stats(sub, [c], {c: [r - b for r, b in items]}, accuracy, cap, depth + 1)
+        for r, b in items:
+            out[(c, r)] = got.get((c, r - b))
+    for c, rs in fallback.items():
+        n = s1[f"n_{c}"]
+        ps = [r / max(n - 1, 1) for r in rs]
+        vals = df.agg(F.percentile(F.when(ok[c], x[c]), F.array(*[F.lit(p) for p in ps])).alias("v")).first()["v"]
+        # percentile at an exact rank position returns that order statistic
+        for r, v in zip(rs, vals):
+            out[(c, r)] = v
+    return out
+
+
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], accuracy: int = 10000,
                     cap: int = 2_000_000) -> dict:
     """Exact quantiles (linear interpolation between order statistics, as
     ``percentile`` / pandas / DuckDB ``quantile_cont``) without holding a
     column's distinct values in one task.
 
-    1. one aggregate: non-null count and ``percentile_approx`` at p -/+ 3/A,
-       which brackets the target ranks (rank error of the sketch <= n/A);
-    2. one aggregate: exact count below each bracket and count inside it;
-    3. one aggregate: the values inside each bracket (at most ``cap``,
-       about 6n/A), sorted; the order statistics are picked from them.
-    A bracket that misses its ranks or exceeds ``cap`` (heavy duplicates,
-    huge n) falls back to ``percentile`` for that column.  Returns
-    {(column, p): value}; about 3 numbers per (column, p) reach the driver."""
-    eps = 3.0 / accuracy
-    x = {c: F.col(c).cast("double") for c in cols}
-    ok = {c: x[c].isNotNull() & ~F.isnan(x[c]) for c in cols}
-    lohi = [q for p in probs for q in (max(0.0, p - eps), min(1.0, p + eps))]
-    s1 = df.agg(*[F.count(F.when(ok[c], x[c])).alias(f"n_{c}") for c in cols],
-                *[F.percentile_approx(F.when(ok[c], x[c]), F.array(*[F.lit(q) for q in lohi]),
-                                      accuracy).alias(f"b_{c}") for c in cols]).first()
-    br = {}
+    For each needed order statistic: ``percentile_approx`` at its rank
+    -/+ 3/A gives a bracket (rank error of the sketch <= n/A); exact counts
+    below and inside the bracket locate the rank in it; a bracket of equal
+    values answers at once; a bracket of at most ``cap`` values (about 6n/A)
+    is sorted and indexed; a larger one is refined on its own rows, shrinking
+    by about A/6 per round.  Returns {(column, p): value}; only a few numbers
+    per (column, p) reach the driver."""
+    ranks, pos = {}, {}
+    n_row = df.agg(*[F.count(F.when(F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")), 1))
+                     .alias(c) for c in cols]).first()
     for c in cols:
-        b = s1[f"b_{c}"]
-        for i, p in enumerate(probs):
-            br[(c, p)] = (b[2 * i], b[2 * i + 1]) if b else (None, None)
-    aggs2 = []
-    for k, (c, p) in enumerate(br):
-        lo_v, hi_v = br[(c, p)]
-        if lo_v is None:
-            continue
-        aggs2 += [F.count(F.when(ok[c] & (x[c] < lo_v), 1)).alias(f"below_{k}"),
-                  F.count(F.when(ok[c] & (x[c] >= lo_v) & (x[c] <= hi_v), 1)).alias(f"in_{k}")]
-    s2 = df.agg(*aggs2).first() if aggs2 else None
-    plan, fallback = {}, set()
-    for k, (c, p) in enumerate(br):
-        n = s1[f"n_{c}"]
-        if not n or br[(c, p)][0] is None:
+        n = n_row[c]
+        if not n:
             continue
-        h = p * (n - 1)
-        lo, hi = math.floor(h), math.ceil(h)
-        below, inside = s2[f"below_{k}"], s2[f"in_{k}"]
-        if below <= lo and hi < below + inside and inside <= cap:
-            plan[(c, p)] = (k, lo - below, hi - below, h - lo)
-        else:
-            fallback.add(c)
+        rs = set()
+        for p in probs:
+            h = p * (n - 1)
+            lo, hi = math.floor(h), math.ceil(h)
+            pos[(c, p)] = (lo, hi, h - lo)
+            rs |= {lo, hi}
+        ranks[c] = sorted(rs)
+    stats = _order_stats(df, [c for c in cols if c in ranks], ranks, accuracy, cap,
+                         counts={c: n_row[c] for c in ranks}) if ranks else {}
     out = {}
-    if plan:
-        aggs3 = []
-        for (c, p), (k, _, _, _) in plan.items():
-            lo_v, hi_v = br[(c, p)]
-            aggs3.append(F.sort_array(F.collect_list(
-                F.when(ok[c] & (x[c] >= lo_v) & (x[c] <= hi_v), x[c]))).alias(f"v_{k}"))
-        picks = []
-        for (c, p), (k, i_lo, i_hi, frac) in plan.items():
-            vl = F.element_at(F.col(f"v_{k}"), i_lo + 1)
-            vh = F.element_at(F.col(f"v_{k}"), i_hi + 1)
-            val = vl if i_lo == i_hi else (F.lit(float(i_hi - i_lo) - frac) * vl + F.lit(frac) * vh)
-            picks.append(val.alias(f"q_{k}"))
-        r = df.agg(*aggs3).select(*picks).first()
-        for (c, p), (k, *_rest) in plan.items():
-            out[(c, p)] = r[f"q_{k}"]
-    if fallback:
-        fb = list(fallback)
-        r = df.agg(*[F.percentile(F.when(ok[c], x[c]), F.array(*[F.lit(float(p)) for p in probs]))
-                     .alias(c) for c in fb]).first()
-        for c in fb:
-            for i, p in enumerate(probs):
-                out[(c, p)] = r[c][i] if r[c] else None
+    for c in cols:
+        for p in probs:
+            if (c, p) not in pos:
+                out[(c, p)] = None
+                continue
+            lo, hi, f = pos[(c, p)]
+            vl, vh = stats.get((c, lo)), stats.get((c, hi))
+            out[(c, p)] = vl if (f == 0 or vl is None or vh is None) else \
+                float(hi - lo - f) * vl + f * vh   # (1 - f) * lo + f * hi, as percentile
     return out
 
 

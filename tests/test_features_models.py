@@ -138,9 +138,10 @@ def test_exact_quantiles_bracket_and_fallback(spark):
     for col, arr in (("a", a), ("b", b), ("c", c[~np.isnan(c)])):
         for p in probs:
             assert got[(col, p)] == pytest.approx(np.quantile(arr, p), rel=1e-12, abs=1e-12)
-    # tiny cap forces the percentile fallback: same numbers
-    got2 = exact_quantiles(df, ["a"], [0.25, 0.75], accuracy=1000, cap=1)
+    # a small cap forces recursive refinement of the brackets: same numbers
+    got2 = exact_quantiles(df, ["a", "c"], [0.25, 0.75], accuracy=100, cap=50)
     assert got2[("a", 0.25)] == pytest.approx(np.quantile(a, 0.25), rel=1e-12)
+    assert got2[("c", 0.75)] == pytest.approx(np.quantile(c[~np.isnan(c)], 0.75), rel=1e-12)
 
 
 def test_group_quantiles_exact_with_hot_group(spark):
