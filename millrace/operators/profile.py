@@ -72,7 +72,7 @@ def correlation_matrix(df: DataFrame, cols=None) -> DataFrame:
 
 # ------------------------------------------------------------------ exact quantiles
 def _order_stats(df: DataFrame, cols: list[str], ranks: dict, accuracy: int, cap: int,
-                 depth: int = 0, counts: dict | None = None) -> dict:
+                 depth: int = 0, counts: dict | None = None, brackets: dict | None = None) -> dict:
     """Values at 0-based ranks (in ascending order of non-null, non-NaN
     values) for several columns: ``ranks`` = {column: [rank, ...]}.
     Returns {(column, rank): value}.  Three aggregate jobs per round; a
@@ -82,24 +82,29 @@ def _order_stats(df: DataFrame, cols: list[str], ranks: dict, accuracy: int, cap
     ok = {c: x[c].isNotNull() & ~F.isnan(x[c]) for c in cols}
     s1 = ({f"n_{c}": counts[c] for c in cols} if counts is not None else
           df.agg(*[F.count(F.when(ok[c], x[c])).alias(f"n_{c}") for c in cols]).first())
-    qs = {}
-    for c in cols:
-        n = s1[f"n_{c}"]
-        if n:
-            qs[c] = sorted({max(0.0, r / max(n - 1, 1) - eps) for r in ranks[c]} |
-                           {min(1.0, r / max(n - 1, 1) + eps) for r in ranks[c]})
-    if not qs:
+    if brackets is not None:
+        br = dict(brackets)
+    else:
+        qs = {}
+        for c in cols:
+            n = s1[f"n_{c}"]
+            if n:
+                qs[c] = sorted({max(0.0, r / max(n - 1, 1) - eps) for r in ranks[c]} |
+                               {min(1.0, r / max(n - 1, 1) + eps) for r in ranks[c]})
+        if not qs:
+            return {}
+        s2 = df.agg(*[F.percentile_approx(F.when(ok[c], x[c]), F.array(*[F.lit(q) for q in qs[c]]),
+                                          accuracy).alias(f"b_{c}") for c in qs]).first()
+        # bracket of each rank: approx value just below / above it
+        br = {}
+        for c in qs:
+            n = s1[f"n_{c}"]
+            vals = dict(zip(qs[c], s2[f"b_{c}"]))
+            for r in ranks[c]:
+                p = r / max(n - 1, 1)
+                br[(c, r)] = (vals[max(0.0, p - eps)], vals[min(1.0, p + eps)])
+    if not br:
         return {}
-    s2 = df.agg(*[F.percentile_approx(F.when(ok[c], x[c]), F.array(*[F.lit(q) for q in qs[c]]),
-                                      accuracy).alias(f"b_{c}") for c in qs]).first()
-    # bracket of each rank: approx value just below / above it
-    br = {}
-    for c in qs:
-        n = s1[f"n_{c}"]
-        vals = dict(zip(qs[c], s2[f"b_{c}"]))
-        for r in ranks[c]:
-            p = r / max(n - 1, 1)
-            br[(c, r)] = (vals[max(0.0, p - eps)], vals[min(1.0, p + eps)])
     keys = list(br)
     s3 = df.agg(*[F.count(F.when(ok[c] & (x[c] < br[(c, r)][0]), 1)).alias(f"below_{i}")
                   for i, (c, r) in enumerate(keys)],
@@ -155,22 +160,32 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], accuracy
     is sorted and indexed; a larger one is refined on its own rows, shrinking
     by about A/6 per round.  Returns {(column, p): value}; only a few numbers
     per (column, p) reach the driver."""
-    ranks, pos = {}, {}
-    n_row = df.agg(*[F.count(F.when(F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")), 1))
-                     .alias(c) for c in cols]).first()
+    # first pass: counts and the sketch at p -/+ 3/A together (the bracket of
+    # p covers both order statistics next to p * (n - 1))
+    eps = 3.0 / accuracy
+    grid = sorted({max(0.0, p - eps) for p in probs} | {min(1.0, p + eps) for p in probs})
+    ok = {c: F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in cols}
+    first = df.agg(*[F.count(F.when(ok[c], 1)).alias(f"n_{c}") for c in cols],
+                   *[F.percentile_approx(F.when(ok[c], F.col(c).cast("double")),
+                                         F.array(*[F.lit(q) for q in grid]), accuracy).alias(f"b_{c}")
+                     for c in cols]).first()
+    ranks, pos, brackets = {}, {}, {}
     for c in cols:
-        n = n_row[c]
+        n = first[f"n_{c}"]
         if not n:
             continue
+        vals = dict(zip(grid, first[f"b_{c}"]))
         rs = set()
         for p in probs:
             h = p * (n - 1)
             lo, hi = math.floor(h), math.ceil(h)
             pos[(c, p)] = (lo, hi, h - lo)
+            for r in (lo, hi):
+                brackets[(c, r)] = (vals[max(0.0, p - eps)], vals[min(1.0, p + eps)])
             rs |= {lo, hi}
         ranks[c] = sorted(rs)
     stats = _order_stats(df, [c for c in cols if c in ranks], ranks, accuracy, cap,
-                         counts={c: n_row[c] for c in ranks}) if ranks else {}
+                         counts={c: first[f"n_{c}"] for c in ranks}, brackets=brackets) if ranks else {}
     out = {}
     for c in cols:
         for p in probs:
