@@ -345,7 +345,10 @@ def ewma(df: DataFrame, col: str, key, order, out: str | None = None,
     keys = _list(key)
     lb = -math.log(b) if b > 0 else float("inf")
     if block is None:
-        block = 256 if lb == 0 else max(1, min(256, int(69.0 / lb)))
+        # as long as b^-B stays below e^69 (~1e30): slow decays (span=600:
+        # B ~ 20,000) get few, long blocks, so the carry table (one row per
+        # block) stays small enough to broadcast even for very long series
+        block = 65536 if lb == 0 else max(1, min(65536, int(69.0 / lb)))
     B = block
     L = 1 if lb == float("inf") else max(1, math.ceil(60.0 * math.log(2.0) / (B * lb)))
 

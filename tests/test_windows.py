@@ -114,3 +114,16 @@ def test_dense_rank_and_split(spark):
     got = {str(x.ts): x.split for x in s.collect()}
     assert got["2024-01-01 10:00:00"] == "train" and got["2024-01-03 09:00:00"] == "test"
     assert list(got.values()).count("train") == 2
+
+
+def test_ewma_small_blocks_long_carry(spark):
+    # block=16 with span=600: ~780 blocks of look-back in the carry
+    pdf, df = _series(spark, n_keys=2, n=900, nulls=True, seed=9)
+    res = {(r["k"], r["t"]): r["y"] for r in
+           ewma(df, "x", "k", ["t"], out="y", span=600, shift=1, block=16).collect()}
+    want = _pandas_ewm(pdf, shift=1, span=600)
+    for key, w in want.items():
+        if np.isnan(w):
+            assert res[key] is None
+        else:
+            assert res[key] == pytest.approx(w, rel=1e-9, abs=1e-9)
