@@ -62,7 +62,9 @@ def gold_query(spark: SparkSession, silver_dir: str, silver_schema: StructType,
 
 
 def run_oee(spark: SparkSession, src_dir: str, work_dir: str, workforce: DataFrame,
-            max_files: int | None = 16, timeout: float | None = 600) -> dict:
+            max_files: int | None = 16, timeout: float | None = 600,
+            window: str = "5 minutes", slide: str | None = None,
+            lateness: str = "10 minutes") -> dict:
     """Run the three layers in order, each to completion (``availableNow``),
     and return the folders of the layer tables.  Calling it again processes
     only files that arrived since the last run."""
@@ -71,5 +73,6 @@ def run_oee(spark: SparkSession, src_dir: str, work_dir: str, workforce: DataFra
     bronze_query(spark, src_dir, p["bronze"], ck["bronze"], max_files).awaitTermination(timeout)
     silver_query(spark, p["bronze"], p["silver"], ck["silver"]).awaitTermination(timeout)
     silver_schema = spark.read.parquet(p["silver"]).schema
-    gold_query(spark, p["silver"], silver_schema, workforce, p["gold"], ck["gold"]).awaitTermination(timeout)
+    gold_query(spark, p["silver"], silver_schema, workforce, p["gold"], ck["gold"], window=window,
+               slide=slide, lateness=lateness).awaitTermination(timeout)
     return p

@@ -66,3 +66,17 @@ def test_zero_parts_quality_null(spark):
     g = oee.oee_gold(oee.oee_silver(bronze), wf).collect()[0]
     assert g["Quality"] is None and g["OEE"] is None
     assert g["Availability"] == 100.0 and g["Performance"] == 100.0
+
+
+def test_sliding_windows_in_stream(spark, scratch):
+    src = os.path.join(scratch, "in")
+    wf = spark.createDataFrame([(1, 5)], "shiftNumber bigint, employee_count bigint")
+    _write(src, "f1.json", [_doc("2024-01-01T10:01:30.000000Z", parts=3),
+                            _doc("2024-01-01T10:40:00.000000Z", parts=1)])
+    paths = run_oee(spark, src, os.path.join(scratch, "work"), wf, max_files=None, slide="1 minute")
+    gold = spark.read.parquet(paths["gold"])
+    starts = sorted(str(r.s)[11:16] for r in gold.select(
+        F.col("window.start").cast("timestamp_ntz").alias("s"), "totalPartsMade")
+        .filter("totalPartsMade = 3").collect())
+    # the 10:01:30 reading lies in the five 5-minute windows starting 09:57 .. 10:01
+    assert starts == ["09:57", "09:58", "09:59", "10:00", "10:01"]
