@@ -1,14 +1,16 @@
 """Column profiles.
 
-Each profile is one or two aggregate jobs over the whole table, whatever the
-number of columns (the naive form runs a job per column or per column pair).
-
-Quantiles: ``method="exact"`` uses ``percentile`` (linear interpolation,
-equals pandas / DuckDB ``quantile_cont``); its final step keeps a value ->
-count map per group, so memory grows with the distinct values of a column.
-``method="approx"`` uses ``percentile_approx`` (a bounded sketch per
-partition, merged), the choice for very large tables; ``accuracy`` sets the
-relative error (1/accuracy).
+Each profile is a fixed number of aggregate jobs over the whole table,
+whatever the number of columns (the naive form runs a job per column or per
+column pair).
+
+Quantiles: ``method="exact"`` gives the exact linear-interpolation quantile
+(as ``percentile`` / pandas / DuckDB ``quantile_cont``).  Whole-table
+quantiles come from sketch brackets plus exact counts (:func:`exact_quantiles`);
+per-group quantiles come from a skew-safe ranking when a group is hot
+(:func:`group_quantiles`).  Neither holds a column's distinct values in one
+task.  ``method="approx"`` uses ``percentile_approx`` (a bounded sketch, one
+aggregate); ``accuracy`` sets its relative rank error (1/accuracy).
 """
 
 from __future__ import annotations
