@@ -24,7 +24,9 @@ def q_oee_gold_stream(spark, sf_dir):
     work = scratch_path(spark, f"oee-stream-{uuid.uuid4().hex[:12]}")
     src = f"{work}/incoming"
     view(spark, sf_dir, "plant_json").write.mode("overwrite").json(src)
-    paths = run_oee(spark, src, work, view(spark, sf_dir, "workforce"), max_files=None)
+    # S3: the bronze stream infers the file schema once and keeps it
+    paths = run_oee(spark, src, work, view(spark, sf_dir, "workforce"), max_files=None,
+                    infer_schema=True)
     return round_doubles(window_cols(spark.read.parquet(paths["gold"])))
 
 

@@ -124,25 +124,29 @@ def _merge_struct(old: StructType, new: StructType) -> StructType:
     return StructType(out)
 
 
+def _read_kept_schema(spark: SparkSession, location: str) -> StructType | None:
+    try:
+        rows = spark.read.text(location).collect()   # one line: the schema JSON
+    except Exception:  # noqa: BLE001 - nothing kept yet
+        return None
+    return StructType.fromJson(json.loads(rows[0][0])) if rows else None
+
+
 def ingest_json_files(spark: SparkSession, src_dir: str, schema_location: str,
                       max_files: int = 16, sample_files: str | None = None) -> DataFrame:
     """S3: incremental JSON file ingest with a persisted inferred schema.
 
     The first start infers the schema from the files present (one batch
-    job), stores it as JSON at ``schema_location``; later starts reuse it and
-    merge in fields that new files add.  At most ``max_files`` new files per
+    job) and keeps it as one JSON line at ``schema_location``.  Later starts
+    reuse it and merge in fields that new files add.  The schema is read and
+    written with Spark's text source, so the location may be on any file
+    system the cluster shares.  At most ``max_files`` new files per
     micro-batch."""
-    os.makedirs(schema_location, exist_ok=True)
-    sfile = os.path.join(schema_location, "schema.json")
     inferred = spark.read.json(sample_files or src_dir).schema
-    if os.path.exists(sfile):
-        with open(sfile) as fh:
-            kept = StructType.fromJson(json.load(fh))
-        schema = _merge_struct(kept, inferred)
-    else:
-        schema = inferred
-    with open(sfile, "w") as fh:
-        json.dump(schema.jsonValue(), fh)
+    kept = _read_kept_schema(spark, schema_location)
+    schema = _merge_struct(kept, inferred) if kept is not None else inferred
+    (spark.createDataFrame([(json.dumps(schema.jsonValue()),)], "value string")
+          .coalesce(1).write.mode("overwrite").text(schema_location))
     return (spark.readStream.schema(schema)
                  .option("maxFilesPerTrigger", max_files)
                  .json(src_dir))

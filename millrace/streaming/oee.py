@@ -26,12 +26,20 @@ BRONZE_FILE_SCHEMA = StructType([StructField("body", StringType())])
 
 
 def bronze_query(spark: SparkSession, src_dir: str, out_dir: str, ckpt: str,
-                 max_files: int | None = 16, trigger: dict | None = None):
-    """Bronze: raw documents, ``body`` kept as a string."""
-    r = spark.readStream.schema(BRONZE_FILE_SCHEMA)
-    if max_files:
-        r = r.option("maxFilesPerTrigger", max_files)
-    src = r.json(src_dir).select(F.col("body").cast("string").alias("body"))
+                 max_files: int | None = 16, trigger: dict | None = None,
+                 schema_location: str | None = None):
+    """Bronze: raw documents, ``body`` kept as a string.  With
+    ``schema_location`` the file schema is inferred once and kept there
+    (merged with new fields on later starts, S3); otherwise it is fixed."""
+    if schema_location:
+        from millrace.sources.io import ingest_json_files
+        src = ingest_json_files(spark, src_dir, schema_location, max_files=max_files or 1000)
+    else:
+        r = spark.readStream.schema(BRONZE_FILE_SCHEMA)
+        if max_files:
+            r = r.option("maxFilesPerTrigger", max_files)
+        src = r.json(src_dir)
+    src = src.select(F.col("body").cast("string").alias("body"))
     return append_stream(src, None, ckpt, trigger or {"availableNow": True},
                          query_name="oee_bronze", path=out_dir)
 
@@ -64,13 +72,15 @@ def gold_query(spark: SparkSession, silver_dir: str, silver_schema: StructType,
 def run_oee(spark: SparkSession, src_dir: str, work_dir: str, workforce: DataFrame,
             max_files: int | None = 16, timeout: float | None = 600,
             window: str = "5 minutes", slide: str | None = None,
-            lateness: str = "10 minutes") -> dict:
+            lateness: str = "10 minutes", infer_schema: bool = False) -> dict:
     """Run the three layers in order, each to completion (``availableNow``),
     and return the folders of the layer tables.  Calling it again processes
     only files that arrived since the last run."""
     p = {k: os.path.join(work_dir, k) for k in ("bronze", "silver", "gold")}
     ck = {k: os.path.join(work_dir, "_checkpoints", k) for k in p}
-    bronze_query(spark, src_dir, p["bronze"], ck["bronze"], max_files).awaitTermination(timeout)
+    bronze_query(spark, src_dir, p["bronze"], ck["bronze"], max_files,
+                 schema_location=os.path.join(work_dir, "_schema") if infer_schema else None
+                 ).awaitTermination(timeout)
     silver_query(spark, p["bronze"], p["silver"], ck["silver"]).awaitTermination(timeout)
     silver_schema = spark.read.parquet(p["silver"]).schema
     gold_query(spark, p["silver"], silver_schema, workforce, p["gold"], ck["gold"], window=window,
