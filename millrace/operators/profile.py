@@ -331,7 +331,9 @@ def outlier_report(df: DataFrame, cols=None, id_col: str = "id", k: float = 1.5,
     # into ~256 id ranges: range totals give each range's offset (a small
     # table), and only ranges starting before the n_ids-th row are ranked,
     # inside (column, side, range) partitions.  No per-(column, side) sort.
-    mm = per_id.agg(F.min("__id").alias("lo"), F.max("__id").alias("hi")).first()
+    # id range from the id column alone (a pruned scan); any range covering
+    # the outlying ids gives order-compatible buckets
+    mm = df.agg(F.min(id_col).alias("lo"), F.max(id_col).alias("hi")).first()
     width = max(1, int(((mm["hi"] or 0) - (mm["lo"] or 0)) // 256) + 1)
     per_id = per_id.withColumn("__seg", F.floor((F.col("__id") - F.lit(mm["lo"] or 0)) / width))
     seg_tot = per_id.groupBy("column", "side", "__seg").agg(F.sum("__n").alias("__tot"))
