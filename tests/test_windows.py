@@ -127,3 +127,13 @@ def test_ewma_small_blocks_long_carry(spark):
             assert res[key] is None
         else:
             assert res[key] == pytest.approx(w, rel=1e-9, abs=1e-9)
+
+
+def test_auto_segment_measures_the_largest_key(spark):
+    from millrace.operators.windows import auto_segment, largest_group
+    df = spark.createDataFrame([(1, i) for i in range(30)] + [(2, 0)], "k int, t int")
+    assert largest_group(df, "k") == 30
+    seg = F.floor(F.col("t") / 10)
+    assert auto_segment(df, "k", seg, hot_rows=10) is seg       # hot key: split
+    assert auto_segment(df, "k", seg, hot_rows=100) is None     # small keys: plain window
+    assert auto_segment(df, "k", None, hot_rows=1) is None
