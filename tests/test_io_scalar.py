@@ -94,3 +94,16 @@ def test_select_helpers(spark):
     n = P.hash_sample(spark.range(1000).withColumnRenamed("id", "k"), "k", 30).count()
     assert 200 < n < 400
     assert P.preview(df, 1).count() == 1
+
+
+def test_load_dir_and_stream_dir(spark, scratch):
+    wf = spark.createDataFrame([(1, 10), (2, 12), (3, 9)], "shiftNumber int, employee_count int")
+    wf.write.mode("overwrite").option("header", "true").csv(os.path.join(scratch, "wf_csv"))
+    got = io.load_dir(spark, os.path.join(scratch, "wf_csv"), fmt="csv", inferSchema="true")
+    assert sorted(r.shiftNumber for r in got.collect()) == [1, 2, 3]
+    wf.write.mode("overwrite").parquet(os.path.join(scratch, "wf_pq"))
+    s = io.read_stream_dir(spark, os.path.join(scratch, "wf_pq"), wf.schema, max_files=1)
+    q = io.append_stream(s, None, os.path.join(scratch, "ck2"), {"availableNow": True},
+                         path=os.path.join(scratch, "wf_out"))
+    q.awaitTermination(120)
+    assert spark.read.parquet(os.path.join(scratch, "wf_out")).count() == 3
