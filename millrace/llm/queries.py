@@ -15,11 +15,17 @@ def op2_sharding(spark, sf_dir):
     return assign(table(spark, sf_dir, "documents").select("doc_id"), ["doc_id"], SHARDS)
 
 
+def op3_substring_dedup(spark, sf_dir):
+    from millrace.llm.substring import substring_dedup
+
+    return substring_dedup(table(spark, sf_dir, "documents"))
+
+
 def op4_packing(spark, sf_dir):
     from millrace.llm.packing import pack
 
     return pack(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_sharding, op4_packing)}
+QUERIES = {f.__name__: f for f in (op2_sharding, op3_substring_dedup, op4_packing)}
 ORACLE_SQL: dict[str, str] = {}
