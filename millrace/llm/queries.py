@@ -27,5 +27,12 @@ def op4_packing(spark, sf_dir):
     return pack(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_sharding, op3_substring_dedup, op4_packing)}
+def op5_quality_classifier(spark, sf_dir):
+    from millrace.llm.quality import classify, fit
+
+    docs = table(spark, sf_dir, "documents")
+    return classify(fit(docs, table(spark, sf_dir, "labels")), docs).select("doc_id", "lang", "perplexity", "threshold", "kept")
+
+
+QUERIES = {f.__name__: f for f in (op2_sharding, op3_substring_dedup, op4_packing, op5_quality_classifier)}
 ORACLE_SQL: dict[str, str] = {}

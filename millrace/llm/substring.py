@@ -229,4 +229,5 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, doubling: bool = True
         "doc_id", "n_words",
         F.when(whole, F.col("n_words")).otherwise(F.coalesce("removed", F.lit(0))).cast("long").alias("n_removed"),
         F.when(whole, F.lit(_EMPTY_SHA)).otherwise(F.coalesce("left_sha", "sha")).alias("kept_sha256"),
-        F.coalesce("reach", F.when(whole, F.lit(window).cast("long")), F.lit(0).cast("long")).alias("longest_repeat"))
+        F.greatest(F.coalesce("reach", F.lit(0)), F.when(whole, window * F.pow(2, F.floor(F.log2(F.col("n_words") / window))))
+                   .otherwise(0)).cast("long").alias("longest_repeat"))
