@@ -9,6 +9,12 @@ from millrace.llm.common import table
 SHARDS = [f"shard-{i:03d}" for i in range(256)]
 
 
+def op1_near_duplicates(spark, sf_dir):
+    from millrace.llm.neardup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op2_sharding(spark, sf_dir):
     from millrace.llm.sharding import assign
 
@@ -34,5 +40,5 @@ def op5_quality_classifier(spark, sf_dir):
     return classify(fit(docs, table(spark, sf_dir, "labels")), docs).select("doc_id", "lang", "perplexity", "threshold", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op2_sharding, op3_substring_dedup, op4_packing, op5_quality_classifier)}
+QUERIES = {f.__name__: f for f in (op1_near_duplicates, op2_sharding, op3_substring_dedup, op4_packing, op5_quality_classifier)}
 ORACLE_SQL: dict[str, str] = {}
