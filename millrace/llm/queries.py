@@ -40,5 +40,11 @@ def op5_quality_classifier(spark, sf_dir):
     return classify(fit(docs, table(spark, sf_dir, "labels")), docs).select("doc_id", "lang", "perplexity", "threshold", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_near_duplicates, op2_sharding, op3_substring_dedup, op4_packing, op5_quality_classifier)}
+def op6_embedding_near_duplicates(spark, sf_dir):
+    from millrace.llm.embeddings import embedding_near_duplicates
+
+    return embedding_near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_near_duplicates, op2_sharding, op3_substring_dedup, op4_packing, op5_quality_classifier, op6_embedding_near_duplicates)}
 ORACLE_SQL: dict[str, str] = {}
