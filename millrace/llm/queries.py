@@ -46,5 +46,27 @@ def op6_embedding_near_duplicates(spark, sf_dir):
     return embedding_near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_near_duplicates, op2_sharding, op3_substring_dedup, op4_packing, op5_quality_classifier, op6_embedding_near_duplicates)}
-ORACLE_SQL: dict[str, str] = {}
+def op9_decontamination(spark, sf_dir):
+    from millrace.llm.decontaminate import contaminated
+
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_near_duplicates, op2_sharding, op3_substring_dedup, op4_packing, op5_quality_classifier, op6_embedding_near_duplicates, op9_decontamination)}
+
+# Words in lower case, distinct five-word shingles (all words of a shorter item), exact containment.
+_CONTAINED = """
+WITH iw AS (SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS w FROM benchmark),
+ish AS (SELECT DISTINCT item_id, least(len(w), 5) AS width, list_aggregate(w[i:i + least(len(w), 5) - 1], 'string_agg', ' ') AS s
+        FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 5) + 2)) AS i FROM iw WHERE len(w) > 0)),
+isz AS (SELECT item_id, count(*) AS n_item FROM ish GROUP BY item_id),
+widths AS (SELECT DISTINCT width FROM ish),
+dw AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS w FROM documents),
+dsh AS (SELECT DISTINCT doc_id, width, list_aggregate(w[i:i + width - 1], 'string_agg', ' ') AS s
+        FROM (SELECT doc_id, width, w, unnest(range(1, len(w) - width + 2)) AS i FROM dw, widths WHERE len(w) >= width)),
+m AS (SELECT doc_id, item_id, count(*) AS n_shared FROM dsh JOIN ish USING (width, s) GROUP BY doc_id, item_id)
+SELECT doc_id, item_id, n_shared, n_item, n_shared / n_item AS containment
+FROM m JOIN isz USING (item_id) WHERE n_shared >= 0.8 * n_item - 1e-9
+"""
+
+ORACLE_SQL: dict[str, str] = {"op9_decontamination": _CONTAINED}
