@@ -52,7 +52,13 @@ def op9_decontamination(spark, sf_dir):
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_near_duplicates, op2_sharding, op3_substring_dedup, op4_packing, op5_quality_classifier, op6_embedding_near_duplicates, op9_decontamination)}
+def op10_html_extraction(spark, sf_dir):
+    from millrace.llm.html_text import extract
+
+    return extract(table(spark, sf_dir, "pages"))
+
+
+QUERIES = {f.__name__: f for f in (op1_near_duplicates, op2_sharding, op3_substring_dedup, op4_packing, op5_quality_classifier, op6_embedding_near_duplicates, op9_decontamination, op10_html_extraction)}
 
 # Words in lower case, distinct five-word shingles (all words of a shorter item), exact containment.
 _CONTAINED = """
