@@ -28,10 +28,18 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     path = scratch_path(spark, f"llm-{tag}-{uuid.uuid4().hex}")
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
     release(spark)
     return out
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the table behind ``stored``'s result, once nothing that is still to run reads it."""
+    spark = df.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df._stored_at)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark's context cleaner remove shuffle files nobody refers to any more."""
     gc.collect()

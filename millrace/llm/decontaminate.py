@@ -39,9 +39,9 @@ def words(text: Column) -> Column:
 
 
 def shingles(w: Column, width: int) -> Column:
-    """Hashes of the runs of ``width`` words of an array."""
+    """Hashes of the runs of ``width`` words of an array (runs of different widths differ)."""
     runs = F.transform(F.sequence(F.lit(0), F.size(w) - width),
-                       lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(width)]))
+                       lambda i: F.xxhash64(F.lit(width), *[F.get(w, i + k) for k in range(width)]))
     return F.when(F.size(w) >= width, runs).otherwise(F.array().cast("array<bigint>"))
 
 
@@ -62,7 +62,7 @@ def item_shingles(items: DataFrame, containment: float) -> DataFrame:
 def contaminated(docs: DataFrame, items: DataFrame, containment: float = CONTAINMENT) -> DataFrame:
     """doc_id, item_id, n_shared, n_item, containment: the pairs at or above ``containment``."""
     index = stored(item_shingles(items, containment), "items")
-    sketch = index.where("in_sketch").groupBy("hash", "width").agg(F.count("*").alias("items")).drop("items")
+    sketch = index.where("in_sketch").select("hash").distinct()
     n_sketch, n_index = index.agg(F.coalesce(F.sum(F.col("in_sketch").cast("int")), F.lit(0)), F.count("*")).first()
     widths = sorted(r["width"] for r in index.select("width").distinct().collect())
     if not widths:
@@ -76,14 +76,12 @@ def contaminated(docs: DataFrame, items: DataFrame, containment: float = CONTAIN
 
     def exploded(rows: DataFrame) -> DataFrame:
         w = rows.select(*[c for c in rows.columns if c != "text"], words(F.col("text")).alias("w"))
-        sets = F.concat(*[F.transform(shingles(F.col("w"), k), lambda h, k=k: F.struct(F.lit(k).alias("width"), h.alias("hash"))) for k in widths]) \
-            if len(widths) > 1 else F.transform(shingles(F.col("w"), widths[0]), lambda h: F.struct(F.lit(widths[0]).alias("width"), h.alias("hash")))
-        return w.select(*[c for c in rows.columns if c != "text"], F.explode(sets).alias("x")).select("*", "x.width", "x.hash").drop("x", "w")
+        return w.select(*[c for c in rows.columns if c != "text"], F.explode(F.concat(*[shingles(F.col("w"), k) for k in widths])).alias("hash"))
 
-    met = exploded(texts).join(side(sketch, n_sketch), ["hash", "width"], "left_semi").select("doc_id").distinct()
+    met = exploded(texts).join(side(sketch, n_sketch), "hash", "left_semi").select("doc_id").distinct()
     met = stored(met, "met")
     again = texts.join(met.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    pairs = exploded(again).join(side(index.drop("size_class"), n_index), ["hash", "width"]).select("doc_id", "item", "item_id", "size", "hash", "in_sketch")
+    pairs = exploded(again).join(side(index.drop("size_class", "width"), n_index), "hash").select("doc_id", "item", "item_id", "size", "hash", "in_sketch")
     held = pairs.distinct().groupBy("doc_id", "item", "item_id", "size").agg(
         F.count("*").alias("n_shared"), F.max("in_sketch").alias("found"))
     return held.where(F.col("found") & (F.col("n_shared") >= F.col("size") * F.lit(containment) - F.lit(1e-9))) \

@@ -46,6 +46,12 @@ def op6_embedding_near_duplicates(spark, sf_dir):
     return embedding_near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op7_pii(spark, sf_dir):
+    from millrace.llm.pii import pii_report
+
+    return pii_report(table(spark, sf_dir, "documents"))
+
+
 def op9_decontamination(spark, sf_dir):
     from millrace.llm.decontaminate import contaminated
 
@@ -58,7 +64,7 @@ def op10_html_extraction(spark, sf_dir):
     return extract(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_near_duplicates, op2_sharding, op3_substring_dedup, op4_packing, op5_quality_classifier, op6_embedding_near_duplicates, op9_decontamination, op10_html_extraction)}
+QUERIES = {f.__name__: f for f in (op1_near_duplicates, op2_sharding, op3_substring_dedup, op4_packing, op5_quality_classifier, op6_embedding_near_duplicates, op7_pii, op9_decontamination, op10_html_extraction)}
 
 # Words in lower case, distinct five-word shingles (all words of a shorter item), exact containment.
 _CONTAINED = """

@@ -33,7 +33,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import mixed, stored, window_hashes, word_hashes
+from millrace.llm.common import discard, mixed, stored, window_hashes, word_hashes
 
 WINDOW = 35
 _EMPTY_SHA = hashlib.sha256(b"").hexdigest()
@@ -206,6 +206,7 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, doubling: bool = True
     flagged = stored(halves.join(often, "h").groupBy("rid").agg(F.collect_list("i").alias("flagged"))
                      .join(rows.select("rid", "doc_id", "sha", (F.col("copies") == 1).alias("alone")), "rid"), "flagged")
 
+    discard(scanned)
     near = texts.join(flagged.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id")))
     found = stored(near.select("rid", "sha", "alone", "flagged", "text")
                    .mapInArrow(_windows(window), "rid long, pos array<int>, h array<long>, c array<int>, body binary"), "windows")
