@@ -52,6 +52,12 @@ def op7_pii(spark, sf_dir):
     return pii_report(table(spark, sf_dir, "documents"))
 
 
+def op8_secret_scan(spark, sf_dir):
+    from millrace.llm.secrets import secret_scan
+
+    return secret_scan(table(spark, sf_dir, "documents"))
+
+
 def op9_decontamination(spark, sf_dir):
     from millrace.llm.decontaminate import contaminated
 
@@ -64,7 +70,7 @@ def op10_html_extraction(spark, sf_dir):
     return extract(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_near_duplicates, op2_sharding, op3_substring_dedup, op4_packing, op5_quality_classifier, op6_embedding_near_duplicates, op7_pii, op9_decontamination, op10_html_extraction)}
+QUERIES = {f.__name__: f for f in (op1_near_duplicates, op2_sharding, op3_substring_dedup, op4_packing, op5_quality_classifier, op6_embedding_near_duplicates, op7_pii, op8_secret_scan, op9_decontamination, op10_html_extraction)}
 
 # Words in lower case, distinct five-word shingles (all words of a shorter item), exact containment.
 _CONTAINED = """
