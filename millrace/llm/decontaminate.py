@@ -88,3 +88,10 @@ def contaminated(docs: DataFrame, items: DataFrame, containment: float = CONTAIN
         .groupBy("doc_id", "item_id").agg(F.max(F.struct(F.col("n_shared") / F.col("size"), "n_shared", "size")).alias("m")) \
         .select("doc_id", "item_id", F.col("m.n_shared").cast("long").alias("n_shared"), F.col("m.size").cast("long").alias("n_item"),
                 (F.col("m.n_shared") / F.col("m.size")).alias("containment"))
+
+
+def decontaminate(docs: DataFrame, items: DataFrame, containment: float = CONTAINMENT) -> DataFrame:
+    """``docs`` without the documents that hold an item (the text decides, so ids may be null or repeated)."""
+    by_text = docs.select(F.xxhash64("text").alias("doc_id"), "text")
+    hit = stored(contaminated(by_text, items, containment).select(F.col("doc_id").alias("_text")).distinct(), "contaminated")
+    return docs.join(hit, F.xxhash64("text") == F.col("_text"), "left_anti")

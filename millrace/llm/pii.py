@@ -169,7 +169,7 @@ def pii_report(docs: DataFrame) -> DataFrame:
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """``docs`` with every span replaced by its kind in brackets (overlapping spans by the first one's)."""
+    """``docs`` with every span replaced by its kind in brackets (overlapping spans by the first one's); ``n_chars`` follows."""
     name = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
 
@@ -180,4 +180,7 @@ def redact(docs: DataFrame) -> DataFrame:
 
     zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
     clean = F.aggregate("_all", zero, step, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, F.length(text))))
-    return with_spans(docs).withColumn("text", F.when(F.size("_all") > 0, clean).otherwise(F.col("text"))).drop("_base", "_all")
+    rows = with_spans(docs).withColumn("text", F.when(F.size("_all") > 0, clean).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        rows = rows.withColumn("n_chars", F.when(F.size("_all") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+    return rows.select(docs.columns)
