@@ -11,6 +11,7 @@ from millrace.plans.q_oee import _GOLD_COLS, _GOLD_WITH
 from millrace.plans.registry import register
 from millrace.session import scratch_path
 from millrace.sources.fixtures import view
+from millrace.sources.io import run_available_now
 from millrace.streaming.oee import run_oee
 
 
@@ -44,8 +45,8 @@ def q_anomaly_stream_scored(spark, sf_dir):
     work = scratch_path(spark, f"anomaly-stream-{uuid.uuid4().hex[:12]}")
     bronze = view(spark, sf_dir, "telemetry")
     bronze.write.mode("overwrite").parquet(f"{work}/bronze")
-    bronze_to_silver(spark, f"{work}/bronze", bronze.schema, f"{work}/silver",
-                     f"{work}/_ck/silver").awaitTermination(600)
+    run_available_now(bronze_to_silver(spark, f"{work}/bronze", bronze.schema, f"{work}/silver",
+                                       f"{work}/_ck/silver"))
     silver = spark.read.parquet(f"{work}/silver")
     feats = A.anomaly_features(A.label_anomaly(silver), segment=A.day_segment())
     feats.write.mode("overwrite").parquet(f"{work}/features")
@@ -53,6 +54,6 @@ def q_anomaly_stream_scored(spark, sf_dir):
     train, _ = M.hash_split(feats, "event_id", 70)
     model = M.fit(M.make_pipeline("tree_classifier", "anomaly", ANOMALY_NUMERIC, ANOMALY_CATEGORICAL,
                                   maxDepth=4, seed=42), train, "anomaly")
-    score_stream(spark, f"{work}/features", feats.schema, model, f"{work}/gold",
-                 f"{work}/_ck/gold").awaitTermination(600)
+    run_available_now(score_stream(spark, f"{work}/features", feats.schema, model, f"{work}/gold",
+                                   f"{work}/_ck/gold"))
     return spark.read.parquet(f"{work}/gold").drop("batch_id")

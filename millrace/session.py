@@ -65,14 +65,17 @@ def ensure_session_defaults(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the cluster (a shared file system).  Only when
-    it is unset (tests, local runs) do we pick a fresh scratch folder.
+    A cluster must set it (a shared file system); where it does not, this
+    raises.  Only with a local master, where driver and executors are one
+    process, is a fresh scratch folder picked when it is unset.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir() if hasattr(
             spark.sparkContext, "getCheckpointDir") else None
     if not d:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="millrace-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     try:

@@ -9,8 +9,11 @@ from __future__ import annotations
 import json
 import os
 import uuid
+from datetime import datetime, timedelta, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -46,20 +49,22 @@ def write_table(df: DataFrame, name: str, mode: str = "overwrite",
 
 
 def merge_schema_write(df: DataFrame, name: str, spark: SparkSession | None = None) -> None:
-    """Append rows whose schema may add columns.  Parquet tables have no
-    merge-on-write, so the existing table and the new rows are unioned by name
-    (missing columns become null) and the table is rewritten through a fresh
-    location, then swapped in the catalog."""
+    """Append rows whose schema may add columns.  New columns are added
+    to the table (older rows read as null), then the rows are appended by
+    name, with null for columns they lack; nothing is rewritten."""
     spark = spark or df.sparkSession
     if not spark.catalog.tableExists(name):
         write_table(df, name)
         return
-    old = spark.table(name)
-    merged = old.unionByName(df, allowMissingColumns=True)
-    tmp = f"{name}__merge_{uuid.uuid4().hex[:8]}"
-    write_table(merged, tmp)
-    spark.sql(f"DROP TABLE {name}")
-    spark.sql(f"ALTER TABLE {tmp} RENAME TO {name}")
+    have = spark.table(name).schema
+    new = [f for f in df.schema.fields if f.name not in have.fieldNames()]
+    if new:
+        added = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({added})")
+    full = spark.table(name).schema
+    rows = df.select(*[(F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                       for f in full.fields])
+    rows.write.insertInto(name)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -124,32 +129,52 @@ def _merge_struct(old: StructType, new: StructType) -> StructType:
     return StructType(out)
 
 
-def _read_kept_schema(spark: SparkSession, location: str) -> StructType | None:
+def _read_kept_schema(spark: SparkSession, location: str) -> tuple[StructType | None, str | None]:
+    """The kept schema and when its inference began; (None, None) where nothing is kept yet."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(location)
+    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        return None, None
+    rows = spark.read.text(location).collect()   # one line: the schema JSON
+    if not rows:
+        return None, None
+    kept = json.loads(rows[0][0])
+    return StructType.fromJson(kept["schema"]), kept["since"]
+
+
+def _infer(reader, path: str, kept: StructType | None) -> StructType:
+    """Schema of the files that ``reader`` sees; the kept one where it sees none."""
     try:
-        rows = spark.read.text(location).collect()   # one line: the schema JSON
-    except Exception:  # noqa: BLE001 - nothing kept yet
-        return None
-    return StructType.fromJson(json.loads(rows[0][0])) if rows else None
+        return reader.json(path).schema
+    except AnalysisException as e:
+        if kept is not None and "UNABLE_TO_INFER_SCHEMA" in str(e):
+            return kept
+        raise
 
 
 def ingest_json_files(spark: SparkSession, src_dir: str, schema_location: str,
-                      max_files: int = 16, sample_files: str | None = None) -> DataFrame:
+                      max_files: int | None = 16, sample_files: str | None = None) -> DataFrame:
     """S3: incremental JSON file ingest with a persisted inferred schema.
 
     The first start infers the schema from the files present (one batch
     job) and keeps it as one JSON line at ``schema_location``.  Later starts
     reuse it and merge in fields that new files add.  The schema is read and
     written with Spark's text source, so the location may be on any file
-    system the cluster shares.  At most ``max_files`` new files per
-    micro-batch."""
-    inferred = spark.read.json(sample_files or src_dir).schema
-    kept = _read_kept_schema(spark, schema_location)
+    system the cluster shares; later starts infer only from files modified
+    since it was kept.  At most ``max_files`` new files per micro-batch (None:
+    no limit)."""
+    # a little early, so that a file written meanwhile is looked at again
+    began = (datetime.now(timezone.utc) - timedelta(seconds=5)).strftime("%Y-%m-%dT%H:%M:%S")
+    kept, kept_at = _read_kept_schema(spark, schema_location)
+    fresh = spark.read.option("modifiedAfter", kept_at) if kept_at else spark.read
+    inferred = _infer(fresh, sample_files or src_dir, kept)
     schema = _merge_struct(kept, inferred) if kept is not None else inferred
-    (spark.createDataFrame([(json.dumps(schema.jsonValue()),)], "value string")
+    line = json.dumps({"schema": schema.jsonValue(), "since": began})
+    (spark.createDataFrame([(line,)], "value string")
           .coalesce(1).write.mode("overwrite").text(schema_location))
-    return (spark.readStream.schema(schema)
-                 .option("maxFilesPerTrigger", max_files)
-                 .json(src_dir))
+    r = spark.readStream.schema(schema)
+    if max_files:
+        r = r.option("maxFilesPerTrigger", max_files)
+    return r.json(src_dir)
 
 
 def append_stream(df: DataFrame, table: str, checkpoint: str, trigger: dict | None = None,
@@ -201,7 +226,11 @@ def stop_all_streams(spark: SparkSession) -> int:
     return n
 
 
-def run_available_now(w_query: StreamingQuery, timeout: float | None = None) -> StreamingQuery:
-    """Wait for an ``availableNow`` query to drain its input."""
-    w_query.awaitTermination(timeout)
-    return w_query
+def run_available_now(query: StreamingQuery, timeout: float | None = None) -> StreamingQuery:
+    """Wait until an ``availableNow`` query has drained its input (it
+    ends by itself).  With a ``timeout`` that runs out, the query is stopped
+    and ``TimeoutError`` raised: a layer that is not complete is never read."""
+    if not (query.awaitTermination() if timeout is None else query.awaitTermination(timeout)) and timeout is not None:
+        query.stop()
+        raise TimeoutError(f"stream {query.name or query.id} was still running after {timeout} seconds")
+    return query

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from millrace.plans import oee
-from millrace.sources.io import append_stream
+from millrace.sources.io import append_stream, run_available_now
 
 BRONZE_FILE_SCHEMA = StructType([StructField("body", StringType())])
 
@@ -33,7 +33,7 @@ def bronze_query(spark: SparkSession, src_dir: str, out_dir: str, ckpt: str,
     (merged with new fields on later starts, S3); otherwise it is fixed."""
     if schema_location:
         from millrace.sources.io import ingest_json_files
-        src = ingest_json_files(spark, src_dir, schema_location, max_files=max_files or 1000)
+        src = ingest_json_files(spark, src_dir, schema_location, max_files=max_files)
     else:
         r = spark.readStream.schema(BRONZE_FILE_SCHEMA)
         if max_files:
@@ -70,19 +70,19 @@ def gold_query(spark: SparkSession, silver_dir: str, silver_schema: StructType,
 
 
 def run_oee(spark: SparkSession, src_dir: str, work_dir: str, workforce: DataFrame,
-            max_files: int | None = 16, timeout: float | None = 600,
+            max_files: int | None = 16, timeout: float | None = None,
             window: str = "5 minutes", slide: str | None = None,
             lateness: str = "10 minutes", infer_schema: bool = False) -> dict:
-    """Run the three layers in order, each to completion (``availableNow``),
+    """Run the three layers in order, each to completion (``availableNow``;
+    a layer still running after ``timeout`` seconds is stopped and raises),
     and return the folders of the layer tables.  Calling it again processes
     only files that arrived since the last run."""
     p = {k: os.path.join(work_dir, k) for k in ("bronze", "silver", "gold")}
     ck = {k: os.path.join(work_dir, "_checkpoints", k) for k in p}
-    bronze_query(spark, src_dir, p["bronze"], ck["bronze"], max_files,
-                 schema_location=os.path.join(work_dir, "_schema") if infer_schema else None
-                 ).awaitTermination(timeout)
-    silver_query(spark, p["bronze"], p["silver"], ck["silver"]).awaitTermination(timeout)
+    run_available_now(bronze_query(spark, src_dir, p["bronze"], ck["bronze"], max_files,
+                                   schema_location=os.path.join(work_dir, "_schema") if infer_schema else None), timeout)
+    run_available_now(silver_query(spark, p["bronze"], p["silver"], ck["silver"]), timeout)
     silver_schema = spark.read.parquet(p["silver"]).schema
-    gold_query(spark, p["silver"], silver_schema, workforce, p["gold"], ck["gold"], window=window,
-               slide=slide, lateness=lateness).awaitTermination(timeout)
+    run_available_now(gold_query(spark, p["silver"], silver_schema, workforce, p["gold"], ck["gold"], window=window,
+                                 slide=slide, lateness=lateness), timeout)
     return p
