@@ -100,15 +100,15 @@ def device_features(df: DataFrame, key: str = "device_id", trip: str = "trip_id"
     * feature nulls forward-filled per series, then 0."""
     order = list(order)
     d = df
-    # a trip is one calendar day of one device, so (device, trip) series are
-    # already bounded: plain windows, no segmenting needed
+    # a trip is one calendar day of one device, of any size: its series go by hour
+    hours = F.date_trunc("hour", F.col(order[0])) if segment is not None else None
     d = ewma(d, "temperature", [key, trip], order, out="rolling_mean_temp",
-             com=temp_com, shift=temp_shift, segment=None)
+             com=temp_com, shift=temp_shift, segment=hours)
     d = d.withColumn("temp_difference", F.col("rolling_mean_temp") - F.col("temperature"))
     d = ewma(d, "density", [key], order, out="rolling_mean_density",
              span=density_span, shift=1, segment=segment)
     feat = ["rolling_mean_temp", "temp_difference", "rolling_mean_density"]
-    d = _ffill_then_zero(d, feat, key, trip, order, segment)
+    d = _ffill_then_zero(d, feat, key, trip, order, hours)
     if "factory_id" in one_hot_cols:
         d = one_hot(d, "factory_id", factories)
     if "model_id" in one_hot_cols:
@@ -119,10 +119,11 @@ def device_features(df: DataFrame, key: str = "device_id", trip: str = "trip_id"
 def _ffill_then_zero(d: DataFrame, cols, key, trip, order, segment) -> DataFrame:
     """Forward fill then 0.  An EWMA output is null only before the first
     observation of its series and never after it, so forward filling it
-    changes nothing: only ``temp_difference`` (null where the temperature is
-    null) needs the fill, inside its (device, trip) series."""
+    changes nothing (the EWMA carries over gaps of any length): only
+    ``temp_difference`` (null where the temperature is null) needs the fill,
+    inside its (device, trip) series."""
     from millrace.operators.windows import fill_forward
-    t = fill_forward(d, ["temp_difference"], [key, trip], order, segment=None)
+    t = fill_forward(d, ["temp_difference"], [key, trip], order, segment=segment)
     return t.na.fill(0.0, subset=list(cols))
 
 

@@ -236,51 +236,50 @@ def group_quantiles(df: DataFrame, key, col: str, probs=(0.89, 0.93),
     """Quantiles of ``col`` per group (one row per group), linear
     interpolation between order statistics.
 
-    ``ranked``: every row is ranked inside its group in value order with the
-    skew-safe numbering (segments = value buckets cut at global approximate
-    quantiles, so a hot group's rows spread over many tasks).  Then only the
-    rows at the needed ranks are kept and interpolated.  No group's values
-    are held together anywhere.
-    ``exact`` (default): measures the largest group first (one aggregate on
-    the keys); when no group exceeds ``windows.HOT_KEY_ROWS`` rows, the
-    grouped ``percentile`` (one aggregate, at most that many values merged
-    per group), else ``ranked``.
+    ``exact`` (default): the distinct values of each group are counted (an
+    aggregation with map-side combine), and their counts summed up in value
+    order within value buckets (cut at global approximate quantiles) and
+    shifted by the totals of the lower buckets, so a hot group's values
+    spread over many tasks.  Then only the values that cover the needed ranks
+    are kept and interpolated.  No group's values are held together anywhere.
     ``approx``: ``percentile_approx`` per group."""
-    from millrace.operators.windows import row_number_by
     keys = key if isinstance(key, (list, tuple)) else [key]
     probs = list(probs)
     names = [f"{prefix}{int(round(p * 100))}" for p in probs]
-    if method not in ("exact", "ranked"):
+    if method != "exact":
         agg = df.groupBy(*keys).agg(_quantile(col, probs, method, accuracy).alias("__q"))
         return agg.select(*keys, *[F.col("__q")[i].alias(n) for i, n in enumerate(names)])
     x = F.col(col).cast("double")
     vals = df.select(*keys, x.alias("__v")).filter(F.col("__v").isNotNull() & ~F.isnan("__v"))
-    from millrace.operators.windows import HOT_KEY_ROWS, largest_group
-    if method == "exact" and largest_group(vals, keys) <= HOT_KEY_ROWS:
-        agg = vals.groupBy(*keys).agg(F.percentile("__v", F.array(*[F.lit(float(p)) for p in probs])).alias("__q"))
-        return agg.select(*keys, *[F.col("__q")[i].alias(n) for i, n in enumerate(names)])
     edges = vals.agg(F.percentile_approx("__v", F.array(*[F.lit(i / buckets) for i in range(1, buckets)]),
                                          accuracy).alias("e")).first()["e"] or []
     edges = sorted(set(float(e) for e in edges))
     seg = F.lit(0)
     for e in edges:       # bucket = number of edges <= value (monotone in value)
         seg = seg + (F.col("__v") >= F.lit(e)).cast("int")
-    ranked = row_number_by(vals, keys, ["__v"], out="__r", segment=seg, with_count="__n")
-    picks, outs = [], []
+    # a struct of group and bucket: never null itself, null keys match themselves
+    counted = vals.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__c")) \
+        .withColumn("__ks", F.struct(*keys, seg.alias("__seg")))
+    inside = Window.partitionBy("__ks").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
+    counted = counted.withColumn("__upto", F.sum("__c").over(inside))
+    of_key = [F.col(f"__ks.{k}") for k in keys]
+    total = counted.groupBy("__ks").agg(F.sum("__c").alias("__t"))
+    total = total.select("__ks", F.sum("__t").over(Window.partitionBy(*of_key)).alias("__n"), F.coalesce(
+        F.sum("__t").over(Window.partitionBy(*of_key).orderBy("__ks.__seg").rowsBetween(Window.unboundedPreceding, -1)),
+        F.lit(0)).alias("__below"))
+    ranked = counted.join(total, "__ks").withColumn("__last", F.col("__upto") + F.col("__below")) \
+        .withColumn("__first", F.col("__last") - F.col("__c"))   # the value has the 0-based ranks first .. last - 1
+    covers = lambda r: (F.col("__first") <= r) & (r < F.col("__last"))
+    picks, outs, wanted = [], [], F.lit(False)
     for p, nm in zip(probs, names):
         h = F.lit(p) * (F.col("__n") - 1)
-        lo, hi = F.floor(h) + 1, F.ceil(h) + 1
-        picks += [F.max(F.when(F.col("__r") == lo, F.col("__v"))).alias(f"{nm}__lo"),
-                  F.max(F.when(F.col("__r") == hi, F.col("__v"))).alias(f"{nm}__hi"),
+        wanted = wanted | covers(F.floor(h)) | covers(F.ceil(h))
+        picks += [F.max(F.when(covers(F.floor(h)), F.col("__v"))).alias(f"{nm}__lo"),
+                  F.max(F.when(covers(F.ceil(h)), F.col("__v"))).alias(f"{nm}__hi"),
                   F.max(h - F.floor(h)).alias(f"{nm}__f")]
         outs.append(F.when(F.col(f"{nm}__f") == 0, F.col(f"{nm}__lo"))
                      .otherwise((F.lit(1.0) - F.col(f"{nm}__f")) * F.col(f"{nm}__lo")
                                 + F.col(f"{nm}__f") * F.col(f"{nm}__hi")).alias(nm))
-    wanted = None
-    for p in probs:
-        h = F.lit(p) * (F.col("__n") - 1)
-        c = (F.col("__r") == F.floor(h) + 1) | (F.col("__r") == F.ceil(h) + 1)
-        wanted = c if wanted is None else (wanted | c)
     return ranked.filter(wanted).groupBy(*keys).agg(*picks).select(*keys, *outs)
 
 

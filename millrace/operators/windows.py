@@ -13,8 +13,11 @@ Two physical forms
     Skew-safe form.  ``segment`` is a coarse, order-compatible bucket of the
     ordering (e.g. the calendar day of the timestamp).  The heavy work is
     partitioned by ``(key, segment)`` so one hot key is spread over many
-    tasks; only small per-(key, segment) summaries are ordered per key.  The
-    results are exactly those of the plain form.
+    tasks; only small per-(key, segment) summaries are ordered per key.  Rows
+    with a null key or a null segment form a series or a last segment of their
+    own, as in the plain form: joins go by a struct of key and segment, which
+    is never null itself and compares null fields as equal, and which the
+    windows are partitioned by too (no second exchange).
 
 No operator collects a series to the driver or into one Python worker.
 """
@@ -28,9 +31,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _SEG = "__seg"
+_KS = "__ks"
 _RN = "__rn"
 
 
+def _segmented(df: DataFrame, keys: list, segment: Column) -> DataFrame:
+    """``df`` with its segment and the struct (key, segment) that windows and joins go by."""
+    d = df.withColumn(_SEG, segment)
+    return d.withColumn(_KS, F.struct(*keys, _SEG))
+
+
+def _order_key(order) -> Column:
+    """A struct that orders rows as ``asc_nulls_last`` does."""
+    cols = [F.col(o) if isinstance(o, str) else o for o in _list(order)]
+    return F.struct(*[F.struct(c.isNull(), c) for c in cols])
+
+
 def _list(x) -> list:
     if x is None:
         return []
@@ -48,33 +64,6 @@ def series_window(key, order) -> Window:
     return Window.partitionBy(*_list(key)).orderBy(*_order_cols(order))
 
 
-# A series (or group) with more rows than this is "hot": one task would sort
-# or merge it alone, so the segmented / ranked forms are used.  Below it, one
-# task handles a series comfortably and the plain window is cheaper.
-HOT_KEY_ROWS = 5_000_000
-_HOT_CACHE: dict = {}
-
-
-def largest_group(df: DataFrame, key) -> int:
-    """Rows of the largest group of ``key``: one aggregate over the key
-    columns only (partial per partition), cached per plan."""
-    keys = tuple(_list(key))
-    ck = (df.semanticHash(), keys)
-    if ck not in _HOT_CACHE:
-        r = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("m")).first()
-        _HOT_CACHE[ck] = int(r["m"] or 0)
-    return _HOT_CACHE[ck]
-
-
-def auto_segment(df: DataFrame, key, segment: Column | None,
-                 hot_rows: int = HOT_KEY_ROWS) -> Column | None:
-    """``segment`` when some key of ``df`` holds more than ``hot_rows`` rows,
-    else None (plain windows).  The choice is measured, not guessed."""
-    if segment is None:
-        return None
-    return segment if largest_group(df, key) > hot_rows else None
-
-
 # ---------------------------------------------------------------------------
 # Row number (skew-safe numbering is the base of the segmented forms)
 # ---------------------------------------------------------------------------
@@ -100,19 +89,18 @@ def row_number_by(df: DataFrame, key, order, out: str = "row_num",
             res = res.withColumn(with_count, F.count(F.lit(1)).over(Window.partitionBy(*keys)))
         return res.drop("__all") if "__all" in res.columns else res
 
-    d = df.withColumn(_SEG, segment)
-    local = d.withColumn(out, F.row_number().over(series_window(keys + [_SEG], order)))
-    counts = d.groupBy(*keys, _SEG).agg(F.count(F.lit(1)).alias("__cnt"))
-    per_key = Window.partitionBy(*keys).orderBy(F.col(_SEG).asc_nulls_last())
+    d = _segmented(df, keys, segment)
+    local = d.withColumn(out, F.row_number().over(series_window(_KS, order)))
+    counts = d.groupBy(_KS).agg(F.count(F.lit(1)).alias("__cnt"))
+    of_key = [F.col(f"{_KS}.{k}") for k in keys]
+    per_key = Window.partitionBy(*of_key).orderBy(F.col(f"{_KS}.{_SEG}").asc_nulls_last())
     offs = counts.withColumn(
-        "__off", F.sum("__cnt").over(per_key.rowsBetween(Window.unboundedPreceding, -1)))
-    cols = [*keys, _SEG, F.coalesce("__off", F.lit(0)).alias("__off")]
+        "__off", F.coalesce(F.sum("__cnt").over(per_key.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     if with_count:
-        offs = offs.withColumn(with_count, F.sum("__cnt").over(Window.partitionBy(*keys)))
-        cols.append(with_count)
-    res = (local.join(offs.select(*cols), [*keys, _SEG], "inner")
+        offs = offs.withColumn(with_count, F.sum("__cnt").over(Window.partitionBy(*of_key)))
+    res = (local.join(offs.drop("__cnt"), _KS, "inner")
                 .withColumn(out, F.col(out) + F.col("__off"))
-                .drop("__off", _SEG))
+                .drop("__off", _SEG, _KS))
     return res.drop("__all") if "__all" in res.columns else res
 
 
@@ -127,10 +115,11 @@ def dense_rank_by(df: DataFrame, key, value: Column, out: str = "trip_id") -> Da
     side is never sorted per key."""
     keys = _list(key)
     d = df.withColumn("__v", value)
-    ranks = (d.select(*keys, "__v").distinct()
+    d = d.withColumn(_KS, F.struct(*keys, "__v"))   # null keys and values match themselves
+    ranks = (d.select(_KS).distinct()
               .withColumn(out, F.dense_rank().over(
-                  Window.partitionBy(*keys).orderBy(F.col("__v").asc_nulls_last()))))
-    return d.join(ranks, [*keys, "__v"], "inner").drop("__v")
+                  Window.partitionBy(*[F.col(f"{_KS}.{k}") for k in keys]).orderBy(F.col(f"{_KS}.__v").asc_nulls_last()))))
+    return d.join(ranks, _KS, "inner").drop("__v", _KS)
 
 
 # ---------------------------------------------------------------------------
@@ -161,44 +150,44 @@ def lag_by(df: DataFrame, key, order, cols, n=1, suffix: str = "_lag",
     # counts and tails (small tables).  The windowed data is consumed once,
     # in a left join with that table.
     m = max(ns)
-    base = df.withColumn(_SEG, segment)
-    ws = series_window(keys + [_SEG], order)
+    base = _segmented(df, keys, segment)
+    ws = series_window(_KS, order)
     d = (base.withColumn("__lrn", F.row_number().over(ws))
              .select("*", *[F.lag(c, k).over(ws).alias(names[(c, k)]) for c in cols for k in ns]))
-    counts = base.groupBy(*keys, _SEG).agg(F.count(F.lit(1)).alias("__cnt"))
+    of_key = [F.col(f"{_KS}.{k}") for k in keys]
+    whose = F.struct(*of_key).alias("__key")
+    counts = base.groupBy(_KS).agg(F.count(F.lit(1)).alias("__cnt"))
     offs = counts.withColumn("__off", F.coalesce(F.sum("__cnt").over(
-        Window.partitionBy(*keys).orderBy(F.col(_SEG).asc_nulls_last())
+        Window.partitionBy(*of_key).orderBy(F.col(f"{_KS}.{_SEG}").asc_nulls_last())
               .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     if m == 1:
         # the last row of each segment, by an aggregate (no second window)
-        okey = F.struct(*[F.struct(F.col(o).isNull(), F.col(o)) if isinstance(o, str) else
-                          F.struct(o.isNull(), o) for o in _list(order)])
-        last = base.groupBy(*keys, _SEG).agg(
-            F.max_by(F.struct(*[F.col(c) for c in cols]), okey).alias("__last"))
-        tails = (last.join(offs, [*keys, _SEG], "inner")
-                     .select(*keys, (F.col("__off") + F.col("__cnt")).alias("__src"),
+        last = base.groupBy(_KS).agg(
+            F.max_by(F.struct(*[F.col(c) for c in cols]), _order_key(order)).alias("__last"))
+        tails = (last.join(offs, _KS, "inner")
+                     .select(whose, (F.col("__off") + F.col("__cnt")).alias("__src"),
                              *[F.col(f"__last.{c}").alias(f"__t_{c}") for c in cols]))
     else:
-        tails = (d.join(counts, [*keys, _SEG], "inner")
+        tails = (d.join(counts, _KS, "inner")
                   .filter(F.col("__lrn") > F.col("__cnt") - m)
-                  .join(offs.drop("__cnt"), [*keys, _SEG], "inner")
-                  .select(*keys, (F.col("__off") + F.col("__lrn")).alias("__src"),
+                  .join(offs.drop("__cnt"), _KS, "inner")
+                  .select(whose, (F.col("__off") + F.col("__lrn")).alias("__src"),
                           *[F.col(c).alias(f"__t_{c}") for c in cols]))
-    fix = offs.select(*keys, _SEG, "__off", F.explode(F.sequence(
+    fix = offs.select(_KS, whose, "__off", F.explode(F.sequence(
         F.lit(1), F.least(F.lit(m), F.col("__cnt")))).alias("__lrn"))
     fix = fix.withColumn("__grn", F.col("__off") + F.col("__lrn"))
     for k in ns:
-        tk = tails.select(*keys, (F.col("__src") + k).alias("__grn"),
+        tk = tails.select("__key", (F.col("__src") + k).alias("__grn"),
                           *[F.col(f"__t_{c}").alias(f"__f{k}_{c}") for c in cols])
-        fix = fix.join(tk, [*keys, "__grn"], "left")
+        fix = fix.join(tk, ["__key", "__grn"], "left")
     # one row per (key, segment): position -> values (at most m entries), so
     # the join below reuses the window's (key, segment) partitioning and
     # moves only this small side
     fcols = [f"__f{k}_{c}" for k in ns for c in cols]
-    fix = (fix.groupBy(*keys, _SEG)
+    fix = (fix.groupBy(_KS)
               .agg(F.map_from_entries(F.collect_list(F.struct(
                   "__lrn", F.struct(*[F.col(x) for x in fcols])))).alias("__fix")))
-    out = d.join(fix, [*keys, _SEG], "left")
+    out = d.join(fix, _KS, "left")
     sel = [F.col(c) for c in df.columns]
     for c in cols:
         for k in ns:
@@ -219,12 +208,9 @@ def rolling_avg(df: DataFrame, cols, key, order, back: int = 1, suffix: str = "_
         outs = [F.avg(c).over(w) for c in cols]
         return df.select("*", *[(o.cast(cast) if cast else o).alias(f"{c}{suffix}")
                                 for c, o in zip(cols, outs)])
-    cur = df
-    lagged = []
-    for i in range(1, back + 1):
-        nm = {c: f"__{c}_l{i}" for c in cols}
-        cur = lag_by(cur, key, order, cols, n=i, segment=segment, names=nm)
-        lagged.append(nm)
+    lagged = [{c: f"__{c}_l{i}" for c in cols} for i in range(1, back + 1)]
+    cur = lag_by(df, key, order, cols, n=list(range(1, back + 1)), segment=segment,
+                 names={(c, i): f"__{c}_l{i}" for c in cols for i in range(1, back + 1)})
     exprs = []
     for c in cols:
         vals = [F.col(c).cast("double")] + [F.col(m[c]).cast("double") for m in lagged]
@@ -271,24 +257,24 @@ def fill_forward(df: DataFrame, cols, key, order, segment: Column | None = None,
         return df.select(*[pick(c, w).alias(c) if c in cols else F.col(c) for c in df.columns])
     # Skew-safe: fill inside (key, segment); carry the boundary value of the
     # neighbouring segments from the small per-segment table.
-    d = df.withColumn(_SEG, segment)
-    ws = series_window(keys + [_SEG], order)
+    d = _segmented(df, keys, segment)
+    ws = series_window(_KS, order)
     ws = ws.rowsBetween(Window.unboundedPreceding, 0) if not backward else \
         ws.rowsBetween(0, Window.unboundedFollowing)
     inner = d.select(*[pick(c, ws).alias(c) if c in cols else F.col(c) for c in d.columns])
     # boundary value per segment: last (first) non-null in order
-    ordkey = F.struct(*[F.col(o) if isinstance(o, str) else o for o in _list(order)])
+    ordkey = _order_key(order)
     agg = [(F.max_by(F.col(c), F.when(F.col(c).isNotNull(), ordkey)) if not backward else
             F.min_by(F.col(c), F.when(F.col(c).isNotNull(), ordkey))).alias(f"__b_{c}")
            for c in cols]
-    bounds = d.groupBy(*keys, _SEG).agg(*agg)
-    wk = Window.partitionBy(*keys).orderBy(F.col(_SEG).asc_nulls_last())
+    bounds = d.groupBy(_KS).agg(*agg)
+    wk = Window.partitionBy(*[F.col(f"{_KS}.{k}") for k in keys]).orderBy(F.col(f"{_KS}.{_SEG}").asc_nulls_last())
     wk = wk.rowsBetween(Window.unboundedPreceding, -1) if not backward else \
         wk.rowsBetween(1, Window.unboundedFollowing)
-    carry = bounds.select(*keys, _SEG, *[
+    carry = bounds.select(_KS, *[
         (F.last(f"__b_{c}", ignorenulls=True) if not backward else
          F.first(f"__b_{c}", ignorenulls=True)).over(wk).alias(f"__c_{c}") for c in cols])
-    out = inner.join(carry, [*keys, _SEG], "left")
+    out = inner.join(carry, _KS, "left")
     return out.select(*[F.coalesce(F.col(c), F.col(f"__c_{c}")).alias(c) if c in cols
                         else F.col(c) for c in df.columns])
 
@@ -333,11 +319,14 @@ def ewma(df: DataFrame, col: str, key, order, out: str | None = None,
     y_t = sum_{i<=t} b^(t-i) x_i / sum_{i<=t, x_i not null} b^(t-i),  b = 1-alpha
 
     Computed in blocks of ``B`` rows so every power of b stays in double
-    range: running sums inside a block, plus a carry from earlier blocks.
-    The carry of block k is  sum_{d=1..L} T_{k-d} b^(B(d-1))  where T is a
-    block total; terms older than L blocks weigh less than 2^-60 of the
-    current row and are below double precision.  The carry is an
-    explode + group-by on (key, block): no per-key task, no collected list.
+    range: running sums inside a block, plus what all earlier blocks carry in.
+    A block with observations knows its sums at its end, S = its own total T
+    plus those of the blocks before it (terms that weigh less than 2^-60 of T
+    are below double precision).  The carry of a block is the S of the last
+    block before it that has observations, however far back: the gap only
+    scales both sums, so where a block has no observation yet the value is
+    S_num / S_den, unscaled.  Only the table of blocks (one row for B rows) is
+    ordered per key.
     """
     a = ewm_alpha(com, span, alpha, halflife)
     b = 1.0 - a
@@ -350,7 +339,8 @@ def ewma(df: DataFrame, col: str, key, order, out: str | None = None,
         # block) stays small enough to broadcast even for very long series
         block = 65536 if lb == 0 else max(1, min(65536, int(69.0 / lb)))
     B = block
-    L = 1 if lb == float("inf") else max(1, math.ceil(60.0 * math.log(2.0) / (B * lb)))
+    # T weighs at least b^(B-1) at the block's end, a total at most 1 / (1 - b)
+    L = 1 if lb == float("inf") else 1 + math.ceil((60.0 * math.log(2.0) - math.log(a)) / (B * lb))
 
     if shift not in (0, 1):
         # general shift: move the values first, then smooth
@@ -373,24 +363,31 @@ def ewma(df: DataFrame, col: str, key, order, out: str | None = None,
           .withColumn("__sd", F.sum(F.when(has, inv)).over(wblk)))
     # block totals, weighted to the last position of the block
     tail = F.pow(F.lit(b), F.lit(B - 1) - F.col("__j").cast("double"))
-    totals = d.groupBy(*keys, "__blk").agg(
+    d = d.withColumn(_KS, F.struct(*keys, "__blk"))
+    totals = d.groupBy(_KS).agg(
         F.sum(F.when(has, xv * tail)).alias("__tn"),
         F.sum(F.when(has, tail)).alias("__td"))
-    carry = (totals
-             .select(*keys, "__blk", "__tn", "__td",
-                     F.explode(F.sequence(F.lit(1), F.lit(L))).alias("__d"))
-             .select(*keys, (F.col("__blk") + F.col("__d")).alias("__blk"),
-                     (F.col("__tn") * F.pow(F.lit(b), (F.col("__d") - 1) * B)).alias("__cn"),
-                     (F.col("__td") * F.pow(F.lit(b), (F.col("__d") - 1) * B)).alias("__cd"))
-             .groupBy(*keys, "__blk").agg(F.sum("__cn").alias("__cn"), F.sum("__cd").alias("__cd")))
+    later = (totals.filter(F.col("__td").isNotNull())
+             .select(_KS, "__tn", "__td", F.explode(F.sequence(F.lit(0), F.lit(L))).alias("__d"))
+             .select(F.struct(*[F.col(f"{_KS}.{k}").alias(k) for k in keys],
+                              (F.col(f"{_KS}.__blk") + F.col("__d")).alias("__blk")).alias(_KS),
+                     (F.col("__tn") * F.pow(F.lit(b), F.col("__d") * B)).alias("__n"),
+                     (F.col("__td") * F.pow(F.lit(b), F.col("__d") * B)).alias("__m"))
+             .groupBy(_KS).agg(F.sum("__n").alias("__n"), F.sum("__m").alias("__m")))
+    ends = totals.join(later, _KS, "left").withColumn(
+        "__s", F.when(F.col("__td").isNotNull(), F.struct("__n", "__m", F.col(f"{_KS}.__blk").alias("at"))))
+    before = Window.partitionBy(*[F.col(f"{_KS}.{k}") for k in keys]).orderBy(F.col(f"{_KS}.__blk")) \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    carry = ends.select(_KS, F.last("__s", ignorenulls=True).over(before).alias("__c"))
     j = F.col("__j").cast("double") - F.lit(float(shift))
     bj = F.pow(F.lit(b), j)
-    bj1 = F.pow(F.lit(b), j + 1)
-    num = F.coalesce(F.col("__sn") * bj, F.lit(0.0)) + F.coalesce(F.col("__cn") * bj1, F.lit(0.0))
-    den = F.coalesce(F.col("__sd") * bj, F.lit(0.0)) + F.coalesce(F.col("__cd") * bj1, F.lit(0.0))
-    res = (d.join(carry, [*keys, "__blk"], "left")
-            .withColumn(out, F.when(den > 0, num / den)))
-    return res.drop(_RN, "__blk", "__j", "__sn", "__sd", "__cn", "__cd")
+    gap = F.pow(F.lit(b), j + 1 + (F.col("__blk") - 1 - F.col("__c.at")) * B)
+    num = F.coalesce(F.col("__sn") * bj, F.lit(0.0)) + F.coalesce(F.col("__c.__n") * gap, F.lit(0.0))
+    den = F.coalesce(F.col("__sd") * bj, F.lit(0.0)) + F.coalesce(F.col("__c.__m") * gap, F.lit(0.0))
+    res = (d.join(carry, _KS, "left")
+            .withColumn(out, F.when(F.col("__sd").isNull(), F.col("__c.__n") / F.col("__c.__m"))
+                              .otherwise(num / den)))
+    return res.drop(_RN, "__blk", "__j", "__sn", "__sd", "__c", _KS)
 
 
 # ---------------------------------------------------------------------------

@@ -37,16 +37,10 @@ def day_segment(ts: str = "timestamp") -> Column:
     return F.to_date(F.col(ts))
 
 
-def anomaly_feature_table(silver: DataFrame, skew_safe: bool | str = "auto") -> DataFrame:
-    """E1 + E2: labelled features, one row per reading.  ``skew_safe``:
-    True = day-segmented windows, False = plain, "auto" = segmented only when
-    a device holds more than ``windows.HOT_KEY_ROWS`` readings."""
-    from millrace.operators.windows import auto_segment
-    lab = label_anomaly(silver)
-    seg = day_segment() if skew_safe else None
-    if skew_safe == "auto":
-        seg = auto_segment(silver, "device_id", seg)
-    return anomaly_features(lab, segment=seg)
+def anomaly_feature_table(silver: DataFrame, skew_safe: bool = True) -> DataFrame:
+    """E1 + E2: labelled features, one row per reading, by day-segmented
+    windows (``skew_safe=False``: one plain window a device)."""
+    return anomaly_features(label_anomaly(silver), segment=day_segment() if skew_safe else None)
 
 
 # ------------------------------------------------------------------ dashboard

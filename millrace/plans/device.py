@@ -20,16 +20,16 @@ def day_segment():
     return F.to_date("timestamp")
 
 
-def _segment_for(key, skew_safe, df: DataFrame | None = None):
-    """Series keyed by (device, trip) are one device-day each: already
-    bounded, plain windows.  Per-device series use day segments when
-    ``skew_safe`` is True, or with "auto" when a device is hot."""
-    if not skew_safe or "trip_id" in list(key):
+def hour_segment():
+    return F.date_trunc("hour", "timestamp")
+
+
+def _segment_for(key, skew_safe):
+    """Per-device series go by day segments, (device, trip) series (one
+    device-day each, of any size) by hour segments."""
+    if not skew_safe:
         return None
-    if skew_safe == "auto" and df is not None:
-        from millrace.operators.windows import auto_segment
-        return auto_segment(df, list(key), day_segment())
-    return day_segment()
+    return hour_segment() if "trip_id" in list(key) else day_segment()
 
 
 def add_trips(readings: DataFrame, key: str = "device_id", ts: str = "timestamp") -> DataFrame:

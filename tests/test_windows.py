@@ -129,11 +129,62 @@ def test_ewma_small_blocks_long_carry(spark):
             assert res[key] == pytest.approx(w, rel=1e-9, abs=1e-9)
 
 
-def test_auto_segment_measures_the_largest_key(spark):
-    from millrace.operators.windows import auto_segment, largest_group
-    df = spark.createDataFrame([(1, i) for i in range(30)] + [(2, 0)], "k int, t int")
-    assert largest_group(df, "k") == 30
-    seg = F.floor(F.col("t") / 10)
-    assert auto_segment(df, "k", seg, hot_rows=10) is seg       # hot key: split
-    assert auto_segment(df, "k", seg, hot_rows=100) is None     # small keys: plain window
-    assert auto_segment(df, "k", None, hot_rows=1) is None
+def _odd_rows(spark):
+    """Null keys, null times, null values, ties and a gap longer than many blocks."""
+    rows = [(k, None if i % 17 == 3 else i, float(i % 7) if i < 10 or i > 390 else None, i)
+            for k in ("a", None) for i in range(400)]
+    return spark.createDataFrame(rows, "k string, t int, x double, id int")
+
+
+def test_segmented_forms_equal_plain_forms_on_nulls(spark):
+    from pyspark.sql import functions as F
+
+    from millrace.operators import windows as W
+    df, seg, order = _odd_rows(spark), F.floor(F.col("t") / 25), ["t", "id"]
+
+    def same(f):
+        plain, cut = ([tuple(r) for r in f(s).collect()] for s in (None, seg))
+        assert len(plain) == 800
+        key = lambda r: (r[0] or "", r[3])
+        for a, b in zip(sorted(plain, key=key), sorted(cut, key=key)):
+            assert a == pytest.approx(b, nan_ok=True) if all(isinstance(v, (int, float)) for v in a) else \
+                all(u == v or (isinstance(u, float) and u == pytest.approx(v)) for u, v in zip(a, b))
+
+    same(lambda s: W.row_number_by(df, "k", order, segment=s, with_count="n"))
+    same(lambda s: W.lag_by(df, "k", order, ["x"], n=1, segment=s))
+    same(lambda s: W.lag_by(df, "k", order, ["x"], n=[1, 3], segment=s))
+    same(lambda s: W.fill_forward(df, ["x"], "k", order, segment=s))
+    same(lambda s: W.fill_forward(df, ["x"], "k", order, segment=s, backward=True))
+    same(lambda s: W.ewma(df, "x", "k", order, com=5, segment=s))
+    same(lambda s: W.ordered_split(df, order, 0.7, segment=s))
+    assert W.dense_rank_by(df, "k", F.col("t")).count() == 800
+
+
+def test_ewma_carries_over_a_long_gap(spark):
+    import pandas as pd
+
+    from millrace.operators.windows import ewma
+    xs = [float(i) if i < 10 else None for i in range(3000)] + [5.0, None, 7.0]
+    df = spark.createDataFrame([(1, i, x) for i, x in enumerate(xs)], "k int, t int, x double")
+    for block in (None, 3):
+        got = [r["e"] for r in ewma(df, "x", "k", "t", out="e", com=5, block=block).orderBy("t").collect()]
+        assert got == pytest.approx(pd.Series(xs, dtype=float).ewm(com=5).mean().tolist(), rel=1e-9)
+
+
+def test_group_quantiles_keep_the_null_group(spark):
+    import numpy as np
+
+    from millrace.operators.profile import group_quantiles
+    df = _odd_rows(spark)
+    got = {r["k"]: r["q89"] for r in group_quantiles(df, "k", "x", [0.89]).collect()}
+    xs = [float(i % 7) for i in range(400) if i < 10 or i > 390]
+    assert got == {k: pytest.approx(float(np.quantile(xs, 0.89))) for k in ("a", None)}
+
+
+def test_a_limit_that_runs_out_raises(spark, scratch):
+    from millrace.sources.io import append_stream, run_available_now
+    rate = spark.readStream.format("rate").load()
+    q = append_stream(rate, None, f"{scratch}/ck", {"processingTime": "1 second"}, path=f"{scratch}/out")
+    with pytest.raises(TimeoutError):
+        run_available_now(q, timeout=2)
+    assert not q.isActive
