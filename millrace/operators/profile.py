@@ -397,13 +397,20 @@ def winsorize(df: DataFrame, cols=None, k: float = 1.5, method: str = "exact",
 def describe(df: DataFrame, cols=None, method: str = "exact", accuracy: int = 10000) -> DataFrame:
     """Count, mean, sample std, min, quartiles, max per numeric column,
     long form (one row per column).  Moments come from one aggregate; the
-    quartiles from :func:`exact_quantiles` (or the approximate sketch)."""
+    quartiles from :func:`exact_quantiles` (or the approximate sketch).  The
+    mean is an exact decimal sum (12 digits) over the count, so it does not
+    depend on the order of addition; columns with values that a
+    DECIMAL(28,12) does not hold (NaN, infinite, 1e16 and more) get the plain
+    average."""
     cols = cols or numeric_columns(df)
     probs = [0.25, 0.5, 0.75]
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
+        d = F.expr(f"try_cast(cast(`{c}` as double) as decimal(28,12))")
+        exact = F.try_divide(F.try_sum(d), F.count(x)).cast("double")
+        mean = F.when(F.count(d) == F.count(x), F.coalesce(exact, F.avg(x))).otherwise(F.avg(x))
+        aggs += [F.count(x).alias(f"{c}__count"), mean.alias(f"{c}__mean"),
                  F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
                  F.max(x).alias(f"{c}__max")]
         if method != "exact":

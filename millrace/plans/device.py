@@ -58,15 +58,15 @@ def temperature_ewma(readings: DataFrame, key=("device_id", "trip_id"), com: flo
              .withColumn("temp_deviation", F.col("temperature") - F.col("rolling_mean_temp")))
 
 
-def feature_table(readings: DataFrame, factories=None, models=None, skew_safe="auto") -> DataFrame:
+def feature_table(readings: DataFrame, factories=None, models=None, skew_safe: bool = True) -> DataFrame:
     """E5 on trips."""
     return device_features(add_trips(readings), factories=factories, models=models,
-                           segment=_segment_for(["device_id"], skew_safe, readings))
+                           segment=_segment_for(["device_id"], skew_safe))
 
 
-def defects(readings: DataFrame, skew_safe="auto", **rules) -> DataFrame:
+def defects(readings: DataFrame, skew_safe: bool = True, **rules) -> DataFrame:
     """E6."""
-    return label_defects(readings, segment=_segment_for(["device_id"], skew_safe, readings),
+    return label_defects(readings, segment=_segment_for(["device_id"], skew_safe),
                          **rules)
 
 

@@ -107,8 +107,14 @@ def q_engine_winsorized(spark, sf_dir):
     return round_doubles(P.winsorize(_engine(spark, sf_dir), ENGINE_COLS))
 
 
+def _exact_mean(c: str) -> str:
+    """Mean of an exact integer sum in millionths, rounded half away from zero to 6 digits."""
+    s, n = f"sum(CAST(round(CAST({c} AS DOUBLE) * 1000000) AS HUGEINT))", f"count({c})"
+    return f"CAST(sign({s}) * ((2 * abs({s}) + {n}) // (2 * {n})) AS DOUBLE) / 1000000"
+
+
 @register("engine_describe", _W + " UNION ALL ".join(
-    f"""SELECT '{c}' AS "column", count({c}) AS count, round(avg(CAST({c} AS DOUBLE)), 6) AS mean,
+    f"""SELECT '{c}' AS "column", count({c}) AS count, {_exact_mean(c)} AS mean,
         round(stddev_samp(CAST({c} AS DOUBLE)), 6) AS std, round(CAST(min({c}) AS DOUBLE), 6) AS min,
         round(quantile_cont(CAST({c} AS DOUBLE), 0.25), 6) AS p25,
         round(quantile_cont(CAST({c} AS DOUBLE), 0.5), 6) AS p50,

@@ -5,19 +5,19 @@ import duckdb
 import pytest
 
 import __spark_entry__ as se
-from conftest import SF_SMALL
+from conftest import SF_ORACLE, SF_SMALL
 from millrace.sources.fixtures import TABLES
 from tools.oracle_check import digest
 
 ORACLE = se.oracle_sql()
 
 
-@pytest.fixture(scope="module")
-def duck():
+@pytest.fixture(scope="module", params=[SF_ORACLE, SF_SMALL], ids=["sf0.01", "sf0.001"])
+def duck(request):
     con = duckdb.connect()
     for t in TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
-    return con
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{request.param}/{t}.parquet')")
+    return request.param, con
 
 
 def test_entry_smoke(spark):
@@ -31,9 +31,10 @@ def test_every_query_has_callable():
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, duck, name):
-    df = se.queries()[name](spark, SF_SMALL)
+    sf_dir, con = duck
+    df = se.queries()[name](spark, sf_dir)
     scols, srows = df.columns, [tuple(r) for r in df.collect()]
-    res = duck.execute(ORACLE[name])
+    res = con.execute(ORACLE[name])
     dcols = [d[0] for d in res.description]
     drows = res.fetchall()
     assert sorted(scols) == sorted(dcols)
