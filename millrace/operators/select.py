@@ -61,6 +61,11 @@ def in_range(df: DataFrame, ts: str, lo=None, hi=None, members: list | None = No
     return out
 
 
+def containing(df: DataFrame, col: str, text: str) -> DataFrame:
+    """rows whose column contains a substring (literal, case-sensitive)."""
+    return df.filter(F.contains(F.col(col), F.lit(text)))
+
+
 def drop_null_rows(df: DataFrame, subset=None) -> DataFrame:
     """P11."""
     return df.na.drop(subset=subset)

@@ -5,6 +5,8 @@ twin) and by the seed-stable tests in ``tests/``."""
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import functions as F
 
 from millrace.operators import grouped as G
@@ -228,6 +230,33 @@ WINDOW w0 AS (PARTITION BY device_id ORDER BY `timestamp`, event_id),
 """
 
 
+def _artefact(spark, sf_dir):
+    """The feature step, the labelled readings with its features, and their training part.
+
+    Features are computed on all readings and split afterwards, so that a
+    training row's previous reading is the one it has when it is scored."""
+    step = SQLTransformer(statement=ANOMALY_FEATURE_SQL)
+    labelled = A.label_anomaly(view(spark, sf_dir, "telemetry"))
+    feats = step.transform(labelled)
+    train, _ = M.hash_split(feats, "event_id", 70)
+    return step, labelled, feats, train
+
+
+@register("anomaly_feature_parity", _ANOM_WITH + """
+SELECT CAST(count(*) AS BIGINT) AS training_rows, CAST(0 AS BIGINT) AS differing
+FROM feat WHERE CAST(('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 8)) AS BIGINT) % 100 < 70""")
+def q_anomaly_feature_parity(spark, sf_dir):
+    """Training rows, and those whose features differ from the ones that
+    the artefact's own feature step gives them when all readings are scored."""
+    _, _, feats, train = _artefact(spark, sf_dir)
+    names = ["s1_rolling_avg", "s1_diff", "hour_of_day_f"]
+    served = feats.select("event_id", *[F.col(c).alias(f"served_{c}") for c in names])
+    differs = ~F.lit(True)
+    for c in names:
+        differs = differs | ~F.col(c).eqNullSafe(F.col(f"served_{c}"))
+    return train.join(served, "event_id").agg(F.count("*").alias("training_rows"), F.count(F.when(differs, 1)).alias("differing"))
+
+
 @register("anomaly_model_artefact")
 def q_anomaly_model_artefact(spark, sf_dir):
     """M11 + M10: one artefact = feature SQL + encoders + tree; saved to the
@@ -235,13 +264,11 @@ def q_anomaly_model_artefact(spark, sf_dir):
     back, then used to score every labelled reading."""
     import uuid
     from millrace.session import scratch_path
-    silver = view(spark, sf_dir, "telemetry")
-    labelled = A.label_anomaly(silver)
-    train, _ = M.hash_split(labelled, "event_id", 70)
+    step, labelled, _, train = _artefact(spark, sf_dir)
     pipe = M.make_pipeline("tree_classifier", "anomaly",
                            ["sensor_1", "sensor_2", "sensor_3", "s1_rolling_avg", "s1_diff", "hour_of_day_f"],
-                           ["device_model"], sql_features=ANOMALY_FEATURE_SQL, maxDepth=4, seed=42)
-    model = M.fit(pipe, train, "anomaly")
+                           ["device_model"], maxDepth=4, seed=42)
+    model = PipelineModel([step, *M.fit(pipe, train, "anomaly").stages])
     root = scratch_path(spark, f"models-{uuid.uuid4().hex[:12]}")
     M.save_model(model, f"{root}/anomaly_tree_v1")
     aliases = f"model_alias_{uuid.uuid4().hex[:8]}"
