@@ -17,7 +17,6 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.joins import broadcast_if_small
 from millrace.operators.windows import _list
 
 
@@ -103,13 +102,13 @@ def grouped_least_squares(df: DataFrame, key, features: list[str], label: str,
 
 def route_and_score(df: DataFrame, models: DataFrame, key, features: list[str],
                     out: str = "prediction", coef_prefix: str = "coef_",
-                    threshold: float | None = None, max_models: int = 1_000_000) -> DataFrame:
+                    threshold: float | None = None) -> DataFrame:
     """Send each row to the model of its group and score it.  The model
-    table has one row per group; it is broadcast only when a row check
-    proves it small, otherwise it is a shuffle join."""
+    table has one row per group; AQE broadcasts it where its measured size
+    allows, so the plan that makes it runs once."""
     keys = _list(key)
     m = models.select(*keys, "intercept", *[f"{coef_prefix}{f}" for f in features])
-    j = df.join(broadcast_if_small(m, max_models), keys, "left")
+    j = df.join(m, keys, "left")
     pred = F.col("intercept")
     for f in features:
         pred = pred + F.col(f"{coef_prefix}{f}") * F.col(f).cast("double")

@@ -1,36 +1,12 @@
-"""Joins with explicit broadcast policy.
+"""Joins.
 
-A side is broadcast only when its size is bounded: either structurally (it is
-grouped on a key whose domain is checked, e.g. three shifts) or by a cheap
-runtime check (``limit(n+1).count()``).  Otherwise the join is left to the
-planner (sort-merge / shuffle-hash, AQE may still convert at run time).
+No side is broadcast by hint: the planner, and AQE at run time, decide by
+measured size.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
-
-
-def rows_at_most(df: DataFrame, n: int) -> bool:
-    """True when ``df`` has at most ``n`` rows.  Reads at most n+1 rows."""
-    return df.limit(n + 1).count() <= n
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only behind a checked row bound."""
-    return F.broadcast(df) if rows_at_most(df, max_rows) else df
-
-
-def join_static(stream_or_big: DataFrame, small: DataFrame, on, how: str = "inner",
-                bounded: bool = False, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Equi-join of a large (or streaming) side with a small static
-    side.  ``bounded=True`` asserts a structural size bound (caller proves
-    it); otherwise the bound is checked at run time."""
-    side = F.broadcast(small) if bounded else broadcast_if_small(small, max_rows)
-    return stream_or_big.join(side, on, how)
 
 
 def join_on_keys(left: DataFrame, right: DataFrame, keys, how: str = "inner",

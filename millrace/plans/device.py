@@ -85,10 +85,10 @@ def time_split(readings: DataFrame, frac: float = 0.8) -> DataFrame:
 def daily_context(readings: DataFrame) -> DataFrame:
     """A per-day lookup value (mean temperature of the day over all
     devices) left-joined onto each reading by its date.  The lookup has one
-    row per day: bounded by the calendar, broadcast."""
+    row per day; AQE broadcasts it by its measured size."""
     d = readings.withColumn("date", F.to_date("timestamp"))
     lookup = d.groupBy("date").agg(F.avg("temperature").alias("day_mean_temp"))
-    return d.join(F.broadcast(lookup), "date", "left")
+    return d.join(lookup, "date", "left")
 
 
 def milling_failures(milling: DataFrame) -> DataFrame:

@@ -53,8 +53,8 @@ def oee_gold(silver: DataFrame, workforce: DataFrame, window: str = "5 minutes",
     """KPIs per (time window, plant, line, shift), joined
     with the workforce of the shift.
 
-    The workforce side is grouped per shift and restricted to the valid shift
-    domain 1..3, so it has at most three rows: a proven bound, broadcast.
+    The workforce may hold any number of rows per shift (each KPI row meets all
+    of them); the planner, and AQE at run time, broadcast it by its measured size.
     The KPI aggregate shuffles on (window, plant, line, shift) after a
     map-side partial aggregate; ``slide`` gives the sliding form (X3)."""
     src = silver.withWatermark(ts, watermark) if watermark else silver
@@ -62,7 +62,7 @@ def oee_gold(silver: DataFrame, workforce: DataFrame, window: str = "5 minutes",
     agg = src.groupBy(win.alias("window"), *GROUP_KEYS).agg(*oee_measures())
     kpis = oee_kpis(agg)
     wf = workforce.filter(F.col("shiftNumber").between(1, 3))
-    return kpis.join(F.broadcast(wf), ["shiftNumber"], "inner")
+    return kpis.join(wf, ["shiftNumber"], "inner")
 
 
 def oee_warnings(gold: DataFrame) -> DataFrame:

@@ -108,8 +108,7 @@ SELECT d.event_id, d.model_id, round(f.intercept + f.b1 * d.temperature + f.b2 *
          AS prediction_class
 FROM device d LEFT JOIN fit f USING (model_id)""")
 def q_device_model_scores(spark, sf_dir):
-    """Each reading scored by the model of its model_id (model table
-    broadcast behind a row-count check), cut at 0.5."""
+    """Each reading scored by the model of its model_id, cut at 0.5."""
     lab, fit = _model_fit(spark, sf_dir)
     dv = view(spark, sf_dir, "device")
     s = G.route_and_score(dv, fit, "model_id", ["temperature", "density"], threshold=0.5)
