@@ -160,6 +160,7 @@ def _search(shared, dims: int):
         asking = group.column("asking").to_numpy(zero_copy_only=False)
         rid = group.column("rid").to_numpy()
         copies = group.column("copies").to_numpy()
+        cells = group.column("cell").to_numpy()
         out_rid, out_links, out_edge = [], [], []
         li, qi = np.flatnonzero(~asking), np.flatnonzero(asking)
         if len(li) and len(qi):
@@ -179,7 +180,7 @@ def _search(shared, dims: int):
                     lookup = ((r[:, m, None, :] - book[None]) ** 2).sum(2)
                     d += lookup[:, codes[:, m]]
                 close = (d <= (reach + error)[None, :] ** 2)
-                close &= ~((index_cells(group, part) == cell)[:, None] & (rid[part][:, None] >= rid[li][None, :]))
+                close &= ~((cells[part] == cell)[:, None] & (rid[part][:, None] >= rid[li][None, :]))
                 a, b = np.nonzero(close)
                 exact = (u[part[a]] * u[li[b]]).sum(1) >= index.threshold
                 hit[at + a[exact], b[exact]] = True
@@ -198,11 +199,6 @@ def _search(shared, dims: int):
     return run
 
 
-def index_cells(group, part: np.ndarray) -> np.ndarray:
-    """Own list of the rows ``part`` of a block."""
-    return group.column("cell").to_numpy()[part]
-
-
 def embedding_near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """vec_id, n_links, component_id, kept: one row a vector."""
     spark = vectors.sparkSession
