@@ -54,33 +54,34 @@ def with_columns_of(docs: DataFrame, *names: str) -> DataFrame:
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b", tag: str = "cc") -> DataFrame:
     """(node, component) of the undirected graph of ``edges``; component = smallest node.
 
-    Alternates the large-star and small-star steps: every round is two
+    Alternates the large-star and small-star steps: a round is two
     aggregations with map-side combine and two joins, so a hub's neighbours are
-    never gathered in one place.  Stops when a round changes no edge; the
-    number of rounds grows with the logarithm of the longest path.  Self loops
-    and repeated edges are allowed; only nodes that have an edge to another
-    node are returned.
+    never gathered in one place.  Ends when the edges form stars: every node
+    has one edge at most to a smaller node, which has none itself.  The number
+    of rounds grows with the logarithm of the longest path.  Self loops and
+    repeated edges are allowed; only nodes that have an edge to another node
+    are returned.
     """
-    e = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u > v").distinct()
-    e = stored(e, tag)
-    last = None
-    while True:
+    e = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u > v")
+    e = stored(e.distinct(), tag)
+    while not _are_stars(e):
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u")
+        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v")
+        small = large.join(large.groupBy("u").agg(F.min("v").alias("m")), "u")
         e = stored(small.select(F.greatest("v", "m").alias("u"), F.col("m").alias("v"))
                    .union(small.select("u", F.col("m").alias("v"))).where("u > v").distinct(), tag)
-        now = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if now == last:
-            break
-        last = now
     nodes = e.select(F.col("u").alias("node"), F.col("v").alias("component"))
     roots = e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return nodes.union(roots)
 
 
+def _are_stars(e: DataFrame) -> bool:
+    ends = e.select(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")) \
+        .union(e.select(F.col("v"), F.lit(0), F.lit(1)))
+    return ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or up + down > 1").isEmpty()
+
+
 class WordHashes(dict):
     """64-bit hash of a word, remembered for words seen before (bounded; refilled when full)."""
 
