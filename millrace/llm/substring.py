@@ -211,18 +211,21 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, doubling: bool = True
     found = stored(near.select("rid", "sha", "alone", "flagged", "text")
                    .mapInArrow(_windows(window), "rid long, pos array<int>, h array<long>, c array<int>, body binary"), "windows")
     level = stored(_repeated(found), f"level-{window}")
-    stripped = found.where("body is not null").select("rid", "body").join(level.select("rid", F.col("rows.pos").alias("pos")), "rid") \
-        .select("rid", "body", "pos").mapInArrow(_strip(window), "rid long, removed long, left_sha string")
+    stripped = stored(found.where("body is not null").select("rid", "body").join(level.select("rid", F.col("rows.pos").alias("pos")), "rid")
+                      .select("rid", "body", "pos").mapInArrow(_strip(window), "rid long, removed long, left_sha string"), "stripped")
+    discard(found)
 
-    reach = level.select("rid", F.lit(window).cast("long").alias("reach"))
     length = window
+    reach = stored(level.select("rid", F.lit(length).cast("long").alias("reach")), "reach")
     while doubling:
-        level = stored(_repeated(level.mapInArrow(_doubled(length), "rid long, pos array<int>, h array<long>, c array<int>")),
-                       f"level-{2 * length}")
-        length *= 2
+        longer = stored(_repeated(level.mapInArrow(_doubled(length), "rid long, pos array<int>, h array<long>, c array<int>")),
+                        f"level-{2 * length}")
+        discard(level)
+        level, length = longer, 2 * length
         if level.isEmpty():
             break
-        reach = reach.union(level.select("rid", F.lit(length).cast("long")))
+        reach = reach.union(stored(level.select("rid", F.lit(length).cast("long").alias("reach")), "reach"))
+    discard(level)
     reach = reach.groupBy("rid").agg(F.max("reach").alias("reach"))
 
     whole = (F.col("copies") > 1) & (F.col("n_words") >= window)
