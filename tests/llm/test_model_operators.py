@@ -64,6 +64,23 @@ def test_quality_classifier_rejects_junk_and_keeps_trusted_text(spark):
     assert rate[(1, 0)] > 0.95 and rate[(0, 0)] < 0.4
 
 
+def test_quality_thresholds_follow_the_length_in_every_language(spark):
+    from pyspark.sql import functions as F
+
+    from millrace.llm.quality import classify, fit
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    scored = classify(fit(docs, labels), docs).join(labels, "doc_id").withColumn("chars", F.length("text")).where("chars > 0")
+    longer = scored.selectExpr("lang", "chars", "lag(chars) over (partition by lang order by chars) as less",
+                               "threshold", "lag(threshold) over (partition by lang order by chars) as above")
+    assert scored.select("lang").distinct().count() >= 4  # most with fewer than 50 held-out documents
+    assert longer.where("chars > less and not threshold < above").isEmpty()
+    rate = {(r[0], r[1]): r[2] for r in scored.groupBy("quality", "toxic").agg(F.avg(F.col("kept").cast("int"))).collect()}
+    print("rejected of (quality, toxic):", {k: round(1 - v, 3) for k, v in sorted(rate.items())})
+    assert rate[(1, 0)] > 0.95 and rate[(1, 1)] < 0.55
+
+
 def test_quality_classifier_edge_cases(spark):
     from millrace.llm.quality import classify, fit
 
