@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import bisect
 import os
+import re
 import zlib
 from array import array
 
@@ -37,6 +38,8 @@ CAPACITY = 1024
 END_ID = 0
 TOKENIZER = "byte_bpe_50k.json"
 EXACT, STEP = 64, 8  # length classes: exact up to EXACT ids, then rounded up to a multiple of STEP
+SPACE = re.compile(r"[\s\u180e]")
+JOINED = re.compile(r"[\s\u180e] [\s\u180e]")  # a space inside a run of white space
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 class TextIds:
@@ -45,11 +48,14 @@ class TextIds:
     The ids are those of the vocabulary file read with ``tokenizers``; its
     merges are run by ``tiktoken``, which gives the same ids four times as fast.
 
-    Where no two spaces stand together the vocabulary's split pattern never
-    joins what a single space divides, so a text's ids are the ids of its
-    space-separated chunks.  Chunks met for the first time are encoded
-    together, and cut apart by the byte lengths of their tokens; they are
-    remembered up to ``LIMIT``.  Other texts are encoded whole.
+    The vocabulary's split pattern takes a run of white space but its last
+    character as one piece, so it joins across a space only where that space has
+    white space on both sides, or stands with others or at the end.  Elsewhere
+    a text's ids are the ids of its space-separated chunks.  Chunks met for the
+    first time are encoded together, and cut apart by the byte lengths of their
+    tokens (those that hold white space each alone); they are remembered up to
+    ``LIMIT``.  Other texts are encoded whole.  A special token's name in a text
+    is text (``encode_special_tokens``).
     """
 
     LIMIT = 800_000
@@ -82,6 +88,9 @@ class TextIds:
         if len(self.known) + len(new) > self.LIMIT:
             self.known.clear()
             new = list(chunks)
+        spaced = [c for c in new if SPACE.search(c)]
+        self.known.update(zip(spaced, self.whole([" " + c for c in spaced])))
+        new = [c for c in new if c not in self.known] if spaced else new
         for at in range(0, len(new), 2000):
             part = new[at:at + 2000]
             ids = np.array(self.tok.encode_ordinary(" " + " ".join(part)), "<u4")
@@ -95,8 +104,9 @@ class TextIds:
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
-        plain = [i for i, t in enumerate(texts) if "  " not in t and not t.endswith(" ")]
-        rest = [i for i, t in enumerate(texts) if "  " in t or t.endswith(" ")]
+        plain, rest = [], []
+        for i, t in enumerate(texts):
+            (rest if "  " in t or t.endswith(" ") or JOINED.search(t) else plain).append(i)
         for i, ids in zip(rest, self.whole([texts[i] for i in rest])):
             out[i] = ids
         for at in range(0, len(plain), 500):

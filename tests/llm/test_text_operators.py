@@ -161,6 +161,22 @@ def test_packing_round_trip(spark, corpus):
     assert pack(docs.where("false")).count() == 0
 
 
+def test_ids_equal_the_tokenizers_on_runs_of_odd_white_space():
+    import numpy as np
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from millrace.llm.packing import TOKENIZER, TextIds
+
+    tok = Tokenizer.from_file(public_tokenizers.path(TOKENIZER))
+    tok.encode_special_tokens = True
+    rng = random.Random(8)
+    parts = [" ", " ", " ", "\u00a0", "\u00a0", "\n", "\t", "\u3000", "\x1c", "\x85", "\u200b", "a", "b", "foo", "'s", "12", "é", "中", "!", "<|endoftext|>"]
+    texts = ["a \u00a0 \u00a0 b"] + ["".join(rng.choices(parts, k=rng.randint(0, 14))) for _ in range(5000)]
+    for text, ids in zip(texts, TextIds(TOKENIZER)(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids, text
+
+
 def test_packing_plan_takes_every_piece_once_with_little_padding():
     from millrace.llm.packing import plan_sequences
 
