@@ -9,13 +9,19 @@ content from boilerplate.  A block whose classifier outweighs all its ties keeps
 its label in every minimum cut, so it is settled first and only the undecided
 blocks go into the flow network.
 
+An element whose class says nothing but boilerplate (``sidebar``) is that with
+all it holds; a word among others (``has-sidebar``) outside content is a cost
+that an article or main inside it, or a block's long text, outweighs.
+
 Each page is one row's work: pages never meet, nothing is shuffled.
 
 Text: character references are decoded, white space inside a block becomes one
 space, blocks are joined by one newline; ``br`` counts as white space.  Scripts,
 styles, templates, form fields and comments in the markup are no text.  Defined
 cases: null or empty html, and pages without content, give the empty string;
-markup that the page leaves open (a cut-off page) ends with the page; rows are
+markup that the page leaves open (a cut-off page) ends with the page, but an
+element without text (a script, a drawing) that is left open ends with its
+parent, and a head with the first element that is none of its own; rows are
 independent, so repeated rows give repeated results; extra columns are ignored.
 """
 
@@ -39,7 +45,8 @@ ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s
 WORD = re.compile(r"[a-z]+|[A-Z][a-z]*|[0-9]+")
 SENTENCE_END = re.compile(r"[.!?:;\"'”»)\]。！？]\Z")
 
-SKIPPED = {"script", "style", "template", "textarea", "select", "title", "noscript", "iframe", "svg", "math", "object", "audio", "video", "canvas", "head"}
+SKIPPED = {"script", "style", "template", "textarea", "select", "title", "noscript", "iframe", "svg", "object", "audio", "video", "canvas"}
+RAW = {"script", "style", "textarea", "title"}  # their content is no markup
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 BLOCK = {"address", "article", "aside", "blockquote", "body", "button", "caption", "center", "dd", "details", "dialog", "dir", "div", "dl", "dt",
          "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "hr", "html", "legend", "li", "main",
@@ -55,8 +62,8 @@ BOILER_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising"
 CONTENT_WORDS = {"article", "articlebody", "content", "post", "entry", "story", "body", "main", "text"}
 
 # classifier weights (log odds of content) and smoothness
-BASE, INSIDE, OUTSIDE, BOILER = -0.5, 4.0, -4.0, -30.0
-PER_WORD, MOST_WORDS, ENDS, HEADING, ITEM, LINKS = 0.06, 3.0, 0.6, 0.6, -0.4, -4.0
+BASE, INSIDE, OUTSIDE, BOILER, HINTED = -0.5, 4.0, -4.0, -30.0, -4.0
+PER_WORD, MOST_WORDS, MOST_HINTED, ENDS, HEADING, ITEM, LINKS = 0.06, 3.0, 6.0, 0.6, 0.6, -0.4, -4.0
 ADJACENT, SAME_PARENT = 0.8, 0.7
 
 
@@ -66,14 +73,15 @@ class Block:
     tag: str
     boiler: bool
     inside: bool
+    hinted: bool = False
     text: str = ""
     linked: int = 0
     parts: list = field(default_factory=list)
 
 
-def _marks(tag: str, attrs: str) -> tuple[bool, bool]:
-    """Whether an element says by itself that it is boilerplate, or content."""
-    boiler, content = tag in BOILER_TAGS, tag in CONTENT_TAGS
+def _marks(tag: str, attrs: str) -> tuple[bool, bool, bool]:
+    """Whether an element says by itself that it is boilerplate, or content, or has a name with a word of boilerplate among others."""
+    boiler, content, hinted = tag in BOILER_TAGS, tag in CONTENT_TAGS, False
     if attrs and tag not in ("html", "body"):
         for name, a, b, c in ATTRIBUTE.findall(attrs):
             value = a or b or c
@@ -83,15 +91,59 @@ def _marks(tag: str, attrs: str) -> tuple[bool, bool]:
                 continue
             for name_part in value.split():
                 words = [w.lower() for w in WORD.findall(name_part)]
-                boiler |= any(w in BOILER_WORDS for w in words) and not content
+                said = [w in BOILER_WORDS for w in words]
+                boiler |= bool(said) and all(said) and not content
+                hinted |= any(said) and not content
                 content |= bool(words) and all(w in CONTENT_WORDS for w in words)
-    return boiler, content
+    return boiler, content, hinted
+
+
+def _skip(html: str, at: int, tag: str, stack: list, unclosed: set) -> int:
+    """Where a skipped element ends whose opening tag ended at ``at``: at its own end or, if that is missing, at its parent's."""
+    if tag in RAW and tag not in unclosed:
+        close = re.compile(rf"</{tag}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(html, at)
+        if close:
+            return close.end()
+        unclosed.add(tag)
+    parents = {x[0] for x in stack} | {"body", "html", "head"}
+    deep, inner, foreign = 1, {}, 0
+    while m := TOKEN.search(html, at):
+        name = m["tag"] or m["tag2"]
+        if name:
+            name = name.lower()
+            end = bool(m["end"] or m["end2"])
+            if name == tag:
+                deep += -1 if end else not (m["attrs"] or "").rstrip().endswith("/")
+                if not deep:
+                    return m.end()
+            elif name == "foreignobject":
+                foreign += -1 if end else 1
+            elif name == "body" and not end:
+                return m.start()
+            elif name in RAW and not end and tag not in RAW and not (m["attrs"] or "").rstrip().endswith("/"):
+                close = re.compile(rf"</{name}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(html, m.end())
+                at = close.end() if close else m.end()
+                continue
+            elif name in BLOCK or "-" in name or name == "head":
+                if end:
+                    if inner.get(name):
+                        inner[name] -= 1
+                    elif name in parents:
+                        return m.start()
+                elif tag == "svg" and foreign <= 0:  # such an element ends a drawing
+                    return m.start()
+                elif name not in VOID:
+                    inner[name] = inner.get(name, 0) + 1
+        at = m.end()
+    return len(html)
 
 
 def blocks_of(html: str) -> list[Block]:
     """Text blocks of a page in page order."""
     out: list[Block] = []
-    stack: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]  # tag, element number, boilerplate, inside content
+    # tag, element number, boilerplate, inside content, named with a word of boilerplate
+    stack: list[tuple[str, int, bool, bool, bool]] = [("", 0, False, False, False)]
+    unclosed: set[str] = set()
     number = 0
     links = 0
     current: Block | None = None
@@ -101,10 +153,10 @@ def blocks_of(html: str) -> list[Block]:
         if current is None:
             if raw.isspace():
                 return
-            tag, parent, boiler, inside = stack[-1]
+            tag, parent, boiler, inside, hinted = stack[-1]
             if tag in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6", "td", "dd", "dt") and len(stack) > 1:
                 parent = stack[-2][1]
-            current = Block(parent, tag, boiler, inside)
+            current = Block(parent, tag, boiler, inside, hinted)
         current.parts.append(raw)
         if links:
             current.linked += len(raw)
@@ -134,8 +186,7 @@ def blocks_of(html: str) -> list[Block]:
         end = bool(m["end"] or m["end2"])
         if tag in SKIPPED:
             if not end and not (m["attrs"] or "").rstrip().endswith("/"):
-                close = re.compile(rf"</{tag}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(html, at)
-                at = close.end() if close else len(html)
+                at = _skip(html, at, tag, stack, unclosed)
             continue
         if tag == "br":
             if current is not None:
@@ -153,8 +204,10 @@ def blocks_of(html: str) -> list[Block]:
                 if stack[-1][0] == "p" or stack[-1][0] == tag and tag in ("li", "dt", "dd", "tr", "td", "th", "option"):
                     stack.pop()
                 number += 1
-                boiler, content = _marks(tag, m["attrs"] or m["attrs2"] or "")
-                stack.append((tag, number, stack[-1][2] or boiler, stack[-1][3] or content))
+                boiler, content, hinted = _marks(tag, m["attrs"] or m["attrs2"] or "")
+                _, _, over, inside, named = stack[-1]
+                # inside content, and on a content element of that name, a word of boilerplate says what it says; outside, content ends it
+                stack.append((tag, number, over or boiler or hinted and inside, inside or content, hinted or named and not content))
     if at < len(html):
         rest = html[at:]
         cut = re.search(r"<[/a-zA-Z!?][^>]*\Z", rest)
@@ -165,7 +218,8 @@ def blocks_of(html: str) -> list[Block]:
 
 def log_odds(b: Block, has_content: bool) -> float:
     """The classifier: log odds that a block is content."""
-    z = BASE + min(MOST_WORDS, PER_WORD * (b.text.count(" ") + 1)) + LINKS * min(1.0, b.linked / len(b.text))
+    most = MOST_HINTED if b.hinted else MOST_WORDS
+    z = BASE + HINTED * b.hinted + min(most, PER_WORD * (b.text.count(" ") + 1)) + LINKS * min(1.0, b.linked / len(b.text))
     z += ENDS * bool(SENTENCE_END.search(b.text)) + HEADING * (b.tag in ("h1", "h2", "h3", "h4", "h5", "h6")) + ITEM * (b.tag in ("li", "td", "th"))
     z += (INSIDE if b.inside else OUTSIDE) if has_content else 0.0
     return z + BOILER * b.boiler

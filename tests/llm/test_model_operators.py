@@ -327,3 +327,24 @@ def test_pipeline_run_and_odd_rows(spark, scratch):
     for t in ("labels", "benchmark"):
         shutil.copy(f"{ENTRY}/{t}.parquet", f"{scratch}/{t}.parquet")
     assert pipeline.run(spark, scratch).count() > 100
+
+
+def test_html_left_open_and_words_among_others_lose_no_text():
+    from millrace.llm.html_text import main_text
+
+    said = "The river rose over its banks in the night, and by the morning all of the lower fields stood under water."
+    p = f"<p>{said}</p>"
+    assert main_text(f"<html><head><title>t</title><body><article>{p}</article></body></html>") == said
+    assert main_text(f"<html><head><meta charset=x><title>t<body><article>{p}</article></body></html>") == said
+    for tag in ("noscript", "object", "svg", "iframe", "canvas", "script"):
+        page = f"<body><main><article>{p}<div><{tag}>x</div>{p}</article></main></body>"
+        assert main_text(page) == f"{said}\n{said}", tag
+        page = f"<body><main>{p}<div><{tag}><b>x</b></{tag}></div>{p}</main></body>"
+        assert main_text(page) == f"{said}\n{said}", tag
+    assert main_text(f"<body><article><p>{said} <svg><g><text>x</text>{p}</article></body>") == f"{said}\n{said}"
+    assert main_text(f"<article><p>{said} <math><mi>k</mi></math> is large.</p></article>") == f"{said} k is large."
+    for name in ("layout has-sidebar", "post with-comments"):
+        assert main_text(f'<body><div class="{name}"><article>{p}</article></div></body>') == said
+        assert main_text(f'<body><div class="{name}"><p>{" ".join([said] * 6)}</p></div></body>') == " ".join([said] * 6)
+    assert main_text(f'<body><article>{p}</article><div class="comments">{p}</div></body>') == said
+    assert main_text(f'<body><article>{p}<div class="post-comments">{p}</div></article></body>') == said
