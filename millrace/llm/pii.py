@@ -6,13 +6,16 @@ point positions.  The patterns are written so that they give the matches of the
 plain ones without trying a long run from each of its characters.
 
 The base entities are seeds.  The words around an occurrence (left word, right
-word, both) are lexical patterns; other identifier-like tokens (letters, digits
+word, both) are lexical patterns; punctuation that stands alone there, and the
+start and end of a text, count as words; other identifier-like tokens (letters, digits
 and inner punctuation, with at least two digits) are candidate instances.
 Patterns and instances form a bipartite graph with counts.  Scores run over it
 for ``ROUNDS`` rounds: a pattern's confidence is the mean score of its
 instances, an instance's score the mean confidence of its patterns (seeds stay
 at 1).  Patterns with ``SUPPORT`` distinct seeds and a confidence of
 ``CONFIDENT`` discover the candidates they stand around, as kind ``id``.
+Discovered instances count as seeds for the support of further patterns (with
+their own score), and it goes on until nothing new is discovered.
 
 All text work is one pass; the graph holds only occurrences, and its sums are
 aggregations by pattern or by instance with map-side combine.  Defined cases:
@@ -34,8 +37,10 @@ EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Z
 IP = r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-CANDIDATE = r"(?<![A-Za-z0-9])(?=[A-Za-z._/-]{0,40}[0-9])[A-Za-z0-9](?:[A-Za-z0-9._/@-]*[A-Za-z0-9])?"
+# a start after letters and inner punctuation would fail like the one before them, so a long run is tried once
+CANDIDATE = r"(?<![A-Za-z0-9])(?<![A-Za-z0-9][._/-]{1,8})(?=[A-Za-z._/-]*+[0-9])[A-Za-z0-9](?:[A-Za-z0-9._/@-]*[A-Za-z0-9])?"
 CONTEXT = 48  # code points looked at on either side
+START, END = "<start>", "<end>"  # outer punctuation: no word of a text is written so
 ROUNDS, SUPPORT, CONFIDENT = 3, 5, 0.9
 _SPAN = "array<struct<start:int,end:int,value:string>>"
 
@@ -96,9 +101,10 @@ def base_spans(text: Column) -> Column:
 
 
 def _word(side: Column, last: bool) -> Column:
-    """The word of a context next to the entity: lower case, digits as 0, outer punctuation off."""
-    w = F.regexp_extract(side, r"(\S+)\s*$" if last else r"^\s*(\S+)", 1)
-    return F.regexp_replace(F.regexp_replace(F.lower(w), "[0-9]+", "0"), r"^[^\p{L}\p{N}=:#]+|[^\p{L}\p{N}=:#]+$", "")
+    """The word of a context next to the entity: lower case, digits as 0, outer punctuation off unless there is nothing else."""
+    w = F.regexp_replace(F.lower(F.regexp_extract(side, r"(\S+)\s*$" if last else r"^\s*(\S+)", 1)), "[0-9]+", "0")
+    inner = F.regexp_replace(w, r"^[^\p{L}\p{N}=:#]+|[^\p{L}\p{N}=:#]+$", "")
+    return F.when(w == "", F.lit(START if last else END)).when(inner == "", w).otherwise(inner)
 
 
 def _with_context(text: Column, spans: Column, seed: bool) -> Column:
@@ -124,21 +130,29 @@ def discovered(near: DataFrame) -> DataFrame:
     """rid, start, end of the candidates that confident patterns discover; ``near``: rid and an occurrence a row."""
     kinds = F.array(*[F.struct(F.lit(t).alias("type"), w.alias("words")) for t, w in
                       (("l", F.col("left")), ("r", F.col("right")), ("lr", F.concat_ws(" _ ", "left", "right")))])
-    words = near.where((F.col("left") != "") & (F.col("right") != "")) \
-        .select("rid", "start", "end", "value", "seed", F.explode(kinds).alias("p")) \
+    words = near.select("rid", "start", "end", "value", "seed", F.explode(kinds).alias("p")) \
         .select("rid", "start", "end", "value", "seed", F.concat_ws(":", "p.type", "p.words").alias("pattern"))
     occurrences = stored(words, "pii-occurrences")
-    edges = occurrences.groupBy("pattern", "value").agg(F.max("seed").alias("seed"))
-    # only patterns with enough distinct seeds can ever discover anything
-    able = edges.groupBy("pattern").agg(F.sum(F.col("seed").cast("int")).alias("seeds")).where(F.col("seeds") >= SUPPORT).select("pattern")
-    edges = stored(edges.join(able, "pattern"), "pii-edges")
-    score = edges.groupBy("value").agg(F.max("seed").cast("double").alias("score"))
-    for _ in range(ROUNDS):
-        belief = edges.join(score, "value").groupBy("pattern").agg(F.avg("score").alias("belief"))
-        belief = stored(belief, "pii-patterns")
-        score = stored(edges.join(belief, "pattern").groupBy("value").agg(
-            F.when(F.max("seed"), F.lit(1.0)).otherwise(F.avg("belief")).alias("score")), "pii-instances")
-    sure = belief.where(F.col("belief") >= CONFIDENT).select("pattern")
+    every = stored(occurrences.groupBy("pattern", "value").agg(F.max("seed").alias("seed")), "pii-graph")
+    known = stored(every.where("seed").select("value").distinct(), "pii-known")
+    n_known, sure = known.count(), None
+    while True:
+        # only patterns with enough distinct seeds, given or discovered, can discover anything
+        able = every.join(known, "value", "left_semi").groupBy("pattern").agg(F.count("*").alias("seeds")).where(F.col("seeds") >= SUPPORT).select("pattern")
+        edges = stored(every.join(able, "pattern"), "pii-edges")
+        score = edges.select("value").distinct().join(known.withColumn("known", F.lit(1.0)), "value", "left") \
+            .select("value", F.coalesce("known", F.lit(0.0)).alias("score"))
+        for _ in range(ROUNDS):
+            belief = edges.join(score, "value").groupBy("pattern").agg(F.avg("score").alias("belief"))
+            belief = stored(belief, "pii-patterns")
+            score = stored(edges.join(belief, "pattern").groupBy("value").agg(
+                F.when(F.max("seed"), F.lit(1.0)).otherwise(F.avg("belief")).alias("score")), "pii-instances")
+        fresh = belief.where(F.col("belief") >= CONFIDENT).select("pattern")
+        sure = stored(fresh if sure is None else sure.union(fresh).distinct(), "pii-sure")  # what was found stays found
+        known = stored(known.union(edges.join(sure, "pattern").select("value")).distinct(), "pii-known")
+        before, n_known = n_known, known.count()
+        if n_known == before:
+            break
     return occurrences.where(~F.col("seed")).join(sure, "pattern").select("rid", "start", "end").distinct()
 
 

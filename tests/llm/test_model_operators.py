@@ -348,3 +348,20 @@ def test_html_left_open_and_words_among_others_lose_no_text():
         assert main_text(f'<body><div class="{name}"><p>{" ".join([said] * 6)}</p></div></body>') == " ".join([said] * 6)
     assert main_text(f'<body><article>{p}</article><div class="comments">{p}</div></body>') == said
     assert main_text(f'<body><article>{p}<div class="post-comments">{p}</div></article></body>') == said
+
+
+def test_discovery_needs_one_side_only_and_goes_on_from_what_it_found(spark):
+    from millrace.llm.pii import pii_report
+
+    texts = [f"write to user{i}@example.org. Row {i} ends." for i in range(90)] + ["please write to agent-77x.", "write to agent-78x"]
+    texts += ["the first was agent-10y of all"]
+    # found after 'write to', then known: six of them make 'badge' a pattern, which finds another
+    texts += [f"write to agent-{k}z" for k in range(80, 86)] + [f"her badge agent-{k}z, shown" for k in range(80, 86)] + ["his badge keeper-99q"]
+    texts += ["write to " + "x" * 60 + "-123"]
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in enumerate(texts)], DOC)
+    found = {texts[r.doc_id]: [s.split(":") for s in r.spans.split(",") if s] for r in pii_report(docs).collect()}
+    ids = {t: [t[int(a):int(b)] for k, a, b in v if k == "id"] for t, v in found.items()}
+    assert ids["please write to agent-77x."] == ["agent-77x"] and ids["write to agent-78x"] == ["agent-78x"]
+    assert ids["his badge keeper-99q"] == ["keeper-99q"]
+    assert ids["write to " + "x" * 60 + "-123"] == ["x" * 60 + "-123"]
+    assert ids["the first was agent-10y of all"] == []
