@@ -70,7 +70,18 @@ def op10_html_extraction(spark, sf_dir):
     return extract(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_near_duplicates, op2_sharding, op3_substring_dedup, op4_packing, op5_quality_classifier, op6_embedding_near_duplicates, op7_pii, op8_secret_scan, op9_decontamination, op10_html_extraction)}
+def op11_byte_bpe(spark, sf_dir):
+    """Every whole text of documents (null: empty) encoded by the public ranks, and its ids decoded."""
+    import public_tokenizers
+
+    from millrace.llm.bpe import digests, read_ranks
+
+    ranks = read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+QUERIES = {f.__name__: f for f in (op1_near_duplicates, op2_sharding, op3_substring_dedup, op4_packing, op5_quality_classifier, op6_embedding_near_duplicates, op7_pii, op8_secret_scan, op9_decontamination, op10_html_extraction,
+                                op11_byte_bpe)}
 
 # Words in lower case, distinct five-word shingles (all words of a shorter item), exact containment.
 _CONTAINED = """
