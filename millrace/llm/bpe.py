@@ -38,9 +38,10 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import discard, stored
 
-CACHE = 150_000  # frequent words held beside the vocabulary
+CACHE = 100_000  # frequent words held beside the vocabulary
 CACHE_BYTES = 64  # longest word held
 LONG = 512  # bytes; longer words merge all pairs of a rank at once
+PLAN_TEXT = 100_000  # characters kept of a plan's description
 MARK = "\x1e"  # separates keys of a literal; a word that holds it is not held
 
 
@@ -95,21 +96,25 @@ class Places:
 
     ``hash`` chooses a displacement, which is exclusive-ored with the low bits
     of a seeded ``xxhash64``; seed and displacements are chosen so that no two
-    keys meet.  The hashes are Spark's own, taken from ``keys`` (a one-column frame).
+    keys meet.  The hashes are Spark's own, so they are computed in a frame.
     """
 
-    SEEDS = 12
+    SEEDS = 8  # tried at each size
 
-    def __init__(self, keys: DataFrame):
-        name = keys.columns[0]
-        rows = keys.select(name, F.hash(name).alias("h"), *[F.xxhash64(F.lit(i), name).alias(f"x{i}") for i in range(self.SEEDS)]).toPandas()
-        self.keys = rows[name].to_numpy()
-        n = len(rows)
+    def __init__(self, spark: SparkSession, keys: pa.Array):
+        frame = spark.createDataFrame(pa.table({"key": keys}))
+        n = len(keys)
         self.groups = 1 << max(2, (n // 2).bit_length())
         self.size = 1 << max(4, (n + n // 8).bit_length())
-        group = rows["h"].to_numpy().astype(np.int64) & (self.groups - 1)
-        while not any(self._place(group, rows[f"x{i}"].to_numpy(), i) for i in range(self.SEEDS)):
-            self.size *= 2
+        seed = 0
+        while True:
+            rows = frame.select("key", F.hash("key").alias("h"), F.xxhash64(F.lit(seed), "key").alias("x")).toArrow()
+            if self._place(rows["h"].to_numpy().astype(np.int64) & (self.groups - 1), rows["x"].to_numpy(), seed):
+                self.keys = rows["key"]
+                return
+            seed += 1
+            if seed % self.SEEDS == 0:
+                self.size *= 2
 
     def _place(self, group: np.ndarray, x: np.ndarray, seed: int) -> bool:
         low = x & (self.size - 1)
@@ -151,7 +156,9 @@ class Vocabulary:
         missing = [i for i in range(256) if bytes([i]) not in ranks]
         if missing:
             raise ValueError(f"the vocabulary lacks the bytes {missing}")
-        self.spark, self.ranks, self.java = spark, ranks, java_pattern(spark, pattern)
+        self.ranks, self.java = ranks, java_pattern(spark, pattern)
+        # the literals are megabytes: plans that hold them are described in short
+        spark.conf.set("spark.sql.maxPlanStringLength", PLAN_TEXT)
         self.bits = max(ranks.values()).bit_length()
         if 3 * self.bits > 62:
             raise ValueError("ranks beyond 20 bits")
@@ -161,9 +168,9 @@ class Vocabulary:
                 a, b = ranks.get(piece[:i]), ranks.get(piece[i:])
                 if a is not None and b is not None:
                     joined[a << self.bits | b] = rank
-        self.pairs = Places(spark.createDataFrame(pa.table({"pair": pa.array(joined, pa.int64())})))
+        self.pairs = Places(spark, pa.array(joined, pa.int64()))
         entries = np.full(self.pairs.size, -1, np.int64)
-        entries[self.pairs.slots] = [k << self.bits | joined[k] for k in self.pairs.keys.tolist()]
+        entries[self.pairs.slots] = [k << self.bits | joined[k] for k in self.pairs.keys.to_pylist()]
         self.entries = entries
         self.byte_ids = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
 
@@ -243,8 +250,8 @@ def _bound(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def frequent_words(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", limit: int = CACHE) -> dict[str, list[int]]:
-    """Ids of at most ``limit`` words, the most frequent ones of all texts that are no single piece.
+def frequent_words(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", limit: int = CACHE) -> dict[str, str]:
+    """Ids (as text, joined by commas) of at most ``limit`` words, the most frequent ones of all texts that are no single piece.
 
     Counted over the whole corpus; a histogram of the counts gives the least
     count that leaves no more than ``limit`` words, so nothing is sorted and no
@@ -265,15 +272,15 @@ def frequent_words(docs: DataFrame, vocabulary: Vocabulary, text: str = "text",
         room, least = room - row["words"], row["c"]
     found = {}
     if least is not None:
-        folded = counts.where(size >= least).select("word", _bound(vocabulary.literal(), lambda t: vocabulary.folded(t, F.col("word"))).alias("ids"))
-        rows = folded.toPandas()
-        found = {w: list(map(int, ids)) for w, ids in zip(rows["word"], rows["ids"])}
+        ids = _bound(vocabulary.literal(), lambda t: F.array_join(vocabulary.folded(t, F.col("word")), ","))
+        rows = counts.where(size >= least).select("word", ids.alias("ids")).toArrow()
+        found = dict(zip(rows["word"].to_pylist(), rows["ids"].to_pylist()))
     discard(counts)
     return found
 
 
-def _single_words(vocabulary: Vocabulary) -> dict[str, list[int]]:
-    """The pieces that are text."""
+def _single_words(vocabulary: Vocabulary) -> dict[str, str]:
+    """The pieces that are text, with their ids."""
     out = {}
     for piece, rank in vocabulary.ranks.items():
         try:
@@ -281,7 +288,7 @@ def _single_words(vocabulary: Vocabulary) -> dict[str, list[int]]:
         except UnicodeDecodeError:
             continue
         if MARK not in word:
-            out[word] = [rank]
+            out[word] = str(rank)
     return out
 
 
@@ -290,10 +297,10 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str
     known = _single_words(vocabulary)
     if cache:
         known = frequent_words(docs, vocabulary, text, cache) | known
-    places = Places(docs.sparkSession.createDataFrame(pa.table({"word": pa.array(list(known), pa.string())})))
+    places = Places(docs.sparkSession, pa.array(list(known), pa.string()))
     keys, lists = [""] * places.size, [""] * places.size  # no word is empty
-    for slot, word in zip(places.slots.tolist(), places.keys):
-        keys[slot], lists[slot] = word, ",".join(map(str, known[word]))
+    for slot, word in zip(places.slots.tolist(), places.keys.to_pylist()):
+        keys[slot], lists[slot] = word, known[word]
     held = F.struct(array_literal(keys, "string").alias("keys"), array_literal(places.shift.tolist(), "int").alias("shift"),
                     array_literal(lists, "string").alias("ids"))
 

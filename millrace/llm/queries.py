@@ -80,8 +80,24 @@ def op11_byte_bpe(spark, sf_dir):
     return digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op12_whitening(spark, sf_dir):
+    """The first eight whitened components of every valid vector."""
+    from millrace.llm.whitening import whiten
+
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_hard_negatives(spark, sf_dir):
+    """Hard negatives of the anchors (id divisible by 50) and their positives, over all valid vectors."""
+    from millrace.llm.hardneg import mine, valid_rows
+
+    rows = valid_rows(table(spark, sf_dir, "embeddings"), scale=256)
+    rows = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return mine(rows, F.col("vec_id") % 50 == 0)
+
+
 QUERIES = {f.__name__: f for f in (op1_near_duplicates, op2_sharding, op3_substring_dedup, op4_packing, op5_quality_classifier, op6_embedding_near_duplicates, op7_pii, op8_secret_scan, op9_decontamination, op10_html_extraction,
-                                op11_byte_bpe)}
+                                op11_byte_bpe, op12_whitening, op13_hard_negatives)}
 
 # Words in lower case, distinct five-word shingles (all words of a shorter item), exact containment.
 _CONTAINED = """
@@ -98,4 +114,19 @@ SELECT doc_id, item_id, n_shared, n_item, n_shared / n_item AS containment
 FROM m JOIN isz USING (item_id) WHERE n_shared >= 0.8 * n_item - 1e-9
 """
 
-ORACLE_SQL: dict[str, str] = {"op9_decontamination": _CONTAINED}
+_HARD_NEGATIVES = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+           FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, a.label = v.label AS same, v.vec_id AS other_id, CAST(list_dot_product(a.q, v.q) AS BIGINT) AS score
+      FROM v AS a JOIN v ON a.vec_id <> v.vec_id WHERE a.vec_id % 50 = 0),
+p AS (SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5),
+h AS (SELECT anchor_id, positive_id, positive_score, s.other_id AS negative_id, s.score AS negative_score,
+             row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.other_id) AS rank
+      FROM p JOIN s USING (anchor_id) WHERE NOT s.same AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM h WHERE rank <= 3
+"""
+
+ORACLE_SQL: dict[str, str] = {"op9_decontamination": _CONTAINED, "op13_hard_negatives": _HARD_NEGATIVES}
