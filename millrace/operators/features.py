@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.scalar import day_of_week, hour_of_day, md5_coin
-from millrace.operators.windows import ewma, lag_by
+from millrace.operators.scan import Lag, Smooth, series_scan
+from millrace.operators.windows import ewm_alpha, ewma, fill_forward, lag_by
 
 
 # ------------------------------------------------------------------ E1 / E2
@@ -34,10 +35,13 @@ def anomaly_features(df: DataFrame, sensors=("sensor_1", "sensor_2", "sensor_3")
     nulls of the numeric feature columns filled with 0.
 
     The previous reading is fetched once for all sensors (one window sort, or
-    the skew-safe numbered join when ``segment`` is given)."""
+    one series scan when ``segment`` is given)."""
     sensors = list(sensors)
     prev = {s: f"__prev_{s}" for s in sensors}
-    d = lag_by(df, key, list(order), sensors, n=1, segment=segment, names=prev)
+    if segment is None:
+        d = lag_by(df, key, list(order), sensors, n=1, names=prev)
+    else:
+        d = series_scan(df, key, list(order), segment, lags=[Lag(s, 1, p) for s, p in prev.items()])
     feats = []
     for s in sensors:
         x, p = F.col(s).cast("double"), F.col(prev[s]).cast("double")
@@ -97,18 +101,23 @@ def device_features(df: DataFrame, key: str = "device_id", trip: str = "trip_id"
     * ``temp_difference`` = rolling_mean_temp - temperature
     * ``rolling_mean_density``: EWMA of the previous density (span=600) per
       device
-    * feature nulls forward-filled per series, then 0."""
+    * feature nulls forward-filled per series, then 0
+
+    With ``segment`` (the day), everything comes from one series scan, the trip
+    number too where the readings don't have it.  ``temp_shift`` is 0 or 1."""
     order = list(order)
-    d = df
-    # a trip is one calendar day of one device, of any size: its series go by hour
-    hours = F.date_trunc("hour", F.col(order[0])) if segment is not None else None
-    d = ewma(d, "temperature", [key, trip], order, out="rolling_mean_temp",
-             com=temp_com, shift=temp_shift, segment=hours)
-    d = d.withColumn("temp_difference", F.col("rolling_mean_temp") - F.col("temperature"))
-    d = ewma(d, "density", [key], order, out="rolling_mean_density",
-             span=density_span, shift=1, segment=segment)
-    feat = ["rolling_mean_temp", "temp_difference", "rolling_mean_density"]
-    d = _ffill_then_zero(d, feat, key, trip, order, hours)
+    if segment is not None:
+        has_trip = trip in df.columns
+        d = series_scan(df, key, order, segment, within=F.col(trip) if has_trip else None, rank=None if has_trip else trip, smooth=[
+            Smooth("temperature", "rolling_mean_temp", ewm_alpha(com=temp_com), temp_shift, restart=True, deviation="temp_difference"),
+            Smooth("density", "rolling_mean_density", ewm_alpha(span=density_span), 1)])
+    else:
+        d = ewma(df, "temperature", [key, trip], order, out="rolling_mean_temp", com=temp_com, shift=temp_shift)
+        d = d.withColumn("temp_difference", F.col("rolling_mean_temp") - F.col("temperature"))
+        d = ewma(d, "density", [key], order, out="rolling_mean_density", span=density_span, shift=1)
+        d = fill_forward(d, ["temp_difference"], [key, trip], order)
+    # a smoothed value is missing only before its series' first observation
+    d = d.na.fill(0.0, subset=["rolling_mean_temp", "temp_difference", "rolling_mean_density"])
     if "factory_id" in one_hot_cols:
         d = one_hot(d, "factory_id", factories)
     if "model_id" in one_hot_cols:
@@ -116,17 +125,6 @@ def device_features(df: DataFrame, key: str = "device_id", trip: str = "trip_id"
     return d
 
 
-def _ffill_then_zero(d: DataFrame, cols, key, trip, order, segment) -> DataFrame:
-    """Forward fill then 0.  An EWMA output is null only before the first
-    observation of its series and never after it, so forward filling it
-    changes nothing (the EWMA carries over gaps of any length): only
-    ``temp_difference`` (null where the temperature is null) needs the fill,
-    inside its (device, trip) series."""
-    from millrace.operators.windows import fill_forward
-    t = fill_forward(d, ["temp_difference"], [key, trip], order, segment=segment)
-    return t.na.fill(0.0, subset=list(cols))
-
-
 # ------------------------------------------------------------------ E6
 # Defect rules of the device data (ordered; first match wins).
 # (temperature deviation threshold, column, value, per-device quantile)
@@ -165,8 +163,10 @@ def label_defects(df: DataFrame, key: str = "device_id", order=("timestamp", "ev
     device."""
     temp_rules = temp_rules or DEFECT_TEMP_RULES
     offsets = offsets or DEFECT_OUTCOME_OFFSETS
-    d = ewma(df, "temperature", [key], list(order), out="__temp_ewma", com=5.0,
-             shift=1, segment=segment)
+    if segment is None:
+        d = ewma(df, "temperature", [key], list(order), out="__temp_ewma", com=5.0, shift=1)
+    else:
+        d = series_scan(df, key, list(order), segment, smooth=[Smooth("temperature", "__temp_ewma", ewm_alpha(com=5.0), 1)])
     d = d.withColumn("__temp_dev", F.col("temperature") - F.col("__temp_ewma"))
     qs = sorted({q for *_, q in temp_rules})
     qcols = {q: f"__q{int(round(q * 100))}" for q in qs}

@@ -17,7 +17,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.windows import _list
+from millrace.operators.scan import Lag, series_scan
+from millrace.operators.windows import _list, lag_by
 
 
 def _moments(df: DataFrame, keys: list, feats: list[str], label: str) -> DataFrame:
@@ -131,10 +132,11 @@ def _diff_expr(lags: dict, d: int, shift: int = 0):
 
 def _lags(df: DataFrame, keys, order, col: str, L: int, segment, keep) -> DataFrame:
     """x and its lags 1..L as ``__x0..__xL`` (doubles)."""
-    from millrace.operators.windows import lag_by
     base = df.select(*keep, F.col(col).cast("double").alias("__x0"))
     if L == 0:
         return base
+    if segment is not None:
+        return series_scan(base, keys, order, segment, lags=[Lag("__x0", k, f"__x{k}") for k in range(1, L + 1)])
     return lag_by(base, keys, order, ["__x0"], n=list(range(1, L + 1)), segment=segment,
                   names={("__x0", k): f"__x{k}" for k in range(1, L + 1)})
 
@@ -168,52 +170,128 @@ def ar_forecast(df: DataFrame, key, order, col: str, p: int = 1, d: int = 0,
     return rows.drop(*drop), fit
 
 
+def _fit_orders(keys, p: int, d: int):
+    """Solves every series' AR(p) on d-th differences from its moments, with the error that the fit leaves."""
+    mix = np.zeros((p + 1, p + d + 1))
+    for j in range(p + 1):
+        for k in range(d + 1):
+            mix[j, j + k] = (-1) ** k * math.comb(d, k)
+
+    def run(batches):
+        for pdf in batches:
+            n = pdf["n"].to_numpy(float)
+            mean, cov = _mean_and_covariance(pdf, p + d)
+            level = pdf["level"].to_numpy(float)
+            z_mean = mean @ mix.T + level[:, None] * mix.sum(1)
+            s = mix @ cov @ mix.T
+            out = pdf[list(keys)].copy()
+            beta = np.full((len(n), p), np.nan)
+            if p:
+                scale = np.prod(np.maximum(np.einsum("gii->gi", s)[:, 1:], 0), axis=1)
+                ok = np.abs(np.linalg.det(s[:, 1:, 1:])) > 1e-12 * np.maximum(scale, 1e-300)
+                beta[ok] = np.linalg.solve(s[ok, 1:, 1:], s[ok, 1:, :1])[..., 0]
+            left = s[:, 0, 0] - (beta * s[:, 1:, 0]).sum(1)
+            out["n_used"] = n.astype("int64")
+            out["intercept"] = z_mean[:, 0] - (beta * z_mean[:, 1:]).sum(1)
+            for j in range(p):
+                out[f"a{j + 1}"] = beta[:, j]
+            out["rmse"] = np.sqrt(np.maximum(left, 0.0))
+            out["n_scored"] = np.where(np.isfinite(out["rmse"]), n, 0).astype("int64")
+            yield out
+
+    return run
+
+
+def forecast_fit(df: DataFrame, key, order, col: str, p: int = 1, d: int = 0, segment=None) -> DataFrame:
+    """M13 + M7: per series the AR(p) fit on d-times differenced values
+    (``n_used``, ``intercept``, ``a1`` ..) and the RMSE of its one-step forecast,
+    all from one set of moments; the rows are read once.  A series whose lags
+    are collinear has no fit and no error (null)."""
+    keys = _list(key)
+    moments = _lag_moments(df, keys, order, col, p + d, segment)
+    numbers = ["intercept", *[f"a{j + 1}" for j in range(p)], "rmse"]
+    schema = ", ".join(f"`{k}` {t}" for k, t in moments.select(*keys).dtypes) + ", n_used long, " + ", ".join(f"{c} double" for c in numbers) + ", n_scored long"
+    fit = moments.mapInPandas(_fit_orders(keys, p, d), schema)
+    return fit.select(*keys, "n_used", *[F.nanvl(c, F.lit(None).cast("double")).alias(c) for c in numbers], "n_scored")
+
+
 def forecast_rmse(df: DataFrame, key, order, col: str, p: int = 1, d: int = 0,
                   segment=None) -> DataFrame:
     """M13 + M7: RMSE of the one-step forecast per series."""
-    rows, fit = ar_forecast(df, key, order, col, p, d, segment=segment)
-    keys = _list(key)
-    e = F.col(col).cast("double") - F.col("predicted")
-    return rows.groupBy(*keys).agg(F.sqrt(F.avg(e * e)).alias("rmse"), F.count(e).alias("n_scored"))
+    return forecast_fit(df, key, order, col, p, d, segment).select(*_list(key), "rmse", "n_scored")
+
+
+def _lag_moments(df: DataFrame, keys, order, col: str, lags: int, segment) -> DataFrame:
+    """Per series: ``n`` and, of x_t .. x_(t-lags) less the series' mean, the sums
+    ``s_i`` and products ``q_i_j``; over the rows that have all lags."""
+    base = _lags(df, keys, order, col, lags, segment, keep=keys + [o for o in _list(order) if isinstance(o, str) and o not in keys])
+    whose = F.struct(*keys)
+    level = df.groupBy(whose.alias("__k")).agg(F.avg(F.col(col).cast("double")).alias("__level"))
+    x = base.withColumn("__k", whose).join(level, "__k")
+    for i in range(lags + 1):
+        x = x.where(F.col(f"__x{i}").isNotNull())
+    x = x.select("__k", "__level", *[(F.col(f"__x{i}") - F.col("__level")).alias(f"__x{i}") for i in range(lags + 1)])
+    sums = [F.sum(f"__x{i}").alias(f"s_{i}") for i in range(lags + 1)]
+    sums += [F.sum(F.col(f"__x{i}") * F.col(f"__x{j}")).alias(f"q_{i}_{j}") for i in range(lags + 1) for j in range(i, lags + 1)]
+    return x.groupBy("__k").agg(F.count(F.lit(1)).alias("n"), F.first("__level").alias("level"), *sums).select("__k.*", "n", "level", *[f"s_{i}" for i in range(lags + 1)],
+                                                                           *[f"q_{i}_{j}" for i in range(lags + 1) for j in range(i, lags + 1)])
+
+
+# a lag whose variance is below this share of its own, given the lags before it, adds nothing to a fit
+COLLINEAR = 1e-9
+
+
+def _mean_and_covariance(pdf, lags: int):
+    """Of x and its lags, by series: means (from the level) and covariances."""
+    n = pdf["n"].to_numpy(float)
+    mean = np.stack([pdf[f"s_{i}"].to_numpy(float) for i in range(lags + 1)], 1) / n[:, None]
+    cov = np.empty((len(n), lags + 1, lags + 1))
+    for i in range(lags + 1):
+        for j in range(i, lags + 1):
+            cov[:, i, j] = cov[:, j, i] = pdf[f"q_{i}_{j}"].to_numpy(float) / n - mean[:, i] * mean[:, j]
+    return mean, cov
+
+
+def _order_errors(ps, ds, lags: int):
+    """Adds up the squared errors of every order (p, d) over a batch of series."""
+    combos = [(p, d) for p in ps for d in ds]
+
+    def run(batches):
+        for pdf in batches:
+            n = pdf["n"].to_numpy(float)
+            _, cov = _mean_and_covariance(pdf, lags)
+            out = []
+            for p, d in combos:
+                mix = np.zeros((p + 1, lags + 1))  # row j: the d-th difference j steps back, from x and its lags
+                for j in range(p + 1):
+                    for k in range(d + 1):
+                        mix[j, j + k] = (-1) ** k * math.comb(d, k)
+                s = mix @ cov @ mix.T
+                own = np.einsum("gii->gi", s).copy()
+                for j in range(1, p + 1):  # sweep out one lag after the other
+                    rest = s[:, j, j].copy()
+                    use = rest > COLLINEAR * own[:, j]
+                    step = np.where(use[:, None], s[:, j, :] / np.where(use, rest, 1.0)[:, None], 0.0)
+                    s = s - step[:, :, None] * s[:, j, None, :]
+                out.append((p, d, float((n * np.maximum(s[:, 0, 0], 0.0)).sum()), int(n.sum())))
+            yield pd.DataFrame(out, columns=["p", "d", "sse", "n_scored"])
+
+    return run
 
 
 def order_search(df: DataFrame, key, order, col: str, ps=(0, 1, 2), ds=(0, 1, 2, 3),
                  segment=None) -> DataFrame:
-    """RMSE of every (p, d) forecast order over all series; the lags of
-    all orders come from one window pass and every order is fitted by the
-    same grouped aggregate (rows are replicated once per order with
-    ``explode``)."""
+    """RMSE of every (p, d) forecast order over all series.
+
+    One pass over the lagged rows gives each series' moments of x and its lags;
+    all fits and their errors follow from those: a difference is a linear
+    combination of lags, and what its least-squares fit on its own lags leaves
+    is the swept covariance.  All orders are compared on the same rows, those
+    that have every lag of the largest order.  A lag that is collinear with the
+    lags before it (short or constant series) is left out of that series' fit.
+    """
     keys = _list(key)
-    L = max(ds) + max(ps)
-    base = _lags(df, keys, order, col, L, segment,
-                 keep=keys + [o for o in _list(order) if isinstance(o, str) and o not in keys])
-    lags = {k: F.col(f"__x{k}") for k in range(L + 1)}
-    pmax = max(ps)
-    combos = []
-    for p in ps:
-        for d in ds:
-            zs = [_diff_expr(lags, d, j) if j <= p else F.lit(0.0) for j in range(1, pmax + 1)]
-            combos.append(F.struct(F.lit(p).alias("p"), F.lit(d).alias("d"),
-                                   _diff_expr(lags, d).alias("z"),
-                                   *[(z if j <= p else F.lit(0.0)).alias(f"z{j}")
-                                     for j, z in enumerate(zs, start=1)],
-                                   (lags[0] - _diff_expr(lags, d)).alias("base")))
-    long = base.select(*keys, F.explode(F.array(*combos)).alias("c")).select(*keys, "c.*")
-    valid = long
-    for j in range(1, pmax + 1):
-        valid = valid.filter(F.col(f"z{j}").isNotNull())
-    valid = valid.filter(F.col("z").isNotNull())
-    feats = [f"z{j}" for j in range(1, pmax + 1)]
-    mom = _moments(valid, keys + ["p", "d"], feats, "z")
-    names = [f"a{j}" for j in range(1, pmax + 1)]
-    key_ddl = ", ".join(f"`{k}` {t}" for k, t in mom.select(*keys, "d").dtypes)
-    schema = key_ddl + ", n_used bigint, intercept double, " + ", ".join(f"{n} double" for n in names) + ", p int"
-    fit = mom.mapInPandas(_solver(keys + ["d"], pmax, "p", names), schema)
-    scored = valid.join(fit, keys + ["p", "d"], "inner")
-    zhat = F.col("intercept")
-    for j in range(1, pmax + 1):
-        zhat = zhat + F.coalesce(F.col(f"a{j}"), F.lit(0.0)) * F.col(f"z{j}")
-    e = (F.col("base") + F.col("z")) - (F.col("base") + zhat)
-    return (scored.groupBy("p", "d").agg(F.sqrt(F.avg(e * e)).alias("rmse"),
-                                         F.count(e).alias("n_scored"))
-                  .orderBy("p", "d"))
+    lags = max(ds) + max(ps)
+    moments = _lag_moments(df, keys, order, col, lags, segment)
+    errors = moments.drop(*keys).mapInPandas(_order_errors(tuple(ps), tuple(ds), lags), "p int, d int, sse double, n_scored long")
+    return errors.groupBy("p", "d").agg(F.sqrt(F.sum("sse") / F.sum("n_scored")).alias("rmse"), F.sum("n_scored").alias("n_scored"))

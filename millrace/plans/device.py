@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.features import device_features, failure_mode_flags, label_defects
-from millrace.operators.windows import dense_rank_by, ewma, fill_series, lag_by
+from millrace.operators.scan import Smooth, series_scan
+from millrace.operators.windows import dense_rank_by, deviation, ewm_alpha, fill_series, lag_by
 
 ORDER = ["timestamp", "event_id"]
 
@@ -49,19 +50,20 @@ def add_airflow(readings: DataFrame, key=("device_id", "trip_id"), skew_safe: bo
                        backward_first=True)
 
 
-def temperature_ewma(readings: DataFrame, key=("device_id", "trip_id"), com: float = 5.0,
-                     shift: int = 0, skew_safe: bool = True) -> DataFrame:
-    """W6 + W8: EWMA of temperature and both deviations."""
-    d = ewma(readings, "temperature", list(key), ORDER, out="rolling_mean_temp", com=com,
-             shift=shift, segment=_segment_for(key, skew_safe))
-    return (d.withColumn("temp_difference", F.col("rolling_mean_temp") - F.col("temperature"))
-             .withColumn("temp_deviation", F.col("temperature") - F.col("rolling_mean_temp")))
+def temperature_ewma(readings: DataFrame, com: float = 5.0) -> DataFrame:
+    """W3 + W6 + W8 in one scan: trips, the EWMA of temperature per trip with
+    both deviations, and that of the previous temperatures per device."""
+    a = ewm_alpha(com=com)
+    d = series_scan(readings, "device_id", ORDER, day_segment(), rank="trip_id", smooth=[
+        Smooth("temperature", "rolling_mean_temp", a, restart=True), Smooth("temperature", "prev_temp_ewma", a, 1)])
+    d = deviation(d, "temperature", "rolling_mean_temp", "temp_difference", sign=1)
+    return deviation(d, "temperature", "rolling_mean_temp", "temp_deviation", sign=-1)
 
 
 def feature_table(readings: DataFrame, factories=None, models=None, skew_safe: bool = True) -> DataFrame:
     """E5 on trips."""
-    return device_features(add_trips(readings), factories=factories, models=models,
-                           segment=_segment_for(["device_id"], skew_safe))
+    return device_features(readings if skew_safe else add_trips(readings), factories=factories, models=models,
+                           segment=day_segment() if skew_safe else None)
 
 
 def defects(readings: DataFrame, skew_safe: bool = True, **rules) -> DataFrame:

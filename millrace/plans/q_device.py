@@ -82,10 +82,7 @@ FROM trips t JOIN et_r USING (event_id) JOIN ep_r USING (event_id)""")
 def q_device_temp_ewma(spark, sf_dir):
     """W6 + W8: EWMA (com=5) of temperature per (device, trip), both
     deviations, and the shifted per-device form used for defect labels."""
-    from millrace.operators.windows import ewma
-    t = D.temperature_ewma(D.add_trips(_readings(spark, sf_dir)))
-    t = ewma(t, "temperature", ["device_id"], D.ORDER, out="prev_temp_ewma", com=5.0, shift=1,
-             segment=D.day_segment())
+    t = D.temperature_ewma(_readings(spark, sf_dir))
     return round_doubles(t.select("event_id", "rolling_mean_temp", "temp_difference",
                                   "temp_deviation", "prev_temp_ewma"))
 

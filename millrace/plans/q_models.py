@@ -65,13 +65,8 @@ def q_forecast_ar1(spark, sf_dir):
     """M13 + M7: AR(1) one-step temperature forecast per device, fitted by
     per-device least squares, with its RMSE."""
     dv = view(spark, sf_dir, "device")
-    rows, fit = G.ar_forecast(dv, "device_id", D.ORDER, "temperature", p=1, d=0,
-                              segment=D.day_segment())
-    e = F.col("temperature") - F.col("predicted")
-    err = rows.groupBy("device_id").agg(F.sqrt(F.avg(e * e)).alias("rmse"), F.count(e).alias("n_scored"))
-    out = (fit.select("device_id", "n_used", "intercept", F.col("coef___z1").alias("slope"))
-              .join(err, "device_id", "inner"))
-    return round_doubles(out)
+    fit = G.forecast_fit(dv, "device_id", D.ORDER, "temperature", p=1, d=0, segment=D.day_segment())
+    return round_doubles(fit.select("device_id", "n_used", "intercept", F.col("a1").alias("slope"), "rmse", "n_scored"))
 
 
 _REG_SQL = _DEFECT_SQL + """,
@@ -115,10 +110,31 @@ def q_device_model_scores(spark, sf_dir):
     return round_doubles(s.select("event_id", "model_id", "prediction", "prediction_class"))
 
 
-@register("forecast_order_search")
+def _order_sql() -> str:
+    """Closed normal equations for p 0-2 on the d-th differences; one row set for all orders."""
+    lagged = ", ".join(f'lag(temperature, {k}) OVER w AS x{k}' for k in range(1, 6))
+    diffs = {0: [1], 1: [1, -1], 2: [1, -2, 1], 3: [1, -3, 3, -1]}
+    parts = []
+    for d, c in diffs.items():
+        z = [" + ".join(f"({w}) * x{j + k}" for k, w in enumerate(c)) for j in range(3)]
+        parts.append(f"SELECT {d} AS d, device_id, {z[0]} AS z, {z[1]} AS z1, {z[2]} AS z2 FROM l WHERE x5 + x4 + x3 + x2 + x1 + x0 IS NOT NULL")
+    return duck_with("device") + f""",
+l AS (SELECT device_id, temperature AS x0, {lagged} FROM device WINDOW w AS (PARTITION BY device_id ORDER BY "timestamp", event_id)),
+zs AS ({" UNION ALL ".join(parts)}),
+m AS (SELECT d, device_id, count(*) AS n, var_pop(z) AS v, var_pop(z1) AS s11, var_pop(z2) AS s22, covar_pop(z1, z2) AS s12,
+             covar_pop(z, z1) AS c1, covar_pop(z, z2) AS c2 FROM zs GROUP BY d, device_id),
+o AS (SELECT *, CASE WHEN s11 > 0 THEN c1 / s11 ELSE 0 END AS b1, CASE WHEN s11 > 0 THEN s12 / s11 ELSE 0 END AS g FROM m),
+r AS (SELECT *, s22 - g * s12 AS r22, c2 - g * c1 AS rc FROM o),
+e AS (SELECT d, n, v AS e0, v - b1 * c1 AS e1, v - b1 * c1 - CASE WHEN r22 > 1e-9 * s22 THEN rc * rc / r22 ELSE 0 END AS e2 FROM r),
+t AS (SELECT 0 AS p, d, n, e0 AS err FROM e UNION ALL SELECT 1, d, n, e1 FROM e UNION ALL SELECT 2, d, n, e2 FROM e)
+SELECT CAST(p AS INTEGER) AS p, CAST(d AS INTEGER) AS d, round(sqrt(sum(n * greatest(err, 0)) / sum(n)), 6) AS rmse, CAST(sum(n) AS BIGINT) AS n_scored
+FROM t GROUP BY p, d"""
+
+
+@register("forecast_order_search", _order_sql())
 def q_forecast_order_search(spark, sf_dir):
     """RMSE of AR(p) on d-times differenced temperature for p 0-2,
-    d 0-3, all series, one pipeline."""
+    d 0-3, all series, from one set of moments."""
     dv = view(spark, sf_dir, "device")
     return round_doubles(G.order_search(dv, "device_id", D.ORDER, "temperature",
                                         segment=D.day_segment()))
