@@ -6,7 +6,7 @@ column pair).
 
 Quantiles: ``method="exact"`` gives the exact linear-interpolation quantile
 (as ``percentile`` / pandas / DuckDB ``quantile_cont``).  Whole-table
-quantiles come from sketch brackets plus exact counts (:func:`exact_quantiles`);
+quantiles come from counting below sketched pivots (:func:`exact_quantiles`);
 per-group quantiles come from a skew-safe ranking when a group is hot
 (:func:`group_quantiles`).  Neither holds a column's distinct values in one
 task.  ``method="approx"`` uses ``percentile_approx`` (a bounded sketch, one
@@ -73,97 +73,79 @@ def correlation_matrix(df: DataFrame, cols=None) -> DataFrame:
 
 
 # ------------------------------------------------------------------ exact quantiles
-def _order_stats(df: DataFrame, cols: list[str], ranks: dict, accuracy: int, cap: int,
-                 depth: int = 0, counts: dict | None = None, brackets: dict | None = None) -> dict:
-    """Values at 0-based ranks (in ascending order of non-null, non-NaN
-    values) for several columns: ``ranks`` = {column: [rank, ...]}.
-    Returns {(column, rank): value}.  Three aggregate jobs per round; a
-    bracket holding more than ``cap`` values is refined on its own rows."""
-    eps = 3.0 / accuracy
-    x = {c: F.col(c).cast("double") for c in cols}
-    ok = {c: x[c].isNotNull() & ~F.isnan(x[c]) for c in cols}
-    s1 = ({f"n_{c}": counts[c] for c in cols} if counts is not None else
-          df.agg(*[F.count(F.when(ok[c], x[c])).alias(f"n_{c}") for c in cols]).first())
-    if brackets is not None:
-        br = dict(brackets)
-    else:
-        qs = {}
-        for c in cols:
-            n = s1[f"n_{c}"]
-            if n:
-                qs[c] = sorted({max(0.0, r / max(n - 1, 1) - eps) for r in ranks[c]} |
-                               {min(1.0, r / max(n - 1, 1) + eps) for r in ranks[c]})
-        if not qs:
-            return {}
-        s2 = df.agg(*[F.percentile_approx(F.when(ok[c], x[c]), F.array(*[F.lit(q) for q in qs[c]]),
-                                          accuracy).alias(f"b_{c}") for c in qs]).first()
-        # bracket of each rank: approx value just below / above it
-        br = {}
-        for c in qs:
-            n = s1[f"n_{c}"]
-            vals = dict(zip(qs[c], s2[f"b_{c}"]))
-            for r in ranks[c]:
-                p = r / max(n - 1, 1)
-                br[(c, r)] = (vals[max(0.0, p - eps)], vals[min(1.0, p + eps)])
-    if not br:
-        return {}
-    keys = list(br)
-    s3 = df.agg(*[F.count(F.when(ok[c] & (x[c] < br[(c, r)][0]), 1)).alias(f"below_{i}")
-                  for i, (c, r) in enumerate(keys)],
-                *[F.count(F.when(ok[c] & (x[c] >= br[(c, r)][0]) & (x[c] <= br[(c, r)][1]), 1))
-                  .alias(f"in_{i}") for i, (c, r) in enumerate(keys)]).first()
-    out, collect, refine, fallback = {}, {}, {}, {}
-    for i, (c, r) in enumerate(keys):
-        lo_v, hi_v = br[(c, r)]
-        below, inside = s3[f"below_{i}"], s3[f"in_{i}"]
-        if not (below <= r < below + inside):
-            fallback.setdefault(c, []).append(r)          # sketch missed: rare
-        elif lo_v == hi_v:
-            out[(c, r)] = lo_v                            # all bracket values equal
-        elif inside <= cap:
-            collect[(c, r)] = (i, r - below)
-        elif depth < 4:
-            refine.setdefault((c, lo_v, hi_v), []).append((r, below))
-        else:
-            fallback.setdefault(c, []).append(r)
-    if collect:
-        aggs = [F.sort_array(F.collect_list(F.when(ok[c] & (x[c] >= br[(c, r)][0]) &
-                                                   (x[c] <= br[(c, r)][1]), x[c]))).alias(f"v_{i}")
-                for (c, r), (i, _) in collect.items()]
-        picks = [F.element_at(F.col(f"v_{i}"), j + 1).alias(f"p_{i}") for (c, r), (i, j) in collect.items()]
-        row = df.agg(*aggs).select(*picks).first()
-        for (c, r), (i, _) in collect.items():
-            out[(c, r)] = row[f"p_{i}"]
-    for (c, lo_v, hi_v), items in refine.items():
-        sub = df.select(x[c].alias(c)).filter(ok[c] & (F.col(c) >= lo_v) & (F.col(c) <= hi_v))
-        got = _order_stats(sub, [c], {c: [r - b for r, b in items]}, accuracy, cap, depth + 1)
-        for r, b in items:
-            out[(c, r)] = got.get((c, r - b))
-    for c, rs in fallback.items():
-        n = s1[f"n_{c}"]
-        ps = [r / max(n - 1, 1) for r in rs]
-        vals = df.agg(F.percentile(F.when(ok[c], x[c]), F.array(*[F.lit(p) for p in ps])).alias("v")).first()["v"]
-        # percentile at an exact rank position returns that order statistic
-        for r, v in zip(rs, vals):
-            out[(c, r)] = v
+def _select_ranks(df: DataFrame, ranks: dict, counts: dict, known: dict, accuracy: int) -> dict:
+    """Values at 0-based ranks (ascending, non-null and non-NaN) by counting.
+
+    ``ranks``: {column: [rank, ...]}; ``counts``: {column: number of values};
+    ``known``: {column: pivots to start with}.  Every round counts the rows below and at some pivots, values of the
+    column itself.  A pivot that covers a rank is its value; otherwise the
+    nearest pivots on either side enclose it, and the next pivots are taken
+    from the rows strictly between them, so every round narrows.  A sketch of
+    fewer than ``accuracy`` / 2 rows keeps all of them: its answer is the value
+    itself.  Only counts and pivots reach the driver, a few for every rank.
+    """
+    x = {c: F.col(c).cast("double") for c in ranks}
+    out: dict = {}
+    # rank -> (value below, rows up to it, value above, rows below that)
+    span = {(c, r): (None, 0, None, counts[c]) for c in ranks for r in ranks[c]}
+    pivots = {c: sorted(set(v)) for c, v in known.items()}
+    while span:
+        counted = [(c, v) for c in pivots for v in pivots[c]]
+        got = df.agg(F.lit(0), *[F.count(F.when(x[c] < v, 1)).alias(f"b{i}") for i, (c, v) in enumerate(counted)],
+                     *[F.count(F.when(x[c] == v, 1)).alias(f"e{i}") for i, (c, v) in enumerate(counted)]).first()
+        seen = {k: (got[f"b{i}"], got[f"e{i}"]) for i, k in enumerate(counted)}
+        for (c, r), (lo, upto, hi, under) in list(span.items()):
+            for v in pivots.get(c, []):
+                below, at = seen[(c, v)]
+                if below <= r < below + at:
+                    out[(c, r)] = v
+                    break
+                if below + at <= r and (lo is None or v > lo):
+                    lo, upto = v, below + at
+                if below > r and (hi is None or v < hi):
+                    hi, under = v, below
+            if (c, r) in out:
+                del span[(c, r)]
+            else:
+                span[(c, r)] = (lo, upto, hi, under)
+        if not span:
+            break
+        places = list(dict.fromkeys((c, *span[(c, r)]) for c, r in span))
+        aggs, asked = [F.lit(0)], {}
+        for i, (c, lo, upto, hi, under) in enumerate(places):
+            inside = x[c].isNotNull() & ~F.isnan(x[c])
+            if lo is not None:
+                inside &= x[c] > lo
+            if hi is not None:
+                inside &= x[c] < hi
+            m = under - upto
+            wanted = [(r, (r - upto + 0.5) / m) for k, r in span if (k, *span[(k, r)]) == (c, lo, upto, hi, under)]
+            grid = sorted({min(1.0, max(0.0, p + e)) for _, p in wanted for e in (-3.0 / accuracy, 0.0, 3.0 / accuracy)})
+            aggs.append(F.percentile_approx(F.when(inside, x[c]), F.array(*[F.lit(g) for g in grid]), accuracy).alias(f"s{i}"))
+            asked[i] = (wanted, grid, m)
+        row = df.agg(*aggs).first()
+        pivots = {}
+        for i, (c, *_) in enumerate(places):
+            wanted, grid, m = asked[i]
+            values = dict(zip(grid, row[f"s{i}"]))
+            for r, p in wanted:
+                if m < accuracy / 2:
+                    out[(c, r)] = values[p]
+                    del span[(c, r)]
+                else:
+                    pivots.setdefault(c, set()).update(values.values())
+        pivots = {c: sorted(v) for c, v in pivots.items()}
     return out
 
 
-def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], accuracy: int = 10000,
-                    cap: int = 2_000_000) -> dict:
+def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], accuracy: int = 10000) -> dict:
     """Exact quantiles (linear interpolation between order statistics, as
-    ``percentile`` / pandas / DuckDB ``quantile_cont``) without holding a
-    column's distinct values in one task.
-
-    For each needed order statistic: ``percentile_approx`` at its rank
-    -/+ 3/A gives a bracket (rank error of the sketch <= n/A); exact counts
-    below and inside the bracket locate the rank in it; a bracket of equal
-    values answers at once; a bracket of at most ``cap`` values (about 6n/A)
-    is sorted and indexed; a larger one is refined on its own rows, shrinking
-    by about A/6 per round.  Returns {(column, p): value}; only a few numbers
-    per (column, p) reach the driver."""
-    # first pass: counts and the sketch at p -/+ 3/A together (the bracket of
-    # p covers both order statistics next to p * (n - 1))
+    ``percentile`` / pandas / DuckDB ``quantile_cont``) by counting
+    (:func:`_select_ranks`): no list of values, no cap, at any size.
+
+    The first pass counts the rows and takes pivots at p -/+ 3/A from a
+    sketch; two more passes are enough for about A^2 / 12 rows.  Returns
+    {(column, p): value}; only a few numbers per (column, p) reach the driver."""
     eps = 3.0 / accuracy
     grid = sorted({max(0.0, p - eps) for p in probs} | {min(1.0, p + eps) for p in probs})
     ok = {c: F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in cols}
@@ -171,23 +153,20 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], accuracy
                    *[F.percentile_approx(F.when(ok[c], F.col(c).cast("double")),
                                          F.array(*[F.lit(q) for q in grid]), accuracy).alias(f"b_{c}")
                      for c in cols]).first()
-    ranks, pos, brackets = {}, {}, {}
+    ranks, pos, known = {}, {}, {}
     for c in cols:
         n = first[f"n_{c}"]
         if not n:
             continue
-        vals = dict(zip(grid, first[f"b_{c}"]))
+        known[c] = first[f"b_{c}"]
         rs = set()
         for p in probs:
             h = p * (n - 1)
             lo, hi = math.floor(h), math.ceil(h)
             pos[(c, p)] = (lo, hi, h - lo)
-            for r in (lo, hi):
-                brackets[(c, r)] = (vals[max(0.0, p - eps)], vals[min(1.0, p + eps)])
             rs |= {lo, hi}
         ranks[c] = sorted(rs)
-    stats = _order_stats(df, [c for c in cols if c in ranks], ranks, accuracy, cap,
-                         counts={c: first[f"n_{c}"] for c in ranks}, brackets=brackets) if ranks else {}
+    stats = _select_ranks(df, ranks, {c: first[f"n_{c}"] for c in ranks}, known, accuracy) if ranks else {}
     out = {}
     for c in cols:
         for p in probs:
@@ -195,9 +174,8 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], accuracy
                 out[(c, p)] = None
                 continue
             lo, hi, f = pos[(c, p)]
-            vl, vh = stats.get((c, lo)), stats.get((c, hi))
-            out[(c, p)] = vl if (f == 0 or vl is None or vh is None) else \
-                float(hi - lo - f) * vl + f * vh   # (1 - f) * lo + f * hi, as percentile
+            vl, vh = stats[(c, lo)], stats[(c, hi)]
+            out[(c, p)] = vl if f == 0 else float(hi - lo - f) * vl + f * vh   # (1 - f) * lo + f * hi, as percentile
     return out
 
 

@@ -75,14 +75,36 @@ def test_order_search_matches_brute_force(spark):
     assert seg == pytest.approx(got, rel=1e-9)
     for p in (0, 1, 2):
         for d in (0, 1):
-            z = np.diff(x, n=d) if d else x
-            Y = z[p:]
-            X = np.column_stack([np.ones(len(Y))] + [z[p - j:len(z) - j] for j in range(1, p + 1)])
+            # all orders on the same rows: those that have the three lags of the largest one
+            z = np.r_[np.full(d, np.nan), np.diff(x, n=d)]
+            rows = np.arange(3, len(x))
+            Y = z[rows]
+            X = np.column_stack([np.ones(len(Y))] + [z[rows - j] for j in range(1, p + 1)])
             beta = np.linalg.lstsq(X, Y, rcond=None)[0]
             rmse = np.sqrt(np.mean((Y - X @ beta) ** 2))
             assert got[(p, d)] == pytest.approx(rmse, rel=1e-8)
 
 
+def test_forecast_fit_from_moments(spark):
+    rng = np.random.default_rng(7)
+    rows = [(g, t, float(v)) for g in (1, 2) for t, v in enumerate(np.cumsum(rng.normal(size=90)) + 1e4 * g)]
+    rows += [(3, t, 5.0) for t in range(9)] + [(4, 0, 1.0), (None, 0, 2.0), (None, 1, 3.0), (None, 2, 5.0), (None, 3, 4.0)]
+    df = spark.createDataFrame(rows, "k int, t int, v double")
+    for p, d in ((1, 0), (2, 1)):
+        got = {r.k: r for r in G.forecast_fit(df, "k", ["t"], "v", p, d, segment=F.floor(F.col("t") / 7)).collect()}
+        for g in (1, 2):
+            x = np.array([v for k, _, v in rows if k == g])
+            z = np.r_[np.full(d, np.nan), np.diff(x, n=d)]
+            at = np.arange(p + d, len(x))
+            X = np.column_stack([np.ones(len(at))] + [z[at - j] for j in range(1, p + 1)])
+            beta = np.linalg.lstsq(X, z[at], rcond=None)[0]
+            assert [got[g].intercept, *[got[g][f"a{j}"] for j in range(1, p + 1)]] == pytest.approx(list(beta), rel=1e-6)
+            assert got[g].rmse == pytest.approx(np.sqrt(np.mean((z[at] - X @ beta) ** 2)), rel=1e-7)
+            assert got[g].n_used == got[g].n_scored == len(at)
+        assert got[3].rmse is None and got[3].n_scored == 0 and 4 not in got  # constant: collinear; one row: no lag
+        assert None in got if (p, d) == (1, 0) else True
+
+
 def test_tree_classifier_seed_stable(spark):
     f = A.anomaly_feature_table(view(spark, SF_SMALL, "telemetry"))
     train, test = M.hash_split(f, "event_id", 70)
@@ -124,7 +146,7 @@ def test_correlation_matrix_both_paths(spark):
             assert v == pytest.approx(want.loc[c1, c2], rel=1e-9)
 
 
-def test_exact_quantiles_bracket_and_fallback(spark):
+def test_exact_quantiles_by_counting(spark):
     from millrace.operators.profile import exact_quantiles
     rng = np.random.default_rng(5)
     a = rng.normal(size=20000)
@@ -138,8 +160,8 @@ def test_exact_quantiles_bracket_and_fallback(spark):
     for col, arr in (("a", a), ("b", b), ("c", c[~np.isnan(c)])):
         for p in probs:
             assert got[(col, p)] == pytest.approx(np.quantile(arr, p), rel=1e-12, abs=1e-12)
-    # a small cap forces recursive refinement of the brackets: same numbers
-    got2 = exact_quantiles(df, ["a", "c"], [0.25, 0.75], accuracy=100, cap=50)
+    # a coarse sketch takes several rounds: same numbers
+    got2 = exact_quantiles(df, ["a", "c"], [0.25, 0.75], accuracy=100)
     assert got2[("a", 0.25)] == pytest.approx(np.quantile(a, 0.25), rel=1e-12)
     assert got2[("c", 0.75)] == pytest.approx(np.quantile(c[~np.isnan(c)], 0.75), rel=1e-12)
 
