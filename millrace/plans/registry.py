@@ -24,5 +24,5 @@ def register(name: str, sql: str | None = None):
 
 def load_all():
     # importing the modules fills the registry
-    from millrace.plans import q_oee, q_anomaly, q_engine, q_device, q_models, q_stream, q_gate  # noqa: F401
+    from millrace.plans import q_oee, q_anomaly, q_engine, q_device, q_models, q_learning, q_stream, q_gate  # noqa: F401
     return QUERIES, ORACLE
