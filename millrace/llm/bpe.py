@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import discard, stored
 
-CACHE = 100_000  # frequent words held beside the vocabulary
+CACHE = 180_000  # frequent words held beside the vocabulary
 CACHE_BYTES = 64  # longest word held
 LONG = 512  # bytes; longer words merge all pairs of a rank at once
 PLAN_TEXT = 100_000  # characters kept of a plan's description
@@ -97,20 +97,21 @@ class Places:
     ``hash`` chooses a displacement, which is exclusive-ored with the low bits
     of a seeded ``xxhash64``; seed and displacements are chosen so that no two
     keys meet.  The hashes are Spark's own, so they are computed in a frame.
+    ``keys`` is a table of one or more columns.
     """
 
     SEEDS = 8  # tried at each size
 
-    def __init__(self, spark: SparkSession, keys: pa.Array):
-        frame = spark.createDataFrame(pa.table({"key": keys}))
-        n = len(keys)
+    def __init__(self, spark: SparkSession, keys: pa.Table):
+        names, n = keys.column_names, len(keys)
+        frame = spark.createDataFrame(keys)
         self.groups = 1 << max(2, (n // 2).bit_length())
         self.size = 1 << max(4, (n + n // 8).bit_length())
         seed = 0
         while True:
-            rows = frame.select("key", F.hash("key").alias("h"), F.xxhash64(F.lit(seed), "key").alias("x")).toArrow()
+            rows = frame.select(*names, F.hash(*names).alias("h"), F.xxhash64(F.lit(seed), *names).alias("x")).toArrow()
             if self._place(rows["h"].to_numpy().astype(np.int64) & (self.groups - 1), rows["x"].to_numpy(), seed):
-                self.keys = rows["key"]
+                self.keys = rows.select(names)
                 return
             seed += 1
             if seed % self.SEEDS == 0:
@@ -138,10 +139,10 @@ class Places:
         self.shift, self.seed = shift, seed
         return True
 
-    def slot(self, shift: Column, key: Column) -> Column:
-        """The place of ``key`` (from 0); ``shift`` is a column of ``shift_literal``."""
-        d = F.get(shift, F.hash(key).bitwiseAND(F.lit(self.groups - 1)))
-        return F.xxhash64(F.lit(self.seed), key).bitwiseAND(F.lit(self.size - 1)).cast("int").bitwiseXOR(d)
+    def slot(self, shift: Column, *key: Column) -> Column:
+        """The place of ``key`` (from 0); ``shift`` is the array of displacements."""
+        d = F.get(shift, F.hash(*key).bitwiseAND(F.lit(self.groups - 1)))
+        return F.xxhash64(F.lit(self.seed), *key).bitwiseAND(F.lit(self.size - 1)).cast("int").bitwiseXOR(d)
 
 
 def array_literal(values, kind: str) -> Column:
@@ -162,32 +163,36 @@ class Vocabulary:
         self.bits = max(ranks.values()).bit_length()
         if 3 * self.bits > 62:
             raise ValueError("ranks beyond 20 bits")
-        joined = {}
+        left, right, joined = [], [], []
         for piece, rank in ranks.items():
             for i in range(1, len(piece)):
                 a, b = ranks.get(piece[:i]), ranks.get(piece[i:])
                 if a is not None and b is not None:
-                    joined[a << self.bits | b] = rank
-        self.pairs = Places(spark, pa.array(joined, pa.int64()))
-        entries = np.full(self.pairs.size, -1, np.int64)
-        entries[self.pairs.slots] = [k << self.bits | joined[k] for k in self.pairs.keys.to_pylist()]
-        self.entries = entries
+                    left.append(a)
+                    right.append(b)
+                    joined.append(rank)
+        pairs = pa.table({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64()), "rank": pa.array(joined, pa.int64())})
+        self.pairs = Places(spark, pairs.select(["a", "b"]))
+        if not self.pairs.keys.equals(pairs.select(["a", "b"])):  # the frame keeps the order of its rows
+            raise RuntimeError("pairs were reordered")
+        a, b, rank = (pairs[c].to_numpy() for c in ("a", "b", "rank"))
+        self.entries = np.full(self.pairs.size, -1, np.int64)
+        self.entries[self.pairs.slots] = a << 2 * self.bits | b << self.bits | rank
         self.byte_ids = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
 
     def literal(self) -> Column:
         """One struct of all that the fold reads."""
         return F.struct(array_literal(self.entries.tolist(), "bigint").alias("pairs"), array_literal(self.pairs.shift.tolist(), "int").alias("shift"),
-                        array_literal(self.byte_ids.tolist(), "int").alias("bytes"))
+                        array_literal(self.byte_ids.tolist(), "bigint").alias("bytes"))
 
     def rank(self, t: Column, a: Column, b: Column) -> Column:
         """The rank of pieces ``a`` and ``b`` joined; ``limit`` or more if there is none.
 
-        An entry is the pair's key followed by its rank: exclusive-ored with the
-        key, it leaves the rank alone if it is this pair's entry.
+        An entry is the pair's two ids followed by its rank: exclusive-ored with
+        the ids, it leaves the rank alone if it is this pair's entry.
         """
-        key = F.shiftleft(a.cast("long"), self.bits).bitwiseOR(b.cast("long"))
-        left = F.get(t["pairs"], self.pairs.slot(t["shift"], key)).bitwiseXOR(F.shiftleft(key, self.bits))
-        return left.bitwiseAND(F.lit(2 ** 62 - 1))
+        ids = F.shiftleft(a, 2 * self.bits).bitwiseOR(F.shiftleft(b, self.bits))
+        return F.get(t["pairs"], self.pairs.slot(t["shift"], a, b)).bitwiseXOR(ids).bitwiseAND(F.lit(2 ** 62 - 1))
 
     @property
     def limit(self) -> int:
@@ -196,9 +201,9 @@ class Vocabulary:
     def folded(self, t: Column, word: Column) -> Column:
         """Ids of a word: ranked merges folded over its bytes (``t``: the literal)."""
         n = F.octet_length(word)
-        digits = F.hex(word.cast("binary"))
-        codes = F.transform(F.sequence(F.lit(1), n), lambda i: F.get(t["bytes"], F.conv(F.substring(digits, i * 2 - 1, F.lit(2)), 16, 10).cast("int")))
-        steps = F.sequence(F.lit(1), n)
+        codes = _bound(F.hex(word.cast("binary")), lambda digits: F.transform(F.sequence(F.lit(1), n * 2, F.lit(2)), lambda i: F.get(
+            t["bytes"], F.conv(F.substring(digits, i, F.lit(2)), 16, 10).cast("int"))))
+        steps = F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1)))
 
         def run(parts):
             start = F.struct(parts.alias("parts"), self._ranks(t, parts).alias("ranks"))
@@ -218,7 +223,7 @@ class Vocabulary:
         none = F.array().cast("array<bigint>")
 
         def merged(low, at):  # parts ``at`` and ``at`` + 1, from 1, become ``low``: a piece's rank is its id
-            piece = low.cast("int")
+            piece = low
             before = F.when(at > 1, F.array(self.rank(t, F.get(parts, at - 2), piece))).otherwise(none)
             after = F.when(at + 1 < F.size(parts), F.array(self.rank(t, piece, F.get(parts, at + 1)))).otherwise(none)
             return F.struct(
@@ -238,7 +243,7 @@ class Vocabulary:
 
             def rebuilt(starts):
                 kept = F.filter(F.sequence(F.lit(0), F.size(parts) - 1), lambda i: (i == 0) | (F.get(starts, i - 1) != "1"))
-                return F.transform(kept, lambda i: F.when(F.get(starts, i) == "1", low.cast("int")).otherwise(F.get(parts, i)))
+                return F.transform(kept, lambda i: F.when(F.get(starts, i) == "1", low).otherwise(F.get(parts, i)))
 
             return _bound(_bound(F.split(flags, ""), rebuilt), lambda p: F.struct(p.alias("parts"), self._ranks(t, p).alias("ranks")))
 
@@ -297,9 +302,9 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str
     known = _single_words(vocabulary)
     if cache:
         known = frequent_words(docs, vocabulary, text, cache) | known
-    places = Places(docs.sparkSession, pa.array(list(known), pa.string()))
+    places = Places(docs.sparkSession, pa.table({"word": pa.array(list(known), pa.string())}))
     keys, lists = [""] * places.size, [""] * places.size  # no word is empty
-    for slot, word in zip(places.slots.tolist(), places.keys.to_pylist()):
+    for slot, word in zip(places.slots.tolist(), places.keys["word"].to_pylist()):
         keys[slot], lists[slot] = word, known[word]
     held = F.struct(array_literal(keys, "string").alias("keys"), array_literal(places.shift.tolist(), "int").alias("shift"),
                     array_literal(lists, "string").alias("ids"))
