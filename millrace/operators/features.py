@@ -57,15 +57,11 @@ def anomaly_features(df: DataFrame, sensors=("sensor_1", "sensor_2", "sensor_3")
 
 
 # ------------------------------------------------------------------ E3 / E4
-def category_values(df: DataFrame, col: str, max_values: int = 10_000) -> list:
-    """Distinct values of a categorical column, sorted.  Runs one small
-    aggregate job; refuses columns with more than ``max_values`` categories
-    (one-hot encoding them would not be sensible)."""
-    vals = (df.select(col).distinct().orderBy(col).limit(max_values + 1)
-              .collect())
-    if len(vals) > max_values:
-        raise ValueError(f"{col} has more than {max_values} categories")
-    return [r[0] for r in vals if r[0] is not None]
+def category_values(df: DataFrame, col: str) -> list:
+    """Distinct non-null values of a categorical column, sorted: one small
+    aggregate.  They become the layout's columns, so there are as many as the
+    caller is willing to encode."""
+    return [r[0] for r in df.where(F.col(col).isNotNull()).select(col).distinct().orderBy(col).collect()]
 
 
 def one_hot(df: DataFrame, col: str, values: list | None = None, prefix: str = "ohe",
@@ -92,7 +88,7 @@ def device_features(df: DataFrame, key: str = "device_id", trip: str = "trip_id"
                     order=("timestamp", "event_id"), factories: list | None = None,
                     models: list | None = None, temp_com: float = 5.0,
                     density_span: float = 600.0, temp_shift: int = 1,
-                    segment: Column | None = None, one_hot_cols=("factory_id", "model_id")) -> DataFrame:
+                    segment: Column | None = None, one_hot_cols=("factory_id", "model_id"), lags=()) -> DataFrame:
     """E5: CNC device features.
 
     * one-hot of factory and model (``ohe_<value>``)
@@ -104,11 +100,12 @@ def device_features(df: DataFrame, key: str = "device_id", trip: str = "trip_id"
     * feature nulls forward-filled per series, then 0
 
     With ``segment`` (the day), everything comes from one series scan, the trip
-    number too where the readings don't have it.  ``temp_shift`` is 0 or 1."""
+    number too where the readings don't have it, and any further ``lags``.
+    ``temp_shift`` is 0 or 1."""
     order = list(order)
     if segment is not None:
         has_trip = trip in df.columns
-        d = series_scan(df, key, order, segment, within=F.col(trip) if has_trip else None, rank=None if has_trip else trip, smooth=[
+        d = series_scan(df, key, order, segment, within=F.col(trip) if has_trip else None, rank=None if has_trip else trip, lags=lags, smooth=[
             Smooth("temperature", "rolling_mean_temp", ewm_alpha(com=temp_com), temp_shift, restart=True, deviation="temp_difference"),
             Smooth("density", "rolling_mean_density", ewm_alpha(span=density_span), 1)])
     else:

@@ -24,6 +24,7 @@ from pyspark.sql.types import (DoubleType, MapType, StringType, StructField, Str
                                TimestampType)
 
 from millrace.functions.scalar import md5_bucket
+from millrace.sources.io import materialize
 
 ESTIMATORS = {
     "tree_classifier": lambda label, **kw: DecisionTreeClassifier(labelCol=label, **kw),
@@ -124,32 +125,42 @@ def evaluator_metrics(scored: DataFrame, label: str, kind: str = "binary") -> di
     ev = MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction")
     out = {m: ev.evaluate(scored, {ev.metricName: m}) for m in ("f1", "accuracy")}
     out["recall_1"] = ev.evaluate(scored, {ev.metricName: "recallByLabel", ev.metricLabel: 1.0})
+    out["f1_1"] = ev.evaluate(scored, {ev.metricName: "fMeasureByLabel", ev.metricLabel: 1.0, ev.beta: 1.0})
     if "rawPrediction" in scored.columns:
         out["auc"] = BinaryClassificationEvaluator(labelCol=label).evaluate(scored)
     return out
 
 
 # ------------------------------------------------------------------ M8
+SEARCH_DEPTHS = (1, 4, 8, 13, 19)
+SEARCH_LEAVES = (4, 16, 64, 127)
+
+
 def tree_search(pipeline: Pipeline, train: DataFrame, label: str,
-                depths=(2, 4, 6, 8, 10), min_instances=(4, 16, 64, 127),
-                metric: str = "f1", regression: bool = False, parallelism: int = 4,
-                seed: int = 42):
+                depths=SEARCH_DEPTHS, min_instances=SEARCH_LEAVES,
+                regression: bool = False, parallelism: int = 4, seed: int = 42):
     """M8: grid search over tree depth and minimum rows per leaf (20
     evaluations by default), one train/validation split, models fitted in
-    parallel on the cluster.  Maximises F1 (classifier) or minimises RMSE
-    (regressor)."""
-    est = pipeline.getStages()[-1]
+    parallel on the cluster.  Maximises the positive class's F1 (classifier) or
+    minimises RMSE (regressor).
+
+    The feature stages are fitted and applied once; the assembled features are
+    written, and all evaluations read that table.  Returns (feature stages +
+    best tree as one model, the features, a row of parameters and metric for
+    each evaluation)."""
+    *stages, est = pipeline.getStages()
+    rows = train.withColumn(label, F.col(label).cast("double"))
+    prepared = Pipeline(stages=stages).fit(rows)
+    features = materialize(prepared.transform(rows).select(label, est.getFeaturesCol()), "search-features")
     grid = (ParamGridBuilder().addGrid(est.maxDepth, list(depths))
                               .addGrid(est.minInstancesPerNode, list(min_instances)).build())
     ev = (RegressionEvaluator(labelCol=label, metricName="rmse") if regression else
-          MulticlassClassificationEvaluator(labelCol=label, metricName=metric))
-    tvs = TrainValidationSplit(estimator=pipeline, estimatorParamMaps=grid, evaluator=ev,
+          MulticlassClassificationEvaluator(labelCol=label, metricName="fMeasureByLabel", metricLabel=1.0, beta=1.0))
+    tvs = TrainValidationSplit(estimator=est, estimatorParamMaps=grid, evaluator=ev,
                                trainRatio=0.8, parallelism=parallelism, seed=seed)
-    model = tvs.fit(train.withColumn(label, F.col(label).cast("double")))
-    rows = []
-    for pm, m in zip(grid, model.validationMetrics):
-        rows.append({p.name: float(v) for p, v in pm.items()} | {"metric": float(m)})
-    return model, rows
+    found = tvs.fit(features)
+    runs = [{p.name: float(v) for p, v in pm.items()} | {"metric": float(m)} for pm, m in zip(grid, found.validationMetrics)]
+    return PipelineModel([*prepared.stages, found.bestModel]), features, runs
 
 
 # ------------------------------------------------------------------ M10
@@ -194,18 +205,54 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def promote(spark: SparkSession, aliases_table: str, name: str, alias: str, path: str) -> None:
-    """Point ``alias`` (e.g. ``Production``) of model ``name`` at an
-    artefact: one appended row; the latest row per (name, alias) wins."""
-    import datetime as _dt
-    spark.createDataFrame(
-        [(name, alias, path, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))],
-        "name string, alias string, path string, created timestamp"
-    ).write.mode("append").format("parquet").saveAsTable(aliases_table)
+class PromotionConflict(RuntimeError):
+    """Somebody else moved the alias first."""
+
+
+def _alias_folder(spark: SparkSession, root: str, name: str, alias: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}/{alias}")
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def alias_version(spark: SparkSession, root: str, name: str, alias: str) -> int:
+    """The alias's latest version (0: never promoted)."""
+    folder, fs = _alias_folder(spark, root, name, alias)
+    if not fs.exists(folder):
+        return 0
+    names = [f.getPath().getName() for f in fs.listStatus(folder)]
+    return max([int(n[1:-5]) for n in names if n.startswith("v") and n.endswith(".json")], default=0)
+
+
+def promote(spark: SparkSession, root: str, name: str, alias: str, path: str, expected: int | None = None) -> int:
+    """Point ``alias`` (e.g. ``Production``) of model ``name`` at an artefact.
+
+    Every promotion is a new version, a file that is created only if it does not
+    exist yet.  ``expected`` is the version the caller saw (the latest one if
+    not given): if another promotion has made the next version already, this
+    one raises :class:`PromotionConflict`, so of two at once one wins, whatever
+    the clocks say.  Returns the new version."""
+    version = (alias_version(spark, root, name, alias) if expected is None else expected) + 1
+    folder, fs = _alias_folder(spark, root, name, alias)
+    record = json.dumps({"name": name, "alias": alias, "version": version, "path": path})
+    jvm = spark.sparkContext._jvm
+    try:
+        out = fs.create(jvm.org.apache.hadoop.fs.Path(folder, f"v{version:08d}.json"), False)
+    except Exception as e:  # py4j wraps the file system's exception
+        if "FileAlreadyExists" in str(e):
+            raise PromotionConflict(f"{name}/{alias} already has version {version}") from e
+        raise
+    out.write(bytearray(record.encode()))
+    out.close()
+    return version
+
+
+def alias_history(spark: SparkSession, root: str, name: str, alias: str) -> DataFrame:
+    """Every version of the alias (name, alias, version, path)."""
+    return spark.read.schema("name string, alias string, version long, path string").json(f"{root}/{name}/{alias}")
 
 
-def resolve_alias(spark: SparkSession, aliases_table: str, name: str, alias: str) -> str | None:
-    """Current artefact path of an alias (one row read)."""
-    r = (spark.table(aliases_table).filter((F.col("name") == name) & (F.col("alias") == alias))
-              .orderBy(F.col("created").desc()).limit(1).collect())
-    return r[0]["path"] if r else None
+def resolve_alias(spark: SparkSession, root: str, name: str, alias: str) -> str | None:
+    """Current artefact path of an alias."""
+    if not alias_version(spark, root, name, alias):
+        return None
+    return alias_history(spark, root, name, alias).orderBy(F.col("version").desc()).first()["path"]

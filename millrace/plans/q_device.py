@@ -94,15 +94,19 @@ FACTORIES = ["F0", "F1", "F2", "F3", "F4"]
 MODELS = ["click", "error", "purchase", "signup", "view"]
 
 
-@register("device_features", _EWMA_WITH.replace("et AS (SELECT event_id, device_id, trip_id, temperature AS xv",
-                                                "et AS (SELECT event_id, device_id, trip_id, lag(temperature) OVER (PARTITION BY device_id, trip_id ORDER BY \"timestamp\", event_id) AS xv")
-          + """
-SELECT t.event_id, t.device_id, t.trip_id,
+_FEATURES_WITH = _EWMA_WITH.replace(
+    "et AS (SELECT event_id, device_id, trip_id, temperature AS xv",
+    "et AS (SELECT event_id, device_id, trip_id, lag(temperature) OVER (PARTITION BY device_id, trip_id ORDER BY \"timestamp\", event_id) AS xv")
+_FEATURE_COLS = """t.event_id, t.device_id, t.trip_id,
        round(coalesce(et_r.v, 0.0), 6) AS rolling_mean_temp,
        round(coalesce(et_r.v - t.temperature, 0.0), 6) AS temp_difference,
        round(coalesce(ed_r.v, 0.0), 6) AS rolling_mean_density, """ + ", ".join(
     [f"CAST(t.factory_id = '{v}' AS DOUBLE) AS ohe_{v}" for v in FACTORIES] +
-    [f"CAST(t.model_id = '{v}' AS DOUBLE) AS ohe_{v}" for v in MODELS]) + """
+    [f"CAST(t.model_id = '{v}' AS DOUBLE) AS ohe_{v}" for v in MODELS])
+
+
+@register("device_features", _FEATURES_WITH + f"""
+SELECT {_FEATURE_COLS}
 FROM trips t JOIN et_r USING (event_id) JOIN ed_r USING (event_id)""")
 def q_device_features(spark, sf_dir):
     """E3 + E5: one-hot, EWMA temperature of the previous readings per

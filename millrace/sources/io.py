@@ -204,16 +204,51 @@ def foreach_batch(df: DataFrame, fn, checkpoint: str, trigger: dict | None = Non
     return w.start()
 
 
-def idempotent_append(path: str, app_id: str):
-    """Build a foreachBatch function that appends each batch to a parquet
-    folder exactly once: output of batch ``b`` goes to ``batch_id=b`` and is
-    replaced, not duplicated, when a batch is retried after a failure."""
+def committed_append(path: str, transform=None):
+    """Build a foreachBatch function that appends each batch to ``path`` exactly once.
+
+    A batch's rows (``transform``ed) go to a folder of their own; then a commit
+    record names that folder under the stream's query id and the batch id.  A
+    batch that is replayed after its commit is skipped.  The query id belongs to
+    the checkpoint, so a stream that starts over with a new checkpoint adds to
+    the table and never replaces what an older one wrote.  Readers follow the
+    records (:func:`read_committed`): rows of a batch that failed half-way are
+    never seen."""
     def _write(batch: DataFrame, batch_id: int) -> None:
-        (batch.write.mode("overwrite")
-              .parquet(os.path.join(path, f"app={app_id}", f"batch_id={batch_id}")))
+        spark = batch.sparkSession
+        stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        record = f"{path}/_commits/{stream}/{batch_id}"
+        if _exists(spark, f"{record}/_SUCCESS"):
+            return
+        folder = f"data-{uuid.uuid4().hex}"
+        (transform(batch) if transform else batch).write.parquet(f"{path}/{folder}")
+        spark.createDataFrame([(stream, batch_id, folder)], _COMMIT).coalesce(1).write.mode("overwrite").parquet(record)
     return _write
 
 
+_COMMIT = "stream string, batch_id long, folder string"
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def committed_batches(spark: SparkSession, path: str) -> DataFrame:
+    """(stream, batch_id, folder) of every committed batch."""
+    if not _exists(spark, f"{path}/_commits"):
+        return spark.createDataFrame([], _COMMIT)
+    return spark.read.schema(_COMMIT).option("recursiveFileLookup", "true").parquet(f"{path}/_commits")
+
+
+def read_committed(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The rows of all committed batches (one folder a batch reaches the driver, no data)."""
+    folders = [f"{path}/{r['folder']}" for r in committed_batches(spark, path).select("folder").collect()]
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*folders)
+
+
 def stop_all_streams(spark: SparkSession) -> int:
     """Stop every active query; returns how many were stopped."""
     n = 0
