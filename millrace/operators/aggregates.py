@@ -78,6 +78,20 @@ def distinct_count(df: DataFrame, col: str, by=None, out: str = "n_distinct",
     return df.agg(agg.alias(out))
 
 
+def distinct_sketches(df: DataFrame, col: str, by, lg_k: int = 12) -> DataFrame:
+    """A mergeable distinct-count sketch per group (``sketch``, at most 2^lg_k
+    registers); its relative standard error is about 0.83 / sqrt(2^lg_k).  Keep
+    the table per fine group (model and day) and roll it up later."""
+    keys = by if isinstance(by, (list, tuple)) else [by]
+    return df.groupBy(*keys).agg(F.hll_sketch_agg(col, lg_k).alias("sketch"))
+
+
+def rolled_up_distinct(sketches: DataFrame, by=None, out: str = "n_distinct") -> DataFrame:
+    """Distinct counts of coarser groups from the sketches of finer ones, without reading the rows again."""
+    keys = (by if isinstance(by, (list, tuple)) else [by]) if by else []
+    return sketches.groupBy(*keys).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias(out))
+
+
 def variance_by(df: DataFrame, key, col: str, out: str = "variance") -> DataFrame:
     """Sample variance per group."""
     return df.groupBy(key).agg(F.var_samp(col).alias(out))

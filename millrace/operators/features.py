@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.scalar import day_of_week, hour_of_day, md5_coin
-from millrace.operators.scan import Lag, Smooth, series_scan
-from millrace.operators.windows import ewm_alpha, ewma, fill_forward, lag_by
+from millrace.operators.scan import Smooth, series_scan
+from millrace.operators.windows import ewm_alpha, ewma, fill_forward, rolling_avg_and_diff
 
 
 # ------------------------------------------------------------------ E1 / E2
@@ -32,28 +32,15 @@ def anomaly_features(df: DataFrame, sensors=("sensor_1", "sensor_2", "sensor_3")
     """Per device in time order, for each sensor the mean of the current
     and previous reading (``_rolling_avg``) and the change from the previous
     reading (``_diff``), both FLOAT; hour of day and day of week (FLOAT);
-    nulls of the numeric feature columns filled with 0.
+    nulls of all numeric features, the readings included, filled with 0.
 
     The previous reading is fetched once for all sensors (one window sort, or
     one series scan when ``segment`` is given)."""
     sensors = list(sensors)
-    prev = {s: f"__prev_{s}" for s in sensors}
-    if segment is None:
-        d = lag_by(df, key, list(order), sensors, n=1, names=prev)
-    else:
-        d = series_scan(df, key, list(order), segment, lags=[Lag(s, 1, p) for s, p in prev.items()])
-    feats = []
-    for s in sensors:
-        x, p = F.col(s).cast("double"), F.col(prev[s]).cast("double")
-        n = x.isNotNull().cast("int") + p.isNotNull().cast("int")
-        tot = F.coalesce(x, F.lit(0.0)) + F.coalesce(p, F.lit(0.0))
-        feats.append(F.when(n > 0, tot / n).cast("float").alias(f"{s}_rolling_avg"))
-    for s in sensors:
-        feats.append((F.col(s) - F.col(prev[s])).cast("float").alias(f"{s}_diff"))
-    feats += [hour_of_day(ts).alias("hour_of_day"), day_of_week(ts).alias("day_of_week")]
-    out = d.select(*df.columns, *feats)
-    fill_cols = [f"{s}_rolling_avg" for s in sensors] + [f"{s}_diff" for s in sensors]
-    return out.na.fill(0.0, subset=fill_cols)
+    d = rolling_avg_and_diff(df, sensors, key, list(order), segment=segment)
+    d = d.withColumn("hour_of_day", hour_of_day(ts)).withColumn("day_of_week", day_of_week(ts))
+    made = [f"{s}_rolling_avg" for s in sensors] + [f"{s}_diff" for s in sensors] + ["hour_of_day", "day_of_week"]
+    return d.select(*df.columns, *made).na.fill(0.0, subset=[*sensors, *made])
 
 
 # ------------------------------------------------------------------ E3 / E4

@@ -25,8 +25,6 @@ No operator collects a series to the driver or into one Python worker.
 from __future__ import annotations
 
 import math
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -199,43 +197,25 @@ def lag_by(df: DataFrame, key, order, cols, n=1, suffix: str = "_lag",
 # ---------------------------------------------------------------------------
 # Rolling average of the current and previous row, lag difference
 # ---------------------------------------------------------------------------
-def rolling_avg(df: DataFrame, cols, key, order, back: int = 1, suffix: str = "_rolling_avg",
-                cast: str | None = "float", segment: Column | None = None) -> DataFrame:
-    """Mean over the frame rows ``-back .. 0`` (nulls ignored)."""
+def rolling_avg_and_diff(df: DataFrame, cols, key, order, cast: str = "float", segment: Column | None = None) -> DataFrame:
+    """W1 + W2: for each column the mean of the present and previous row
+    (``{col}_rolling_avg``; a missing one is left out) and the change from the
+    previous row (``{col}_diff``; null where either is missing).  The previous
+    values come from one window sort, or one series scan with ``segment``."""
+    from millrace.operators.scan import Lag, series_scan
+
     cols = _list(cols)
+    prev = {c: f"__prev_{c}" for c in cols}
     if segment is None:
-        w = series_window(key, order).rowsBetween(-back, 0)
-        outs = [F.avg(c).over(w) for c in cols]
-        return df.select("*", *[(o.cast(cast) if cast else o).alias(f"{c}{suffix}")
-                                for c, o in zip(cols, outs)])
-    lagged = [{c: f"__{c}_l{i}" for c in cols} for i in range(1, back + 1)]
-    cur = lag_by(df, key, order, cols, n=list(range(1, back + 1)), segment=segment,
-                 names={(c, i): f"__{c}_l{i}" for c in cols for i in range(1, back + 1)})
-    exprs = []
+        d = lag_by(df, key, order, cols, n=1, names=prev)
+    else:
+        d = series_scan(df, key, _list(order), segment, lags=[Lag(c, 1, p) for c, p in prev.items()])
+    out = []
     for c in cols:
-        vals = [F.col(c).cast("double")] + [F.col(m[c]).cast("double") for m in lagged]
-        s = reduce(lambda a, b: a + b, [F.coalesce(v, F.lit(0.0)) for v in vals])
-        k = reduce(lambda a, b: a + b, [v.isNotNull().cast("int") for v in vals])
-        o = F.when(k > 0, s / k)
-        exprs.append((o.cast(cast) if cast else o).alias(f"{c}{suffix}"))
-    drop = [m[c] for m in lagged for c in cols]
-    return cur.select("*", *exprs).drop(*drop)
-
-
-def lag_diff(df: DataFrame, cols, key, order, suffix: str = "_diff",
-             cast: str | None = "float", segment: Column | None = None) -> DataFrame:
-    """``x - lag(x, 1)`` per series (null on the first row)."""
-    cols = _list(cols)
-    if segment is None:
-        w = series_window(key, order)
-        return df.select("*", *[((F.col(c) - F.lag(c, 1).over(w)).cast(cast) if cast else
-                                 (F.col(c) - F.lag(c, 1).over(w))).alias(f"{c}{suffix}")
-                                for c in cols])
-    nm = {c: f"__{c}_prev" for c in cols}
-    cur = lag_by(df, key, order, cols, 1, segment=segment, names=nm)
-    exprs = [((F.col(c) - F.col(nm[c])).cast(cast) if cast else
-              (F.col(c) - F.col(nm[c]))).alias(f"{c}{suffix}") for c in cols]
-    return cur.select("*", *exprs).drop(*nm.values())
+        x, p = F.col(c).cast("double"), F.col(prev[c]).cast("double")
+        out.append(F.coalesce((x + p) / 2, x, p).cast(cast).alias(f"{c}_rolling_avg"))
+    out += [(F.col(c) - F.col(prev[c])).cast(cast).alias(f"{c}_diff") for c in cols]
+    return d.select(*df.columns, *out)
 
 
 # ---------------------------------------------------------------------------

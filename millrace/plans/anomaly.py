@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.scalar import day_label
 from millrace.operators.features import anomaly_features, label_anomaly
-from millrace.operators.select import typed_select
+from millrace.operators.select import in_range, typed_select
 
 # The silver schema of the sensor stream.
 SILVER_SCHEMA = ("timestamp timestamp, device_id int, device_model string, sensor_1 float, "
@@ -67,9 +67,7 @@ def dash_sensor_by_date(gold: DataFrame, sensor: str = "sensor_1") -> DataFrame:
 def dash_predictions_in_range(gold: DataFrame, after: str, before: str, sites: list) -> DataFrame:
     """Scored rows strictly between two instants, for an exact list
     of sites."""
-    ts = F.col("timestamp")
-    return gold.filter((ts > F.lit(after).cast("timestamp")) & (ts < F.lit(before).cast("timestamp"))
-                       & F.col("site_name").isin(list(sites)))
+    return in_range(gold, "timestamp", after, before, list(sites), "site_name")
 
 
 def dash_monthly(gold: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ EXAMPLE_BODY = """{"applicationId":"app-0","deviceId":"machine-1",
  "messageProperties":{"iothub-connection-device-id":"machine-1",
    "iothub-creation-time-utc":"2024-01-01T00:00:00+00:00","iothub-interface-id":""},
  "telemetry":{"batchNumber":1,"cpuLoad":1.5,"defectivePartsMade":2,"machineHealth":"Healthy",
-   "messageTimestamp":"2024-01-01T00:00:00.000000Z","oilLevel":97.5,"plantName":"Plant_0",
+   "memoryFree":200000000,"memoryUsed":50000000,"messageTimestamp":"2024-01-01T00:00:00.000000Z","oilLevel":97.5,"plantName":"Plant_0",
    "productionLine":"ProductionLine 1","shiftNumber":1,"systemDiskFreePercent":75,
    "systemDiskUsedPercent":25,"temperature":89.5,"totalPartsMade":99}}"""
 

@@ -9,7 +9,7 @@ from millrace.operators import profile as P
 from millrace.operators.aggregates import count_by
 from millrace.operators.quality import duplicate_rows, null_profile
 from millrace.operators.select import slice_entities
-from millrace.operators.windows import lag_by
+from millrace.operators.windows import rolling_avg_and_diff
 from millrace.plans.common import round_doubles
 from millrace.plans.registry import register
 from millrace.sources.fixtures import duck_with, stored, view
@@ -147,17 +147,18 @@ def q_engine_cycle_features(spark, sf_dir):
     Skew-safe form: cycles are segmented in blocks of 64."""
     e = _engine(spark, sf_dir)
     seg = F.floor(F.col("Cycle") / 64)
-    sens = ["SensorMeasure1", "SensorMeasure2"]
-    prev = {s: f"__p_{s}" for s in sens}
-    d = lag_by(e, "id", ["Cycle"], sens, 1, segment=seg, names=prev)
-    out = [F.col("id"), F.col("Cycle")]
-    for s in sens:
-        x, p = F.col(s), F.col(prev[s])
-        avg = F.when(p.isNull(), x).otherwise((x + p) / 2)
-        out.append(avg.cast("float").alias(f"{s}_rolling_avg"))
-    for s in sens:
-        out.append((F.col(s) - F.col(prev[s])).cast("float").alias(f"{s}_diff"))
-    return round_doubles(d.select(*out))
+    d = rolling_avg_and_diff(e, ["SensorMeasure1", "SensorMeasure2"], "id", ["Cycle"], segment=seg)
+    return round_doubles(d.select("id", "Cycle", *[f"SensorMeasure{i}_{k}" for k in ("rolling_avg", "diff") for i in (1, 2)]))
+
+
+@register("engine_shape", _W + """
+SELECT count(*) AS rows, 7 AS columns, 'id bigint,Cycle int,OpSet1 double,OpSet2 double,SensorMeasure1 double,SensorMeasure2 double,RemainingUsefulLife int' AS types
+FROM engine""")
+def q_engine_shape(spark, sf_dir):
+    """Number of rows and columns, and the columns' types."""
+    e = _engine(spark, sf_dir)
+    types = ",".join(f"{c} {t}" for c, t in P.dtypes_table(e))
+    return P.shape(e).withColumn("types", F.lit(types))
 
 
 @register("engine_cycles", _W + """

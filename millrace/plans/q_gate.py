@@ -9,14 +9,17 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from millrace.functions.scalar import md5_bucket
+from millrace.functions.scalar import array_lookup, md5_bucket
+from millrace.operators import aggregates as G
 from millrace.operators import features as E
 from millrace.operators import models as M
 from millrace.operators import profile as P
 from millrace.operators import quality as Q
 from millrace.operators import select as S
 from millrace.operators import windows as W
+from millrace.operators.scan import Lag, Smooth, series_scan
 from millrace.plans.common import round_doubles
+from millrace.operators.joins import join_on_keys
 from millrace.plans.registry import register
 from millrace.session import scratch_path
 from millrace.sources import io
@@ -70,6 +73,17 @@ def q_ewma_null_gaps(spark, sf_dir):
     return d.agg(F.count("*").alias("rows"), F.count("e").alias("with_value"), F.count(F.when(moved, 1)).alias("changed_in_a_gap"))
 
 
+@register("ewma_after_gaps", _ODD + """,
+n AS (SELECT *, row_number() OVER w AS rn, lag(x) OVER w AS px FROM odd WINDOW w AS (PARTITION BY k ORDER BY t NULLS LAST, event_id)),
+r AS (SELECT event_id, k, x, px, rn, sum(CASE WHEN x IS NOT NULL THEN x * pow(5.0::DOUBLE / 6, -rn) END) OVER u / sum(CASE WHEN x IS NOT NULL THEN pow(5.0::DOUBLE / 6, -rn) END) OVER u AS v
+      FROM n WINDOW u AS (PARTITION BY k ORDER BY rn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT event_id, k, round(v, 6) AS v FROM r WHERE x IS NOT NULL AND px IS NULL""")
+def q_ewma_after_gaps(spark, sf_dir):
+    """W6 by the series scan: the smoothed value of the first observation after every gap, by value."""
+    d = series_scan(_odd(spark, sf_dir), "k", _ORDER, _day(), smooth=[Smooth("x", "v", W.ewm_alpha(com=5))], lags=[Lag("x", 1, "px")])
+    return round_doubles(d.where("x is not null and px is null").select("event_id", "k", "v"))
+
+
 @register("time_split_null_times", _ODD + """
 SELECT event_id, CASE WHEN row_number() OVER (ORDER BY t NULLS LAST, event_id) <= floor(count(*) OVER () * 0.7) THEN 'train' ELSE 'test' END AS split FROM odd""")
 def q_time_split_null_times(spark, sf_dir):
@@ -189,3 +203,89 @@ def q_table_to_table_stream(spark, sf_dir):
     doubled = io.read_stream_table(spark, source).where("value > 1").select("event_id", "event_type", F.round(F.col("value") * 2, 6).alias("doubled"))
     io.run_available_now(io.append_stream(doubled, sink, scratch_path(spark, f"checkpoint-{run}"), {"availableNow": True}))
     return io.read_table(spark, sink)
+
+
+@register("distinct_devices_rolled_up", """
+SELECT event_type, count(DISTINCT user_id) AS devices, true AS within_bound FROM events GROUP BY event_type
+UNION ALL SELECT NULL, count(DISTINCT user_id), true FROM events""")
+def q_distinct_devices_rolled_up(spark, sf_dir):
+    """Sketches kept per model and day, rolled up per model and over all;
+    whether each is within five standard errors of the exact count."""
+    e = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
+    daily = io.materialize(G.distinct_sketches(e, "user_id", ["event_type", "day"]), "daily-sketches")
+    close = lambda d: F.abs(F.col("estimate") - F.col("devices")) <= F.col("devices") * (5 * 0.83 / 64)
+    exact = G.distinct_count(e, "user_id", "event_type", out="devices")
+    models = exact.join(G.rolled_up_distinct(daily, "event_type", "estimate"), "event_type")
+    every = G.distinct_count(e, "user_id", out="devices").join(G.rolled_up_distinct(daily, out="estimate"))
+    return models.select("event_type", "devices", close(models).alias("within_bound")).unionByName(
+        every.select(F.lit(None).cast("string").alias("event_type"), "devices", close(every).alias("within_bound")))
+
+
+@register("unprojected_filter", """
+SELECT event_id, event_type FROM events WHERE user_id % 5 = 2 AND CAST(value AS DOUBLE) > 50""")
+def q_unprojected_filter(spark, sf_dir):
+    """P7 + P5: rows chosen by columns that the result doesn't have."""
+    e = table(spark, sf_dir, "events")
+    return S.where(S.where(e.select("event_id", "event_type"), F.col("user_id") % 5 == 2), "cast(value as double) > 50")
+
+
+@register("dropped_columns", """
+SELECT c_custkey, c_nationkey FROM customer""")
+def q_dropped_columns(spark, sf_dir):
+    """All columns but a few."""
+    c = table(spark, sf_dir, "customer")
+    return S.drop_cols(c, *[n for n in c.columns if n not in ("c_custkey", "c_nationkey")])
+
+
+@register("loaded_folder", """
+SELECT c_custkey, c_name, c_nationkey FROM customer""")
+def q_loaded_folder(spark, sf_dir):
+    """A folder of CSV files, written from a table, loaded with a declared schema."""
+    folder = scratch_path(spark, f"folder-{uuid.uuid4().hex[:12]}")
+    table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey").repartition(3).write.option("header", "true").csv(folder)
+    return io.load_dir(spark, folder, fmt="csv", schema="c_custkey long, c_name string, c_nationkey int")
+
+
+@register("database_lifecycle", """
+SELECT event_type, count(*) AS n, true AS made, true AS reset_is_empty, true AS dropped FROM events GROUP BY event_type""")
+def q_database_lifecycle(spark, sf_dir):
+    """A database is made, holds a table, is reset (empty again) and dropped."""
+    db = f"plant_{uuid.uuid4().hex[:12]}"
+    counts = table(spark, sf_dir, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+    io.ensure_database(spark, db, use=False)
+    made = io.database_exists(spark, db)
+    io.write_table(counts, f"{db}.counts", path=scratch_path(spark, db))
+    read = io.materialize(io.read_table(spark, f"{db}.counts"), "counts")
+    io.reset_database(spark, db)
+    empty = not spark.catalog.tableExists(f"{db}.counts")
+    io.write_table(counts, f"{db}.counts", path=scratch_path(spark, f"{db}-again"))
+    io.drop_table(spark, f"{db}.counts")
+    spark.sql(f"DROP DATABASE {db}")   # without CASCADE: the table is gone
+    return read.select("event_type", "n", F.lit(made).alias("made"), F.lit(empty).alias("reset_is_empty"),
+                       F.lit(not io.database_exists(spark, db)).alias("dropped"))
+
+
+@register("first_readings", """
+SELECT event_id, event_type FROM events ORDER BY event_id LIMIT 20""")
+def q_first_readings(spark, sf_dir):
+    """A bounded look at a table (the preview's limit is the feature)."""
+    return S.preview(table(spark, sf_dir, "events").select("event_id", "event_type").orderBy("event_id"))
+
+
+@register("array_picks", """
+SELECT user_id, count(*) AS n, true AS one_pick, true AS from_list FROM events GROUP BY user_id""")
+def q_array_picks(spark, sf_dir):
+    """every key picks one value of a fixed list, the same in all its rows."""
+    values = ["A", "B", "C", "D"]
+    e = table(spark, sf_dir, "events").select("user_id", array_lookup(values, "user_id").alias("pick"))
+    return e.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), (F.count_distinct("pick") == 1).alias("one_pick"),
+                                    F.bool_and(F.col("pick").isin(values)).alias("from_list"))
+
+
+@register("order_lines_joined", """
+SELECT l_orderkey, l_linenumber, o_custkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey AND CAST(l_orderkey % 7 AS BIGINT) = CAST(o_orderkey % 7 AS BIGINT)""")
+def q_order_lines_joined(spark, sf_dir):
+    """A join on two keys that takes only named columns of the right side."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_orderkey").alias("key"), (F.col("l_orderkey") % 7).alias("part"))
+    orders = table(spark, sf_dir, "orders").withColumn("key", F.col("o_orderkey")).withColumn("part", F.col("o_orderkey") % 7)
+    return join_on_keys(lines, orders, ["key", "part"], right_cols=["o_custkey"]).select("l_orderkey", "l_linenumber", "o_custkey")

@@ -198,3 +198,11 @@ FROM gold GROUP BY plantName, shiftNumber""")
 def q_oee_plant_shift_rollup(spark, sf_dir):
     """Plant / shift roll-up."""
     return round_doubles(oee.plant_shift_rollup(_gold(spark, sf_dir)))
+
+
+@register("oee_silver_readings", duck_with("plant", extra=[_SILVER]) + """
+SELECT batchNumber, deviceId, memoryFree, memoryUsed, systemDiskFreePercent, round(oilLevel, 6) AS oilLevel FROM silver""")
+def q_oee_silver_readings(spark, sf_dir):
+    """S4 + F8 + P3 + P8: readings parsed by the example document's schema, with its memory fields."""
+    silver = oee.oee_silver(_bronze(spark, sf_dir))
+    return round_doubles(silver.select("batchNumber", "deviceId", "memoryFree", "memoryUsed", "systemDiskFreePercent", "oilLevel"))

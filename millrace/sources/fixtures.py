@@ -72,6 +72,8 @@ def plant_view(spark, sf_dir) -> DataFrame:
         F.when(k >= 97, F.lit(40)).otherwise(k % 7).cast("bigint").alias("defectivePartsMade"),
         (F.lit(100.0) - F.lit(0.4) * k.cast("double")).alias("oilLevel"),
         (F.lit(60.0) + F.col("value") / F.lit(10.0)).alias("temperature"),
+        (F.lit(200000000) + 1000 * k).cast("bigint").alias("memoryFree"),
+        (F.lit(50000000) - 1000 * k).cast("bigint").alias("memoryUsed"),
         (F.lit(100) - k).cast("bigint").alias("systemDiskFreePercent"),
         k.cast("bigint").alias("systemDiskUsedPercent"),
         (F.col("value") / F.lit(5.0)).alias("cpuLoad"),
@@ -82,7 +84,7 @@ def plant_json_view(spark, sf_dir) -> DataFrame:
     """A4 as raw JSON documents in a ``body`` column (bronze input)."""
     p = plant_view(spark, sf_dir)
     tel = F.struct(
-        "batchNumber", "cpuLoad", "defectivePartsMade", "machineHealth",
+        "batchNumber", "cpuLoad", "defectivePartsMade", "machineHealth", "memoryFree", "memoryUsed",
         F.date_format("messageTimestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("messageTimestamp"),
         "oilLevel", "plantName", "productionLine", "shiftNumber",
         "systemDiskFreePercent", "systemDiskUsedPercent", "temperature", "totalPartsMade")
@@ -226,6 +228,7 @@ DUCK_CTES = {
          CAST(CASE WHEN {_K} >= 97 THEN 40 ELSE {_K} % 7 END AS BIGINT) AS defectivePartsMade,
          100.0::DOUBLE - 0.4::DOUBLE * CAST({_K} AS DOUBLE) AS oilLevel,
          60.0::DOUBLE + value / 10.0::DOUBLE AS temperature,
+         CAST(200000000 + 1000 * {_K} AS BIGINT) AS memoryFree, CAST(50000000 - 1000 * {_K} AS BIGINT) AS memoryUsed,
          CAST(100 - {_K} AS BIGINT) AS systemDiskFreePercent,
          CAST({_K} AS BIGINT) AS systemDiskUsedPercent,
          value / 5.0::DOUBLE AS cpuLoad
