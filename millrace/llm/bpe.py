@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import discard, stored
 
-CACHE = 180_000  # frequent words held beside the vocabulary
+CACHE = 100_000  # frequent words held beside the vocabulary
 CACHE_BYTES = 64  # longest word held
 LONG = 512  # bytes; longer words merge all pairs of a rank at once
 PLAN_TEXT = 100_000  # characters kept of a plan's description
@@ -178,6 +178,7 @@ class Vocabulary:
         a, b, rank = (pairs[c].to_numpy() for c in ("a", "b", "rank"))
         self.entries = np.full(self.pairs.size, -1, np.int64)
         self.entries[self.pairs.slots] = a << 2 * self.bits | b << self.bits | rank
+        self.pairs.keys = None
         self.byte_ids = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
 
     def literal(self) -> Column:
@@ -255,15 +256,14 @@ def _bound(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def frequent_words(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", limit: int = CACHE) -> dict[str, str]:
-    """Ids (as text, joined by commas) of at most ``limit`` words, the most frequent ones of all texts that are no single piece.
+def frequent_words(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", limit: int = CACHE) -> pa.Table:
+    """(word, ids as text, joined by commas) of at most ``limit`` words, the most frequent ones of all texts that are no single piece.
 
     Counted over the whole corpus; a histogram of the counts gives the least
     count that leaves no more than ``limit`` words, so nothing is sorted and no
     more than those come to the driver.
     """
-    known = _single_words(vocabulary)
-    single = docs.sparkSession.createDataFrame(pa.table({"word": pa.array(list(known), pa.string())}))
+    single = docs.sparkSession.createDataFrame(_single_words(vocabulary).select(["word"]))
     each = docs.select(F.explode(words(F.col(f"`{text}`"), vocabulary.java)).alias("word"))
     counts = each.groupBy("word").agg(F.count("*").alias("n")).where("n > 1").where(F.octet_length("word") <= CACHE_BYTES)
     counts = stored(counts.where(~F.contains("word", F.lit(MARK))).join(single, "word", "left_anti"), "word-counts")
@@ -275,37 +275,40 @@ def frequent_words(docs: DataFrame, vocabulary: Vocabulary, text: str = "text",
         if row["words"] > room:
             break
         room, least = room - row["words"], row["c"]
-    found = {}
+    found = _single_words(vocabulary).slice(0, 0)
     if least is not None:
         ids = _bound(vocabulary.literal(), lambda t: F.array_join(vocabulary.folded(t, F.col("word")), ","))
-        rows = counts.where(size >= least).select("word", ids.alias("ids")).toArrow()
-        found = dict(zip(rows["word"].to_pylist(), rows["ids"].to_pylist()))
+        found = counts.where(size >= least).select("word", ids.alias("ids")).toArrow().cast(found.schema)
     discard(counts)
     return found
 
 
-def _single_words(vocabulary: Vocabulary) -> dict[str, str]:
+def _single_words(vocabulary: Vocabulary) -> pa.Table:
     """The pieces that are text, with their ids."""
-    out = {}
+    words, ids = [], []
     for piece, rank in vocabulary.ranks.items():
         try:
             word = piece.decode()
         except UnicodeDecodeError:
             continue
         if MARK not in word:
-            out[word] = str(rank)
-    return out
+            words.append(word)
+            ids.append(str(rank))
+    return pa.table({"word": pa.array(words, pa.string()), "ids": pa.array(ids, pa.string())})
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str = "ids", cache: int = CACHE) -> DataFrame:
     """``docs`` with the column ``ids``: the token ids of ``text`` (array of int)."""
     known = _single_words(vocabulary)
     if cache:
-        known = frequent_words(docs, vocabulary, text, cache) | known
-    places = Places(docs.sparkSession, pa.table({"word": pa.array(list(known), pa.string())}))
-    keys, lists = [""] * places.size, [""] * places.size  # no word is empty
-    for slot, word in zip(places.slots.tolist(), places.keys["word"].to_pylist()):
-        keys[slot], lists[slot] = word, known[word]
+        known = pa.concat_tables([known, frequent_words(docs, vocabulary, text, cache)])
+    places = Places(docs.sparkSession, known.select(["word"]))
+    if not places.keys["word"].equals(known["word"]):  # the frame keeps the order of its rows
+        raise RuntimeError("words were reordered")
+    order = np.full(places.size, -1, np.int64)  # no word is empty, so an empty place has the empty key
+    order[places.slots] = np.arange(len(known))
+    at = pa.array(np.maximum(order, 0), mask=order < 0)
+    keys, lists = (known[c].take(at).fill_null("").to_pylist() for c in ("word", "ids"))
     held = F.struct(array_literal(keys, "string").alias("keys"), array_literal(places.shift.tolist(), "int").alias("shift"),
                     array_literal(lists, "string").alias("ids"))
 
