@@ -138,6 +138,11 @@ def _select_ranks(df: DataFrame, ranks: dict, counts: dict, known: dict, accurac
     return out
 
 
+def select_rank(df: DataFrame, col: str, rank: int, count: int, accuracy: int = 10000) -> float:
+    """The value at a 0-based rank of a column of ``count`` values, by counting."""
+    return _select_ranks(df, {col: [rank]}, {col: count}, {}, accuracy)[(col, rank)]
+
+
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], accuracy: int = 10000) -> dict:
     """Exact quantiles (linear interpolation between order statistics, as
     ``percentile`` / pandas / DuckDB ``quantile_cont``) by counting

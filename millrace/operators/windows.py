@@ -383,11 +383,56 @@ def deviation(df: DataFrame, col: str, smooth: str, out: str, sign: int = 1) ->
 # ---------------------------------------------------------------------------
 # Time-ordered split
 # ---------------------------------------------------------------------------
+_COUNTABLE = ("tinyint", "smallint", "int", "bigint", "date", "timestamp", "timestamp_ntz")
+
+
+def _as_number(df: DataFrame, c: str) -> Column:
+    """A whole number in the column's order (exact as a double up to 2^53)."""
+    t = dict(df.dtypes)[c]
+    if t == "date":
+        return F.unix_date(c)
+    if t.startswith("timestamp"):
+        return F.unix_micros(F.col(c).cast("timestamp"))
+    return F.col(c)
+
+
+def _first_rows(df: DataFrame, order: list[str], rows: int) -> Column:
+    """The condition that holds for the first ``rows`` rows in ``order`` (nulls last),
+    found by counting, a column after the other; rows equal to the last one in
+    all columns are among them."""
+    from millrace.operators.profile import select_rank
+
+    before, same, rank = F.lit(False), F.lit(True), rows - 1
+    for c in order:
+        tied = df.where(same).select(_as_number(df, c).cast("double").alias("x"))
+        present = tied.agg(F.count("x")).first()[0]
+        x = _as_number(df, c)
+        if rank < present:
+            value = select_rank(tied, "x", rank, present)
+            below = tied.agg(F.count(F.when(F.col("x") < value, 1))).first()[0]
+            before = before | (same & (x < F.lit(value)))
+            same, rank = same & (x == F.lit(value)), rank - below
+        else:
+            before = before | (same & x.isNotNull())
+            same, rank = same & x.isNull(), rank - present
+    return F.coalesce(before | same, F.lit(False))
+
+
 def ordered_split(df: DataFrame, order, frac: float = 0.8, key=None,
                   segment: Column | None = None, out: str = "split") -> DataFrame:
     """The first ``frac`` of rows in time order are ``train``, the rest
-    ``test`` (pandas ``df[:int(n*frac)]``).  Global numbering is done per
-    segment (e.g. day) plus offsets, so no single task sorts the table."""
+    ``test`` (pandas ``df[:int(n*frac)]``).
+
+    A split of the whole table by times or whole numbers is a plain filter at
+    the cut row's values, which are found by counting: nothing is sorted or
+    exchanged.  Rows equal to the cut row in all order columns stay together, in
+    ``train``.  A split within series (``key``), or by other types, numbers the
+    rows per segment plus offsets."""
+    names = [o for o in _list(order) if isinstance(o, str)]
+    if not _list(key) and len(names) == len(_list(order)) and all(dict(df.dtypes)[o] in _COUNTABLE for o in names):
+        rows = math.floor(df.count() * frac)
+        train = _first_rows(df, names, rows) if rows else F.lit(False)
+        return df.withColumn(out, F.when(train, "train").otherwise("test"))
     numbered = row_number_by(df, key, order, out=_RN, segment=segment, with_count="__n")
     return (numbered.withColumn(out, F.when(F.col(_RN) <= F.floor(F.col("__n") * frac), "train")
                                       .otherwise("test"))
