@@ -305,35 +305,24 @@ def outlier_report(df: DataFrame, cols=None, id_col: str = "id", k: float = 1.5,
         sides.append(F.struct(F.lit(c).alias("column"),
                               F.when(x < F.lit(lo), F.lit("lower"))
                                .when(x > F.lit(hi), F.lit("upper")).alias("side")))
+    # a column without values has no fences: where no column has any, nothing is tagged
     tagged = (df.select(F.col(id_col).alias("__id"), F.explode(F.array(*sides)).alias("r"))
                 .select("__id", "r.column", "r.side")
-                .filter(F.col("side").isNotNull()))
+                .filter(F.col("side").isNotNull())) if sides else \
+        df.limit(0).select(F.col(id_col).alias("__id"), F.lit("").alias("column"), F.lit("").alias("side"))
     per_id = tagged.groupBy("column", "side", "__id").agg(F.count(F.lit(1)).alias("__n"))
-    # Running count of outlying rows in id order, per (column, side), split
-    # into ~256 id ranges: range totals give each range's offset (a small
-    # table), and only ranges starting before the n_ids-th row are ranked,
-    # inside (column, side, range) partitions.  No per-(column, side) sort.
-    # id range from the id column alone (a pruned scan); any range covering
-    # the outlying ids gives order-compatible buckets
-    mm = df.agg(F.min(id_col).alias("lo"), F.max(id_col).alias("hi")).first()
-    width = max(1, int(((mm["hi"] or 0) - (mm["lo"] or 0)) // 256) + 1)
-    per_id = per_id.withColumn("__seg", F.floor((F.col("__id") - F.lit(mm["lo"] or 0)) / width))
-    seg_tot = per_id.groupBy("column", "side", "__seg").agg(F.sum("__n").alias("__tot"))
-    seg_off = (seg_tot.withColumn("__segoff", F.coalesce(F.sum("__tot").over(
-                   Window.partitionBy("column", "side").orderBy("__seg")
-                         .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-                      .filter(F.col("__segoff") < n_ids).drop("__tot"))
-    w = Window.partitionBy("column", "side", "__seg").orderBy(F.col("__id").asc_nulls_last())
-    cut = (per_id.join(seg_off, ["column", "side", "__seg"], "inner")
-                 .withColumn("__before", F.col("__segoff") + F.coalesce(F.sum("__n").over(
-                     w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-                 .filter(F.col("__before") < n_ids)
-                 .withColumn("__take", F.least(F.col("__n"), F.lit(n_ids) - F.col("__before"))))
-    ids = (cut.select("column", "side", "__id",
-                      F.explode(F.sequence(F.lit(1), F.col("__take").cast("int"))).alias("__k"))
+    # the first ids of every (column, side): each task keeps n_ids of a group at most
+    # before the exchange, so no group is sorted whole; ids of any type, null last
+    w = Window.partitionBy("column", "side").orderBy(F.col("__id").asc_nulls_last())
+    first = per_id.withColumn("__k", F.row_number().over(w)).filter(F.col("__k") <= n_ids)
+    cut = (first.withColumn("__before", F.coalesce(F.sum("__n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+                .filter(F.col("__before") < n_ids)
+                .withColumn("__take", F.least(F.col("__n"), F.lit(n_ids) - F.col("__before"))))
+    ids = (cut.select("column", "side", "__id", "__k",
+                      F.explode(F.sequence(F.lit(1), F.col("__take").cast("int"))).alias("__i"))
               .groupBy("column", "side")
-              .agg(F.array_join(F.transform(F.array_sort(F.collect_list("__id")),
-                                            lambda x: x.cast("string")), ",").alias("ids")))
+              .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("__k", "__i", F.col("__id").cast("string").alias("id")))),
+                                            lambda x: x["id"]), ",").alias("ids")))
     counts = per_id.groupBy("column", "side").agg(F.sum("__n").alias("n"))
     side = counts.join(ids, ["column", "side"], "left")
     piv = (side.groupBy("column")

@@ -196,3 +196,13 @@ def test_outlier_report_first_ids_across_ranges(spark):
     expect = sorted([rid for rid, v in rows if v == 1000.0])[:10]
     assert r.upper_ids == ",".join(str(x) for x in expect)
     assert r.n_above_upper == sum(1 for _, v in rows if v == 1000.0)
+
+
+def test_outlier_report_with_text_ids_null_ids_and_empty_columns(spark):
+    from millrace.operators.profile import outlier_report
+    rows = [(f"d{i:03d}", float(i % 7), None) for i in range(200)] + [(None, 900.0, None), ("a", 900.0, None), ("a", 901.0, None), ("b", -900.0, None)]
+    df = spark.createDataFrame(rows, "id string, v double, w double")
+    got = {r.variable_name: r for r in outlier_report(df, ["v", "w"]).collect()}
+    assert (got["v"].n_above_upper, got["v"].upper_ids, got["v"].lower_ids) == (3, "a,a", "b")
+    assert got["w"].message == "No outliers present" and got["w"].lower_fence is None
+    assert outlier_report(df, ["w"]).first().n_above_upper == 0
