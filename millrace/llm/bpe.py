@@ -36,9 +36,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import discard, stored
+from millrace.llm.common import discard, release, stored
 
-CACHE = 100_000  # frequent words held beside the vocabulary
+CACHE = 180_000  # frequent words held beside the vocabulary
 CACHE_BYTES = 64  # longest word held
 LONG = 512  # bytes; longer words merge all pairs of a rank at once
 PLAN_TEXT = 100_000  # characters kept of a plan's description
@@ -312,6 +312,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str
     held = F.struct(array_literal(keys, "string").alias("keys"), array_literal(places.shift.tolist(), "int").alias("shift"),
                     array_literal(lists, "string").alias("ids"))
 
+    release(docs.sparkSession)  # of what the literals were made from
     # a word's ids are text here, so that the literals are flat and a text's ids are cast at once
     def of(word, t, h):
         return _bound(places.slot(h["shift"], word), lambda slot: F.when(F.get(h["keys"], slot) == word, F.get(h["ids"], slot))
