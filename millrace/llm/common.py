@@ -40,6 +40,14 @@ def discard(df: DataFrame) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def fresh_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores before it as make it no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark's context cleaner remove shuffle files nobody refers to any more."""
     gc.collect()
@@ -65,12 +73,14 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", tag: str
     e = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u > v")
     e = stored(e.distinct(), tag)
     while not _are_stars(e):
+        last = e
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v")
         small = large.join(large.groupBy("u").agg(F.min("v").alias("m")), "u")
         e = stored(small.select(F.greatest("v", "m").alias("u"), F.col("m").alias("v"))
                    .union(small.select("u", F.col("m").alias("v"))).where("u > v").distinct(), tag)
+        discard(last)
     nodes = e.select(F.col("u").alias("node"), F.col("v").alias("component"))
     roots = e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return nodes.union(roots)

@@ -1,6 +1,6 @@
 """Order MinHash near-duplicates (operator 1).
 
-The k-mers of a document are its runs of five words, labelled by occurrence.
+The k-mers of a document are its runs of ``KMER`` words, labelled by occurrence.
 For each of ``SKETCHES`` hash functions the two k-mers of smallest hash, in the
 order they have in the text, make a sketch: two documents share it with a
 probability that follows their edit similarity.  Documents that share a sketch
@@ -8,17 +8,25 @@ are candidates; a candidate pair is linked when a banded alignment of the
 words finds an edit similarity 1 - edits / longer length of at least 0.8.
 
 Equal texts are one class from the start (an aggregation), and only one member
-of a class is compared.  Within a bucket (a shared sketch) nobody is compared
-with everybody: first each document meets the hub (smallest member) with which
-it shares most sketches; then, round by round, the members of every bucket that
-still spans several components meet representatives of up to ``HUBS`` of the
-other components there, another choice each round, until a round links nothing.
+of a class is compared.  Most links are found with one or two alignments a
+document: with the smallest, then with the largest member of the bucket (a
+shared sketch) with which it shares most sketches.  What is left are the buckets
+that still span several components.  There every pair of members of different
+components is looked at, without exception, but only once (in the bucket of
+the first sketch that both share) and not as rows: members are dealt to blocks,
+blocks meet in tasks, and a task compares lengths and word histograms as arrays.
+Both only rule out pairs that need too many edits; what remains is aligned.  The
+largest component of a bucket isn't compared with itself, so one big group of
+copies costs as many rows as it has members.
+
 Components come from the distributed star contraction in ``common``.
 
 Defined cases: null, empty and blank texts have no words and are alone in their
-class, kept; a text of fewer than five words is one k-mer; the document kept of
-a class is the one with the smallest doc_id (nulls last; among equal rows the
-first); repeated rows are copies; extra columns are ignored.
+class, kept; a text of fewer than ``KMER`` words is one k-mer; the document kept
+of a class is the one with the smallest doc_id (nulls last; among equal rows the
+first); repeated rows are copies, and different texts under one id, or under
+none, are different documents; extra columns are ignored by ``near_duplicates``
+and kept by ``deduplicate``, whatever their names.
 """
 
 from __future__ import annotations
@@ -26,19 +34,20 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import connected_components, mixed, stored, window_hashes, word_hashes
+from millrace.llm.common import connected_components, discard, fresh_name, mixed, stored, window_hashes, word_hashes
 
-SHINGLE = 5
+KMER = 3  # words; with five, a fifth of the pairs at the threshold shared no sketch
 SKETCHES = 32
 TAKEN = 2  # k-mers a sketch takes
 SIMILARITY = 0.8
-HUBS = 6  # representatives that a bucket puts up in a round
+BLOCK = 1024  # members of a bucket in a block
+BINS = 256  # of a word histogram
 
 
-def kmer_hashes(h: np.ndarray, k: int = SHINGLE) -> np.ndarray:
+def kmer_hashes(h: np.ndarray, k: int = KMER) -> np.ndarray:
     """Hash of each run of k words; a shorter text is one run."""
     return window_hashes(h, min(k, len(h)))
 
@@ -125,37 +134,41 @@ def edits_within(a: list, b: list, most: int) -> int | None:
 
 
 def _scan(batches):
-    """Length, class key and sketches of each document."""
+    """Length, class key, sketches and word histogram of each document."""
     import pyarrow as pa
 
     for batch in batches:
-        sizes, keys, flat, offsets = [], [], [], [0]
-        for text in batch.column(1).to_pylist():
-            words = (text or b"").split()
+        sizes, keys, histograms, flat, offsets = [], [], [], [], [0]
+        for text in batch.column(1):
+            words = (text.as_py() or b"").split()
             sizes.append(len(words))
             keys.append(hashlib.sha256(b" ".join(words)).digest()[:16] if words else None)
             if words:
-                flat.append(sketches(kmer_hashes(word_hashes(words))))
+                h = word_hashes(words)
+                flat.append(sketches(kmer_hashes(h)))
+                # counts above 255 as 255: differences can only get smaller
+                histograms.append(np.minimum(np.bincount((h % np.uint64(BINS)).astype(np.int64), minlength=BINS), 255).astype(np.uint8).tobytes())
+            else:
+                histograms.append(None)
             offsets.append(offsets[-1] + (SKETCHES if words else 0))
         values = np.concatenate(flat).view(np.int64) if flat else np.empty(0, np.int64)
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()),
-             pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values))],
-            names=["doc_id", "n_words", "key", "sketches"])
+             pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values)), pa.array(histograms, pa.binary())],
+            names=["doc_id", "n_words", "key", "sketches", "histogram"])
 
 
 def _bodies(batches):
-    """Words of the documents whose key is the one asked for."""
+    """Words of the documents, joined by one space, and their key."""
     import pyarrow as pa
 
     for batch in batches:
-        rids, bodies = [], []
-        for rid, key, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            body = b" ".join(text.split()) if text else b""
-            if hashlib.sha256(body).digest()[:16] == key:
-                rids.append(rid)
-                bodies.append(body)
-        yield pa.RecordBatch.from_arrays([pa.array(rids, pa.int64()), pa.array(bodies, pa.binary())], names=["rid", "body"])
+        keys, bodies = [], []
+        for text in batch.column(1):
+            body = b" ".join((text.as_py() or b"").split())
+            keys.append(hashlib.sha256(body).digest()[:16])
+            bodies.append(body)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(bodies, pa.binary())], names=["doc_id", "key", "body"])
 
 
 def most_edits(m: int, n: int, similarity: float) -> int:
@@ -172,16 +185,15 @@ def _aligned(similarity: float):
         import pyarrow as pa
 
         for batch in batches:
-            a_col, b_col = batch.column(0), batch.column(1)
             keep, hub, hub_words = [], None, []
-            for i, (x, y) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
+            for i in range(batch.num_rows):
+                words, y = batch.column(2)[i].as_py().split(), batch.column(3)[i].as_py()
                 if y != hub:
                     hub, hub_words = y, y.split()
-                words = x.split()
                 if edits_within(words, hub_words, most_edits(len(words), len(hub_words), similarity)) is not None:
                     keep.append(i)
             at = pa.array(keep, pa.int64())
-            yield pa.RecordBatch.from_arrays([a_col.take(at), b_col.take(at)], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at)], names=["a", "b"])
 
     return run
 
@@ -193,57 +205,143 @@ def _links(pairs: DataFrame, bodies: DataFrame, similarity: float) -> DataFrame:
     return two.select("a", "b", "body_a", "body_b").mapInArrow(_aligned(similarity), "a long, b long")
 
 
+def _fit(m, n, similarity: float):
+    """Whether lengths allow the similarity (columns or arrays)."""
+    low, high = (np.minimum, np.maximum) if isinstance(m, np.ndarray) else (F.least, F.greatest)
+    return low(m, n) >= high(m, n) * similarity - 1e-9
+
+
+def _block_pairs(similarity: float):
+    """Pairs of different components in groups of two blocks (or one) that lengths and histograms don't rule out."""
+
+    def compare(g, out):
+        i, x, y = (int(g.column(c)[0].as_py()) for c in ("i", "x", "y"))
+        block, rid, comp, n = (g.column(c).to_numpy() for c in ("block", "rid", "comp", "n_words"))
+        left = np.flatnonzero(block == x)
+        right = left if x == y else np.flatnonzero(block == y)
+        if not len(left) or not len(right):
+            return
+        column = g.column("sketches").combine_chunks()
+        s = column.flatten().to_numpy().reshape(len(rid), -1)
+        h = np.frombuffer(b"".join(g.column("histogram").to_pylist()), np.uint8).reshape(len(rid), BINS).astype(np.int16)
+        for at in range(0, len(left), BLOCK):
+            part = left[at:at + BLOCK]
+            near = _fit(n[part][:, None], n[right][None, :], similarity) & (comp[part][:, None] != comp[right][None, :])
+            if x == y:
+                near &= rid[part][:, None] < rid[right][None, :]
+            for j in range(i):  # met in an earlier sketch's bucket
+                near &= s[part, j][:, None] != s[right, j][None, :]
+            a, b = np.nonzero(near)
+            a, b = part[a], right[b]
+            for k in range(0, len(a), 50_000):
+                p, q = a[k:k + 50_000], b[k:k + 50_000]
+                d = h[p] - h[q]
+                least = np.maximum(np.maximum(d, 0).sum(1), np.maximum(-d, 0).sum(1))
+                ok = least <= (1 - similarity) * np.maximum(n[p], n[q]) + 1e-9
+                out[0].append(rid[p[ok]])
+                out[1].append(rid[q[ok]])
+
+    def run(batches):
+        import pyarrow as pa
+
+        def pairs(table):
+            keys = np.stack([table.column(c).to_numpy() for c in ("i", "s", "x", "y")])
+            ends = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1
+            return np.r_[0, ends, table.num_rows]
+
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            new = pa.Table.from_batches([batch])
+            table = new if held is None else pa.concat_tables([held, new])
+            at = pairs(table)
+            out = ([], [])
+            for start, end in zip(at[:-2], at[1:-1]):
+                if end - start > 1:
+                    compare(table.slice(start, end - start), out)
+            held = table.slice(at[-2])
+            yield _pair_batch(out)
+        if held is not None:
+            out = ([], [])
+            if held.num_rows > 1:
+                compare(held, out)
+            yield _pair_batch(out)
+
+    return run
+
+
+def _pair_batch(out):
+    import pyarrow as pa
+
+    a, b = (np.concatenate(v) if v else np.empty(0, np.int64) for v in out)
+    return pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], names=["a", "b"])
+
+
+def _open_pairs(member: DataFrame, label: DataFrame, heads: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of different components that share a sketch, less those ruled out without alignment."""
+    spread = member.select("i", "s", "rid").join(label, "rid", "left").withColumn("comp", F.coalesce("comp", "rid"))
+    sizes = spread.groupBy("i", "s", "comp").agg(F.count("*").alias("n"))
+    buckets = sizes.groupBy("i", "s").agg(F.sum("n").alias("all"), F.max(F.struct("n", "comp")).alias("big"), F.count("*").alias("comps")).where("comps > 1")
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    buckets = buckets.select("i", "s", F.col("big.comp").alias("big"), blocks(F.col("big.n")).alias("own"), blocks(F.col("all") - F.col("big.n")).alias("rest"))
+    deal = lambda n: F.pmod(F.xxhash64("rid"), n).cast("int")
+    rows = spread.join(buckets, ["i", "s"]).withColumn("in_big", F.col("comp") == F.col("big"))
+    # blocks 0 .. rest - 1 hold the other components, the next ones the largest, which meets the others only
+    rows = rows.withColumn("block", F.when(F.col("in_big"), F.col("rest") + deal(F.col("own"))).otherwise(deal(F.col("rest"))))
+    rows = rows.withColumn("met", F.explode(F.sequence(F.lit(0), F.when(F.col("in_big"), F.col("rest")).otherwise(F.col("rest") + F.col("own")) - 1)))
+    rows = rows.select("i", "s", F.least("block", "met").alias("x"), F.greatest("block", "met").alias("y"), "block", "rid", "comp").join(heads, "rid")
+    dealt = rows.repartition("i", "s", "x", "y").sortWithinPartitions("i", "s", "x", "y")
+    return dealt.mapInArrow(_block_pairs(similarity), "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, class_id (smallest doc_id of its near-duplicates), kept: one row a document."""
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text"))
-    scanned = stored(texts.mapInArrow(_scan, "doc_id long, n_words long, key binary, sketches array<long>")
+    scanned = stored(texts.mapInArrow(_scan, "doc_id long, n_words long, key binary, sketches array<long>, histogram binary")
                      .withColumn("rid", F.monotonically_increasing_id()), "sketches")
     classes = scanned.where("key is not null").groupBy("key").agg(F.min("rid").alias("head"))
-    rows = stored(scanned.select("rid", "doc_id", "n_words", "key").join(classes, "key", "left")
-                  .withColumn("head", F.coalesce("head", "rid")), "classes")
-    heads = rows.where("rid = head and key is not null").select("rid")
-    sketched = scanned.select("rid", F.explode("sketches").alias("s")).join(heads, "rid")
-    shared = sketched.groupBy("s").agg(F.count("*").alias("n"), F.min("rid").alias("hub")).where("n > 1").select("s", "hub")
-    member = stored(sketched.join(shared, "s").select("s", "rid", "hub"), "buckets")
-    wanted = rows.join(member.select("rid").distinct(), "rid").select("rid", F.col("doc_id").alias("_id"), "key", "n_words")
-    bodies = stored(texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id"))).select("rid", "key", "text")
-                    .mapInArrow(_bodies, "rid long, body binary").dropDuplicates(["rid"]), "bodies")
-    size = wanted.select("rid", "n_words")
-
-    def fit(pairs: DataFrame) -> DataFrame:
-        """Pairs whose lengths allow the similarity."""
-        sized = pairs.join(size.select(F.col("rid").alias("a"), F.col("n_words").alias("m")), "a") \
-            .join(size.select(F.col("rid").alias("b"), F.col("n_words").alias("n")), "b")
-        return sized.where(F.least("m", "n") >= F.greatest("m", "n") * F.lit(similarity) - F.lit(1e-9)).select("a", "b")
-
-    # each document and the hub with which it shares most sketches
-    met = member.where("rid != hub").groupBy("rid", "hub").agg(F.count("*").alias("n"))
-    best = met.groupBy("rid").agg(F.max_by("hub", F.struct("n", -F.col("hub"))).alias("hub"))
-    tested = stored(fit(best.select(F.col("rid").alias("a"), F.col("hub").alias("b"))), "pairs")
-    links = stored(_links(tested, bodies, similarity), "links")
-    label = connected_components(links).select(F.col("node").alias("rid"), F.col("component").alias("comp"))
-    turn = 0
-    while True:
-        spread = stored(member.select("s", "rid").join(label, "rid", "left").withColumn("comp", F.coalesce("comp", "rid")), "spread")
-        open_ = spread.groupBy("s").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("s")
-        spread = spread.join(open_, "s")
-        turned = Window.partitionBy("s").orderBy(F.xxhash64("comp", F.lit(turn)), "comp")
-        hubs = spread.groupBy("s", "comp").agg(F.min("rid").alias("hub")).withColumn("k", F.row_number().over(turned)) \
-            .where(F.col("k") <= HUBS).select("s", F.col("comp").alias("hub_comp"), "hub")
-        pairs = spread.join(hubs, "s").where("comp != hub_comp") \
-            .select(F.greatest("rid", "hub").alias("a"), F.least("rid", "hub").alias("b")).distinct()
-        pairs = stored(fit(pairs.join(tested, ["a", "b"], "left_anti")), "pairs")
-        links = stored(_links(pairs, bodies, similarity), "links")
-        if links.isEmpty():
-            break
-        tested = tested.union(pairs)
-        of = lambda c, d: label.select(F.col("rid").alias(c), F.col("comp").alias(d))
-        joins = links.join(of("a", "ca"), "a", "left").join(of("b", "cb"), "b", "left") \
-            .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
-        merged = connected_components(joins).select(F.col("node").alias("comp"), F.col("component").alias("into"))
-        known = label.union(merged.select(F.col("comp").alias("rid"), "comp")).groupBy("rid").agg(F.min("comp").alias("comp"))
-        label = stored(known.join(merged, "comp", "left").select("rid", F.coalesce("into", "comp").alias("comp")), "labels")
-        turn += 1
+    rows = stored(scanned.select("rid", "doc_id", "key").join(classes, "key", "left").withColumn("head", F.coalesce("head", "rid")), "classes")
+    firsts = rows.where("rid = head and key is not null").select("rid")
+    heads = stored(scanned.join(firsts, "rid").select("rid", "n_words", "sketches", "histogram"), "heads")
+    discard(scanned)
+    sketched = heads.select("rid", F.posexplode("sketches").alias("i", "s")).repartition("i", "s")
+    shared = sketched.groupBy("i", "s").agg(F.count("*").alias("n"), F.min("rid").alias("low"), F.max("rid").alias("high")).where("n > 1").drop("n")
+    member = stored(sketched.join(shared, ["i", "s"]), "buckets")
+    wanted = rows.join(member.select("rid").distinct(), "rid").select("rid", "doc_id", "key")
+    # by id and text: an id, or none, may stand for many texts
+    read = texts.join(wanted.select("doc_id").distinct().withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    read = read.mapInArrow(_bodies, "_id long, _key binary, body binary")
+    bodies = stored(wanted.join(read, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key"))).select("rid", "body").dropDuplicates(["rid"]), "bodies")
+    size = heads.select("rid", "n_words")
+
+    def hub_links(hub: str, label: DataFrame | None) -> DataFrame:
+        """Links of each document with the hub with which it shares most sketches."""
+        met = member.where(F.col("rid") != F.col(hub)).groupBy("rid", hub).agg(F.count("*").alias("n"))
+        best = met.groupBy("rid").agg(F.max_by(hub, F.struct("n", -F.col(hub))).alias("hub")).select(F.col("rid").alias("a"), F.col("hub").alias("b"))
+        if label is not None:
+            of = lambda c: label.select(F.col("rid").alias(c), F.col("comp").alias(f"c{c}"))
+            best = best.join(of("a"), "a", "left").join(of("b"), "b", "left").where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
+        sized = best.join(size.select(F.col("rid").alias("a"), F.col("n_words").alias("m")), "a") \
+            .join(size.select(F.col("rid").alias("b"), F.col("n_words").alias("n")), "b").where(_fit(F.col("m"), F.col("n"), similarity))
+        return stored(_links(sized.select("a", "b"), bodies, similarity), "links")
+
+    def labelled(links: DataFrame) -> DataFrame:
+        return connected_components(links, tag="classes").select(F.col("node").alias("rid"), F.col("component").alias("comp"))
+
+    links = hub_links("low", None)
+    more = hub_links("high", labelled(links))
+    if not more.isEmpty():
+        links = links.union(more)
+    label = labelled(links)
+    pairs = stored(_open_pairs(member, label, heads, similarity), "pairs")
+    discard(member)
+    discard(heads)
+    last = stored(_links(pairs, bodies, similarity), "links")
+    discard(pairs)
+    discard(bodies)
+    if not last.isEmpty():
+        label = labelled(links.union(last))
 
     of_class = rows.join(label.withColumnRenamed("rid", "head"), "head", "left") \
         .select("rid", "doc_id", F.coalesce("comp", "head").alias("comp"))
@@ -252,7 +350,8 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
 
 
 def deduplicate(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """``docs`` with one row (the first) of each class of near-duplicates."""
-    tagged = stored(docs.withColumn("_rid", F.monotonically_increasing_id()), "tagged")
-    kept = near_duplicates(tagged.select(F.col("_rid").alias("doc_id"), "text"), similarity).where("kept").select(F.col("doc_id").alias("_rid"))
-    return tagged.join(kept, "_rid", "left_semi").select(docs.columns)
+    """``docs`` with one row (the first) of each class of near-duplicates, all its columns as they are."""
+    rid = fresh_name(docs, "_rid")
+    tagged = stored(docs.withColumn(rid, F.monotonically_increasing_id()), "tagged")
+    kept = near_duplicates(tagged.select(F.col(rid).alias("doc_id"), "text"), similarity).where("kept").select(F.col("doc_id").alias(rid))
+    return tagged.join(kept, rid, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
