@@ -10,16 +10,18 @@ document, however long.  Candidates are verified by exact containment: the
 share of the item's distinct shingles that the document holds.
 
 Everything is DataFrame functions.  Documents are turned into shingle hashes
-once for the search; the sketches are joined by hash (broadcast only while they
-are below ``BROADCAST_ROWS``, by a shuffle beyond), and only documents that met a
-sketch are looked at again.  A passage that a third of all documents hold is
-counted by (document, item), which spreads it.
+once for the search; the sketches are joined by hash (the planner broadcasts them
+while their measured size allows), and only documents that met a sketch are
+looked at again.  A passage that a third of all documents hold is counted by
+(document, item), which spreads it.  A document is an id with a text: what
+several texts under one id, or under none, hold is never added up.
 
 Words are runs of letters and digits in lower case.  Defined cases: null and
 empty documents and items match nothing; items of fewer than five words match as one
-run of their words; items with equal shingles are each reported; a document that
-is repeated is reported once for each (doc_id, item_id); null ids are kept as
-ids of their own; extra columns are ignored.
+run of their words; items with equal shingles are each reported; repeated rows, and
+several texts under one id, are reported once for each (doc_id, item_id), with the
+highest containment of one text; null ids are kept as an id of their own; extra
+columns are ignored, and kept by ``decontaminate`` whatever their names.
 """
 
 from __future__ import annotations
@@ -27,11 +29,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import stored
+from millrace.llm.common import fresh_name, stored
 
 SHINGLE = 5
 CONTAINMENT = 0.8
-BROADCAST_ROWS = 500_000  # rows of the sketches or of the item shingles that are broadcast (under 40 bytes each)
 
 
 def words(text: Column) -> Column:
@@ -63,26 +64,22 @@ def contaminated(docs: DataFrame, items: DataFrame, containment: float = CONTAIN
     """doc_id, item_id, n_shared, n_item, containment: the pairs at or above ``containment``."""
     index = stored(item_shingles(items, containment), "items")
     sketch = index.where("in_sketch").select("hash").distinct()
-    n_sketch, n_index = index.agg(F.coalesce(F.sum(F.col("in_sketch").cast("int")), F.lit(0)), F.count("*")).first()
     widths = sorted(r["width"] for r in index.select("width").distinct().collect())
     if not widths:
         return docs.where("false").select("doc_id", F.lit(None).cast(dict(items.dtypes)["item_id"]).alias("item_id"),
                                           F.lit(0).cast("long").alias("n_shared"), F.lit(0).cast("long").alias("n_item"), F.lit(0.0).alias("containment"))
 
-    def side(df: DataFrame, n: int) -> DataFrame:
-        return F.broadcast(df) if n <= BROADCAST_ROWS else df
-
-    texts = docs.select("doc_id", "text")
+    texts = docs.select("doc_id", "text", F.md5(F.coalesce("text", F.lit(""))).alias("digest"))
 
     def exploded(rows: DataFrame) -> DataFrame:
         w = rows.select(*[c for c in rows.columns if c != "text"], words(F.col("text")).alias("w"))
         return w.select(*[c for c in rows.columns if c != "text"], F.explode(F.concat(*[shingles(F.col("w"), k) for k in widths])).alias("hash"))
 
-    met = exploded(texts).join(side(sketch, n_sketch), "hash", "left_semi").select("doc_id").distinct()
-    met = stored(met, "met")
-    again = texts.join(met.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    pairs = exploded(again).join(side(index.drop("size_class", "width"), n_index), "hash").select("doc_id", "item", "item_id", "size", "hash", "in_sketch")
-    held = pairs.distinct().groupBy("doc_id", "item", "item_id", "size").agg(
+    met = stored(exploded(texts).join(sketch, "hash", "left_semi").select("doc_id", "digest").distinct(), "met")
+    mine = met.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"))
+    again = texts.join(mine, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest")), "left_semi")
+    pairs = exploded(again).join(index.drop("size_class", "width"), "hash").select("doc_id", "digest", "item", "item_id", "size", "hash", "in_sketch")
+    held = pairs.distinct().groupBy("doc_id", "digest", "item", "item_id", "size").agg(
         F.count("*").alias("n_shared"), F.max("in_sketch").alias("found"))
     return held.where(F.col("found") & (F.col("n_shared") >= F.col("size") * F.lit(containment) - F.lit(1e-9))) \
         .groupBy("doc_id", "item_id").agg(F.max(F.struct(F.col("n_shared") / F.col("size"), "n_shared", "size")).alias("m")) \
@@ -91,7 +88,8 @@ def contaminated(docs: DataFrame, items: DataFrame, containment: float = CONTAIN
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, containment: float = CONTAINMENT) -> DataFrame:
-    """``docs`` without the documents that hold an item (the text decides, so ids may be null or repeated)."""
-    by_text = docs.select(F.xxhash64("text").alias("doc_id"), "text")
-    hit = stored(contaminated(by_text, items, containment).select(F.col("doc_id").alias("_text")).distinct(), "contaminated")
-    return docs.join(hit, F.xxhash64("text") == F.col("_text"), "left_anti")
+    """``docs`` without the documents that hold an item; the text decides, so ids may be null or repeated."""
+    digest = F.md5("text")
+    hit = stored(contaminated(docs.select(digest.alias("doc_id"), "text"), items, containment).select(F.col("doc_id").alias("digest")).distinct(), "contaminated")
+    name = fresh_name(docs, "_digest")
+    return docs.withColumn(name, digest).join(hit.withColumnRenamed("digest", name), name, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

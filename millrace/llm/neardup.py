@@ -15,7 +15,8 @@ that still span several components.  There every pair of members of different
 components is looked at, without exception, but only once (in the bucket of
 the first sketch that both share) and not as rows: members are dealt to blocks,
 blocks meet in tasks, and a task compares lengths and word histograms as arrays.
-Both only rule out pairs that need too many edits; what remains is aligned.  The
+Both only rule out pairs that need too many edits; what remains is aligned there,
+unless links found in the task already connect it, and only links leave.  The
 largest component of a bucket isn't compared with itself, so one big group of
 copies costs as many rows as it has members.
 
@@ -43,7 +44,7 @@ KMER = 3  # words; with five, a fifth of the pairs at the threshold shared no sk
 SKETCHES = 32
 TAKEN = 2  # k-mers a sketch takes
 SIMILARITY = 0.8
-BLOCK = 1024  # members of a bucket in a block
+BLOCK = 512  # members of a bucket in a block
 BINS = 256  # of a word histogram
 
 
@@ -211,8 +212,8 @@ def _fit(m, n, similarity: float):
     return low(m, n) >= high(m, n) * similarity - 1e-9
 
 
-def _block_pairs(similarity: float):
-    """Pairs of different components in groups of two blocks (or one) that lengths and histograms don't rule out."""
+def _block_links(similarity: float):
+    """Links between members of different components in groups of two blocks (or one)."""
 
     def compare(g, out):
         i, x, y = (int(g.column(c)[0].as_py()) for c in ("i", "x", "y"))
@@ -221,25 +222,39 @@ def _block_pairs(similarity: float):
         right = left if x == y else np.flatnonzero(block == y)
         if not len(left) or not len(right):
             return
-        column = g.column("sketches").combine_chunks()
-        s = column.flatten().to_numpy().reshape(len(rid), -1)
+        s = g.column("sketches").combine_chunks().flatten().to_numpy().reshape(len(rid), -1)
         h = np.frombuffer(b"".join(g.column("histogram").to_pylist()), np.uint8).reshape(len(rid), BINS).astype(np.int16)
-        for at in range(0, len(left), BLOCK):
-            part = left[at:at + BLOCK]
-            near = _fit(n[part][:, None], n[right][None, :], similarity) & (comp[part][:, None] != comp[right][None, :])
-            if x == y:
-                near &= rid[part][:, None] < rid[right][None, :]
-            for j in range(i):  # met in an earlier sketch's bucket
-                near &= s[part, j][:, None] != s[right, j][None, :]
-            a, b = np.nonzero(near)
-            a, b = part[a], right[b]
-            for k in range(0, len(a), 50_000):
-                p, q = a[k:k + 50_000], b[k:k + 50_000]
-                d = h[p] - h[q]
-                least = np.maximum(np.maximum(d, 0).sum(1), np.maximum(-d, 0).sum(1))
-                ok = least <= (1 - similarity) * np.maximum(n[p], n[q]) + 1e-9
-                out[0].append(rid[p[ok]])
-                out[1].append(rid[q[ok]])
+        near = _fit(n[left][:, None], n[right][None, :], similarity) & (comp[left][:, None] != comp[right][None, :])
+        if x == y:
+            near &= rid[left][:, None] < rid[right][None, :]
+        for j in range(i):  # met in an earlier sketch's bucket
+            near &= s[left, j][:, None] != s[right, j][None, :]
+        a, b = np.nonzero(near)
+        a, b = left[a], right[b]
+        into: dict = {}  # components joined by the links found here
+
+        def root(c):
+            while c in into:
+                c = into[c]
+            return c
+
+        words: dict = {}
+
+        def words_of(k):
+            if k not in words:
+                words[k] = g.column("body")[k].as_py().split()
+            return words[k]
+
+        for k in range(0, len(a), 50_000):
+            p, q = a[k:k + 50_000], b[k:k + 50_000]
+            d = h[p] - h[q]
+            least = np.maximum(np.maximum(d, 0).sum(1), np.maximum(-d, 0).sum(1))
+            ok = least <= (1 - similarity) * np.maximum(n[p], n[q]) + 1e-9
+            for v, w in zip(p[ok].tolist(), q[ok].tolist()):
+                cv, cw = root(int(comp[v])), root(int(comp[w]))
+                if cv != cw and edits_within(words_of(v), words_of(w), most_edits(int(n[v]), int(n[w]), similarity)) is not None:
+                    into[max(cv, cw)] = min(cv, cw)
+                    out.append((max(int(rid[v]), int(rid[w])), min(int(rid[v]), int(rid[w]))))
 
     def run(batches):
         import pyarrow as pa
@@ -256,14 +271,14 @@ def _block_pairs(similarity: float):
             new = pa.Table.from_batches([batch])
             table = new if held is None else pa.concat_tables([held, new])
             at = pairs(table)
-            out = ([], [])
+            out = []
             for start, end in zip(at[:-2], at[1:-1]):
                 if end - start > 1:
                     compare(table.slice(start, end - start), out)
             held = table.slice(at[-2])
             yield _pair_batch(out)
         if held is not None:
-            out = ([], [])
+            out = []
             if held.num_rows > 1:
                 compare(held, out)
             yield _pair_batch(out)
@@ -274,12 +289,11 @@ def _block_pairs(similarity: float):
 def _pair_batch(out):
     import pyarrow as pa
 
-    a, b = (np.concatenate(v) if v else np.empty(0, np.int64) for v in out)
-    return pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], names=["a", "b"])
+    return pa.RecordBatch.from_arrays([pa.array([v for v, _ in out], pa.int64()), pa.array([w for _, w in out], pa.int64())], names=["a", "b"])
 
 
-def _open_pairs(member: DataFrame, label: DataFrame, heads: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) of different components that share a sketch, less those ruled out without alignment."""
+def _open_links(member: DataFrame, label: DataFrame, heads: DataFrame, bodies: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) that connect all members of different components which share a sketch and are similar enough."""
     spread = member.select("i", "s", "rid").join(label, "rid", "left").withColumn("comp", F.coalesce("comp", "rid"))
     sizes = spread.groupBy("i", "s", "comp").agg(F.count("*").alias("n"))
     buckets = sizes.groupBy("i", "s").agg(F.sum("n").alias("all"), F.max(F.struct("n", "comp")).alias("big"), F.count("*").alias("comps")).where("comps > 1")
@@ -290,9 +304,9 @@ def _open_pairs(member: DataFrame, label: DataFrame, heads: DataFrame, similarit
     # blocks 0 .. rest - 1 hold the other components, the next ones the largest, which meets the others only
     rows = rows.withColumn("block", F.when(F.col("in_big"), F.col("rest") + deal(F.col("own"))).otherwise(deal(F.col("rest"))))
     rows = rows.withColumn("met", F.explode(F.sequence(F.lit(0), F.when(F.col("in_big"), F.col("rest")).otherwise(F.col("rest") + F.col("own")) - 1)))
-    rows = rows.select("i", "s", F.least("block", "met").alias("x"), F.greatest("block", "met").alias("y"), "block", "rid", "comp").join(heads, "rid")
+    rows = rows.select("i", "s", F.least("block", "met").alias("x"), F.greatest("block", "met").alias("y"), "block", "rid", "comp").join(heads, "rid").join(bodies, "rid")
     dealt = rows.repartition("i", "s", "x", "y").sortWithinPartitions("i", "s", "x", "y")
-    return dealt.mapInArrow(_block_pairs(similarity), "a long, b long")
+    return dealt.mapInArrow(_block_links(similarity), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -334,12 +348,9 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     if not more.isEmpty():
         links = links.union(more)
     label = labelled(links)
-    pairs = stored(_open_pairs(member, label, heads, similarity), "pairs")
-    discard(member)
-    discard(heads)
-    last = stored(_links(pairs, bodies, similarity), "links")
-    discard(pairs)
-    discard(bodies)
+    last = stored(_open_links(member, label, heads, bodies, similarity), "links")
+    for table in (member, heads, bodies):
+        discard(table)
     if not last.isEmpty():
         label = labelled(links.union(last))
 

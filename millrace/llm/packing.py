@@ -55,19 +55,23 @@ class TextIds:
     first time are encoded together, and cut apart by the byte lengths of their
     tokens (those that hold white space each alone); they are remembered up to
     ``LIMIT``.  Other texts are encoded whole.  A special token's name in a text
-    is text (``encode_special_tokens``).
+    is that token, as the file's own tokenizer has it, and what stands before and
+    after it is encoded apart; with ``names_as_text`` it is text.
     """
 
     LIMIT = 800_000
 
-    def __init__(self, tokenizer: str):
+    def __init__(self, tokenizer: str, names_as_text: bool = False):
         import json
 
         import public_tokenizers
         import tiktoken
 
         with open(tokenizer if os.sep in tokenizer else public_tokenizers.path(tokenizer), encoding="utf-8") as f:
-            vocabulary = json.load(f)["model"]["vocab"]
+            file = json.load(f)
+        vocabulary = file["model"]["vocab"]
+        self.special = {} if names_as_text else {t["content"]: int(t["id"]) for t in file.get("added_tokens", []) if t.get("special")}
+        self.names = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         # a byte-level vocabulary writes each byte as one character: printable Latin-1 as itself, the rest from 256 on
         plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
         byte = {chr(b): b for b in plain}
@@ -81,7 +85,16 @@ class TextIds:
         self.known: dict[str, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
-        return [array("I", self.tok.encode_ordinary(t)).tobytes() for t in texts]
+        return [array("I", self._ids(t)).tobytes() for t in texts]
+
+    def _ids(self, text: str) -> list[int]:
+        if self.names is None or not self.names.search(text):
+            return self.tok.encode_ordinary(text)
+        ids, at = [], 0
+        for m in self.names.finditer(text):
+            ids += [*self.tok.encode_ordinary(text[at:m.start()]), self.special[m.group()]]
+            at = m.end()
+        return ids + self.tok.encode_ordinary(text[at:])
 
     def learn(self, chunks: set[str]) -> None:
         new = list(chunks.difference(self.known))
@@ -106,7 +119,7 @@ class TextIds:
         out: list[bytes] = [b""] * len(texts)
         plain, rest = [], []
         for i, t in enumerate(texts):
-            (rest if "  " in t or t.endswith(" ") or JOINED.search(t) else plain).append(i)
+            (rest if "  " in t or t.endswith(" ") or JOINED.search(t) or self.names and self.names.search(t) else plain).append(i)
         for i, ids in zip(rest, self.whole([texts[i] for i in rest])):
             out[i] = ids
         for at in range(0, len(plain), 500):

@@ -194,7 +194,16 @@ def redact(docs: DataFrame) -> DataFrame:
 
     zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
     clean = F.aggregate("_all", zero, step, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, F.length(text))))
-    rows = with_spans(docs).withColumn("text", F.when(F.size("_all") > 0, clean).otherwise(F.col("text")))
-    if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.when(F.size("_all") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return rows.select(docs.columns)
+    # the row stands apart from the text, so no column of it can clash with the operator's own
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    rows = with_spans(docs.select(whole, "text")).withColumn("some", F.size("_all") > 0).withColumn("text", F.when(F.col("some"), clean).otherwise(F.col("text")))
+    out = []
+    for c in docs.columns:
+        old = F.col("doc").getField(c)
+        if c == "text":
+            out.append(F.col("text"))
+        elif c == "n_chars":
+            out.append(F.when(F.col("some"), F.length("text")).otherwise(old).cast(docs.schema[c].dataType).alias(c))
+        else:
+            out.append(old.alias(c))
+    return rows.select(*out)

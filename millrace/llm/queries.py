@@ -106,12 +106,12 @@ ish AS (SELECT DISTINCT item_id, least(len(w), 5) AS width, list_aggregate(w[i:i
         FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 5) + 2)) AS i FROM iw WHERE len(w) > 0)),
 isz AS (SELECT item_id, count(*) AS n_item FROM ish GROUP BY item_id),
 widths AS (SELECT DISTINCT width FROM ish),
-dw AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS w FROM documents),
-dsh AS (SELECT DISTINCT doc_id, width, list_aggregate(w[i:i + width - 1], 'string_agg', ' ') AS s
-        FROM (SELECT doc_id, width, w, unnest(range(1, len(w) - width + 2)) AS i FROM dw, widths WHERE len(w) >= width)),
-m AS (SELECT doc_id, item_id, count(*) AS n_shared FROM dsh JOIN ish USING (width, s) GROUP BY doc_id, item_id)
-SELECT doc_id, item_id, n_shared, n_item, n_shared / n_item AS containment
-FROM m JOIN isz USING (item_id) WHERE n_shared >= 0.8 * n_item - 1e-9
+dw AS (SELECT doc_id, text, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS w FROM documents),
+dsh AS (SELECT DISTINCT doc_id, text, width, list_aggregate(w[i:i + width - 1], 'string_agg', ' ') AS s
+        FROM (SELECT doc_id, text, width, w, unnest(range(1, len(w) - width + 2)) AS i FROM dw, widths WHERE len(w) >= width)),
+m AS (SELECT doc_id, text, item_id, count(*) AS n_shared FROM dsh JOIN ish USING (width, s) GROUP BY doc_id, text, item_id)
+SELECT doc_id, item_id, max(n_shared) AS n_shared, n_item, max(n_shared) / n_item AS containment
+FROM m JOIN isz USING (item_id) WHERE n_shared >= 0.8 * n_item - 1e-9 GROUP BY doc_id, item_id, n_item
 """
 
 _HARD_NEGATIVES = """

@@ -137,7 +137,6 @@ def test_packing_round_trip(spark, corpus):
     from millrace.llm.packing import pack
 
     tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tok.encode_special_tokens = True
     docs = corpus.unionByName(spark.createDataFrame(
         [(70, "tabs\t and  double spaces \n\n é 日本 😀 it's <|endoftext|>", "", "", 0), (71, "trailing ", "", "", 0)], corpus.schema))
     expected = collections.Counter()
@@ -169,7 +168,6 @@ def test_ids_equal_the_tokenizers_on_runs_of_odd_white_space():
     from millrace.llm.packing import TOKENIZER, TextIds
 
     tok = Tokenizer.from_file(public_tokenizers.path(TOKENIZER))
-    tok.encode_special_tokens = True
     rng = random.Random(8)
     parts = [" ", " ", " ", "\u00a0", "\u00a0", "\n", "\t", "\u3000", "\x1c", "\x85", "\u200b", "a", "b", "foo", "'s", "12", "é", "中", "!", "<|endoftext|>"]
     texts = ["a \u00a0 \u00a0 b"] + ["".join(rng.choices(parts, k=rng.randint(0, 14))) for _ in range(5000)]
@@ -254,3 +252,79 @@ def test_decontamination_matches_brute_force(spark, corpus):
     assert clean.count() == sum(str(r.doc_id) not in {d for d, _ in expected} for r in corpus.collect())
     assert contaminated(corpus, items_df.where("false")).count() == 0
     assert contaminated(corpus.where("false"), items_df).count() == 0
+
+
+def test_two_texts_under_one_id_are_not_added_up(spark):
+    from millrace.llm.decontaminate import contaminated
+
+    w = [f"p{i}" for i in range(40)]
+    docs = spark.createDataFrame([(1, " ".join(w[:22])), (1, " ".join(w[18:])), (None, " ".join(w[:22])), (None, " ".join(w[18:])), (2, " ".join(w)), (2, " ".join(w[:38]))],
+                                 "doc_id long, text string")
+    items = spark.createDataFrame([(7, " ".join(w))], "item_id long, text string")
+    assert [(r.doc_id, r.item_id, r.containment) for r in contaminated(docs, items).collect()] == [(2, 7, 1.0)]
+
+
+def test_filters_keep_columns_with_clashing_names(spark):
+    from millrace.llm.decontaminate import decontaminate
+    from millrace.llm.neardup import deduplicate
+    from millrace.llm.pii import redact
+
+    names = ["_rid", "_digest", "_text", "_base", "_all", "_near", "_cand", "rid", "comp", "key", "body", "digest", "hash", "some", "doc", "kept"]
+    row = (1, "mail me at a.b@c.org or +1 234 567 8901", 9, *[100 + i for i in range(len(names))])
+    docs = spark.createDataFrame([row], "doc_id long, text string, n_chars long, " + ", ".join(f"`{n}` int" for n in names))
+    items = spark.createDataFrame([(1, "nothing of this kind here at all")], "item_id long, text string")
+    for out in (deduplicate(docs), decontaminate(docs, items), redact(docs)):
+        assert out.columns == docs.columns
+        got = out.first()
+        assert [got[n] for n in names] == [100 + i for i in range(len(names))]
+    assert got.text == "mail me at [EMAIL] or [PHONE]" and got.n_chars == len(got.text)
+
+
+@pytest.mark.parametrize("length", [30, 60, 200])
+def test_sketches_meet_at_the_threshold(length):
+    """At least nine of ten pairs with a fifth of their words changed share a sketch."""
+    import numpy as np
+
+    from millrace.llm.common import word_hashes
+    from millrace.llm.neardup import kmer_hashes, sketches
+
+    rng, met = random.Random(length), 0
+    for _ in range(200):
+        a = words(rng, length, 100_000)
+        b = list(a)
+        for k in rng.sample(range(length), length // 5):
+            b[k] = f"n{rng.random()}"
+        x, y = (sketches(kmer_hashes(word_hashes([w.encode() for w in d]))) for d in (a, b))
+        met += bool(np.any(x == y))
+    assert met >= 180, met
+
+
+def test_many_components_in_one_bucket_lose_no_link(spark, monkeypatch):
+    """A passage that unrelated documents share, families of near copies among them, small blocks."""
+    from millrace.llm import neardup
+
+    monkeypatch.setattr(neardup, "BLOCK", 7)
+    rng = random.Random(3)
+    passage, rows, family = words(rng, 40), [], {}
+    for f in range(25):
+        own = words(rng, 25, 50_000)
+        for c in range(3):
+            w = passage + own
+            for _ in range(c * 3):
+                w[rng.randrange(len(w))] = f"e{rng.random()}"
+            family.setdefault(f, []).append(len(rows))
+            rows.append((len(rows), " ".join(w)))
+    got = {r.doc_id: r.class_id for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    parent = list(range(len(rows)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for x in range(len(rows)):
+        for y in range(x):
+            a, b = rows[x][1].split(), rows[y][1].split()
+            if edit_distance(a, b) <= neardup.most_edits(len(a), len(b), 0.8):
+                parent[max(root(x), root(y))] = min(root(x), root(y))
+    assert got == {i: root(i) for i in range(len(rows))} and len(set(got.values())) >= 20
