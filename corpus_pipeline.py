@@ -9,6 +9,7 @@ text.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from millrace.llm.common import stored, table
 from millrace.llm.decontaminate import decontaminate
@@ -19,28 +20,35 @@ from millrace.llm.quality import classify, fit
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier keeps."""
+    """Documents that the quality classifier keeps, their columns as they are (null and
+    empty texts as its docstring says; an empty table stays empty)."""
     model = fit(docs, table(spark, sf_dir, "labels"))
-    return classify(model, docs).where("kept").select(docs.columns)
+    # the row stands apart, so no column of it can clash with the classifier's own
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), "doc_id", "text", "lang")
+    return classify(model, rows).where("kept").select("doc.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates."""
+    """One document of each class of near-duplicates: the first row (null and blank texts
+    are alone in theirs; repeated rows are copies)."""
     return deduplicate(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item (null and empty texts hold none; without
+    items all stay)."""
     return decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, personal data replaced by its kind, ``n_chars`` adjusted."""
+    """All documents, personal data replaced by its kind, ``n_chars`` adjusted (a null
+    text stays null)."""
     return redact(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces of all documents in sequences of at most 1024."""
+    """Token pieces of all documents in sequences of at most 1024 (a null text is empty:
+    its end token alone)."""
     return pack(docs)
 
 
