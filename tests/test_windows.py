@@ -188,3 +188,25 @@ def test_a_limit_that_runs_out_raises(spark, scratch):
     with pytest.raises(TimeoutError):
         run_available_now(q, timeout=2)
     assert not q.isActive
+
+
+def test_time_split_by_counting(spark):
+    """The filter equals the numbered form on any table with a unique order; rows tied in the whole order stay together."""
+    import datetime
+
+    from millrace.operators import windows as W
+
+    rng = np.random.default_rng(9)
+    t0 = datetime.datetime(2024, 1, 1)
+    rows = [(None if rng.random() < 0.1 else t0 + datetime.timedelta(seconds=int(rng.integers(40))), int(i)) for i in range(300)]
+    df = spark.createDataFrame(rows, "t timestamp, i long")
+    for frac in (0.0, 0.003, 0.5, 0.8, 0.95, 1.0):
+        got = {r.i: r.split for r in W.ordered_split(df, ["t", "i"], frac).collect()}
+        order = sorted(rows, key=lambda r: (r[0] is None, r[0] or t0, r[1]))
+        train = {i for _, i in order[:int(np.floor(300 * frac))]}
+        assert {i for i, s in got.items() if s == "train"} == train
+    tied = spark.createDataFrame([(1,)] * 5 + [(2,)] * 5, "i long")
+    assert W.ordered_split(tied, ["i"], 0.3).where("split = 'train'").count() == 5
+    assert W.ordered_split(tied, ["i"], 0.5).where("split = 'train'").count() == 5
+    assert W.ordered_split(df.limit(0), ["t", "i"], 0.5).count() == 0
+
