@@ -23,9 +23,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier keeps, their columns as they are (null and
     empty texts as its docstring says; an empty table stays empty)."""
     model = fit(docs, table(spark, sf_dir, "labels"))
-    # the row stands apart, so no column of it can clash with the classifier's own
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), "doc_id", "text", "lang")
-    return classify(model, rows).where("kept").select("doc.*")
+    # the other columns stand apart, so none of them can clash with the classifier's own
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in ("text", "lang")]).alias("doc"), "text", "lang")
+    kept = classify(model, rows).where("kept")
+    return kept.select(*[F.col(c) if c in ("text", "lang") else F.col("doc").getField(c).alias(c) for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
