@@ -292,15 +292,20 @@ def _pair_batch(out):
     return pa.RecordBatch.from_arrays([pa.array([v for v, _ in out], pa.int64()), pa.array([w for _, w in out], pa.int64())], names=["a", "b"])
 
 
-def _open_links(member: DataFrame, label: DataFrame, heads: DataFrame, bodies: DataFrame, similarity: float) -> DataFrame:
-    """Links (a, b) that connect all members of different components which share a sketch and are similar enough."""
-    spread = member.select("i", "s", "rid").join(label, "rid", "left").withColumn("comp", F.coalesce("comp", "rid"))
-    sizes = spread.groupBy("i", "s", "comp").agg(F.count("*").alias("n"))
-    buckets = sizes.groupBy("i", "s").agg(F.sum("n").alias("all"), F.max(F.struct("n", "comp")).alias("big"), F.count("*").alias("comps")).where("comps > 1")
+def _open_links(member: DataFrame, label: DataFrame, tested: DataFrame, heads: DataFrame, bodies: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) that connect all members of different components which share a sketch and are similar enough.
+
+    A bucket of two members that were compared before (``tested``) is done."""
+    spread = member.join(label, "rid", "left").withColumn("comp", F.coalesce("comp", "rid"))
+    sizes = spread.groupBy("i", "s", "comp").agg(F.count("*").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
+    buckets = sizes.groupBy("i", "s").agg(F.sum("n").alias("all"), F.max(F.struct("n", "comp")).alias("big"), F.count("*").alias("comps"),
+                                          F.min("low").alias("low"), F.max("high").alias("high")).where("comps > 1")
+    done = tested.select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high")).distinct().withColumn("done", F.lit(True))
+    buckets = buckets.join(done, ["low", "high"], "left").where("all > 2 or done is null")
     blocks = lambda n: F.ceil(n / BLOCK).cast("int")
     buckets = buckets.select("i", "s", F.col("big.comp").alias("big"), blocks(F.col("big.n")).alias("own"), blocks(F.col("all") - F.col("big.n")).alias("rest"))
     deal = lambda n: F.pmod(F.xxhash64("rid"), n).cast("int")
-    rows = spread.join(buckets, ["i", "s"]).withColumn("in_big", F.col("comp") == F.col("big"))
+    rows = spread.drop("low", "high").join(buckets, ["i", "s"]).withColumn("in_big", F.col("comp") == F.col("big"))
     # blocks 0 .. rest - 1 hold the other components, the next ones the largest, which meets the others only
     rows = rows.withColumn("block", F.when(F.col("in_big"), F.col("rest") + deal(F.col("own"))).otherwise(deal(F.col("rest"))))
     rows = rows.withColumn("met", F.explode(F.sequence(F.lit(0), F.when(F.col("in_big"), F.col("rest")).otherwise(F.col("rest") + F.col("own")) - 1)))
@@ -329,10 +334,14 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     bodies = stored(wanted.join(read, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key"))).select("rid", "body").dropDuplicates(["rid"]), "bodies")
     size = heads.select("rid", "n_words")
 
-    def hub_links(hub: str, label: DataFrame | None) -> DataFrame:
-        """Links of each document with the hub with which it shares most sketches."""
+    def with_hub(hub: str) -> DataFrame:
+        """Each document and the hub with which it shares most sketches."""
         met = member.where(F.col("rid") != F.col(hub)).groupBy("rid", hub).agg(F.count("*").alias("n"))
         best = met.groupBy("rid").agg(F.max_by(hub, F.struct("n", -F.col(hub))).alias("hub")).select(F.col("rid").alias("a"), F.col("hub").alias("b"))
+        return stored(best, "hubs")
+
+    def hub_links(best: DataFrame, label: DataFrame | None) -> DataFrame:
+        """The links among those pairs; pairs of one component need no comparison."""
         if label is not None:
             of = lambda c: label.select(F.col("rid").alias(c), F.col("comp").alias(f"c{c}"))
             best = best.join(of("a"), "a", "left").join(of("b"), "b", "left").where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
@@ -343,13 +352,14 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     def labelled(links: DataFrame) -> DataFrame:
         return connected_components(links, tag="classes").select(F.col("node").alias("rid"), F.col("component").alias("comp"))
 
-    links = hub_links("low", None)
-    more = hub_links("high", labelled(links))
+    low, high = with_hub("low"), with_hub("high")
+    links = hub_links(low, None)
+    more = hub_links(high, labelled(links))
     if not more.isEmpty():
         links = links.union(more)
     label = labelled(links)
-    last = stored(_open_links(member, label, heads, bodies, similarity), "links")
-    for table in (member, heads, bodies):
+    last = stored(_open_links(member, label, low.union(high), heads, bodies, similarity), "links")
+    for table in (member, low, high, heads, bodies):
         discard(table)
     if not last.isEmpty():
         label = labelled(links.union(last))
