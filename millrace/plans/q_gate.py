@@ -133,7 +133,7 @@ def q_customers_containing(spark, sf_dir):
 SELECT event_id, user_id, CAST(NULL AS VARCHAR) AS event_type, 'a' AS part FROM events WHERE event_id % 2 = 0
 UNION ALL SELECT event_id, CAST(NULL AS BIGINT), event_type, 'b' FROM events WHERE event_id % 2 = 1""")
 def q_union_of_shapes(spark, sf_dir):
-    """U2 + P7 + P12: union by name of tables that lack each other's columns."""
+    """U2 + P12: union by name of tables that lack each other's columns."""
     e = table(spark, sf_dir, "events")
     a = S.with_literal(S.where(e, "event_id % 2 = 0").select("event_id", F.col("user_id").cast("long")), "part", "a")
     b = S.with_literal(S.where(e, "event_id % 2 = 1").select("event_id", "event_type"), "part", "b")
