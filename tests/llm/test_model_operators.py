@@ -100,6 +100,40 @@ def test_quality_classifier_edge_cases(spark):
     assert classify(fit(docs.where("false"), labels), docs.where("false")).count() == 0
 
 
+def test_every_character_has_a_code_of_its_own():
+    from millrace.llm.quality import ALPHABET, ORDER, _class_table, _grams
+
+    size, symbols = table = _class_table("etaoin")
+    code = sum(symbols[k].astype(np.int64) * ALPHABET ** k for k in range(len(symbols)))
+    assert len(np.unique(code)) == 0x110000 and (size == (symbols > 0).sum(0)).all()
+    leads = set(symbols[0][size > 1])
+    assert leads.isdisjoint(symbols[0][size == 1]) and all(len(set(size[symbols[0] == s])) == 1 for s in leads)  # read one way only
+    texts = ["te\u4e2d", "\U0001F600", "a"]
+    g, own, starts = _grams(texts, table)
+    lengths = [sum(size[ord(c)] for c in t) for t in texts]
+    want = []
+    for t in texts:
+        s = [0] * (ORDER - 1) + [int(symbols[k][ord(c)]) for c in t for k in range(size[ord(c)])]
+        want += [sum(x * ALPHABET ** (ORDER - 1 - i) for i, x in enumerate(s[j:j + ORDER])) for j in range(len(s) - ORDER + 1)]
+    assert g[own].tolist() == want and [int(own[:a].sum()) for a in starts] == [0, lengths[0], lengths[0] + lengths[1]]
+
+
+def test_quality_tells_rare_characters_apart(spark):
+    from millrace.llm.quality import classify, fit
+
+    rng = random.Random(3)
+    common = "".join(chr(c) for c in range(0x100, 0x100 + 70))  # more characters than symbols
+    good, bad = "\u4e00\u4e01", "\u4e02\u4e03"  # both rarer than all of them
+    text = lambda rare: "".join(rng.choice(common) for _ in range(300)) + rare * 10
+    rows = [(i, text(good), "xx", "a", 1) for i in range(60)]
+    tail = text("")
+    rows += [(100, tail + good * 10, "xx", "a", 1), (101, tail + bad * 10, "xx", "a", 1)]
+    docs = spark.createDataFrame(rows, DOC)
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    p = {r.doc_id: r.perplexity for r in classify(fit(docs, labels), docs).where("doc_id >= 100").collect()}
+    assert p[101] > 1.05 * p[100]
+
+
 # ---------------------------------------------------------------- embeddings
 def test_embedding_links_match_brute_force(spark):
     from millrace.llm.embeddings import embedding_near_duplicates
