@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import json
 import uuid
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier,
                                        LogisticRegression, RandomForestClassifier)
@@ -17,7 +19,7 @@ from pyspark.ml.evaluation import (BinaryClassificationEvaluator,
                                    MulticlassClassificationEvaluator, RegressionEvaluator)
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor
-from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (DoubleType, MapType, StringType, StructField, StructType,
@@ -156,11 +158,23 @@ def tree_search(pipeline: Pipeline, train: DataFrame, label: str,
                               .addGrid(est.minInstancesPerNode, list(min_instances)).build())
     ev = (RegressionEvaluator(labelCol=label, metricName="rmse") if regression else
           MulticlassClassificationEvaluator(labelCol=label, metricName="fMeasureByLabel", metricLabel=1.0, beta=1.0))
-    tvs = TrainValidationSplit(estimator=est, estimatorParamMaps=grid, evaluator=ev,
-                               trainRatio=0.8, parallelism=parallelism, seed=seed)
-    found = tvs.fit(features)
-    runs = [{p.name: float(v) for p, v in pm.items()} | {"metric": float(m)} for pm, m in zip(grid, found.validationMetrics)]
-    return PipelineModel([*prepared.stages, found.bestModel]), features, runs
+    drawn = features.withColumn("__rand", F.rand(seed))
+    fitted, held = drawn.where("__rand < 0.8").drop("__rand").cache(), drawn.where("__rand >= 0.8").drop("__rand").cache()
+
+    def evaluation(pm):
+        # every evaluation has local properties of its own: TrainValidationSplit's threads share one set, in which
+        # one thread clears the id of the query that another is starting
+        return inheritable_thread_target(features.sparkSession)(lambda: ev.evaluate(est.fit(fitted, pm).transform(held)))
+
+    try:
+        with ThreadPool(min(parallelism, len(grid))) as pool:
+            metrics = pool.map(lambda run: run(), [evaluation(pm) for pm in grid], chunksize=1)
+    finally:
+        fitted.unpersist()
+        held.unpersist()
+    best = (max if ev.isLargerBetter() else min)(range(len(grid)), key=metrics.__getitem__)
+    runs = [{p.name: float(v) for p, v in pm.items()} | {"metric": float(m)} for pm, m in zip(grid, metrics)]
+    return PipelineModel([*prepared.stages, est.fit(features, grid[best])]), features, runs
 
 
 # ------------------------------------------------------------------ M10

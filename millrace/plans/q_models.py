@@ -147,7 +147,8 @@ def q_forecast_order_search(spark, sf_dir):
 
 
 def _anomaly_split(spark, sf_dir):
-    f = _features(spark, sf_dir)
+    """Training and test rows of the feature table, which is computed once and stored: a fit reads it many times."""
+    f = materialize(_features(spark, sf_dir), "anomaly-features")
     return M.hash_split(f, "event_id", 70)
 
 
@@ -270,7 +271,7 @@ def _device_artefact(spark, sf_dir, trees: int):
     dv = view(spark, sf_dir, "device")
     labelled = materialize(D.defects(dv, temp_rules=FIXTURE_TEMP_RULES, pressure_max=FIXTURE_PRESSURE_MAX), "labelled")
     stage = DeviceFeatureFit(factories=FACTORIES, models=MODELS).fit(labelled)
-    feats = stage.transform(labelled)
+    feats = materialize(stage.transform(labelled), "device-features")  # a fit reads them many times
     train, test = M.hash_split(feats, "event_id", 70)
     pipe = M.make_pipeline("forest_classifier", "defect", stage.feature_columns(), numTrees=trees, seed=42)
     return labelled, feats, test, PipelineModel([stage, *M.fit(pipe, train, "defect").stages])
