@@ -87,7 +87,10 @@ def row_number_by(df: DataFrame, key, order, out: str = "row_num",
             res = res.withColumn(with_count, F.count(F.lit(1)).over(Window.partitionBy(*keys)))
         return res.drop("__all") if "__all" in res.columns else res
 
-    d = _segmented(df, keys, segment)
+    # the key and the segment travel once, in the struct, unless the order names the key
+    ordered = {o.lower() if isinstance(o, str) else None for o in _list(order)}
+    inside = [k for k in keys if k.lower() not in ordered] if None not in ordered else []
+    d = _segmented(df, keys, segment).drop(_SEG, *inside)
     local = d.withColumn(out, F.row_number().over(series_window(_KS, order)))
     counts = d.groupBy(_KS).agg(F.count(F.lit(1)).alias("__cnt"))
     of_key = [F.col(f"{_KS}.{k}") for k in keys]
@@ -98,7 +101,8 @@ def row_number_by(df: DataFrame, key, order, out: str = "row_num",
         offs = offs.withColumn(with_count, F.sum("__cnt").over(Window.partitionBy(*of_key)))
     res = (local.join(offs.drop("__cnt"), _KS, "inner")
                 .withColumn(out, F.col(out) + F.col("__off"))
-                .drop("__off", _SEG, _KS))
+                .select(*[F.col(f"{_KS}.{c}").alias(c) if c in inside else F.col(c) for c in df.columns],
+                        *[c for c in (out, with_count) if c and c not in df.columns]))
     return res.drop("__all") if "__all" in res.columns else res
 
 

@@ -73,7 +73,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     that survives executor loss.  Never a machine-local folder on a cluster:
     the folder comes from ``spark.checkpoint.dir``."""
     path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex[:12]}")
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
