@@ -14,7 +14,11 @@ A query has windows [low, high] of wanted inner products and looks for the
 highest k in each.  It first visits the cell of the highest bound, then those
 other cells that meet a window above the k-th score found.  In a tree it
 descends best-first, leaves out nodes outside all windows or below the k-th
-score, and scores leaves exactly.  Labels are kept apart by hash (``BUCKETS``),
+score, and scores leaves exactly.  The queries of a group descend together: each
+takes its best open nodes (one, then two, four, ...), and a node's centres or
+leaf are multiplied once with all queries that took it.  Where a level compresses
+nothing, as with random vectors, no net is finished: the points are one leaf.
+Labels are kept apart by hash (``BUCKETS``),
 so a search in one's own label reads its bucket only.  Queries and candidates
 meet in groups of at most about ``QUERIES`` x ``BLOCK``; only the best k of a
 group leave it.
@@ -30,7 +34,6 @@ long raise an error.
 
 from __future__ import annotations
 
-import heapq
 import math
 
 import numpy as np
@@ -46,12 +49,14 @@ BUCKETS = 64
 BLOCK = 8192
 QUERIES = 8192
 LEAF = 48
+TOGETHER = 256  # queries that descend together
+PATIENCE = 256  # centres after which a net shows whether its level compresses
 ROW = "vec_id long, label string, x array<bigint>, rid long"
 EXACT = 2 ** 53  # scores below this are exact in double precision
 
 
 class Node:
-    __slots__ = ("radius", "rows", "children", "centres", "radii")
+    __slots__ = ("rows", "children", "centres", "radii", "first")
 
     def __init__(self, rows):
         self.rows, self.children, self.centres, self.radii = rows, [], None, None
@@ -68,26 +73,37 @@ def cover_tree(points: np.ndarray) -> tuple[Node, int, float]:
         if len(rows) <= LEAF or top <= 0:
             return node
         # greedy net: centres are more than ``level`` apart and cover the node's points
-        nearest = np.full(len(rows), np.inf)
+        own_points, squares = points[rows], square[rows]
+        nearest = np.full(len(rows), np.inf)  # squared, by products: the radii are measured below
         own = np.zeros(len(rows), np.int64)
         centres: list[int] = []
         at = 0
         while True:
-            d = np.sqrt(np.maximum(((points[rows] - points[rows[at]]) ** 2).sum(1), 0))
-            own[d < nearest] = len(centres)
-            nearest = np.minimum(nearest, d)
+            d = np.maximum(squares + squares[at] - 2 * (own_points @ own_points[at]), 0)
+            d[at] = 0
+            closer = d < nearest
+            own[closer] = len(centres)
+            nearest[closer] = d[closer]
             centres.append(at)
             at = int(nearest.argmax())
-            if nearest[at] <= level:
+            if nearest[at] <= level * level:
                 break
-            if len(centres) * 4 > len(rows):  # the level does not compress: score the points instead
+            if nearest[at] <= 1e-12 * squares[at]:  # too close for products to tell the points apart
+                if len(centres) == 1:
+                    return node
+                break
+            # the level does not compress, four points a centre: score the points instead
+            if len(centres) * 4 > len(rows) or len(centres) == PATIENCE and np.count_nonzero(nearest <= level * level) < 4 * PATIENCE:
                 return node
+        nearest = np.sqrt(((own_points - own_points[np.array(centres)[own]]) ** 2).sum(1))
+        del own_points
         parts = [np.flatnonzero(own == i) for i in range(len(centres))]
         node.children = [split(rows[p], nearest[p], level / 2) for p in parts]
         node.centres = rows[np.array(centres)]
         node.radii = np.array([float(nearest[p].max()) for p in parts])
         return node
 
+    square = (points * points).sum(1)
     rows = np.arange(len(points))
     far = np.sqrt(((points - points[0]) ** 2).sum(1))
     top = float(far.max())
@@ -95,62 +111,107 @@ def cover_tree(points: np.ndarray) -> tuple[Node, int, float]:
 
 
 class Best:
-    """The highest k (score, id) of a window so far."""
-
-    __slots__ = ("low", "high", "k", "found", "floor")
+    """The highest k of every query's windows so far: ``query``, ``window``, ``score``, ``row`` of each find.
 
-    def __init__(self, low, high, k, floor):
-        self.low, self.high, self.k, self.found, self.floor = low, high, k, [], max(low, floor)
+    ``low``, ``high`` and ``floor`` have a row for each query and a column for
+    each window.  Rows stand in the order in which equal scores are taken.
+    """
 
-    def add(self, scores, ids, rows):
-        take = np.flatnonzero((scores >= self.floor) & (scores <= self.high))
-        if not len(take):
+    def __init__(self, low: np.ndarray, high: np.ndarray, floor: np.ndarray, k: int):
+        self.high, self.k, self.floor = high, k, np.maximum(low, floor)
+        self.query, self.window, self.row = (np.empty(0, np.int64) for _ in range(3))
+        self.score = np.empty(0, low.dtype)
+        self.new: list[tuple] = []
+
+    def add(self, queries: np.ndarray, rows: np.ndarray, scores: np.ndarray, wanted: np.ndarray) -> None:
+        """``scores`` of ``queries`` with ``rows`` (ascending), of which ``wanted`` count."""
+        for w in range(self.high.shape[1]):
+            inside = wanted & (scores >= self.floor[queries, w][:, None]) & (scores <= self.high[queries, w][:, None])
+            hit = np.flatnonzero(inside.any(1))
+            if not len(hit):
+                continue
+            inside, own = inside[hit], scores[hit]
+            if len(rows) > self.k:
+                least = np.partition(np.where(inside, own, -np.inf), -self.k, axis=1)[:, -self.k][:, None]
+                ties = inside & (own == least)
+                inside = inside & (own > least) | ties & (np.cumsum(ties, axis=1) <= self.k)
+            i, j = np.nonzero(inside)
+            self.new.append((queries[hit[i]], np.full(len(i), w), own[i, j], rows[j]))
+
+    def settle(self) -> None:
+        """Keeps the highest k of all that was added, and raises the floors to the k-th score."""
+        if not self.new:
             return
-        self.found += zip((-scores[take]).tolist(), ids[take].tolist(), rows[take].tolist())
-        self.found = heapq.nsmallest(self.k, self.found)
-        if len(self.found) == self.k:
-            self.floor = max(self.floor, -self.found[-1][0])
-
-
-def descend(root: Node, centre: int, radius: float, points: np.ndarray, exact: np.ndarray, q: np.ndarray, q_exact: np.ndarray, wanted, windows, ids, rids) -> None:
-    """Best-first search of one query; ``wanted`` marks candidates by row."""
-    length = float(np.sqrt((q * q).sum()))
-    slack = 1e-9 * (length * float(np.abs(points).max() if len(points) else 0) * len(q) + 1) + 1e-6
-
-    def useful(high, low):
-        return any(high + slack >= w.floor and low - slack <= w.high for w in windows)
-
-    d = points.shape[1] - 1
-    score = float(points[centre, :d] @ q)
-    heap = [(-(score + length * radius), 0, root)]
-    low = {0: score - length * radius}
-    made = 1
-    while heap:
-        high, key, node = heapq.heappop(heap)
-        if not useful(-high, low.pop(key)):
-            continue
-        if node.children:
-            mid = points[node.centres, :d] @ q
-            reach = length * node.radii
-            for child, a, b in zip(node.children, (mid + reach).tolist(), (mid - reach).tolist()):
-                if useful(a, b):
-                    heapq.heappush(heap, (-a, made, child))
-                    low[made] = b
-                    made += 1
-        else:
-            rows = node.rows[wanted[node.rows]]
-            if len(rows):
-                s = exact[rows] @ q_exact
-                for w in windows:
-                    w.add(s, ids[rows], rids[rows])
+        query, window, score, row = (np.concatenate(c) for c in zip((self.query, self.window, self.score, self.row), *self.new))
+        self.new = []
+        order = np.lexsort((row, -score, window, query))
+        query, window, score, row = (c[order] for c in (query, window, score, row))
+        begins = np.flatnonzero(np.r_[True, (np.diff(query) != 0) | (np.diff(window) != 0)])
+        place = np.arange(len(query)) - np.repeat(begins, np.diff(np.r_[begins, len(query)]))
+        last = place == self.k - 1
+        self.floor[query[last], window[last]] = np.maximum(self.floor[query[last], window[last]], score[last])
+        self.query, self.window, self.score, self.row = (c[place < self.k] for c in (query, window, score, row))
+
+
+def _flat(root: Node) -> list[Node]:
+    """All nodes, the root first; a node's children get consecutive numbers, ``first`` being the lowest."""
+    nodes = [root]
+    for node in nodes:
+        node.first = len(nodes)
+        nodes += node.children
+    return nodes
+
+
+def descend(root: Node, centre: int, radius: float, points: np.ndarray, exact: np.ndarray, q: np.ndarray, q_exact: np.ndarray, wanted, best: Best) -> None:
+    """Best-first search of the queries ``q``; ``wanted`` says which of some rows count for some queries."""
+    nodes, d = _flat(root), points.shape[1] - 1
+    length = np.sqrt((q * q).sum(1))
+    slack = (1e-9 * (length * float(np.abs(points).max()) * q.shape[1] + 1) + 1e-6)[:, None]
+    top, bottom = np.full((len(q), len(nodes)), -np.inf), np.full((len(q), len(nodes)), -np.inf)
+    reached = np.zeros(top.shape, bool)
+    mid = q @ points[centre, :d]
+    top[:, 0], bottom[:, 0], reached[:, 0] = mid + length * radius, mid - length * radius, True
+    ends, many = best.high.astype(np.float64), 1
+    while True:
+        floors, useful = best.floor.astype(np.float64), np.zeros(reached.shape, bool)
+        for w in range(ends.shape[1]):
+            useful |= (top + slack >= floors[:, w, None]) & (bottom - slack <= ends[:, w, None])
+        reached &= useful
+        if not reached.any():
+            return
+        take = reached.copy()
+        if many < len(nodes):
+            bounds = np.where(reached, top, -np.inf)
+            take &= bounds >= np.partition(bounds, -many, axis=1)[:, -many][:, None]
+        reached &= ~take
+        for at in np.flatnonzero(take.any(0)):
+            node, own = nodes[at], np.flatnonzero(take[:, at])
+            if node.children:
+                mid, reach = q[own] @ points[node.centres, :d].T, length[own, None] * node.radii
+                below = slice(node.first, node.first + len(node.children))
+                top[own, below], bottom[own, below], reached[own, below] = mid + reach, mid - reach, True
+            else:
+                best.add(own, node.rows, q_exact[own] @ exact[node.rows].T, wanted(own, node.rows))
+        best.settle()
+        many *= 2
 
 
 def _vectors(column, dims: int) -> np.ndarray:
     """int64 rows, padded with noughts."""
+    n = column.value_lengths().to_numpy(zero_copy_only=False)
+    flat = column.flatten().to_numpy(zero_copy_only=False)
+    if len(n) and (n == dims).all():
+        return flat.reshape(len(n), dims).astype(np.int64)
     out = np.zeros((len(column), dims), np.int64)
-    for i, v in enumerate(column):
-        v = v.values.to_numpy(zero_copy_only=False)
-        out[i, :len(v)] = v
+    out[np.repeat(np.arange(len(n)), n), np.arange(len(flat)) - np.repeat(np.cumsum(n) - n, n)] = flat
+    return out
+
+
+def _windows(column: list, of: np.ndarray, dtype, empty: float) -> np.ndarray:
+    """The windows' bounds of the rows ``of``, those that a query has fewer of being ``empty``."""
+    out = np.full((len(of), max(len(column[i]) for i in of)), empty, dtype)
+    for row, i in zip(out, of):
+        row[:len(column[i])] = column[i]
     return out
 
 
@@ -235,22 +296,23 @@ def _search(dims: int, top: float, same: bool, k: int, exact_double: bool):
             id_null = group.column("vec_id").is_null().to_numpy(zero_copy_only=False)
             ids = np.where(id_null, np.iinfo(np.int64).max, group.column("vec_id").fill_null(0).to_numpy())
             exact = x.astype(np.float64) if exact_double else x.astype(object)
-            points = _augmented(x[ci], top)
+            ci = ci[np.lexsort((rid[ci], ids[ci], id_null[ci]))]  # the order of equal scores
+            points, number, of, candidates = _augmented(x[ci], top), exact.dtype, label[ci], exact[ci]
             root, centre, radius = cover_tree(points)
             low, high, floor = (group.column(n).to_pylist() for n in ("low", "high", "floor"))
-            for i in qi:
-                wanted = (label[ci] == label[i]) & (rid[ci] != rid[i]) if same else label[ci] != label[i]
-                if not wanted.any():
-                    continue
-                windows = [Best(a, b, k, f) for a, b, f in zip(low[i], high[i], floor[i])]
-                descend(root, centre, radius, points, exact[ci], x[i].astype(np.float64), exact[i], wanted, windows, ids[ci], rid[ci])
-                for w, window in enumerate(windows):
-                    for score, other_id, other in window.found:
-                        out["rid"].append(int(rid[i]))
-                        out["window"].append(w)
-                        out["other"].append(other)
-                        out["other_id"].append(None if other_id == np.iinfo(np.int64).max else other_id)
-                        out["score"].append(-int(score))
+            for part in np.split(qi, range(TOGETHER, len(qi), TOGETHER)):
+                def wanted(own, rows):
+                    alike = label[part[own]][:, None] == of[rows]
+                    return alike & (rid[part[own]][:, None] != rid[ci[rows]]) if same else ~alike
+
+                best = Best(_windows(low, part, number, np.inf), _windows(high, part, number, -np.inf), _windows(floor, part, number, -np.inf), k)
+                descend(root, centre, radius, points, candidates, x[part].astype(np.float64), exact[part], wanted, best)
+                other = ci[best.row]
+                out["rid"] += rid[part[best.query]].tolist()
+                out["window"] += best.window.tolist()
+                out["other"] += rid[other].tolist()
+                out["other_id"] += [None if null else v for null, v in zip(id_null[other].tolist(), ids[other].tolist())]
+                out["score"] += [int(v) for v in best.score.tolist()]
         return pa.table({"rid": pa.array(out["rid"], pa.int64()), "window": pa.array(out["window"], pa.int32()), "other": pa.array(out["other"], pa.int64()),
                          "other_id": pa.array(out["other_id"], pa.int64()), "score": pa.array(out["score"], pa.int64())})
 

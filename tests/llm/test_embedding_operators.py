@@ -125,3 +125,31 @@ def test_cover_tree_covers_and_halves():
             assert np.sqrt(((points[child.rows] - points[c]) ** 2).sum(1)).max() <= r + 1e-9
         stack += node.children
     assert root.children and sorted(seen) == list(range(len(points)))
+
+
+def test_queries_of_a_group_descend_together(monkeypatch):
+    rng = np.random.default_rng(9)
+    centres = rng.integers(-60, 60, (9, 6))
+    x = centres[rng.integers(9, size=900)] + rng.integers(-6, 7, (900, 6))
+    points = hardneg._augmented(x, float((x * x).sum(1).max()))
+    root, centre, radius = hardneg.cover_tree(points)
+    leaves = [n for n in hardneg._flat(root) if not n.children]
+    asked = x[:200].astype(float)
+    best = hardneg.Best(np.full((200, 1), -np.inf), np.full((200, 1), np.inf), np.full((200, 1), -np.inf), 3)
+    calls = []
+    add = hardneg.Best.add
+    monkeypatch.setattr(hardneg.Best, "add", lambda *a: (calls.append(len(a[2]) * len(a[1])), add(*a)))
+    hardneg.descend(root, centre, radius, points, x.astype(float), asked, asked, lambda own, rows: np.ones((len(own), len(rows)), bool), best)
+    assert len(leaves) > 3 and len(calls) <= 4 * len(leaves) and sum(calls) < asked.shape[0] * len(x) / 2
+    score = asked @ x.T
+    for i in range(200):
+        assert best.row[best.query == i].tolist() == sorted(range(900), key=lambda j: (-score[i, j], j))[:3]
+
+
+def test_a_level_that_compresses_nothing_is_left_early(monkeypatch):
+    points = np.random.default_rng(10).standard_normal((6000, 64))
+    made = []
+    count = np.count_nonzero
+    monkeypatch.setattr(hardneg.np, "count_nonzero", lambda v: made.append(len(v)) or count(v))
+    root, _, _ = hardneg.cover_tree(points)
+    assert made == [6000] and not root.children and len(root.rows) == 6000
