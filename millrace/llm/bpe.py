@@ -12,9 +12,10 @@ pieces as hexadecimal text, turned into bytes once, so it stays linear.
 The fold runs once for each distinct word as far as a bounded table goes:
 ``frequent_words`` counts the words of the whole corpus, and the ``CACHE`` most
 frequent ones that are no single piece are folded first; a literal holds their
-ids next to the vocabulary.  Any other word is folded where it stands.  Which
-words are in the table changes the time, never an id.  Documents aren't
-shuffled: only word counts are.
+ids next to the vocabulary, as one text a bucket, in which a word is found by its
+marks (a text a word, and places for them, took the driver beyond its memory).
+Any other word is folded where it stands.  Which words are in the table changes
+the time, never an id.  Documents aren't shuffled: only word counts are.
 
 Java's regular expressions and the tokenizer library's know different Unicode
 versions.  ``java_pattern`` asks the library itself which characters it takes as
@@ -42,7 +43,9 @@ CACHE = 180_000  # frequent words held beside the vocabulary
 CACHE_BYTES = 64  # longest word held
 LONG = 512  # bytes; longer words merge all pairs of a rank at once
 PLAN_TEXT = 100_000  # characters kept of a plan's description
-MARK = "\x1e"  # separates keys of a literal; a word that holds it is not held
+BUCKETS = 1 << 17  # of held words
+MARK = "\x1e"  # separates values of a literal, and words from their ids; a word that holds it or ENTRY is not held
+ENTRY = "\x1f"  # begins a held word
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -202,13 +205,13 @@ class Vocabulary:
     def folded(self, t: Column, word: Column) -> Column:
         """Ids of a word: ranked merges folded over its bytes (``t``: the literal)."""
         n = F.octet_length(word)
-        codes = _bound(F.hex(word.cast("binary")), lambda digits: F.transform(F.sequence(F.lit(1), n * 2, F.lit(2)), lambda i: F.get(
-            t["bytes"], F.conv(F.substring(digits, i, F.lit(2)), 16, 10).cast("int"))))
+        # a character a byte
+        codes = F.transform(F.split(F.decode(word.cast("binary"), "ISO-8859-1"), ""), lambda c: F.get(t["bytes"], F.ascii(c)))
         steps = F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1)))
 
         def run(parts):
+            few = F.transform(F.aggregate(steps, self._cells(t, parts), lambda s, _: self._merge_first(t, s)), self._id)
             start = F.struct(parts.alias("parts"), self._ranks(t, parts).alias("ranks"))
-            few = F.aggregate(steps, start, lambda s, _: self._merge_first(t, s), lambda s: s["parts"])
             many = F.aggregate(steps, start, lambda s, _: self._merge_all(t, s), lambda s: s["parts"])
             return F.when(n <= LONG, few).otherwise(many)
 
@@ -218,21 +221,38 @@ class Vocabulary:
         """The rank of every pair of neighbours."""
         return F.transform(F.slice(parts, 1, F.size(parts) - 1), lambda p, i: self.rank(t, p, F.get(parts, i + 1)))
 
-    def _merge_first(self, t: Column, state: Column) -> Column:
+    # A word of ``LONG`` bytes at most is an array of cells, one a piece: the rank of the piece and the
+    # next one joined, the number of its first byte, its id.  The least cell is the leftmost pair of the lowest rank.
+    @property
+    def _low(self) -> int:
+        """Bits below a cell's rank."""
+        return self.bits + LONG.bit_length()
+
+    def _id(self, cell: Column) -> Column:
+        return cell.bitwiseAND(F.lit(self.limit - 1))
+
+    def _cells(self, t: Column, parts: Column) -> Column:
+        return F.transform(parts, lambda p, i: self._ranked(t, F.shiftleft(i.cast("bigint"), self.bits).bitwiseOR(p), p, F.get(parts, i + 1)))
+
+    def _ranked(self, t: Column, below: Column, a: Column, b: Column) -> Column:
+        """A cell of ``below``, whose id is ``a``, with the rank of ``a`` and ``b`` joined (none if ``b`` is null)."""
+        return F.shiftleft(F.least(self.rank(t, a, b), F.lit(self.limit)), self._low).bitwiseOR(below)
+
+    def _merge_first(self, t: Column, cells: Column) -> Column:
         """The leftmost pair of the lowest rank merged; only the two ranks beside it are looked up."""
-        parts, ranks = state["parts"], state["ranks"]
-        none = F.array().cast("array<bigint>")
+        below = F.lit((1 << self._low) - 1)
+
+        def merged(low, at):  # pieces ``at`` and ``at`` + 1, from 1, become one: a piece's rank is its id
+            def both(piece):
+                here = self._ranked(t, low.bitwiseAND(F.lit((1 << self._low) - self.limit)).bitwiseOR(piece), piece, self._id(F.get(cells, at + 1)))
+                before = _bound(F.get(cells, at - 2), lambda c: self._ranked(t, c.bitwiseAND(below), self._id(c), piece))
+                return F.concat(F.slice(cells, F.lit(1), F.greatest(at - 2, F.lit(0))), F.when(at > 1, F.array(before, here)).otherwise(F.array(here)),
+                                F.slice(cells, at + 2, F.size(cells)))
 
-        def merged(low, at):  # parts ``at`` and ``at`` + 1, from 1, become ``low``: a piece's rank is its id
-            piece = low
-            before = F.when(at > 1, F.array(self.rank(t, F.get(parts, at - 2), piece))).otherwise(none)
-            after = F.when(at + 1 < F.size(parts), F.array(self.rank(t, piece, F.get(parts, at + 1)))).otherwise(none)
-            return F.struct(
-                F.concat(F.slice(parts, F.lit(1), at - 1), F.array(piece), F.slice(parts, at + 2, F.size(parts))).alias("parts"),
-                F.concat(F.slice(ranks, F.lit(1), F.greatest(at - 2, F.lit(0))), before, after, F.slice(ranks, at + 2, F.size(parts))).alias("ranks"))
+            return _bound(F.shiftright(low, self._low), both)
 
-        return _bound(F.array_min(ranks), lambda low: F.when(low < self.limit, _bound(
-            F.array_position(ranks, low).cast("int"), lambda at: merged(low, at))).otherwise(state))
+        return _bound(F.array_min(cells), lambda low: F.when(low < F.lit(self.limit << self._low), _bound(
+            F.array_position(cells, low).cast("int"), lambda at: merged(low, at))).otherwise(cells))
 
     def _merge_all(self, t: Column, state: Column) -> Column:
         """All pairs of the lowest rank merged, from the left, none overlapping."""
@@ -263,10 +283,17 @@ def frequent_words(docs: DataFrame, vocabulary: Vocabulary, text: str = "text",
     count that leaves no more than ``limit`` words, so nothing is sorted and no
     more than those come to the driver.
     """
+    frame = _frequent(docs, vocabulary, text, limit)
+    schema = _single_words(vocabulary).schema
+    return schema.empty_table() if frame is None else frame.toArrow().cast(schema)
+
+
+def _frequent(docs: DataFrame, vocabulary: Vocabulary, text: str, limit: int) -> DataFrame | None:
+    """``frequent_words`` as a written table (None: no word)."""
     single = docs.sparkSession.createDataFrame(_single_words(vocabulary).select(["word"]))
     each = docs.select(F.explode(words(F.col(f"`{text}`"), vocabulary.java)).alias("word"))
     counts = each.groupBy("word").agg(F.count("*").alias("n")).where("n > 1").where(F.octet_length("word") <= CACHE_BYTES)
-    counts = stored(counts.where(~F.contains("word", F.lit(MARK))).join(single, "word", "left_anti"), "word-counts")
+    counts = stored(counts.where(~F.contains("word", F.lit(MARK)) & ~F.contains("word", F.lit(ENTRY))).join(single, "word", "left_anti"), "word-counts")
     # 16 classes a doubling: the class that no longer fits is left out whole
     size = F.floor(F.log2("n") * 16)
     histogram = counts.groupBy(size.alias("c")).agg(F.count("*").alias("words")).orderBy(F.desc("c")).collect()
@@ -275,10 +302,10 @@ def frequent_words(docs: DataFrame, vocabulary: Vocabulary, text: str = "text",
         if row["words"] > room:
             break
         room, least = room - row["words"], row["c"]
-    found = _single_words(vocabulary).slice(0, 0)
+    found = None
     if least is not None:
         ids = _bound(vocabulary.literal(), lambda t: F.array_join(vocabulary.folded(t, F.col("word")), ","))
-        found = counts.where(size >= least).select("word", ids.alias("ids")).toArrow().cast(found.schema)
+        found = stored(counts.where(size >= least).select("word", ids.alias("ids")), "held-words")
     discard(counts)
     return found
 
@@ -291,7 +318,7 @@ def _single_words(vocabulary: Vocabulary) -> pa.Table:
             word = piece.decode()
         except UnicodeDecodeError:
             continue
-        if MARK not in word:
+        if MARK not in word and ENTRY not in word:
             words.append(word)
             ids.append(str(rank))
     return pa.table({"word": pa.array(words, pa.string()), "ids": pa.array(ids, pa.string())})
@@ -299,23 +326,27 @@ def _single_words(vocabulary: Vocabulary) -> pa.Table:
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str = "ids", cache: int = CACHE) -> DataFrame:
     """``docs`` with the column ``ids``: the token ids of ``text`` (array of int)."""
-    known = _single_words(vocabulary)
-    if cache:
-        known = pa.concat_tables([known, frequent_words(docs, vocabulary, text, cache)])
-    places = Places(docs.sparkSession, known.select(["word"]))
-    if not places.keys["word"].equals(known["word"]):  # the frame keeps the order of its rows
-        raise RuntimeError("words were reordered")
-    order = np.full(places.size, -1, np.int64)  # no word is empty, so an empty place has the empty key
-    order[places.slots] = np.arange(len(known))
-    at = pa.array(np.maximum(order, 0), mask=order < 0)
-    keys, lists = (known[c].take(at).fill_null("").to_pylist() for c in ("word", "ids"))
-    held = F.struct(array_literal(keys, "string").alias("keys"), array_literal(places.shift.tolist(), "int").alias("shift"),
-                    array_literal(lists, "string").alias("ids"))
-
-    release(docs.sparkSession)  # of what the literals were made from
-    # a word's ids are text here, so that the literals are flat and a text's ids are cast at once
+    spark = docs.sparkSession
+    known = spark.createDataFrame(_single_words(vocabulary))
+    found = _frequent(docs, vocabulary, text, cache) if cache else None
+    if found is not None:
+        known = known.union(found)
+    bucket = lambda word: F.hash(word).bitwiseAND(F.lit(BUCKETS - 1))
+    # joined by Spark: lists of the words would take hundreds of MB of the driver's Python
+    entries = known.groupBy(bucket("word").alias("at")).agg(F.array_join(F.collect_list(F.concat(F.lit(ENTRY), "word", F.lit(MARK), "ids")), "").alias("entries"))
+    every = spark.range(BUCKETS).join(entries, F.col("id") == F.col("at"), "left").select(F.struct("id", F.coalesce("entries", F.lit("")).alias("entries")).alias("b"))
+    joined = every.agg(F.array_join(F.sort_array(F.collect_list("b"))["entries"], ENTRY * 2)).first()[0]
+    if found is not None:
+        discard(found)
+    held = F.split(F.lit(joined), ENTRY * 2)
+    del joined
+    release(spark)  # of what the literals were made from
+    # a word's ids are text here, so that a text's ids are cast at once
+
     def of(word, t, h):
-        return _bound(places.slot(h["shift"], word), lambda slot: F.when(F.get(h["keys"], slot) == word, F.get(h["ids"], slot))
+        # what follows the word in its bucket, up to the next one; if it isn't there, what precedes the first one: nothing
+        entry = F.call_function("substring_index", F.get(h, bucket(word)), F.concat(F.lit(ENTRY), word, F.lit(MARK)), F.lit(-1))
+        return _bound(F.substring_index(entry, ENTRY, 1), lambda ids: F.when((ids != "") & ~F.contains(word, F.lit(MARK)), ids)
                       .otherwise(F.array_join(vocabulary.folded(t, word), ",")))
 
     every = _bound(vocabulary.literal(), lambda t: _bound(held, lambda h: F.array_join(
