@@ -73,3 +73,14 @@ def test_decode_of_unknown_and_null_ids(spark, vocabulary):
 def test_vocabulary_must_hold_all_bytes(spark):
     with pytest.raises(ValueError):
         bpe.Vocabulary(spark, {b"a": 0, b"b": 1, b"ab": 2}, public_tokenizers.PATTERN)
+
+
+def test_held_words_are_not_listed_in_the_drivers_python(spark, vocabulary):
+    import tracemalloc
+
+    df = spark.createDataFrame([(" thhe" * 9 + " qqzx" * 3 + " zzqj",)], "text string")
+    tracemalloc.start()
+    bpe.encode(df, vocabulary)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 18e6, peak
