@@ -31,6 +31,8 @@ from __future__ import annotations
 
 import base64
 import re
+import uuid
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -58,29 +60,28 @@ def java_pattern(spark: SparkSession, pattern: str) -> str:
     """``pattern`` with its letter, digit and white space classes as the tokenizer library takes them."""
     import tiktoken
 
-    every = "".join(chr(c) for c in range(1, 0x110000) if not 0xD800 <= c < 0xE000)
+    classes = [name for name in (r"\p{L}", r"\p{N}", r"\s") if name in pattern]
     byte_ranks = {bytes([i]): i for i in range(256)}
+    # a character a row: a text of them all would stand in plans, and those in the driver's memory
+    char = F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "UTF-32")
+    chars = spark.range(1, 0x110000).where("id not between 55296 and 57343").select(F.col("id").cast("int").alias("code"), *[char.rlike(name).alias(name) for name in classes])
+    taken = chars.where(F.array_contains(F.array(*[F.col(f"`{name}`") for name in classes]), True)).toArrow() if classes else None
 
-    def spans(chars: set[str]) -> str:
-        codes, out = sorted(map(ord, chars)), []
-        for c in codes:
-            if out and out[-1][1] == c - 1:
-                out[-1][1] = c
-            else:
-                out.append([c, c])
-        return "".join(rf"\x{{{a:x}}}-\x{{{b:x}}}" for a, b in out)
+    def spans(codes: np.ndarray) -> str:
+        starts = np.flatnonzero(np.diff(codes, prepend=-2) != 1)
+        return "".join(rf"\x{{{a:x}}}-\x{{{b:x}}}" for a, b in zip(codes[starts], codes[np.r_[starts[1:] - 1, len(codes) - 1]]))
 
-    for name in (r"\p{L}", r"\p{N}", r"\s"):
-        if name not in pattern:
-            continue
+    for name in classes:
         encoding = tiktoken.Encoding("class", pat_str=name + "+", mergeable_ranks=byte_ranks, special_tokens={})
-        wanted = set(bytes(encoding.encode_ordinary(every)).decode())
-        known = set(spark.range(1).select(F.regexp_replace(F.lit(every), f"[^{name}]", "")).first()[0])
-        more, less = wanted - known, known - wanted
+        # by plane: the ids of a text are a list
+        texts = ("".join(chr(c) for c in range(max(1, at), at + 0x10000) if not 0xD800 <= c < 0xE000) for at in range(0, 0x110000, 0x10000))
+        wanted = np.array([ord(c) for text in texts for c in bytes(encoding.encode_ordinary(text)).decode()], np.int64)
+        known = np.sort(taken["code"].to_numpy()[taken[name].to_numpy()]).astype(np.int64)
+        more, less = np.setdiff1d(wanted, known), np.setdiff1d(known, wanted)
         java = name
-        if more:  # a quick range test comes before the list
-            java = rf"[{name}[\x{{{min(map(ord, more)):x}}}-\x{{10ffff}}&&[{spans(more)}]]]"
-        if less:
+        if len(more):  # a quick range test comes before the list
+            java = rf"[{name}[\x{{{more.min():x}}}-\x{{10ffff}}&&[{spans(more)}]]]"
+        if len(less):
             java = f"[{java}&&[^{spans(less)}]]"
         pattern = pattern.replace(name, java)
         if name == r"\s":
@@ -276,6 +277,21 @@ def _bound(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+@contextmanager
+def _constant(row: DataFrame):
+    """The value of a frame of one row and column, as a constant that never passes through the driver's Python.
+
+    It is a session variable: frames made within the block keep its value.
+    """
+    spark, name = row.sparkSession, f"constant_{uuid.uuid4().hex}"
+    spark.sql(f"DECLARE VARIABLE {name} {row.schema[0].dataType.simpleString()}")
+    try:
+        spark.sql(f"SET VARIABLE {name} = (SELECT * FROM {{row}})", row=row)
+        yield F.expr(f"system.session.{name}")
+    finally:
+        spark.sql(f"DROP TEMPORARY VARIABLE {name}")
+
+
 def frequent_words(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", limit: int = CACHE) -> pa.Table:
     """(word, ids as text, joined by commas) of at most ``limit`` words, the most frequent ones of all texts that are no single piece.
 
@@ -332,15 +348,10 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str
     if found is not None:
         known = known.union(found)
     bucket = lambda word: F.hash(word).bitwiseAND(F.lit(BUCKETS - 1))
-    # joined by Spark: lists of the words would take hundreds of MB of the driver's Python
+    # joined by Spark: lists or a literal of the words would take hundreds of MB of the driver
     entries = known.groupBy(bucket("word").alias("at")).agg(F.array_join(F.collect_list(F.concat(F.lit(ENTRY), "word", F.lit(MARK), "ids")), "").alias("entries"))
     every = spark.range(BUCKETS).join(entries, F.col("id") == F.col("at"), "left").select(F.struct("id", F.coalesce("entries", F.lit("")).alias("entries")).alias("b"))
-    joined = every.agg(F.array_join(F.sort_array(F.collect_list("b"))["entries"], ENTRY * 2)).first()[0]
-    if found is not None:
-        discard(found)
-    held = F.split(F.lit(joined), ENTRY * 2)
-    del joined
-    release(spark)  # of what the literals were made from
+    held_words = every.agg(F.sort_array(F.collect_list("b"))["entries"].alias("held"))
     # a word's ids are text here, so that a text's ids are cast at once
 
     def of(word, t, h):
@@ -349,9 +360,14 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str
         return _bound(F.substring_index(entry, ENTRY, 1), lambda ids: F.when((ids != "") & ~F.contains(word, F.lit(MARK)), ids)
                       .otherwise(F.array_join(vocabulary.folded(t, word), ",")))
 
-    every = _bound(vocabulary.literal(), lambda t: _bound(held, lambda h: F.array_join(
-        F.transform(words(F.col(f"`{text}`"), vocabulary.java), lambda w: of(w, t, h)), ",")))
-    return docs.withColumn(ids, _bound(every, lambda e: F.when(e != "", F.split(e, ",").cast("array<int>")).otherwise(F.array().cast("array<int>"))))
+    with _constant(held_words) as held:
+        every = _bound(vocabulary.literal(), lambda t: _bound(held, lambda h: F.array_join(
+            F.transform(words(F.col(f"`{text}`"), vocabulary.java), lambda w: of(w, t, h)), ",")))
+        out = docs.withColumn(ids, _bound(every, lambda e: F.when(e != "", F.split(e, ",").cast("array<int>")).otherwise(F.array().cast("array<int>"))))
+    if found is not None:
+        discard(found)
+    release(spark)  # of what the constants were made from
+    return out
 
 
 def decode(df: DataFrame, vocabulary: Vocabulary, ids: str = "ids", out: str = "decoded") -> DataFrame:

@@ -84,3 +84,15 @@ def test_held_words_are_not_listed_in_the_drivers_python(spark, vocabulary):
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 18e6, peak
+
+
+def test_no_literal_holds_all_characters_or_the_held_words(spark, vocabulary, monkeypatch):
+    given, lit = [], bpe.F.lit
+    monkeypatch.setattr(bpe.F, "lit", lambda value: given.append(value) or lit(value))
+    assert bpe.java_pattern(spark, public_tokenizers.PATTERN) == vocabulary.java
+    df = spark.createDataFrame([(" thhe" * 9 + " qqzx" * 3 + " zzqj",)], "text string")
+    got = bpe.encode(df, vocabulary).first()["ids"]
+    assert got == LIBRARY.encode_ordinary(df.first()["text"])
+    texts = [value for value in given if isinstance(value, str)]
+    assert not [t for t in texts if len(t) > 1_000_000 and bpe.MARK not in t], "a text of all characters"
+    assert not [t for t in texts if bpe.ENTRY * 2 in t], "held words"
