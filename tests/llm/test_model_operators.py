@@ -134,6 +134,78 @@ def test_quality_tells_rare_characters_apart(spark):
     assert p[101] > 1.05 * p[100]
 
 
+def test_word_probabilities_match_the_textbook_recursion(spark):
+    from millrace.llm.quality import _Hashed, _terms, _word_model
+
+    START, END = "start", "end"
+    _pieces = lambda t: [*t.replace("\n", " \n ").split(" "), END]
+
+    rng = random.Random(4)
+    draw = lambda words: " ".join(rng.choice(words) for _ in range(rng.randrange(1, 12)))
+    trusted = [draw(["a", "b", "c", "d", "e", ""]) for _ in range(60)] + ["a b\nc"] * 3
+    trusted = [t for t in trusted if t]
+    asked = list({draw(["a", "b", "c", "new", "other", ""]) for _ in range(60)} - {""}) + ["\n", trusted[0]]
+    spelling = lambda w: -1.5 - len(w)
+
+    def spellings(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            texts = batch.column(0).to_pylist()
+            hashed = _Hashed(texts)
+            words = [w for t in texts for w in _pieces(t)]
+            assert [w if w != "\uffff " else END for w in hashed.words(hashed.at)] == words
+            yield pa.RecordBatch.from_arrays([pa.array(hashed.h[hashed.at].view(np.int64)), pa.array([float(spelling(w)) for w in words])], names=["w", "spelling"])
+
+    counts = {3: collections.Counter(g for t in trusted for w in [[START, START, *_pieces(t)]] for g in zip(w, w[1:], w[2:]))}
+    for k in (2, 1):
+        counts[k] = collections.Counter(g[1:] for g in counts[k + 1])
+
+    def discounts(c):
+        n = collections.Counter(c.values())
+        if not (n[1] and n[2] and n[3]):
+            return 0.5, 0.75, 0.9
+        y = n[1] / (n[1] + 2 * n[2])
+        d = 1 - 2 * y * n[2] / n[1], 2 - 3 * y * n[3] / n[2], 3 - 4 * y * n[4] / n[3]
+        return [min(max(x, 0.05), k - 0.05) for k, x in enumerate(d, 1)]
+
+    def p(g):
+        c, d = counts[len(g)], discounts(counts[len(g)])
+        same = {h: n for h, n in c.items() if h[:-1] == g[:-1]}
+        lower = p(g[1:]) if len(g) > 1 else math.exp(spelling(g[0]))
+        total = sum(same.values())
+        if not total:
+            return lower
+        less = lambda n: d[min(n, 3) - 1]
+        return (c[g] - less(c[g]) if g in c else 0) / total + sum(map(less, same.values())) / total * lower
+
+    docs = spark.createDataFrame([(t,) for t in [*asked, asked[0], asked[0], None, ""]], "text string")  # copies count once
+    for chars in (1, 10 ** 8):  # in one turn, in several
+        model = _word_model(spark.createDataFrame([(t,) for t in trusted], "text string"), spellings, chars)
+        got = {r.id: r._term for r in _terms(docs, model, model.turns).withColumnRenamed("text", "id").collect()}
+        ids = {r.text: r.id for r in docs.where("text <> ''").selectExpr("text", "xxhash64(text) as id").collect()}
+        assert set(got) == set(ids.values()) and END in {g[2] for g in counts[3]}
+        for t in asked:
+            words = [START, START, *_pieces(t)]
+            want = sum(math.log(p(g)) for g in zip(words, words[1:], words[2:]))
+            have = got[ids[t]] + sum(map(spelling, words[2:])) + model.spelling * len(words[2:])
+            assert have == pytest.approx(want, abs=1e-4)
+        assert spark.table(model.name).count() > 0
+
+
+def test_quality_classifier_knows_words(spark):
+    from millrace.llm.quality import classify, fit
+
+    rng = random.Random(5)
+    known, new = ["lontariska", "ventarismu"], ["lontarismu", "ventariska"]  # of the same four-character n-grams
+    text = lambda words: " ".join(rng.choice(words) for _ in range(200))
+    rows = [(i, text(known), "xx", "a", 1) for i in range(60)] + [(100 + i, text(new if i else known), "xx", "a", 1) for i in range(2)]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    docs = spark.createDataFrame(rows, DOC)
+    got = {r.doc_id: r for r in classify(fit(docs, labels), docs).where("doc_id >= 100").collect()}
+    assert not got[101].kept and got[101].perplexity > 1.5 * got[100].perplexity
+
+
 # ---------------------------------------------------------------- embeddings
 def test_embedding_links_match_brute_force(spark):
     from millrace.llm.embeddings import embedding_near_duplicates
