@@ -124,3 +124,23 @@ def test_tree_routing_without_model_and_with_missing_features(spark):
     assert sorted(got, key=str) == sorted([("a", 0.0, 0.0), ("a", 0.0, 0.0), ("a", 1.0, 1.0), ("other", None, None), (None, None, None)], key=str)
     assert trees.first().n_used == 12
     assert T.fit_trees(df.limit(0), "k", ["x"], "label").count() == 0
+
+
+def test_no_plan_of_the_neighbour_search_grows_with_the_depth(spark, monkeypatch):
+    from millrace.operators import neighbours as N
+
+    joins, write = [], N.materialize
+
+    def spied(df, name):
+        joins.append(df._jdf.queryExecution().optimizedPlan().toString().count("Join "))
+        return write(df, name)
+
+    monkeypatch.setattr(N, "materialize", spied)
+    points = spark.createDataFrame([(i, [float(i * 37 % 101), float(i * 53 % 97)], 1) for i in range(60)], "pid long, v array<double>, copies long")
+    near = N.nearest_neighbours(points, 2, k=2, leaf=4)
+    assert len(joins) > 10 and max(joins) <= 2  # a tree of more than four levels
+    got = {(r["pid"], r["rank"]): (r.d2, r.other) for r in near.collect()}
+    rows = [(r.pid, r.v) for r in points.collect()]
+    for a, v in rows:
+        best = sorted(((v[0] - w[0]) ** 2 + (v[1] - w[1]) ** 2, b) for b, w in rows if b != a)[:2]
+        assert [got[(a, 1)], got[(a, 2)]] == best
