@@ -17,7 +17,7 @@ from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier,
                                        LogisticRegression, RandomForestClassifier)
 from pyspark.ml.evaluation import (BinaryClassificationEvaluator,
                                    MulticlassClassificationEvaluator, RegressionEvaluator)
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Bucketizer, OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
@@ -78,6 +78,27 @@ def fit(pipeline: Pipeline, train: DataFrame, label: str) -> PipelineModel:
     return pipeline.fit(train.withColumn(label, F.col(label).cast("double")))
 
 
+def fit_cells(kind: str, train: DataFrame, label: str, numeric: list[str], bins: int = 32, **params) -> PipelineModel:
+    """M5: trees grown from the cells of the binned features instead of from rows.
+
+    Squared-error trees see a row only through its bins, and the rows of a cell only
+    through their number and mean label: what labels vary inside a cell is the same
+    on both sides of every cut.  So rows with equal bins are one weighted row, at most
+    ``bins`` ** features of them whatever the table, and every row counts.  The
+    boosting rounds read those, the table itself is read twice (quantiles, cells).
+    A null feature or label is an error, as it is in a fit on rows."""
+    rows = train.select(*[F.col(c).cast("double").alias(c) for c in numeric], F.col(label).cast("double").alias(label))
+    cuts = rows.approxQuantile(list(numeric), [i / (bins - 1) for i in range(1, bins - 1)], 0.1 / bins)
+    splits = [[-float("inf"), *sorted({c for c in q if c not in (float("inf"), -float("inf"))}), float("inf")] for q in cuts]
+    binned = Bucketizer(inputCols=list(numeric), outputCols=[f"{c}__bin" for c in numeric],
+                        splitsArray=[s if len(s) > 2 else [s[0], 0.0, s[1]] for s in splits], handleInvalid="keep")
+    by = [f"{c}__bin" for c in numeric]
+    ordered = [(F.col(c) + F.lit(0.0)).alias(c) for c in by]  # a sum has no metadata, which would make the bins categories
+    cells = materialize(binned.transform(rows).groupBy(*ordered).agg(F.count(F.lit(1)).cast("double").alias("__weight"), F.when(F.count(label) == F.count(F.lit(1)), F.avg(label)).alias(label)), "cells")
+    *stages, est = make_pipeline(kind, label, by, maxBins=bins, weightCol="__weight", **params).getStages()
+    return PipelineModel([binned, *Pipeline(stages=[*stages, est]).fit(cells).stages])
+
+
 def score(model: PipelineModel, df: DataFrame, keep: list[str],
           prediction: str = "prediction") -> DataFrame:
     """M9: batch scoring as a column, fixed output projection."""

@@ -257,9 +257,7 @@ def q_rul_tree_metrics(spark, sf_dir):
 def q_rul_gbt_metrics(spark, sf_dir):
     """M5 + M7: gradient-boosted trees for remaining useful life; R^2 above 0.5."""
     train, test = _engine_split(spark, sf_dir)
-    pipe = M.make_pipeline("gbt_regressor", "RemainingUsefulLife", ENGINE_FEATURES, maxIter=20,
-                           maxDepth=4, seed=42)
-    model = M.fit(pipe, train, "RemainingUsefulLife")
+    model = M.fit_cells("gbt_regressor", train, "RemainingUsefulLife", ENGINE_FEATURES, maxIter=20, maxDepth=4, seed=42)
     return _gate(spark, M.score(model, test, [F.col("RemainingUsefulLife").alias("label")]), "r2 > 0.5", "regression")
 
 

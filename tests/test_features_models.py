@@ -206,3 +206,19 @@ def test_outlier_report_with_text_ids_null_ids_and_empty_columns(spark):
     assert (got["v"].n_above_upper, got["v"].upper_ids, got["v"].lower_ids) == (3, "a,a", "b")
     assert got["w"].message == "No outliers present" and got["w"].lower_fence is None
     assert outlier_report(df, ["w"]).first().n_above_upper == 0
+
+
+def test_boosted_trees_from_cells_equal_those_from_rows(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from millrace.operators import models as M
+
+    rows = [(float(i % 7), float(i * i % 5), float((i % 7) ** 2 + 3 * (i * i % 5) + i % 3)) for i in range(600)]
+    df = spark.createDataFrame(rows, "a double, b double, y double")
+    seen, write = [], M.materialize
+    monkeypatch.setattr(M, "materialize", lambda d, name: seen.append(write(d, name)) or seen[-1])
+    cells = M.fit_cells("gbt_regressor", df, "y", ["a", "b"], maxIter=5, maxDepth=3, seed=1)
+    by_row = M.fit(M.make_pipeline("gbt_regressor", "y", ["a", "b"], maxIter=5, maxDepth=3, seed=1), df, "y")
+    assert seen[0].count() <= 35 and seen[0].agg(F.sum("__weight")).first()[0] == 600
+    both = [sorted(r["prediction"] for r in m.transform(df).select("prediction").collect()) for m in (cells, by_row)]
+    assert max(abs(x - y) for x, y in zip(*both)) < 1e-9
